@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +44,14 @@ def sampled(df: DataFrame, key: str, expected: int, total: int) -> DataFrame:
     if total <= expected:
         return df
     return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * expected / total))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut(), for a large table: Parquet in the shared folder, deleted when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.parquet(path)

@@ -2,13 +2,118 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyvane.llm import langid, simhash
-from tallyvane.llm.common import held_out, table
+from tallyvane.llm import brown_lm, decontam, langid, packing, pii, rollups, simhash, topk, toxicity, url_lists
+from tallyvane.llm.common import cut, held_out, shared_dir, table
+
+
+def op1_toxicity_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out("doc_id", 5).alias("held_out"), "text")
+    model = toxicity.fit(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cut(table(spark, sf_dir, "embeddings").select("vec_id", topk.sign_code("embedding").alias("code")))
+    return topk.search(rows.where(F.col("vec_id") % 50 == 0), rows)
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_brown_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out("doc_id", 10).alias("held_out"), "text")
+    model, words = brown_lm.fit(docs.where(~F.col("held_out")))
+    return brown_lm.score(docs, model, words)
+
+
+def url_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts of pages and their parents. The tables have no list, so its dates follow from the least page id of each."""
+    hosts = pages.select("page_id", F.explode(url_lists.suffixes("host")).alias("pattern"))
+    seeds = hosts.groupBy("pattern").agg(F.min("page_id").alias("seed"))
+    dated = seeds.select(
+        "pattern",
+        F.explode(
+            F.array(
+                F.struct(F.lit("block").alias("action"), (F.col("seed") % 200).alias("day"), (F.col("seed") % 2 == 0).alias("given")),
+                F.struct(F.lit("remove").alias("action"), (F.col("seed") % 200 + 40 + F.col("seed") % 50).alias("day"), (F.col("seed") % 3 == 0).alias("given")),
+                F.struct(F.lit("allow").alias("action"), (300 + F.col("seed") % 30).alias("day"), (F.col("seed") % 5 == 0).alias("given")),
+            )
+        ).alias("e"),
+    ).select("pattern", "e.*")
+    return dated.where("given").select("pattern", "action", F.expr("date_add(date'2024-01-01', cast(day as int))").cast("timestamp").alias("listed_at"))
+
+
+def op6_url_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("host", url_lists.host_of(F.col("url")))
+    captures = pages.withColumn("fetched_at", F.timestamp_seconds(F.lit(1704067200) + 60 * (F.col("page_id") * 7919 % 525600)))
+    return url_lists.judge(captures, url_entries(pages), "page_id")
+
+
+OP6_SQL = """
+with h as (
+  select page_id, timestamp '2024-01-01' + to_minutes((page_id * 7919 % 525600)::bigint) fetched_at,
+    nullif(rtrim(lower(regexp_extract(url, '^\\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') host from pages),
+p as (select page_id, host, fetched_at, string_split(host, '.') parts from h),
+x as (
+  select page_id, host, fetched_at, unnest(range(least(greatest(len(parts) - 1, 1), 8))) depth, parts from p where host is not null),
+s as (select page_id, host, fetched_at, depth, array_to_string(parts[depth + 1:], '.') pattern from x),
+seeds as (select pattern, min(page_id) seed from s group by 1),
+e as (
+  select pattern, 'block' act, timestamp '2024-01-01' + to_days((seed % 200)::int) t from seeds where seed % 2 = 0
+  union all select pattern, 'remove', timestamp '2024-01-01' + to_days((seed % 200 + 40 + seed % 50)::int) from seeds where seed % 3 = 0
+  union all select pattern, 'allow', timestamp '2024-01-01' + to_days((300 + seed % 30)::int) from seeds where seed % 5 = 0),
+one as (select pattern, t, max(act) act from e group by all),
+iv as (select pattern, act, t f, lead(t) over (partition by pattern order by t) u from one),
+hit as (
+  select s.page_id, iv.act, iv.pattern, row_number() over (partition by s.page_id order by depth) r
+  from s join iv on s.pattern = iv.pattern and act <> 'remove' and fetched_at >= f and (u is null or fetched_at < u))
+select h.page_id, h.host, coalesce(hit.act, 'unlisted') verdict, hit.pattern from h left join hit on h.page_id = hit.page_id and r = 1
+"""
+
+
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted, some deleted, some counted anew by another tokenizer version; the deletes are committed twice."""
+    docs = table(spark, sf_dir, "documents")
+    first, second = F.regexp_count("text", F.lit(r"[^ \t\n\r\f\x0b]+")), F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+"))
+    counts = cut(docs.select("doc_id", "source", "lang", first.alias("first"), second.alias("second")))
+
+    def side(prefix: str, version: str, tokens: str) -> list:
+        return [F.col("source").alias(f"{prefix}_source"), F.col("lang").alias(f"{prefix}_lang"), F.lit(version).alias(f"{prefix}_tokenizer"), F.col(tokens).alias(f"{prefix}_tokens")]
+
+    one, two, gone = side("old", "words-1", "first"), side("new", "words-2", "second"), F.col("doc_id") % 11 == 0
+    none = [F.lit(None).cast("string").alias("old_source"), F.lit(None).cast("string").alias("old_lang"), F.lit(None).cast("string").alias("old_tokenizer"), F.lit(None).cast("long").alias("old_tokens")]
+    inserts = counts.select(F.lit("insert").alias("op"), *none, *side("new", "words-1", "first"))
+    deletes = counts.where(gone).select(F.lit("delete").alias("op"), *one, *two)
+    revisions = counts.where(~gone & (F.col("doc_id") % 3 == 0)).select(F.lit("revise").alias("op"), *one, *two)
+    ledger = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    for batch, changes in (("0001", inserts), ("0002", deletes), ("0003", revisions), ("0002", deletes)):
+        rollups.commit(changes, ledger, batch)
+    return rollups.totals(spark, ledger)
+
+
+OP8_SQL = """
+with c as (
+  select doc_id, coalesce(source, 'unknown') source, coalesce(lang, 'unknown') lang, doc_id % 11 <> 0 and doc_id % 3 = 0 anew,
+    coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\x0b]+')), 0) a, coalesce(len(regexp_extract_all(text, '[\\p{L}\\p{N}]+')), 0) b from documents
+  where doc_id is null or doc_id % 11 <> 0)
+select source, lang, case when anew then 'words-2' else 'words-1' end tokenizer, count(*)::bigint docs, sum(case when anew then b else a end)::bigint tokens from c group by all
+"""
+
+
+def op7_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.digest(found)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +129,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity_segments,
+        op2_exact_topk,
+        op3_benchmark_decontamination,
+        op4_packing,
+        op5_brown_lm_scoring,
+        op6_url_temporal_lists,
+        op7_pii_weak_supervision,
+        op8_token_rollups,
         op9_simhash_near_dedup,
         op10_language_id,
     )
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": topk.SQL,
+    "op3_benchmark_decontamination": decontam.SQL,
+    "op6_url_temporal_lists": OP6_SQL,
+    "op8_token_rollups": OP8_SQL,
+}
