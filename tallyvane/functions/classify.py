@@ -35,7 +35,11 @@ def classify_first(c: Column | str, rules: Rules, fallback: str, primary_sep: st
 def classify_precedence(tokens: Column | str, rules: Rules, overrides: Mapping[tuple[str, str], str] | None = None, fallback: str = "other") -> Column:
     """Struct (label, hits, unmatched) of an array of tokens: the first rule with a hit, unless two hit rules override to a third."""
     words = col(tokens)
-    hits = {name: F.filter(words, lambda w, k=keys: _hit(w, k)) for name, keys in rules}
+
+    def among(keys: Sequence[str]) -> Column:
+        return F.filter(words, lambda w: _hit(w, keys))
+
+    hits = {name: among(keys) for name, keys in rules}
     label = F.lit(fallback)
     for name, _ in reversed(rules):
         label = F.when(F.size(hits[name]) > 0, F.lit(name)).otherwise(label)

@@ -199,7 +199,7 @@ def estimate_per_person(menu: DataFrame, place: str, price: str, appetite: Mappi
         F.avg(price).alias("_m1"),
         F.max(price).alias("_m2"),
     )
-    pick = lambda i, k: F.round(F.coalesce(F.when(F.col("n") >= min_items, F.col(f"_q{i}")).otherwise(F.col(f"_m{i}")), F.lit(fallback).cast("double")) * factor[k], 2)
+    pick = lambda i, k: F.round(F.coalesce(F.when(F.col("n") >= min_items, F.col(f"_q{i}")).otherwise(F.col(f"_m{i}")), F.lit(fallback).cast("double")) * factor[k], 4)
     confidence = F.when(F.col("n") >= min_items, "high").when(F.col("n") > 0, "low").otherwise("none")
     return agg.select(place, "n", pick(0, "low").alias("low"), pick(1, "std").alias("std"), pick(2, "high").alias("high"), confidence.alias("confidence"))
 

@@ -1,4 +1,6 @@
-"""The registered queries of the library and the SQL that says the same."""
+"""All registered queries of the library, and the SQL that gives the same rows."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from tallyvane.plans import aggregates, composites, functions, joins, series, streams  # noqa: F401
+from tallyvane.plans.base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

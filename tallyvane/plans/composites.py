@@ -1,0 +1,126 @@
+"""End-user queries put together from the operators."""
+
+from pyspark.sql import functions as F
+
+from tallyvane.operators import aggregates as A
+from tallyvane.operators import gates as G
+from tallyvane.operators import joins as J
+from tallyvane.operators import ordering as O
+from tallyvane.operators import series as W
+from tallyvane.plans.aggregates import LATEST
+from tallyvane.plans.base import OBS, PAIR, obs, pair, query, table
+from tallyvane.plans.joins import HAV, PLACES, RULE_SQL, _places, _rules
+
+
+def parts(spark, sf):
+    return table(spark, sf, "part")
+
+
+@query(f"""with {OBS}, {RULE_SQL}, res as (select nm.t, (select id from rules r where r.rule_no = b.rule_no) id from nm left join best b using (t)),
+x as (select o.*, p_name, id from obs o join part on p_partkey = item join res on t = p_name), g as (select *, case when price < 3000 then 'low price' when id is null then 'unmatched' end reason from x),
+m as (select id, avg(price) a from g where reason is null and d < date '1998-01-01' group by 1),
+f as (select g.*, coalesce(price < a * (1.0::double / 3.0::double) or price > a * 3.0, false) outlier from g left join m on m.id = g.id)
+select coalesce(id, 'none') id, case when reason is not null then reason when outlier then 'outlier' else 'ok' end status, count(*) n, min(price) low, max(price) high from f group by 1, 2""")
+def q1_normalise(spark, sf):
+    """Names resolved once each, rows gated with reasons, outliers against past means flagged; counts by item and status."""
+    rows = obs(spark, sf).join(parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_name"), "item")
+    ids = J.resolve_rules(parts(spark, sf), "p_name", _rules(spark)).select(F.col("text").alias("p_name"), "id")
+    gated = G.apply_gates(rows.join(ids, "p_name"), [(F.col("price") < 3000, "low price"), (F.col("id").isNull(), "unmatched")])
+    flagged = G.flag_outliers(gated, "id", "price", (F.col("status") == "ok") & (F.col("d") < F.lit("1998-01-01").cast("date")))
+    status = F.coalesce("reason", F.when(F.col("outlier"), "outlier").otherwise("ok"))
+    return flagged.groupBy(F.coalesce("id", F.lit("none")).alias("id"), status.alias("status")).agg(F.count("*").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"))
+
+
+@query(f"""with {OBS}, l as (select *, max(d) over (partition by item) m from obs where price >= 15000), a as (select item, min(price) filter (d = m) cur, max(price) filter (d <> m) hi, min(price) filter (d <> m) lo, any_value(m) as_of from l group by 1)
+select p_name, p_partkey item, as_of, cur "current", case when greatest(coalesce(hi, cur), cur) = least(coalesce(lo, cur), cur) then 0 else round((greatest(coalesce(hi, cur), cur) - cur) / (greatest(coalesce(hi, cur), cur) - least(coalesce(lo, cur), cur)) * 100)::int end score from a join part on p_partkey = item""", dates=["as_of"])
+def q2_item_report(spark, sf):
+    report = A.item_report(obs(spark, sf).where(G.is_sane("price")))
+    return report.join(parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_name"), "item").select("p_name", "item", "as_of", "current", "score")
+
+
+@query(f"""with {OBS}, {LATEST}, a as (select item, min(price) pa from latest where source in ('S0', 'S2') group by 1), b as (select item, min(price) pb from latest where source in ('S1', 'S3') group by 1), j as (select *, case when pa < pb then 'a' when pb < pa then 'b' else 'tie' end verdict from a join b using (item))
+select verdict, count(*) n, sum(abs(pa - pb))::bigint gap from j group by 1""")
+def q3_two_country(spark, sf):
+    last = A.latest_per_source(obs(spark, sf), "item", "source", "d", "price")
+    side = lambda s, n: last.where(F.col("source").isin(*s)).groupBy("item").agg(F.min("price").alias(n))
+    both = side(("S0", "S2"), "pa").join(side(("S1", "S3"), "pb"), "item")
+    verdict = F.when(F.col("pa") < F.col("pb"), "a").when(F.col("pb") < F.col("pa"), "b").otherwise("tie")
+    return both.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.sum(F.abs(F.col("pa") - F.col("pb"))).alias("gap"))
+
+
+@query(f"""with {PAIR}, j as (select coalesce(p.item, c.item) item, p.price o, c.price n from prev p full join cur c on p.item = c.item), k as (select item, case when o is null then 'new' when n is null then 'removed' when (abs(n - o) < 1000 and abs(round((n - o) * 100.0 / o, 4)) < 1) or n = o then null when n < o then 'drop' else 'rise' end kind from j)
+select kind, p_brand, count(*) n from k join part on p_partkey = item where kind is not null group by 1, 2""")
+def q4_change_report(spark, sf):
+    diff = A.snapshot_diff(*pair(spark, sf), "item", "price")
+    return diff.join(parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_brand"), "item").groupBy("kind", "p_brand").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {OBS}, {LATEST}, a as (select item, min(price) pa from latest where source = 'S0' group by 1), b as (select item, min(price) pb from latest where source <> 'S0' group by 1)
+select item, pa, pb, round((pb - pa) * 100.0 / nullif(pb, 0), 2) gap_pct, case when (pb - pa) * 100.0 >= pb * 30 then 'strong' else 'mild' end tier from a join b using (item) where pa < pb and pb < pa * 2.5""")
+def q5_cheaper_list(spark, sf):
+    last = A.latest_per_source(obs(spark, sf), "item", "source", "d", "price")
+    a = last.where("source = 'S0'").groupBy("item").agg(F.min("price").alias("pa"))
+    b = last.where("source <> 'S0'").groupBy("item").agg(F.min("price").alias("pb"))
+    both = a.join(b, "item").where((F.col("pa") < F.col("pb")) & G.divergence_ok("pa", "pb"))
+    out = W.gap_table(both.withColumn("one", F.lit(1)), "pa", "pb", "one")
+    return out.select("item", "pa", "pb", "gap_pct", F.when((F.col("pb") - F.col("pa")) * 100.0 >= F.col("pb") * 30, "strong").otherwise("mild").alias("tier"))
+
+
+@query(f"""with {OBS}, {LATEST}, f as (select item, min(price) floor from latest group by 1) select p_partkey, p_name, floor, round(p_retailprice)::bigint * 30 ref, round((round(p_retailprice)::bigint * 30 - floor) * 100.0 / (round(p_retailprice)::bigint * 30), 2) saving_pct from part left join f on item = p_partkey""")
+def q12_product_search(spark, sf):
+    floor = A.source_latest_floor(obs(spark, sf)).select("item", "floor")
+    p = parts(spark, sf).join(floor, F.col("item") == F.col("p_partkey"), "left").withColumn("ref", F.round("p_retailprice").cast("bigint") * 30)
+    return p.select("p_partkey", "p_name", "floor", "ref", F.round((F.col("ref") - F.col("floor")) * 100.0 / F.col("ref"), 2).alias("saving_pct"))
+
+
+@query(f"""with {OBS}, {LATEST}, f as (select item, min(price) filter (source = 'S0') a, min(price) filter (source = 'S1') b, min(price) filter (source = 'S2') c from latest group by 1),
+x as (select item, a, b, c, least(a, b, c) low, greatest(a, b, c) high, (a is not null)::int + (b is not null)::int + (c is not null)::int n from f)
+select item, a, b, c, n, low, high - low spread, concat_ws('/', case when a = low then 'a' end, case when b = low then 'b' end, case when c = low then 'c' end) cheapest from x where n >= 1""")
+def q7_three_way(spark, sf):
+    last = A.latest_per_source(obs(spark, sf), "item", "source", "d", "price")
+    pick = lambda s: F.min(F.when(F.col("source") == s, F.col("price")))
+    f = last.groupBy("item").agg(pick("S0").alias("a"), pick("S1").alias("b"), pick("S2").alias("c"))
+    low, high = F.least("a", "b", "c"), F.greatest("a", "b", "c")
+    n = sum((F.col(k).isNotNull().cast("int") for k in "abc"), F.lit(0))
+    win = F.concat_ws("/", *(F.when(F.col(k) == low, k) for k in "abc"))
+    return f.select("item", "a", "b", "c", n.alias("n"), low.alias("low"), (high - low).alias("spread"), win.alias("cheapest")).where("n >= 1")
+
+
+@query(f"""with {OBS}, {LATEST}, f as (select item, min(price) floor from latest group by 1), x as (select p_name, p_partkey, round(p_retailprice)::bigint * 30 - floor saving, case when floor < 5000 then 'a' when floor <= 20000 then 'b' else 'c' end band from f join part on p_partkey = item),
+o as (select * from (select *, row_number() over (partition by p_name, band order by saving desc, p_partkey) j from x) where j = 1), r as (select band, p_partkey, p_name, saving, row_number() over (partition by band order by saving desc, p_partkey) place from o) select * from r where place <= 10""")
+def q8_banded_top(spark, sf):
+    from tallyvane.functions.values import band
+
+    floor = A.source_latest_floor(obs(spark, sf)).select("item", "floor")
+    x = parts(spark, sf).join(floor, F.col("item") == F.col("p_partkey")).select("p_name", "p_partkey", (F.round("p_retailprice").cast("bigint") * 30 - F.col("floor")).alias("saving"), band("floor", [5000, 20000], ["a", "b", "c"], "mixed").alias("band"))
+    one = W.best_per_key(x, ["p_name", "band"], [F.col("saving").desc(), F.col("p_partkey")])
+    return W.banded_top_n(one, "band", "saving", 10, ["p_partkey"]).select("band", "p_partkey", "p_name", "saving", "place")
+
+
+@query(f"""with {OBS}, {LATEST}, a as (select item, min(price) filter (source = 'S0') pa, min(price) filter (source = 'S1') pb from latest group by 1), b as (select p_brand, count(*) n, avg(case when pa < pb then 1.0 else 0 end) r from a join part on p_partkey = item where pa is not null and pb is not null group by 1)
+select p_brand, n, round(r, 4) win_rate from b where n >= 10""")
+def q11_brand_value(spark, sf):
+    last = A.latest_per_source(obs(spark, sf), "item", "source", "d", "price")
+    f = last.groupBy("item").agg(F.min(F.when(F.col("source") == "S0", F.col("price"))).alias("pa"), F.min(F.when(F.col("source") == "S1", F.col("price"))).alias("pb")).where("pa is not null and pb is not null")
+    x = f.join(parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_brand"), "item")
+    return x.groupBy("p_brand").agg(F.count("*").alias("n"), F.round(F.avg(F.when(F.col("pa") < F.col("pb"), 1.0).otherwise(0.0)), 4).alias("win_rate")).where("n >= 10")
+
+
+@query(f"""with {PLACES}, c as (select n_name centre, 37.4 + n_nationkey / 125.0 clat, 126.9 + (n_nationkey % 7) / 50.0 clng from nation),
+x as (select pl.k, loc, centre, {HAV.format(a='lat', b='lng', c='clat', d='clng')} m from pl, c where abs(lat - clat) < 0.02), y as (select centre, k, loc, m, row_number() over (partition by centre order by round(m, 3), k) place from x where m <= 1500)
+select centre, k, loc, round(m, 3) metres, place from y where place <= 20""")
+def q22_places_near_stations(spark, sf):
+    n = table(spark, sf, "nation")
+    centres = n.select(F.col("n_name").alias("centre"), (37.4 + F.col("n_nationkey") / 125.0).alias("lat"), (126.9 + (F.col("n_nationkey") % 7) / 50.0).alias("lng"))
+    near = J.within_radius(_places(spark, sf), centres, 1500.0).withColumn("metres", F.round("metres", 3))
+    top = O.top_k(near, [F.col("metres"), F.col("k")], 20, ["centre"])
+    return W.banded_top_n(top.withColumn("back", -F.col("metres")), "centre", "back", 20, ["k"]).select("centre", "k", "loc", "metres", "place")
+
+
+@query("""with m as (select o_custkey account, -round(o_totalprice)::bigint a from orders union all select o_custkey, round(l_extendedprice * (1 - l_discount))::bigint from lineitem join orders on l_orderkey = o_orderkey),
+b as (select account, sum(a)::bigint balance, count(*) movements from m group by 1) select * from (select account, balance, movements, row_number() over (order by balance desc, account) "rank" from b) where "rank" <= 100""")
+def q24_ledger_leaderboard(spark, sf):
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "account")
+    ships = table(spark, sf, "lineitem").join(orders.select("o_orderkey", "account"), F.col("l_orderkey") == F.col("o_orderkey"))
+    b = A.balances("account", (orders, -F.round("o_totalprice").cast("bigint")), (ships, F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("bigint")))
+    return O.with_rank(b, [F.col("balance").desc(), F.col("account")], 100)
