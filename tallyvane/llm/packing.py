@@ -12,10 +12,13 @@ slice) and a window inside each slice, so a class that holds a third of all item
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from math import gcd
+from unicodedata import normalize
 
 import numpy as np
 import pandas as pd
@@ -32,34 +35,55 @@ END_ID = 1
 SLICES = 256
 WIDTH = 16
 VOCABULARY = "word_bpe_49k.json"
-_CACHE = 600_000
+_CACHE = 450_000
+
+
+def _shown() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: printable ones as they are, the others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_SHOWN = _shown()
 
 
 class ChunkIds(dict):
     """Token ids, as little-endian bytes, of text between white space: in this vocabulary nothing reaches over white space.
 
-    Kept for chunks met before, up to a bound. ASCII words go to the library's model itself; the rest through all its steps.
+    Kept for chunks met before, in two generations of bounded size: a full one becomes the older. Words of letters go to
+    the library's model itself, lower-cased and in its alphabet; the rest through all its steps.
     """
 
     def __init__(self, tokenizer: Tokenizer):
-        self.encode, self.model = tokenizer.encode, tokenizer.model
+        self.encode, self.model, self.older = tokenizer.encode, tokenizer.model, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) > _CACHE:
+        ids = self.older.get(chunk) or self._made(chunk)
+        if len(self) >= _CACHE:
+            self.older = dict(self)
             self.clear()
-        if chunk.isascii() and chunk.isalpha():
-            low = chunk.lower()
-            ids = self._pack([t.id for t in self.model.tokenize(low)]) if low == chunk else self[low]
-        elif chunk[-1] in ".," and chunk[:-1].isascii() and chunk[:-1].isalpha():
-            ids = self[chunk[:-1].lower()] + self[chunk[-1]]
-        else:
-            ids = self._pack(self.encode(chunk, add_special_tokens=False).ids)
         self[chunk] = ids
         return ids
 
+    def _made(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            low = normalize("NFC", chunk).lower()
+            if low != chunk:
+                if low.isalpha() and "Σ" not in chunk:  # Python lowers a final sigma by its place
+                    return self[low]
+            else:
+                shown = low if low.isascii() else low.encode().decode("latin-1").translate(_SHOWN)
+                return self.pack([t.id for t in self.model.tokenize(shown)])
+        elif chunk[-1] in ".," and normalize("NFC", chunk[:-1]).lower().isalpha():
+            return self[chunk[:-1]] + self[chunk[-1]]
+        return self.pack(self.encode(chunk, add_special_tokens=False).ids)
+
     @staticmethod
-    def _pack(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+    def pack(ids: list[int]) -> bytes:
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
 
 @cache
@@ -77,7 +101,7 @@ def token_bytes(text: str | None, chunks: ChunkIds) -> bytes:
     if not text:
         return end
     if any(c in text for c in _NOT_SPACE):
-        return ChunkIds._pack(chunks.encode(text, add_special_tokens=False).ids) + end
+        return ChunkIds.pack(chunks.encode(text, add_special_tokens=False).ids) + end
     return b"".join(map(chunks.__getitem__, text.split())) + end
 
 
@@ -158,7 +182,7 @@ def patterns(counts: np.ndarray, sizes: np.ndarray, length: int, rounds: int = 4
     basis = np.diag((length // size).astype(float))  # its columns are patterns of one class alone
     inverse = np.diag(1 / np.diag(basis))
     x = inverse @ need
-    for k in range(rounds):
+    for _ in range(rounds):
         duals = inverse.sum(axis=0)
         column = _price(np.maximum(duals, 0), size, length).astype(float)
         if duals @ column <= 1 + 1e-7:
@@ -174,13 +198,9 @@ def patterns(counts: np.ndarray, sizes: np.ndarray, length: int, rounds: int = 4
         x[out] = ratio[out]
         x = np.maximum(x, 0)
         basis[:, out] = column
-        if k % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ need, 0)
-        else:
-            row = inverse[out] / step[out]
-            inverse -= np.outer(step, row)
-            inverse[out] = row
+        row = inverse[out] / step[out]
+        inverse -= np.outer(step, row)
+        inverse[out] = row
     left, found = counts[used].astype(np.int64), []
     for j in np.argsort(-x):
         pattern = np.round(basis[:, j]).astype(np.int64)
