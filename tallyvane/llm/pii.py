@@ -192,10 +192,10 @@ def find(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Model]:
     """docs with `spans` instead of its text: array of (kind, start, end, base), and the model fitted on all candidates.
 
     Whole texts are read once; what is kept are the candidates. A null text is empty and has none. Repeated rows are
-    each kept. A table without candidates gives empty arrays.
+    each kept. A table without candidates gives empty arrays. A column of docs named spans gives way.
     """
     small_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c != text_col]
+    keep = [c for c in docs.columns if c != text_col and c.lower() != "spans"]
     seen = cut(docs.select(*keep, _found(F.col(text_col)).alias("spans")))
     patterns = seen.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes").agg(F.count("*").alias("n")).toPandas()
     model = fit(patterns)
