@@ -124,11 +124,11 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, value: str,
 
 
 def window_min_join(left: DataFrame, right: DataFrame, key: str, date: str, value: str, k: int, out: str = "window_min") -> DataFrame:
-    """left with the least of right's values within (date, date + k] days."""
-    r = right.groupBy(F.col(key), F.col(date).alias("_d")).agg(F.min(value).alias("_v"))
-    ids = left.select(key, date).distinct()
-    near = ids.join(r, key).where((F.col("_d") > F.col(date)) & (F.datediff("_d", date) <= k))
-    return left.join(near.groupBy(key, date).agg(F.min("_v").alias(out)), [key, date], "left")
+    """left with the least of right's values within (date, date + k] days: one shuffle on the key, no pairs are made."""
+    r = right.groupBy(key, date).agg(F.min(value).alias("_v"))
+    both = left.withColumn("_left", F.lit(True)).unionByName(r, allowMissingColumns=True)
+    ahead = Window.partitionBy(key).orderBy(F.unix_date(F.col(date).cast("date"))).rangeBetween(1, k)
+    return both.withColumn(out, F.min("_v").over(ahead)).where("_left").drop("_left", "_v")
 
 
 def match_catalogues(rows: DataFrame, source: str, anchor: str, k1: str, k2: str, volume: str, order: str, volume_tolerance: int = 0) -> DataFrame:

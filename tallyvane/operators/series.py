@@ -39,12 +39,13 @@ def event_study(events: DataFrame, series: DataFrame, key: str, date: str, value
     The value at the event is the series' last at or before its day; the outcome is the least within (day, day + k].
     """
     s = last_per_day(series, [key], date, value).select(key, F.col(date).alias("_d"), F.col(value).alias("_v"))
-    e = events.select(key, F.col(date).alias("event_date")).distinct().withColumn("k", F.explode(F.array(*(F.lit(k) for k in days))))
-    # One join on the key, aggregated at once: no window over events times days.
-    joined = e.join(s, key, "left")
-    before = F.max(F.when(F.col("_d") <= F.col("event_date"), F.struct("_d", "_v")))["_v"]
-    after = F.min(F.when((F.col("_d") > F.col("event_date")) & (F.datediff("_d", "event_date") <= F.col("k")), F.col("_v")))
-    out = joined.groupBy(key, "event_date", "k").agg(before.alias("before"), after.alias("after"), F.count("_d").alias("_n"))
+    e = events.select(key, F.col(date).alias("_d"), F.lit(True).alias("_e")).distinct()
+    # Events and series in one timeline per key: one shuffle, and no pairs of events and days are made.
+    line = s.unionByName(e, allowMissingColumns=True).withColumn("_day", F.unix_date(F.col("_d").cast("date")))
+    time = Window.partitionBy(key).orderBy("_day")
+    line = line.withColumn("before", F.last("_v", ignorenulls=True).over(time.rangeBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.count("_v").over(Window.partitionBy(key)))
+    ends = F.array(*(F.struct(F.lit(k).alias("k"), F.min("_v").over(time.rangeBetween(1, k)).alias("after")) for k in days))
+    out = line.withColumn("_k", ends).where("_e").select(key, F.col("_d").alias("event_date"), "before", "_n", F.explode("_k").alias("_k")).select(key, "event_date", "_k.k", "before", "_k.after", "_n")
     verdict = (
         F.when(F.col("_n") == 0, "no series")
         .when(F.col("before").isNull(), "unobservable before")
