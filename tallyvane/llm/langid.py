@@ -7,6 +7,7 @@ all where there are two); within a family one SVM stands for each pair of langua
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cache
 from itertools import combinations
@@ -146,5 +147,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
     def said(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
 
-    out = docs.withColumn("_said", said(F.col(text_col)))
-    return out.withColumn(lang_out, F.col("_said.lang")).withColumn(score_out, F.col("_said.score")).drop("_said")
+    own = f"_said_{uuid.uuid4().hex}"  # no column of the caller's
+    out = docs.withColumn(own, said(F.col(text_col)))
+    return out.withColumn(lang_out, F.col(f"{own}.lang")).withColumn(score_out, F.col(f"{own}.score")).drop(own)
