@@ -44,11 +44,6 @@ def _flips(width: int, distance: int) -> list[int]:
     return [sum(1 << i for i in c) for c in combinations(range(width), distance)]
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_code").orderBy("distance", "code")
-    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
-
-
 def search(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_id", code_col: str = "code") -> DataFrame:
     """For each query the k rows of the nearest codes, itself excepted: query_id, rank, its id as neighbor_id, and distance.
 
@@ -68,24 +63,24 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_i
     open_codes = asked.select("query_code").distinct()
     # Of every code there is one row at least, so the k + 1 nearest codes hold the k + 1 nearest rows; ties are kept by covering them.
     want = min(k + 1, total)
-    hits, done = None, None
+    hits, done, bound = None, None, None
     widest = max(w for _, w in cuts)
     for a in range(widest + 1):
         flips = spark.createDataFrame([(i, x) for i, (_, w) in enumerate(cuts) for x in _flips(w, a)], "segment int, flip long")
         asking = open_codes.select("query_code", F.posexplode(F.array(*_values("query_code", cuts))).alias("segment", "own"))
         probe = asking.join(F.broadcast(flips), "segment").select("query_code", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
         near = probe.join(index, ["segment", "value"]).select("query_code", "code", F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).alias("distance"))
-        near = near.distinct()
         if hits is not None:
-            near = near.unionByName(hits.join(open_codes, "query_code", "left_semi")).distinct()
-        hits = cut(near)
+            # Nothing further than a query's k-th so far can be in its result, so it needn't be shuffled.
+            near = near.join(bound, "query_code", "left").where(F.col("kth").isNull() | (F.col("distance") <= F.col("kth"))).drop("kth")
+            near = near.unionByName(hits.join(open_codes, "query_code", "left_semi"))
+        nearest = Window.partitionBy("query_code").orderBy("distance")
+        # All codes as near as the k-th stay: a tie between codes is settled by the ids of their rows.
+        hits = cut(near.distinct().withColumn("place", F.rank().over(nearest)).where(F.col("place") <= want).drop("place"))
         covered = len(cuts) * (a + 1) - 1
-        within = hits.where(F.col("distance") <= covered).groupBy("query_code").agg(F.count("*").alias("n"))
-        closed = cut(within.where(F.col("n") >= want).select("query_code")) if a < widest else open_codes
-        # All codes as near as the k-th: a tie between codes is settled by the ids of their rows.
+        bound = hits.groupBy("query_code").agg(F.max("distance").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= want).select("query_code", "kth")
+        closed = cut(bound.where(F.col("kth") <= covered).select("query_code")) if a < widest else open_codes
         ready = hits.join(closed, "query_code", "left_semi")
-        kth = Window.partitionBy("query_code").orderBy("distance")
-        ready = ready.withColumn("place", F.rank().over(kth)).where(F.col("place") <= want).drop("place")
         done = ready if done is None else done.unionByName(ready)
         open_codes = cut(open_codes.join(closed, "query_code", "left_anti"))
         if a == widest or open_codes.isEmpty():
