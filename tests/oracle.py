@@ -18,12 +18,13 @@ def database(sf: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
         return None
     if isinstance(x, bool):
         return x
     if isinstance(x, float) or type(x).__name__ == "Decimal":
-        return round(float(x), 6)
+        x = round(float(x), 6)
+        return int(x) if x.is_integer() else x  # a column with nulls comes as floats from one side only
     return x if isinstance(x, int) else str(x)
 
 
