@@ -1,11 +1,14 @@
 """Class-based bigram language model: exchange clustering puts words in classes; class transitions times word emissions score a text.
 
-P(word | class) P(class | previous class). Counts are over all training rows. What is kept for every word is its count,
-in a table; only the words above a share of all tokens (at most 1/share of them, however large the corpus) are sent to
-the workers. The rare words' part of a score comes from a join on the word.
-
-Clustering works on units: the most frequent words (again at most 1/share), and for the others a hash of their last two
-bytes. Units are moved between classes while that raises the likelihood of the class bigrams.
+P(word | class) P(class | previous class). Counts are over all training rows. What is kept for every word is its count
+and its class, in a table; only the words above a share of all tokens (at most 1/share of them, however large the corpus)
+are sent to the workers. The rare words' part of a score, and their classes, come from a join on the word.
+
+Exchange clustering works on units: the most frequent words (again at most 1/share), and for the others a hash of their
+last two bytes. Units are moved between classes while that raises the likelihood of the class bigrams. Then every other
+word leaves its hash: the classes before and after it are counted over all training rows, and it goes to the class that
+gains most by the same likelihood, once, all words against the units' classes. Transitions are counted after that. Words
+that training doesn't have take their hash's class.
 """
 
 from __future__ import annotations
@@ -13,13 +16,13 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from tallyvane.llm.common import small_batches, stored
 
@@ -152,13 +155,132 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 12) -> np.ndarray:
     return of
 
 
+class _Ids(dict):
+    """Numbers words as they are met."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = len(self.names)
+        self.names.append(word)
+        return i
+
+
+def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(keys, return_inverse=True)
+    return found, np.bincount(at, weights=n, minlength=len(found)).astype(np.int64)
+
+
+def word_contexts(texts: DataFrame, units: Units, class_of: np.ndarray, classes: int) -> DataFrame:
+    """Rows (word, seen) of the words without a unit of their own, several of one word: seen is an array of 64-bit n << 16 | code.
+
+    Codes under `classes` are the class of the unit before the word, those above, less `classes`, of the unit after it.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((units, class_of))
+
+    def emit(names: list[bytes], keys: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+        owner, code = keys // (2 * classes), keys % (2 * classes)
+        seen = (n << 16 | code).astype("<i8").tobytes()
+        edges = np.flatnonzero(np.diff(owner, prepend=-1))
+        ends = [*edges[1:].tolist(), len(owner)]
+        for k in range(0, len(edges), 50_000):
+            some = edges[k : k + 50_000]
+            yield pd.DataFrame({"word": [names[i] for i in owner[some]], "seen": [seen[8 * a : 8 * b] for a, b in zip(some.tolist(), ends[k : k + 50_000], strict=True)]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, of_unit = shared.value
+        fresh = lambda: (_Ids(), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+        ids, of, free, keys, n = fresh()
+        waiting: list[np.ndarray] = []
+        for batch in batches:
+            line = [END]
+            for text in batch["text"]:
+                line += tokens(text)
+                line.append(END)
+            path = np.fromiter((ids[w] for w in line), np.int64, len(line))
+            new = ids.names[len(of) :]
+            of = np.append(of, np.array([of_unit[known.of(w)] for w in new], dtype=np.int64))
+            free = np.append(free, np.array([w != END and w not in known.words for w in new], dtype=bool))
+            at = np.flatnonzero(free[path])
+            base, kind = path[at] * (2 * classes), of[path]
+            waiting += [base + kind[at - 1], base + classes + kind[at + 1]]
+            if sum(map(len, waiting)) > 2_000_000 or len(ids) > FLUSH:
+                fed = np.concatenate([keys, *waiting])
+                keys, n = _merged(fed, np.concatenate([n, np.ones(len(fed) - len(keys), dtype=np.int64)]))
+                waiting = []
+            if len(ids) > FLUSH:
+                yield from emit(ids.names, keys, n)
+                ids, of, free, keys, n = fresh()
+        fed = np.concatenate([keys, *waiting])
+        yield from emit(ids.names, *_merged(fed, np.concatenate([n, np.ones(len(fed) - len(keys), dtype=np.int64)])))
+
+    return texts.select("text").mapInPandas(run, "word binary, seen binary")
+
+
+def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, first: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Class of each word by the gain in likelihood that exchange() takes, each against the units' classes as they stand.
+
+    owner, code, n: sorted counts of word_contexts(), owners numbered from 0, none left out. first: the class of the
+    word's unit, from which its own counts are taken before. The end's class, the last, takes none.
+    """
+    classes = len(table)
+    cells = np.concatenate([table, table.T])  # by code, then by the class that the word may go to
+    small = np.stack([_xlogx(cells + x) - _xlogx(cells) for x in range(33)])
+    edges = np.searchsorted(owner, np.arange(len(first)))
+    gain = np.zeros((len(first), classes))
+    for lo in range(0, len(first), 4096):
+        hi = min(lo + 4096, len(first))
+        a, b = edges[lo], edges[hi] if hi < len(first) else len(owner)
+        c, x, own = code[a:b], n[a:b], first[owner[a:b]]
+        each = small[np.minimum(x, 32), c]
+        big = x > 32
+        each[big] = _xlogx(cells[c[big]] + x[big, None]) - _xlogx(cells[c[big]])
+        each[np.arange(b - a), own] = _xlogx(cells[c, own]) - _xlogx(np.maximum(cells[c, own] - x, 0))
+        gain[lo:hi] = np.add.reduceat(each, edges[lo:hi] - a, axis=0)
+    total = np.bincount(owner[code < classes], weights=n[code < classes], minlength=len(first))
+    for sums in (table.sum(axis=1), table.sum(axis=0)):
+        lost = _xlogx(sums + total[:, None]) - _xlogx(sums)
+        lost[np.arange(len(first)), first] = _xlogx(sums[first]) - _xlogx(np.maximum(sums[first] - total, 0))
+        gain -= lost
+    gain[:, -1] = -np.inf
+    return gain.argmax(axis=1)
+
+
+def classified(contexts: DataFrame, units: Units, class_of: np.ndarray, table: np.ndarray) -> DataFrame:
+    """Rows (word, n, class), one for each word of word_contexts()."""
+    shared = contexts.sparkSession.sparkContext.broadcast((units, class_of, table))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, of_unit, cells = shared.value
+        classes = len(cells)
+        for batch in batches:
+            if not len(batch):
+                continue
+            parts = [b"".join(x) for x in batch["seen"]]
+            seen = np.frombuffer(b"".join(parts), dtype="<i8")
+            owner = np.repeat(np.arange(len(parts)), [len(x) // 8 for x in parts])
+            keys, n = _merged(owner * (2 * classes) + (seen & 0xFFFF), seen >> 16)
+            owner, code = keys // (2 * classes), keys % (2 * classes)
+            words = [bytes(w) for w in batch["word"]]
+            first = np.array([of_unit[known.of(w)] for w in words], dtype=np.int64)
+            before = code < classes
+            total = np.bincount(owner[before], weights=n[before], minlength=len(words)).astype(np.int64)
+            yield pd.DataFrame({"word": words, "n": total, "class": best_classes(owner, code, n, first, cells).astype("int32")})
+
+    grouped = contexts.groupBy("word").agg(F.collect_list("seen").alias("seen"))
+    return grouped.mapInPandas(run, "word binary, n long, class int")
+
+
 @dataclass
 class Model:
     units: Units
-    class_of: np.ndarray
+    class_of: np.ndarray  # of units; that of a suffix is taken for words that training hasn't
     transition: np.ndarray  # log10 P(class | class before)
     emission_norm: np.ndarray  # log10 of a class's tokens with smoothing
     heavy: dict[bytes, int]
+    heavy_class: dict[bytes, int]
     total: int
     distinct: int
 
@@ -167,19 +289,18 @@ class Model:
         return float(np.log10(self.total + DELTA * (self.distinct + 1)))
 
 
-def fit(train: DataFrame, text_col: str = "text", classes: int = CLASSES, heavy_share: float = HEAVY) -> tuple[Model, DataFrame]:
-    """The model, and the table (word, n) that belongs to it. An empty table gives a model by which every word is unseen."""
-    small_batches(train.sparkSession)
-    texts = train.select(F.col(text_col).alias("text"))
-    words = stored(word_counts(texts))
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
+def _clusters(texts: DataFrame, classes: int, heavy_share: float) -> tuple[Model, DataFrame]:
+    """The model but for its transitions, and the table (word, n, class) of all words."""
+    spark = texts.sparkSession
+    counts = stored(word_counts(texts))
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = int(sums["total"]), int(sums["distinct"])
     if total == 0:
         units = Units({})
-        return Model(units, np.zeros(units.end + 1, dtype=np.int64), np.zeros((1, 1)), np.array([np.log10(DELTA)]), {}, 0, 0), words
-    frequent = words.where(F.col("n") >= max(1.0, heavy_share * total)).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    heavy = dict(zip(map(bytes, frequent["word"]), map(int, frequent["n"]), strict=True))
-    chosen = [w for w, n in heavy.items() if n >= UNIT_SHARE * total and w != END][:UNIT_WORDS]
+        return Model(units, np.zeros(units.end + 1, dtype=np.int64), np.zeros((1, 1)), np.array([np.log10(DELTA)]), {}, {}, 0, 0), counts.withColumn("class", F.lit(0))
+    top = counts.where((F.col("n") >= max(1.0, UNIT_SHARE * total)) | (F.col("word") == F.lit(END))).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    frequent = dict(zip(map(bytes, top["word"]), map(int, top["n"]), strict=True))
+    chosen = [w for w in frequent if w != END][:UNIT_WORDS]
     units = Units({w: i for i, w in enumerate(chosen)})
     size = units.end + 1
 
@@ -188,91 +309,169 @@ def fit(train: DataFrame, text_col: str = "text", classes: int = CLASSES, heavy_
     bigrams[cells["pair"].to_numpy()] = cells["n"].to_numpy()
     bigrams = bigrams.reshape(size, size)
     class_of = exchange(bigrams, classes)
+    member = np.zeros((size, classes))
+    member[np.arange(size), class_of] = 1
 
-    shared = train.sparkSession.sparkContext.broadcast(units)
+    rest = classified(word_contexts(texts, units, class_of, classes), units, class_of, member.T @ bigrams @ member)
+    own = spark.createDataFrame([(w, frequent[w], int(class_of[units.of(w)])) for w in [*chosen, END]], rest.schema)
+    words = stored(rest.unionByName(own))
+    per_class = words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
+    tokens_in, kinds_in = np.zeros(classes), np.zeros(classes)
+    tokens_in[per_class["class"]], kinds_in[per_class["class"]] = per_class["n"], per_class["kinds"]
+    found = words.where(F.col("n") >= max(1.0, heavy_share * total)).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    names = [bytes(w) for w in found["word"]]
+    heavy, heavy_class = dict(zip(names, map(int, found["n"]), strict=True)), dict(zip(names, map(int, found["class"]), strict=True))
+    share = (tokens_in + DELTA) / (total + DELTA * classes)
+    return Model(units, class_of, np.tile(np.log10(share), (classes, 1)), np.log10(tokens_in + DELTA * (kinds_in + 1)), heavy, heavy_class, total, distinct), words
 
-    @F.pandas_udf(IntegerType())
-    def unit(column: pd.Series) -> pd.Series:
-        of = shared.value.of
-        return pd.Series([of(bytes(w)) for w in column], dtype="int32")
 
-    per_unit = words.groupBy(unit("word").alias("unit")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
-    tokens_in, kinds_in = np.zeros(classes), np.zeros(classes)
-    np.add.at(tokens_in, class_of[per_unit["unit"]], per_unit["n"])
-    np.add.at(kinds_in, class_of[per_unit["unit"]], per_unit["kinds"])
+def _with_transitions(model: Model, paths: DataFrame) -> Model:
+    """The model with transitions counted over paths; until then each row of them is the share of the classes."""
+    classes = len(model.transition)
 
-    member = np.zeros((size, classes))
-    member[np.arange(size), class_of] = 1
-    table = member.T @ bigrams @ member
-    share = (tokens_in + DELTA) / (total + DELTA * classes)
-    transition = np.log10((table + ALPHA * share) / (table.sum(axis=1, keepdims=True) + ALPHA))
-    return Model(units, class_of, transition, np.log10(tokens_in + DELTA * (kinds_in + 1)), heavy, total, distinct), words
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells = np.zeros(classes * classes, dtype=np.int64)
+        for batch in batches:
+            for path in batch["path"]:
+                p = np.frombuffer(path, dtype="<u2").astype(np.int64)
+                cells += np.bincount(p[:-1] * classes + p[1:], minlength=len(cells))
+        found = np.flatnonzero(cells)
+        yield pd.DataFrame({"pair": found, "n": cells[found]})
+
+    pairs = paths.select("path").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(classes * classes)
+    table[pairs["pair"]] = pairs["n"]
+    table = table.reshape(classes, classes)
+    return replace(model, transition=np.log10((table + ALPHA * 10**model.transition) / (table.sum(axis=1, keepdims=True) + ALPHA)))
+
+
+def fit(train: DataFrame, text_col: str = "text", classes: int = CLASSES, heavy_share: float = HEAVY) -> tuple[Model, DataFrame]:
+    """The model, and the table (word, n, class) that belongs to it. An empty table gives a model by which every word is unseen."""
+    small_batches(train.sparkSession)
+    texts = train.select(F.col(text_col).alias("text"))
+    model, words = _clusters(texts, classes, heavy_share)
+    return (_with_transitions(model, _paths(texts, model, words, "text")) if model.total else model), words
 
 
-def _scored(model, keep: int):
-    """Rows of two kinds: one for each text, with its kept columns and its sums over frequent words; one for each of its rare words."""
+def _looked_up(model, keep: int):
+    """Rows of two kinds: one for each text, with its kept columns, its sums over frequent words and its path of classes; one for each of its rare words."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m: Model = model.value
-        units, class_of, heavy = m.units, m.class_of, m.heavy
+        units, class_of, heavy, classes = m.units, m.class_of, m.heavy, m.heavy_class
         logs = dict(zip(heavy, np.log10(np.array(list(heavy.values()), dtype=np.float64) + DELTA), strict=True))
-        classes = {w: int(class_of[units.of(w)]) for w in heavy}
         suffix_class = [int(class_of[len(units.words) + s]) for s in range(SUFFIXES)]
         start, end_log = int(class_of[units.end]), float(np.log10(heavy.get(END, 0) + DELTA))
-        names = ["row", "word", "n", "known", "words_log", "flow", *(f"k{i}" for i in range(keep))]
+        names = ["row", "word", "n", "known", "words_log", "path", "at", *(f"k{i}" for i in range(keep))]
         for batch in batches:
-            docs, rows, words_out, counts = [], [], [], []
+            docs, rows, words_out, places = [], [], [], []
             for row, text in zip(batch["row"], batch["text"], strict=True):
                 words = tokens(text)
-                path = np.array([start, *(classes[w] if w in classes else suffix_class[_suffix(w)] for w in words), start])
+                path = np.array([start, *(classes[w] if w in classes else suffix_class[_suffix(w)] for w in words), start], dtype="<u2")
                 found = [logs[w] for w in words if w in logs]
-                flow = float(m.transition[path[:-1], path[1:]].sum() - m.emission_norm[path[1:]].sum())
-                docs.append((row, None, len(words) + 1, len(found) + (END in heavy), float(sum(found)) + end_log, flow))
+                # No word holds a space: this key joins nothing, and deals out the texts.
+                docs.append((row, b" %d" % row, len(words) + 1, len(found) + (END in heavy), float(sum(found)) + end_log, path.tobytes(), None))
                 if len(found) < len(words):
-                    rare = Counter([w for w in words if w not in logs])
+                    rare: dict[bytes, list[int]] = {}
+                    for i, w in enumerate(words):
+                        if w not in logs:
+                            rare.setdefault(w, []).append(i + 1)
                     rows += [row] * len(rare)
                     words_out += rare
-                    counts += rare.values()
-            out = pd.DataFrame(docs, columns=names[:6])
+                    places += rare.values()
+            out = pd.DataFrame(docs, columns=names[:7])
             for i in range(keep):
                 out[f"k{i}"] = batch[f"k{i}"].to_numpy()
             yield out
             if rows:
-                out = pd.DataFrame({"row": rows, "word": words_out, "n": counts}).reindex(columns=names)
-                yield out.assign(known=0, words_log=0.0, flow=0.0, **{f"k{i}": None for i in range(keep)})
+                out = pd.DataFrame({"row": rows, "word": words_out, "n": [len(x) for x in places], "at": [np.array(x, dtype="<i4").tobytes() for x in places]}).reindex(columns=names)
+                yield out.assign(known=0, words_log=0.0, path=None, **{f"k{i}": None for i in range(keep)})
 
     return run
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs' rows, one out for each in, with n_tokens, n_known, train_tokens, base_score and score.
-
-    Texts stay where they are; what is shuffled are the rare words of each row, and then one partial sum of a row from
-    each task. A null text is empty: its only token is the end. Repeated rows are scored each for itself. A column of
-    docs that is named like a result gives way to it.
-    """
-    small_batches(docs.sparkSession)
+def _filled(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Puts the classes of rare words in the paths."""
+    for batch in batches:
+        paths = []
+        for path, found, at in zip(batch["path"], batch["found"], batch["at"], strict=True):
+            if len(at):
+                own = np.frombuffer(path, dtype="<u2").copy()
+                each = np.repeat(np.asarray(found, dtype=np.int64), [len(x) // 4 for x in at])
+                where = np.frombuffer(b"".join(at), dtype="<i4")
+                own[where[each >= 0]] = each[each >= 0]
+                path = own.tobytes()
+            paths.append(path)
+        yield batch.drop(columns=["found", "at"]).assign(path=paths)
+
+
+def _kept(docs: DataFrame, text_col: str) -> list[StructField]:
     made = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-    keep = [f for f in docs.schema.fields if f.name != text_col and f.name.lower() not in made]
+    return [f for f in docs.schema.fields if f.name != text_col and f.name.lower() not in made]
+
+
+def _paths(docs: DataFrame, model: Model, words: DataFrame, text_col: str) -> DataFrame:
+    """Of each row: n_tokens, n_known, words_log, the classes of its words between two ends (path), and the kept columns as k0, k1, and so on."""
+    keep = _kept(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([StructField("row", LongType()), StructField("word", BinaryType()), StructField("n", LongType()), StructField("known", LongType()), StructField("words_log", DoubleType()), StructField("flow", DoubleType()), *(StructField(f"k{i}", f.dataType) for i, f in enumerate(keep))])
+    kept = [StructField(f"k{i}", f.dataType) for i, f in enumerate(keep)]
+    schema = StructType([StructField("row", LongType()), StructField("word", BinaryType()), StructField("n", LongType()), StructField("known", LongType()), StructField("words_log", DoubleType()), StructField("path", BinaryType()), StructField("at", BinaryType()), *kept])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"), *(F.col(f.name).alias(f"k{i}") for i, f in enumerate(keep)))
-    parts = rows.mapInPandas(_scored(shared, len(keep)), schema)
-    counted = parts.join(words.withColumnRenamed("n", "c"), "word", "left")
-    is_doc = F.col("word").isNull()
+    parts = rows.mapInPandas(_looked_up(shared, len(keep)), schema)
+    counted = parts.join(words.select("word", F.col("n").alias("c"), F.col("class").alias("found")), "word", "left")
+    is_doc = F.col("path").isNotNull()
     count = F.coalesce("c", F.lit(0))
+    # Both lists skip the texts' own rows, so they go in one order.
     sums = counted.groupBy("row").agg(
         F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"),
         F.sum(F.when(is_doc, F.col("known")).otherwise(F.when(count > 0, F.col("n")).otherwise(0))).alias("n_known"),
         F.sum(F.when(is_doc, F.col("words_log")).otherwise(F.col("n") * F.log10(count + DELTA))).alias("words_log"),
-        F.sum("flow").alias("flow"),
+        F.first("path", ignorenulls=True).alias("path"),
+        F.collect_list(F.when(~is_doc, F.coalesce("found", F.lit(-1)))).alias("found"),
+        F.collect_list("at").alias("at"),
         *(F.first(f"k{i}", ignorenulls=True).alias(f"k{i}") for i in range(len(keep))),
     )
-    return sums.select(
+    out = StructType([StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("words_log", DoubleType()), StructField("path", BinaryType()), *kept])
+    return sums.select("n_tokens", "n_known", "words_log", "path", "found", "at", *(f.name for f in kept)).mapInPandas(_filled, out)
+
+
+def _scores(paths: DataFrame, model: Model, keep: list[StructField]) -> DataFrame:
+    shared = paths.sparkSession.sparkContext.broadcast((model.transition, model.emission_norm))
+
+    @F.pandas_udf(DoubleType())
+    def flow(column: pd.Series) -> pd.Series:
+        transition, norm = shared.value
+        each = (np.frombuffer(x, dtype="<u2") for x in column)
+        return pd.Series([float(transition[p[:-1], p[1:]].sum() - norm[p[1:]].sum()) for p in each], dtype="float64")
+
+    return paths.select(
         *(F.col(f"k{i}").alias(f.name) for i, f in enumerate(keep)),
         F.col("n_tokens"),
         F.col("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("words_log") - F.col("n_tokens") * F.lit(model.base_norm)).alias("base_score"),
-        (F.col("words_log") + F.col("flow")).alias("score"),
+        (F.col("words_log") + flow("path")).alias("score"),
     )
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs' rows, one out for each in, with n_tokens, n_known, train_tokens, base_score and score.
+
+    Texts stay where they are; what is shuffled are the rare words of each row, and the classes of its words. A null text
+    is empty: its only token is the end. Repeated rows are scored each for itself. A column of docs that is named like a
+    result gives way to it.
+    """
+    small_batches(docs.sparkSession)
+    return _scores(_paths(docs, model, words, text_col), model, _kept(docs, text_col))
+
+
+def fit_and_score(docs: DataFrame, held_out: str, text_col: str = "text", classes: int = CLASSES, heavy_share: float = HEAVY) -> DataFrame:
+    """score() of docs by fit() of the rows that aren't held out; the words' classes are looked up once for both."""
+    small_batches(docs.sparkSession)
+    model, words = _clusters(docs.where(~F.col(held_out)).select(F.col(text_col).alias("text")), classes, heavy_share)
+    if not model.total:
+        return score(docs, model, words, text_col)
+    keep = _kept(docs, text_col)
+    paths = stored(_paths(docs, model, words, text_col))
+    mark = f"k{[f.name for f in keep].index(held_out)}"
+    return _scores(paths, _with_transitions(model, paths.where(~F.col(mark))), keep)

@@ -33,8 +33,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_brown_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out("doc_id", 10).alias("held_out"), "text")
-    model, words = brown_lm.fit(docs.where(~F.col("held_out")))
-    return brown_lm.score(docs, model, words)
+    return brown_lm.fit_and_score(docs, "held_out")
 
 
 def url_entries(pages: DataFrame) -> DataFrame:

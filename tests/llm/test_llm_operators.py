@@ -297,6 +297,34 @@ def test_language_model_at_the_edges(spark):
         assert {r["n_tokens"] for r in rows if r["doc_id"] == 0} == {1}
 
 
+def test_language_model_gives_rare_words_classes(spark):
+    """Words without a unit of their own go where their neighbours say, not where their last two bytes do."""
+    rng = random.Random(4)
+    nouns, verbs = [f"n{i}" for i in range(600)], [f"v{i}" for i in range(600)]
+    rare = {f"{k}{i}qq": k for k in "nv" for i in range(40)}
+    pick = lambda kind: rng.choice(nouns if kind == "n" else verbs)
+    texts = [" ".join(pick(k) for k in "nv" * 10) for _ in range(3000)]
+    texts += [" ".join([pick("nv"[i % 2]) for i in range(6)] + [w] + [pick("nv"[i % 2]) for i in (1, 2)]) if k == "n" else " ".join([pick("nv"[i % 2]) for i in range(7)] + [w] + [pick("n")]) for w, k in rare.items() for _ in range(4)]
+    model, words = brown_lm.fit(docs_of(spark, texts), classes=3)
+    of = {bytes(r["word"]).decode(): r["class"] for r in words.collect()}
+    assert not set(rare) & {w.decode() for w in model.units.words} and len(of) == words.count() == 1281
+    side = {k: collections.Counter(of[w] for w in group).most_common(1)[0][0] for k, group in (("n", nouns), ("v", verbs))}
+    assert side["n"] != side["v"] and all(of[w] == side[k] for w, k in rare.items())
+
+
+def test_rare_words_count_in_paths(spark):
+    """Looked up in the workers or joined, words have one class and texts one score."""
+    docs = docs_of(spark, ["a b a c a b d", "b a c", "e f e g e f", "f e g zz", "new words", None] * 2)
+    results = []
+    for share in (1e-9, 0.2):
+        model, words = brown_lm.fit(docs.where("doc_id not in (4, 10)"), classes=3, heavy_share=share)
+        assert len(model.heavy) == (words.count() if share < 0.2 else 1)  # the end
+        results.append([x for r in brown_lm.score(docs.select("doc_id", "text"), model, words).orderBy("doc_id").collect() for x in (r["n_known"], r["base_score"], r["score"])])
+    assert results[0] == pytest.approx(results[1])
+    marked = docs.select("doc_id", "text", F.col("doc_id").isin(4, 10).alias("held_out"))
+    assert [r["score"] for r in brown_lm.fit_and_score(marked, "held_out").orderBy("doc_id").collect()] == pytest.approx([r["score"] for r in brown_lm.score(docs, *brown_lm.fit(docs.where("doc_id not in (4, 10)"))).orderBy("doc_id").collect()])
+
+
 # --- personal data
 
 E = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
