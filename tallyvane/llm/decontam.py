@@ -1,8 +1,9 @@
 """Benchmark decontamination with DataFrame functions only: SimHash windows of an item's size, found by Hamming blocks.
 
 1. Words are runs of letters and digits, lower-cased; a text is the list of hashes of its five-word shingles.
-2. Anchors: a window as similar to an item as asked for shares a shingle with it, so every shared shingle puts a window
-   of the item's size where the two line up. This drops no pair that the last step would keep in such a window.
+2. Windows: of the item's size, at every start from which enough shingles are an item's. A window and an item of w and m
+   shingles that are as similar as asked for share similarity * (w + m) / (1 + similarity) at least, so this drops no pair
+   that the last step would keep, wherever words were put in, left out or changed.
 3. The window's and the item's SimHash are cut in radius + 1 blocks. Two fingerprints within the radius agree on a
    block at least, so a join on (size, block) finds them all.
 4. The weighted similarity of the two bags of shingles, sum of the lesser over sum of the greater counts, decides.
@@ -15,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvane.llm.common import cut
+from tallyvane.llm.common import cut, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -23,6 +24,8 @@ SIMILARITY = 0.8
 RADIUS = 20
 #: So many item shingles (about 24 bytes each) are broadcast at once; a larger benchmark takes several passes.
 BROADCAST = 200_000
+#: Texts with windows are looked up by a broadcast of their starts up to so many; beyond, by a shuffled join.
+FOUND = 20_000
 
 
 def with_shingles(df: DataFrame, text_col: str, size: int = SHINGLE) -> DataFrame:
@@ -64,7 +67,8 @@ def contaminated(
 ) -> DataFrame:
     """One row for each document and benchmark item of which it holds a passage: doc_id, item_id, start_word, n_words, similarity.
 
-    The window reported is the most similar one, the first of equals; start_word counts from 0. Null texts, texts and
+    The window reported is the most similar one; of equals one that lines up with a shingle of an item, then the first.
+    start_word counts from 0. Null texts, texts and
     items of under five words match nothing. Rows without an id can't be named and are left out; repeated rows count
     once. Other columns aren't read, whatever their names.
     """
@@ -74,29 +78,39 @@ def contaminated(
     total = anchors.count()
     passes = max(1, -(-total // broadcast_rows))
 
-    texts = with_shingles(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("doc_id is not null"), "_text").select("doc_id", "hashes")
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("doc_id is not null").withColumn("t", F.xxhash64("_text"))
+    texts = with_shingles(named, "_text").select("doc_id", "t", "hashes")
     # The outer form: the other one has the optimizer filter on the array's size, and make the array twice for that.
-    spread = texts.select("doc_id", "hashes", F.posexplode_outer("hashes").alias("pos", "h"))
+    spread = texts.select("doc_id", "t", F.size("hashes").alias("n"), F.posexplode_outer("hashes").alias("pos", "h"))
     found = []
     for k in range(passes):
         some = anchors if passes == 1 else anchors.where(F.pmod(F.xxhash64("h"), F.lit(passes)) == k)
-        hit = spread.join(F.broadcast(some), "h")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.size("hashes") - F.col("m")))
-        found.append(hit.select("doc_id", "m", start.alias("start"), F.slice("hashes", start + 1, F.col("m")).alias("win")))
-    windows = cut(reduce(DataFrame.unionByName, found).groupBy("doc_id", "m", "start").agg(F.first("win").alias("win")))
-
-    left = windows.select("doc_id", "m", "start", simhash("win").alias("print")).select("*", F.explode(_blocks("print", radius)).alias("k")).select("*", "k.block", "k.bits").drop("k")
+        lined = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("m")))
+        found.append(spread.join(F.broadcast(some), "h").select("doc_id", "t", "n", "m", "pos", lined.alias("lined")))
+    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "t", "n", "m").agg(F.array_sort(F.collect_set("pos")).alias("hit"), F.collect_set("lined").alias("lined"))
+    width = F.least("n", "m")
+    need = F.greatest(F.lit(1), F.ceil(similarity * (width + F.col("m")) / (1 + similarity) - 1e-9).cast("int"))
+    hits = cut(hits.withColumns({"w": width, "need": need}).where("size(hit) >= need"))
+    # A window holds `need` hits in a row: the last of them lies in it, and the first one isn't before it.
+    starts = F.expr("array_distinct(flatten(transform(sequence(need, size(hit)), i -> if(greatest(0, hit[i - 1] - w + 1) <= least(hit[i - need], greatest(0, n - m)), sequence(greatest(0, hit[i - 1] - w + 1), least(hit[i - need], greatest(0, n - m))), cast(array() as array<int>)))))")
+    spots = cut(hits.withColumn("starts", starts).where("size(starts) > 0").groupBy("doc_id", "t").agg(F.collect_list(F.struct("m", "starts", "lined")).alias("spots")))
+    held = with_shingles(named.join(F.broadcast(spots) if spots.count() <= FOUND else spots, ["doc_id", "t"]), "_text")
+    each = held.select("doc_id", "hashes", F.explode("spots").alias("s")).select("doc_id", "hashes", "s.m", "s.lined", F.explode("s.starts").alias("start"))
+    sliced = each.select("doc_id", "m", "start", F.array_contains("lined", F.col("start")).alias("lined"), F.slice("hashes", F.col("start") + 1, F.col("m")).alias("win"))
+    windows = stored(sliced.select(F.monotonically_increasing_id().alias("window"), "*", simhash("win").alias("print")))
+
+    left = windows.select("window", "m", "print").select("*", F.explode(_blocks("print", radius)).alias("k")).select("*", "k.block", "k.bits").drop("k")
     right = items.select("item_id", "m", "item_print", F.explode(_blocks("item_print", radius)).alias("k")).select("*", "k.block", "k.bits").drop("k")
     near = left.join(right, ["m", "block", "bits"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
     bags = items.select("item_id", "item")
-    pairs = near.select("doc_id", "m", "start", "item_id").distinct().join(windows, ["doc_id", "m", "start"]).join(F.broadcast(bags) if passes == 1 else bags, "item_id")
+    pairs = near.select("window", "item_id").distinct().join(windows, "window").join(F.broadcast(bags) if passes == 1 else bags, "item_id")
     shared = pairs.withColumn("shared", _overlap("win", "item"))
     scored = shared.withColumn("similarity", F.col("shared") / (F.size("win") + F.size("item") - F.col("shared"))).where(F.col("similarity") >= similarity)
-    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (F.size("win") + SHINGLE - 1).alias("n_words"))).alias("b"))
+    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "lined", (-F.col("start")).alias("back"), (F.size("win") + SHINGLE - 1).alias("n_words"))).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.back")).cast("long").alias("start_word"), F.col("b.n_words").cast("long").alias("n_words"), F.round("b.similarity", 6).alias("similarity"))
 
 
-#: The same in DuckDB. It compares every window that shares a shingle with an item; fingerprints aren't in it.
+#: In DuckDB, by windows that line up with a shared shingle only; fingerprints aren't in it.
 SQL = """
 with words as (
   select doc_id, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') w from documents where text is not null and doc_id is not null),

@@ -190,6 +190,19 @@ def test_decontamination_in_several_passes(spark):
     assert rows() == rows(broadcast_rows=300)
 
 
+def test_decontamination_finds_windows_that_no_shingle_lines_up(spark):
+    """First and last word changed, two put in the middle: the best window starts between those that line up."""
+    words = [f"w{i}" for i in range(59)]
+    inside = ["p", "q", "r", "x", *words[1:30], "in", "out", *words[30:58], "y", "s", "t", "u"]
+    shared = lambda a, b: sum((collections.Counter(a) & collections.Counter(b)).values())
+    cuts = lambda ws: [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    item, text = cuts(words), cuts(inside)
+    slow = [(o := shared(text[i : i + 55], item)) / (110 - o) for i in range(len(text) - 54)]
+    assert max(slow) > 0.8
+    (got,) = decontam.contaminated(docs_of(spark, [" ".join(inside)]), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert got["similarity"] == round(max(slow), 6) == round(slow[got["start_word"]], 6) and got["n_words"] == 59
+
+
 # --- packing
 
 
