@@ -14,8 +14,6 @@ from tallyvane.llm.common import cut
 
 #: Intervals that are broadcast; a longer list is joined by shuffling, where Spark splits the skewed hosts.
 BROADCAST = 100_000
-#: A host has at most so many parents that are looked up.
-LABELS = 8
 
 
 def host_of(url: Column) -> Column:
@@ -28,8 +26,7 @@ def host_of(url: Column) -> Column:
 def suffixes(host: str) -> Column:
     """The host and its parents of two labels or more, the most specific first."""
     parts = f"split({host}, '[.]')"
-    deep = f"least(size({parts}) - 2, {LABELS - 1})"
-    return F.expr(f"case when {host} is null then null when size({parts}) < 2 then array({host}) else transform(sequence(0, {deep}), i -> array_join(slice({parts}, i + 1, size({parts})), '.')) end")
+    return F.expr(f"case when {host} is null then null when size({parts}) < 2 then array({host}) else transform(sequence(0, size({parts}) - 2), i -> array_join(slice({parts}, i + 1, size({parts})), '.')) end")
 
 
 def intervals(entries: DataFrame) -> DataFrame:

@@ -416,6 +416,13 @@ def test_url_lists_over_time(spark):
     assert url_lists.judge(frame.limit(0), entries, "page_id").count() == 0 and {r["verdict"] for r in url_lists.judge(frame, entries.limit(0), "page_id").collect()} == {"unlisted"}
 
 
+def test_deep_hosts_meet_all_their_parents(spark):
+    entries = spark.sql("select 'example.com' pattern, 'block' action, timestamp_seconds(10) listed_at")
+    frame = spark.sql("select 1L page_id, 'http://a.b.c.d.e.f.g.h.example.com/' url, timestamp_seconds(20) fetched_at")
+    got = url_lists.judge(frame, entries, "page_id").first()
+    assert (got["verdict"], got["pattern"]) == ("block", "example.com")
+
+
 def test_rollups_are_idempotent(spark, tmp_path):
     cols = "op string, old_source string, old_lang string, old_tokenizer string, old_tokens long, new_source string, new_lang string, new_tokenizer string, new_tokens long"
     add = spark.createDataFrame([("insert", *[None] * 4, "s", "en", "v1", n) for n in (3, 4)] + [("insert", *[None] * 4, None, None, "v1", None), (None, *[None] * 8)], cols)
