@@ -318,7 +318,8 @@ def _clusters(texts: DataFrame, classes: int, heavy_share: float) -> tuple[Model
     per_class = words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
     tokens_in, kinds_in = np.zeros(classes), np.zeros(classes)
     tokens_in[per_class["class"]], kinds_in[per_class["class"]] = per_class["n"], per_class["kinds"]
-    found = words.where(F.col("n") >= max(1.0, heavy_share * total)).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    # The end is always looked up: texts may be so long that it is rare.
+    found = words.where((F.col("n") >= max(1.0, heavy_share * total)) | (F.col("word") == F.lit(END))).toPandas().sort_values(["n", "word"], ascending=[False, True])
     names = [bytes(w) for w in found["word"]]
     heavy, heavy_class = dict(zip(names, map(int, found["n"]), strict=True)), dict(zip(names, map(int, found["class"]), strict=True))
     share = (tokens_in + DELTA) / (total + DELTA * classes)

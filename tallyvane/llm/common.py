@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: what the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
+    """The folder all executors share: what the cluster names in spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder serves a session in one process (local[n]); on a cluster that is an error, as
+    the executors wouldn't see each other's files.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
@@ -33,7 +42,10 @@ def held_out(doc_id: Column | str, folds: int) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound what one Arrow batch of whole texts can hold in a Python worker."""
+    """Bound what one Arrow batch of whole texts can hold in a Python worker.
+
+    Spark reads this setting when a plan runs, and the operators return plans, so it stays lowered for the session.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
@@ -46,12 +58,42 @@ def sampled(df: DataFrame, key: str, expected: int, total: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * expected / total))
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Like cut(), for a large table: Parquet in the shared folder, deleted when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    files, folder = _folder(spark, path)
+    files.deleteOnExit(folder)
     return spark.read.parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark knows; one that isn't there is no error."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+#: Ids of at most so many rows (16 bytes each) are broadcast, after they were counted.
+BROADCAST_IDS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """df with a broadcast hint if it has at most so many rows; a larger one is left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """docs with a struct column `key` that names each row, repeated ones apart, the same whenever it is read.
+
+    Parquet files give their own (file, row); the key of anything else is given once and kept in a stored copy.
+    """
+    try:
+        return docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(key))
+    except AnalysisException:
+        return stored(docs.select("*", F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row")).alias(key)))

@@ -1,31 +1,37 @@
 """Benchmark decontamination with DataFrame functions only: SimHash windows of an item's size, found by Hamming blocks.
 
 1. Words are runs of letters and digits, lower-cased; a text is the list of hashes of its five-word shingles.
-2. Windows: of the item's size, at every start from which enough shingles are an item's. A window and an item of w and m
-   shingles that are as similar as asked for share similarity * (w + m) / (1 + similarity) at least, so this drops no pair
-   that the last step would keep, wherever words were put in, left out or changed.
-3. The window's and the item's SimHash are cut in radius + 1 blocks. Two fingerprints within the radius agree on a
-   block at least, so a join on (size, block) finds them all.
+2. Windows have an item's size. They start wherever enough shingles in reach are an item's: a window and an item of w and m
+   shingles that are as similar as asked for share similarity * (w + m) / (1 + similarity) at least, so this leaves out
+   only windows that the last step would drop. Fingerprints at every start for every size would cost a corpus of n words
+   and a benchmark of s sizes 64 n s bit counts; this costs one lookup a word.
+3. A window's and an item's SimHash of 192 bits are cut in blocks of 16. Fingerprints within the radius differ in at
+   most BLOCK_RADIUS bits of some block, so the items, the small side, are filed under all values so near to theirs, and a
+   window looks up its own twelve. One value of a block meets one unrelated item in a hundred.
 4. The weighted similarity of the two bags of shingles, sum of the lesser over sum of the greater counts, decides.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvane.llm.common import cut, stored
+from tallyvane.llm.common import bounded, cut, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 differs in ten bits of 64 in the mean, give or take three; twenty leave one in a thousand out.
-RADIUS = 20
-#: So many item shingles (about 24 bytes each) are broadcast at once; a larger benchmark takes several passes.
+#: SimHashes of 64 bits in a fingerprint, and bits in a block.
+WORDS, BLOCK = 3, 16
+BLOCK_RADIUS = 3
+#: Bits in which some block must be within BLOCK_RADIUS: 47 of 192. A pair of similarity 0.8 differs in 29, give or take
+#: five, so one in 5,000 of those that are just so similar is beyond it, and practically none of the more similar ones.
+RADIUS = WORDS * 64 // BLOCK * (BLOCK_RADIUS + 1) - 1
+#: So many item shingles (about 24 bytes each) are broadcast; those of a larger benchmark are joined by a shuffle.
 BROADCAST = 200_000
-#: Texts with windows are looked up by a broadcast of their starts up to so many; beyond, by a shuffled join.
-FOUND = 20_000
+#: Items of at most so many shingles in all are broadcast to the last step.
+BROADCAST_BAGS = 1_000_000
 
 
 def with_shingles(df: DataFrame, text_col: str, size: int = SHINGLE) -> DataFrame:
@@ -42,16 +48,36 @@ def simhash(hashes: str) -> Column:
     return F.expr(f"aggregate(transform({ones}, (n, b) -> if(2 * n > size({hashes}), shiftleft(1L, b), 0L)), 0L, (a, x) -> a | x)")
 
 
-def _blocks(print_col: str, radius: int) -> Column:
-    """The radius + 1 blocks of a fingerprint, as an array of (block, bits)."""
-    edges = [64 * k // (radius + 1) for k in range(radius + 2)]
-    cuts = [(k, a, (1 << (b - a)) - 1) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-    return F.array(*(F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(F.col(print_col), a).bitwiseAND(F.lit(mask)).alias("bits")) for k, a, mask in cuts))
+def fingerprint(hashes: str) -> Column:
+    """WORDS SimHashes of the hashes, each after another rehash, as an array."""
+    return F.array(*(simhash(hashes if k == 0 else f"transform({hashes}, h -> xxhash64(h, {k}))") for k in range(WORDS)))
 
 
-def _overlap(a: str, b: str) -> Column:
-    """Sum over the shingles of the lesser of their counts in the two bags."""
-    return F.expr(f"aggregate(array_distinct({b}), 0, (s, h) -> s + least(size(filter({a}, x -> x = h)), size(filter({b}, x -> x = h))))")
+def distance(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def blocks(df: DataFrame, prints: str, near: int) -> DataFrame:
+    """df with a row for each block of its fingerprint and each value at most `near` bits from it: columns block and bits."""
+    own = F.flatten(F.transform(F.col(prints), lambda x: F.array(*(F.shiftrightunsigned(x, BLOCK * k).bitwiseAND(F.lit((1 << BLOCK) - 1)) for k in range(64 // BLOCK)))))
+    out = df.select("*", F.posexplode(own).alias("block", "_own"))
+    flips = [sum(1 << i for i in c) for n in range(near + 1) for c in combinations(range(BLOCK), n)]
+    return out.withColumn("bits", F.explode(F.transform(F.array(*(F.lit(x).cast("long") for x in flips)), lambda x: x.bitwiseXOR(F.col("_own")))) if near else F.col("_own")).drop("_own")
+
+
+def _bag(hashes: str) -> str:
+    """The hashes with repeats made different by their number, so that sets of them meet like bags."""
+    sort = f"array_sort({hashes})"
+    return f"if(size(array_distinct({hashes})) = size({hashes}), {hashes}, transform({sort}, (x, i) -> xxhash64(x, i + 1 - array_position({sort}, x))))"
+
+
+def _starts(hit: str) -> Column:
+    """Starts of the windows of w shingles that hold at least `need` of the positions in `hit`, which are in order.
+
+    A window holds `need` hits in a row: the last of them lies in it, and the first one isn't before it.
+    """
+    low, high = f"greatest(0, {hit}[i - 1] - w + 1)", f"least({hit}[i - need], greatest(0, n - m))"
+    return F.expr(f"array_distinct(flatten(transform(sequence(need, size({hit})), i -> if({low} <= {high}, sequence({low}, {high}), cast(array() as array<int>)))))")
 
 
 def contaminated(
@@ -62,55 +88,52 @@ def contaminated(
     item_col: str = "item_id",
     item_text: str = "text",
     similarity: float = SIMILARITY,
-    radius: int = RADIUS,
     broadcast_rows: int = BROADCAST,
 ) -> DataFrame:
     """One row for each document and benchmark item of which it holds a passage: doc_id, item_id, start_word, n_words, similarity.
 
-    The window reported is the most similar one; of equals one that lines up with a shingle of an item, then the first.
-    start_word counts from 0. Null texts, texts and
+    The window reported is the most similar one, of equals the first; start_word counts from 0. Null texts, texts and
     items of under five words match nothing. Rows without an id can't be named and are left out; repeated rows count
-    once. Other columns aren't read, whatever their names.
+    once, and of different texts of one id the best window is reported. Very long texts have more windows, not other
+    ones. Empty tables give no rows. Other columns aren't read, whatever their names.
     """
     items = with_shingles(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("_text")).where("item_id is not null"), "_text")
-    items = cut(items.where("hashes is not null").select("item_id", F.col("hashes").alias("item"), F.size("hashes").alias("m"), simhash("hashes").alias("item_print")).distinct())
-    anchors = cut(items.select("m", F.posexplode("item").alias("at", "h")).distinct())
-    total = anchors.count()
-    passes = max(1, -(-total // broadcast_rows))
+    items = cut(items.where("hashes is not null").select("item_id", F.col("hashes").alias("item"), F.size("hashes").alias("m"), fingerprint("hashes").alias("item_print")).distinct())
+    sizes = items.select("m", F.explode("item").alias("h")).distinct()
+    shingles = items.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).first()["n"]
+    anchors = F.broadcast(sizes) if shingles <= broadcast_rows else sizes
 
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("doc_id is not null").withColumn("t", F.xxhash64("_text"))
     texts = with_shingles(named, "_text").select("doc_id", "t", "hashes")
     # The outer form: the other one has the optimizer filter on the array's size, and make the array twice for that.
     spread = texts.select("doc_id", "t", F.size("hashes").alias("n"), F.posexplode_outer("hashes").alias("pos", "h"))
-    found = []
-    for k in range(passes):
-        some = anchors if passes == 1 else anchors.where(F.pmod(F.xxhash64("h"), F.lit(passes)) == k)
-        lined = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("m")))
-        found.append(spread.join(F.broadcast(some), "h").select("doc_id", "t", "n", "m", "pos", lined.alias("lined")))
-    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "t", "n", "m").agg(F.array_sort(F.collect_set("pos")).alias("hit"), F.collect_set("lined").alias("lined"))
+    hits = spread.join(anchors, "h").groupBy("doc_id", "t", "n", "m").agg(F.array_sort(F.collect_set("pos")).alias("hit"))
     width = F.least("n", "m")
     need = F.greatest(F.lit(1), F.ceil(similarity * (width + F.col("m")) / (1 + similarity) - 1e-9).cast("int"))
-    hits = cut(hits.withColumns({"w": width, "need": need}).where("size(hit) >= need"))
-    # A window holds `need` hits in a row: the last of them lies in it, and the first one isn't before it.
-    starts = F.expr("array_distinct(flatten(transform(sequence(need, size(hit)), i -> if(greatest(0, hit[i - 1] - w + 1) <= least(hit[i - need], greatest(0, n - m)), sequence(greatest(0, hit[i - 1] - w + 1), least(hit[i - need], greatest(0, n - m))), cast(array() as array<int>)))))")
-    spots = cut(hits.withColumn("starts", starts).where("size(starts) > 0").groupBy("doc_id", "t").agg(F.collect_list(F.struct("m", "starts", "lined")).alias("spots")))
-    held = with_shingles(named.join(F.broadcast(spots) if spots.count() <= FOUND else spots, ["doc_id", "t"]), "_text")
-    each = held.select("doc_id", "hashes", F.explode("spots").alias("s")).select("doc_id", "hashes", "s.m", "s.lined", F.explode("s.starts").alias("start"))
-    sliced = each.select("doc_id", "m", "start", F.array_contains("lined", F.col("start")).alias("lined"), F.slice("hashes", F.col("start") + 1, F.col("m")).alias("win"))
-    windows = stored(sliced.select(F.monotonically_increasing_id().alias("window"), "*", simhash("win").alias("print")))
-
-    left = windows.select("window", "m", "print").select("*", F.explode(_blocks("print", radius)).alias("k")).select("*", "k.block", "k.bits").drop("k")
-    right = items.select("item_id", "m", "item_print", F.explode(_blocks("item_print", radius)).alias("k")).select("*", "k.block", "k.bits").drop("k")
-    near = left.join(right, ["m", "block", "bits"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
+    reach = hits.withColumns({"w": width, "need": need}).where("size(hit) >= need").withColumn("starts", _starts("hit"))
+    spots = cut(reach.where("size(starts) > 0").groupBy("doc_id", "t").agg(F.collect_list(F.struct("m", "starts")).alias("spots")))
+
+    # The shingles of texts that have windows, written once: windows and pairs carry their place, not their shingles.
+    found = with_shingles(named.join(bounded(spots.select("doc_id", "t"), BROADCAST), ["doc_id", "t"], "left_semi"), "_text")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = stored(found.select("doc_id", "t", "hashes").dropDuplicates(["doc_id", "t"]).join(spots, ["doc_id", "t"]).repartition(parts, "doc_id", "t"))
+    each = held.select("doc_id", "t", "hashes", F.explode("spots").alias("s")).select("doc_id", "t", "hashes", "s.m", F.explode("s.starts").alias("start"))
+    windows = each.withColumn("_win", F.expr("slice(hashes, start + 1, m)")).select("doc_id", "t", "m", "start", fingerprint("_win").alias("print"))
+
+    index = blocks(items.select("item_id", "m", "item_print"), "item_print", BLOCK_RADIUS)
+    near = blocks(stored(windows), "print", 0).join(index, ["m", "block", "bits"]).where(distance("print", "item_print") <= RADIUS)
+    pairs = near.select("doc_id", "t", "start", "item_id").distinct().groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "item_id")).alias("pairs"))
     bags = items.select("item_id", "item")
-    pairs = near.select("window", "item_id").distinct().join(windows, "window").join(F.broadcast(bags) if passes == 1 else bags, "item_id")
-    shared = pairs.withColumn("shared", _overlap("win", "item"))
+    both = held.select("doc_id", "t", "hashes").join(pairs, ["doc_id", "t"]).select("doc_id", "hashes", F.explode("pairs").alias("p"))
+    both = both.select("doc_id", "hashes", "p.start", "p.item_id").join(F.broadcast(bags) if shingles <= BROADCAST_BAGS else bags, "item_id")
+    both = both.select("doc_id", "item_id", "start", "item", F.expr("slice(hashes, start + 1, size(item))").alias("win"))
+    shared = both.withColumn("shared", F.expr(f"size(array_intersect({_bag('win')}, {_bag('item')}))"))
     scored = shared.withColumn("similarity", F.col("shared") / (F.size("win") + F.size("item") - F.col("shared"))).where(F.col("similarity") >= similarity)
-    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "lined", (-F.col("start")).alias("back"), (F.size("win") + SHINGLE - 1).alias("n_words"))).alias("b"))
+    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (F.size("win") + SHINGLE - 1).alias("n_words"))).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.back")).cast("long").alias("start_word"), F.col("b.n_words").cast("long").alias("n_words"), F.round("b.similarity", 6).alias("similarity"))
 
 
-#: In DuckDB, by windows that line up with a shared shingle only; fingerprints aren't in it.
+#: In DuckDB: every window of an item's size that shares a shingle with an item of that size, against all those items.
 SQL = """
 with words as (
   select doc_id, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') w from documents where text is not null and doc_id is not null),
@@ -119,8 +142,9 @@ items as (
 d as (select doc_id, list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) s from words where len(w) >= 5),
 b as (select item_id, list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) s from items where len(w) >= 5),
 dx as (select doc_id, unnest(s) h, unnest(range(len(s))) pos, len(s) n from d),
-bx as (select distinct unnest(s) h, unnest(range(len(s))) q, len(s) m from b),
-win as (select distinct doc_id, m, greatest(0, least(pos - q, n - m)) start from dx join bx using (h)),
+bx as (select distinct unnest(s) h, len(s) m from b),
+hit as (select distinct doc_id, n, m, pos from dx join bx using (h)),
+win as (select distinct doc_id, m, unnest(range(greatest(0, pos - least(n, m) + 1), least(pos, greatest(0, n - m)) + 1)) start from hit),
 cand as (
   select win.doc_id, win.start, win.m, b.item_id, d.s[win.start + 1:win.start + win.m] a, b.s c
   from win join d using (doc_id) join b on len(b.s) = win.m where list_has_any(d.s[win.start + 1:win.start + win.m], b.s)),

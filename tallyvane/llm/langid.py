@@ -15,9 +15,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from tallyvane.llm.common import cut, small_batches
 
@@ -66,10 +67,9 @@ def vector(text: str | None) -> np.ndarray | None:
     return None if counts is None else np.sqrt(counts / counts.sum())
 
 
-@F.udf(VectorUDT())
-def _features(text):
-    x = vector(text)
-    return None if x is None else Vectors.sparse(DIM, np.flatnonzero(x), x[x > 0])
+@F.pandas_udf(ArrayType(DoubleType()))
+def _shares(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if (x := vector(t)) is None else x for t in texts], dtype=object)
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,9 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     """The model of the languages that docs name.
 
     Each language gives `sample` rows in the mean, drawn by the hash of the id: the model is fitted on these, whatever the
-    table's size. Rows without language or without letters teach nothing. No languages: a model that says `und`.
+    table's size. Rows without language or without letters teach nothing; rows that repeat, with one id or without, are
+    drawn together. A text of any length is one vector. No languages, or an empty table: a model that says `und`. Only
+    the named columns are read.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -118,7 +120,9 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
         return Model((), (), np.zeros((DIM, 0)), np.zeros(0))
     share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(1.0, sample / n))) for k, n in counts.items()))
     chosen = known.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
-    rows = cut(chosen.select("lang", _features("text").alias("features")).where("features is not null").repartition(6))
+    small_batches(docs.sparkSession)
+    spread = chosen.select("lang", "text").repartition(max(6, docs.sparkSession.sparkContext.defaultParallelism))
+    rows = cut(spread.select("lang", _shares("text").alias("shares"))).where("shares is not null").select("lang", array_to_vector("shares").alias("features"))
     languages = tuple(sorted(r["lang"] for r in rows.select("lang").distinct().collect()))
     families = sorted({family_of(x) for x in languages})
     of = {f: [x for x in languages if family_of(x) == f] for f in families}
@@ -139,7 +143,10 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """docs with lang_pred and score: `und` and 0 where the text is null or has no letter. Whole texts, one pass, no shuffle."""
+    """docs with lang_pred and score: `und` and 0 where the text is null or has no letter. Whole texts, one pass, no shuffle.
+
+    Rows that repeat are each predicted; columns of docs of the names given for the results give way.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

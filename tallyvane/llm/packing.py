@@ -218,16 +218,17 @@ def patterns(counts: np.ndarray, sizes: np.ndarray, length: int, rounds: int = 4
     return out
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, slices: int = SLICES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and the piece's offset in the sequence.
 
     A null text is an empty one: its only id is the end. Rows with the same id, or none, are each packed. An empty table
-    gives no rows. path: the vocabulary; the public word vocabulary where it is None.
+    gives no rows. Very long texts are full pieces and a rest. Other columns aren't read, whatever their names. path: the vocabulary; the public word vocabulary where it is None. slices: so many tasks rank
+    the pieces of one length class side by side; the driver holds a count for each.
     """
     all_pieces = pieces(docs, id_col, text_col, length, path)
     step = width(length)
     units = length // step
-    salted = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SLICES)).cast("int")
+    salted = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(slices)).cast("int")
     sized = (F.ceil(F.col("length") / step) - 1).cast("int")
     made = cut(all_pieces.withColumn("cls", sized).withColumn("slice", salted))
 
@@ -246,7 +247,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
             slot += int(pattern[c])
         first += times
     table = np.array(plan, dtype=np.int64).reshape(-1, 6)
-    starts = {int(c): tuple(int(n) for n in tally[tally["cls"] == c].set_index("slice").reindex(range(SLICES), fill_value=0)["before"]) for c in tally["cls"].unique()}
+    starts = {int(c): tuple(int(n) for n in tally[tally["cls"] == c].set_index("slice").reindex(range(slices), fill_value=0)["before"]) for c in tally["cls"].unique()}
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((table, starts))
 

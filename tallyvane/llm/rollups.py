@@ -1,18 +1,65 @@
 """Token totals by source, language and tokenizer version, kept up by signed changes.
 
 A batch holds inserts, deletes and revisions of documents' counts. Each becomes signed amounts: +1 document and +n tokens,
--1 and -n, or for a revision -1 and -old under the old key and +1 and +new under the new one. A batch is summed by key and
-committed as one partition of the ledger, under its own id: committing it again replaces that partition by itself, so a
-retried or replayed batch never counts twice. Totals are sums over the ledger, whatever the order of the commits.
+-1 and -n, or for a revision -1 and -old under the old key and +1 and +new under the new one. Committing a batch adds its
+sums by key to the running totals: the new totals are written beside the old ones, then one log entry (number, batch
+id, folder of the totals) is written, and that is the commit. What died before it has changed nothing and is done again;
+a batch whose id is in the log is left out, so a retried or replayed batch never counts twice. Readers follow the newest
+entry and never see half a batch. A commit costs its batch and the keys there are, not the ledger's history.
 """
 
 from __future__ import annotations
 
+import base64
+import uuid
+from collections.abc import Iterator, Mapping
+from functools import cache
+
+import pandas as pd
+import public_tokenizers
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+
+from tallyvane.llm.common import removed, small_batches
 
 KEYS = ("source", "lang", "tokenizer")
 UNKNOWN = "unknown"
+TOTALS = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
+LOG = "number bigint, batch_id string, totals string"
+
+
+@cache
+def _encoding(path: str) -> tiktoken.Encoding:
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def count_tokens(path: str, name: bool = True):
+    """A column function: the number of a text's tokens under a ranked byte-pair vocabulary (a public one's name, or a path). Null texts have none."""
+
+    @F.pandas_udf("long")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = _encoding(public_tokenizers.path(path) if name else path).encode_ordinary
+        for texts in batches:
+            yield pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
+
+    return run
+
+
+def token_counts(docs: DataFrame, vocabularies: Mapping[str, Column], text_col: str = "text") -> DataFrame:
+    """docs with a count of tokens for each vocabulary, as column of its name without ending; null where its condition doesn't hold.
+
+    Texts are read whole, in one pass, and aren't kept. Rows that repeat are each counted; columns of these names give way.
+    """
+    small_batches(docs.sparkSession)
+    names = {v: v.rsplit(".", 1)[0] for v in vocabularies}
+    texts = docs.withColumns({f"_{n}": F.when(c, F.col(text_col)) for (v, c), n in zip(vocabularies.items(), names.values(), strict=True)})
+    counted = texts.withColumns({n: count_tokens(v)(F.col(f"_{n}")) for v, n in names.items()})
+    kept = counted.withColumns({n: F.when(c, F.col(n)) for (v, c), n in zip(vocabularies.items(), names.values(), strict=True)})
+    return kept.drop(*(f"_{n}" for n in names.values()), text_col)
 
 
 def _side(prefix: str, sign: int) -> Column:
@@ -28,22 +75,54 @@ def signed(changes: DataFrame) -> DataFrame:
 
     changes has op (`insert`, `delete` or `revise`), and old_ and new_ source, lang, tokenizer and tokens: an insert's new
     ones, a delete's old ones, and both of a revision. Null keys count under `unknown`, null tokens as 0; rows of
-    another op, or none, say nothing. Repeated rows count each: what is a repeat is for the batch id to tell.
+    another op, or none, say nothing. Repeated rows count each: what is a repeat is for the batch id to tell. An empty
+    table gives no rows; other columns aren't read.
     """
     sides = F.when(F.col("op") == "insert", F.array(_side("new", 1))).when(F.col("op") == "delete", F.array(_side("old", -1))).when(F.col("op") == "revise", F.array(_side("old", -1), _side("new", 1)))
     return changes.select(F.explode(sides).alias("s")).select("s.*")
 
 
 def summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+
+
+def _log(spark: SparkSession, ledger: str) -> DataFrame:
+    try:
+        return spark.read.schema(LOG).json(f"{ledger}/log/*")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], LOG)
+
+
+def _newest(log: DataFrame) -> tuple[int, str | None]:
+    last = log.agg(F.max(F.struct("number", "totals")).alias("l")).first()["l"]
+    return (last["number"], last["totals"]) if last else (0, None)
+
+
+def _record(spark: SparkSession, ledger: str, number: int, batch_id: str, folder: str) -> None:
+    """The commit: fails where an entry of this number is there, so of two writers at once one does it again."""
+    spark.createDataFrame([(number, batch_id, folder)], LOG).coalesce(1).write.mode("error").json(f"{ledger}/log/{number:012d}")
 
 
-def commit(changes: DataFrame, ledger: str, batch_id: str) -> None:
-    """Write the batch's sums as the ledger's partition of that id, in place of one that is there. An empty batch leaves an empty one."""
-    summed(signed(changes)).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+def commit(changes: DataFrame, ledger: str, batch_id: str) -> bool:
+    """Add the batch to the ledger's totals; False, and nothing done, if it was committed before. An empty batch only leaves its id."""
+    spark = changes.sparkSession
+    log = _log(spark, ledger)
+    if not log.where(F.col("batch_id") == batch_id).isEmpty():
+        return False
+    number, folder = _newest(log)
+    delta = summed(signed(changes))
+    new = f"{ledger}/totals/{number + 1:012d}-{uuid.uuid4().hex}"
+    (delta if folder is None else summed(spark.read.schema(TOTALS).parquet(folder).unionByName(delta))).write.parquet(new)
+    _record(spark, ledger, number + 1, batch_id, new)
+    # The totals before these stay for readers that began with them; those before go.
+    for old in log.where(F.col("number") == number - 1).collect():
+        removed(spark, old["totals"])
+    return True
 
 
 def totals(spark: SparkSession, ledger: str) -> DataFrame:
-    """Sums over all committed batches, without keys of which nothing is left."""
-    schema = "source string, lang string, tokenizer string, docs bigint, tokens bigint, batch_id string"
-    return summed(spark.read.schema(schema).parquet(ledger)).where("docs <> 0 or tokens <> 0")
+    """The totals after the newest commit, without keys of which nothing is left; no rows where nothing was committed yet."""
+    _, folder = _newest(_log(spark, ledger))
+    return spark.createDataFrame([], TOTALS) if folder is None else spark.read.schema(TOTALS).parquet(folder)

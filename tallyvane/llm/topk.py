@@ -11,7 +11,6 @@ be in a result.
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,8 +23,8 @@ K = 10
 
 
 def sign_code(vector: str) -> Column:
-    """64 bits: bit i is 1 where the vector's value i is over 0; missing or null values give 0. Null for a null vector."""
-    bit = f"if(coalesce(get({vector}, i), 0) > 0, shiftleft(1L, i), 0L)"
+    """64 bits: bit i is 1 where the vector's value i is over 0; missing, null and NaN values give 0 (NaN is over everything in Spark, so it is left out). Null for a null vector."""
+    bit = f"if(coalesce(get({vector}, i), 0) > 0 and not isnan(get({vector}, i)), shiftleft(1L, i), 0L)"
     return F.expr(f"if({vector} is null, null, aggregate(transform(sequence(0, {BITS - 1}), i -> {bit}), 0L, (a, x) -> a | x))")
 
 
@@ -40,17 +39,26 @@ def _values(code: str, cuts: list[tuple[int, int]]) -> list[Column]:
     return [F.shiftrightunsigned(F.col(code), a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in cuts]
 
 
-def _flips(width: int, distance: int) -> list[int]:
-    return [sum(1 << i for i in c) for c in combinations(range(width), distance)]
+def _probes(codes: DataFrame, cuts: list[tuple[int, int]], distance: int) -> DataFrame:
+    """Rows (query_code, segment, value): of each segment the values in which so many bits differ, each once.
+
+    Bits are flipped one after the other, each above the one before, so nothing is listed on the driver or broadcast.
+    """
+    width = F.get(F.array(*(F.lit(w) for _, w in cuts)), F.col("segment"))
+    rows = codes.select("query_code", F.posexplode(F.array(*_values("query_code", cuts))).alias("segment", "value")).select("*", width.alias("w"), F.lit(0).alias("next"))
+    for _ in range(distance):
+        flips = rows.select("*", F.explode(F.expr("if(next < w, sequence(next, w - 1), cast(array() as array<int>))")).alias("bit"))
+        rows = flips.select("query_code", "segment", F.expr("value ^ shiftleft(1L, bit)").alias("value"), "w", (F.col("bit") + 1).alias("next"))
+    return rows.select("query_code", "segment", "value")
 
 
 def search(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_id", code_col: str = "code") -> DataFrame:
     """For each query the k rows of the nearest codes, itself excepted: query_id, rank, its id as neighbor_id, and distance.
 
     Both tables have an id and a 64-bit code. Ties go to the lesser id. Rows without id or code take no part; an id that
-    repeats with one code counts once. With k rows or fewer in all, every other row is returned.
+    repeats with one code counts once. With k rows or fewer in all, every other row is returned, and without rows or
+    queries none. Other columns aren't read, whatever their names.
     """
-    spark = rows.sparkSession
     own = rows.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null").distinct()
     least = Window.partitionBy("code").orderBy("id")
     members = cut(own.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1).select("code", "id"))
@@ -66,10 +74,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_i
     hits, done, bound = None, None, None
     widest = max(w for _, w in cuts)
     for a in range(widest + 1):
-        flips = spark.createDataFrame([(i, x) for i, (_, w) in enumerate(cuts) for x in _flips(w, a)], "segment int, flip long")
-        asking = open_codes.select("query_code", F.posexplode(F.array(*_values("query_code", cuts))).alias("segment", "own"))
-        probe = asking.join(F.broadcast(flips), "segment").select("query_code", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
-        near = probe.join(index, ["segment", "value"]).select("query_code", "code", F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).alias("distance"))
+        near = _probes(open_codes, cuts, a).join(index, ["segment", "value"]).select("query_code", "code", F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).alias("distance"))
         if hits is not None:
             # Nothing further than a query's k-th so far can be in its result, so it needn't be shuffled.
             near = near.join(bound, "query_code", "left").where(F.col("kth").isNull() | (F.col("distance") <= F.col("kth"))).drop("kth")
@@ -93,7 +98,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_i
 #: The same in DuckDB, every query against every row.
 SQL = """
 with c as (
-  select distinct vec_id, list_sum(list_transform(range(64), lambda i: case when coalesce(embedding[i + 1], 0) > 0 then (1::ubigint << i::ubigint)::hugeint else 0::hugeint end))::hugeint code
+  select distinct vec_id, list_sum(list_transform(range(64), lambda i: case when coalesce(embedding[i + 1], 0) > 0 and not isnan(embedding[i + 1]) then (1::ubigint << i::ubigint)::hugeint else 0::hugeint end))::hugeint code
   from embeddings where vec_id is not null and embedding is not null),
 p as (
   select q.vec_id query_id, r.vec_id neighbor_id, bit_count(xor(q.code, r.code))::bigint distance

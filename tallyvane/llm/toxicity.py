@@ -33,7 +33,6 @@ MIN_Z = 4.5
 MIN_COUNT = 4
 #: A document adds a feature at most so often, so that one of a single repeated word teaches little.
 PER_DOCUMENT = 4
-LEXICON = 20_000
 CAP = 6.0
 DRIFT = 0.1
 _STRIP = ".,;:!?|&%$*#\"'()[]{}<>«»“”…"
@@ -131,7 +130,7 @@ class Model:
 
 
 def _measured(model):
-    """Of each document: its label, words, best segment, all segments' scores, and how many words have each score."""
+    """Of each document: its label, words, best segment, and how many words have each score (to two places: at most 1,300 scores)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Scores(model.value.lexicon, model.value.drift)
@@ -140,8 +139,23 @@ def _measured(model):
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
                 scores = np.array([memo[w] for w in words(text)])
                 values, n = np.unique(np.round(scores, 2), return_counts=True)
-                rows.append((int(label), len(scores), [float(s) for _, _, s in segments(scores)], values.tolist(), n.tolist()))
-            yield pd.DataFrame(rows, columns=["toxic", "n", "segments", "scores", "counts"])
+                rows.append((int(label), len(scores), max((s for _, _, s in segments(scores)), default=0.0), values.tolist(), n.tolist()))
+            yield pd.DataFrame(rows, columns=["toxic", "n", "best", "scores", "counts"])
+
+    return run
+
+
+def _weighed(model):
+    """Of each document: its label and the two numbers of its evidence."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = Scores(model.value.lexicon, model.value.drift)
+        for batch in batches:
+            rows = []
+            for text, label in zip(batch["text"], batch["toxic"], strict=True):
+                scores = np.array([memo[w] for w in words(text)])
+                rows.append((int(label), *model.value.evidence(len(scores), segments(scores))))
+            yield pd.DataFrame(rows, columns=["toxic", "x", "y"])
 
     return run
 
@@ -174,8 +188,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """The model of the labelled documents, fitted on `sample` of them in the mean, drawn by the hash of the id.
 
-    Several labels of one id count as toxic if one is; null labels don't count. Without both classes there is nothing
-    to learn: every document then scores the share of toxic labels, or 0 without labels.
+    Its size is bounded by the sample: every significant feature of it is known, and one row a sampled document comes to
+    the driver. Several labels of one id count as toxic if one is; null labels don't count, null texts are empty. Rows
+    that repeat are each learned from, and very long texts add a feature PER_DOCUMENT times at most. Without both classes,
+    as with empty tables, there is nothing to learn: every document then scores 1 if all labels are toxic, else 0. Only
+    the named columns are read.
     """
     small_batches(docs.sparkSession)
     given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
@@ -197,28 +214,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
     ratio = 2 * (part(t, (t + c) * share_t) + part(c, (t + c) * (1 - share_t)))
     odds = odds.withColumn("z", F.signum("odds") * F.sqrt(F.greatest(ratio, F.lit(0.0))))
-    best = odds.where(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "token").limit(LEXICON).select("token", "odds", "z").collect()
+    best = odds.where(F.abs("z") >= MIN_Z).select("token", "odds", "z").collect()
     model = Model({r["token"]: (max(-0.5, min(CAP, r["odds"])), r["z"]) for r in best})
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    seen = own.mapInPandas(_measured(shared), "toxic int, n long, segments array<double>, scores array<double>, counts array<long>").toPandas()
-    clean = seen[(seen["toxic"] == 0) & (seen["n"] > 0)]
+    context = docs.sparkSession.sparkContext
+    seen = own.mapInPandas(_measured(context.broadcast(model)), "toxic int, n long, best double, scores array<double>, counts array<long>").where("toxic = 0 and n > 0").toPandas()
     tally: Counter = Counter()
-    for s, n in zip(clean["scores"], clean["counts"], strict=True):
+    for s, n in zip(seen["scores"], seen["counts"], strict=True):
         for a, b in zip(s, n, strict=True):
             tally[a] += b
     values, n = np.array(list(tally), dtype=float), np.array(list(tally.values()), dtype=float)
     model.decay = _decay(values, n / max(1.0, n.sum()))
-    top = np.array([max([0.0, *s]) for s in clean["segments"]])
-    chance = (clean["n"].to_numpy() * np.exp(-model.decay * top)).sum()
-    model.scale = len(clean) / chance if chance > 0 else 1.0
-    x = np.array([model.evidence(n, [(0, 0, s) for s in found]) for n, found in zip(seen["n"], seen["segments"], strict=True)])
-    model.weights = _logistic(x, seen["toxic"].to_numpy().astype(float))
+    chance = (seen["n"].to_numpy() * np.exp(-model.decay * seen["best"].to_numpy())).sum()
+    model.scale = len(seen) / chance if chance > 0 else 1.0
+    both = own.mapInPandas(_weighed(context.broadcast(model)), "toxic int, x double, y double").toPandas()
+    model.weights = _logistic(both[["x", "y"]].to_numpy(), both["toxic"].to_numpy().astype(float))
     return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with score (0 to 1) and predicted (1 from 0.5 on). Whole texts, one pass, no shuffle; a null text scores like an empty one."""
+    """docs with score (0 to 1) and predicted (1 from 0.5 on). Whole texts, one pass, no shuffle.
+
+    A null text scores like an empty one; rows that repeat are each scored, and columns of docs of these two names give way.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

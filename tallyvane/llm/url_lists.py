@@ -24,9 +24,9 @@ def host_of(url: Column) -> Column:
 
 
 def suffixes(host: str) -> Column:
-    """The host and its parents of two labels or more, the most specific first."""
+    """The host and its parents of two labels or more, the most specific first; of an address in numbers only itself."""
     parts = f"split({host}, '[.]')"
-    return F.expr(f"case when {host} is null then null when size({parts}) < 2 then array({host}) else transform(sequence(0, size({parts}) - 2), i -> array_join(slice({parts}, i + 1, size({parts})), '.')) end")
+    return F.expr(f"case when {host} is null then null when size({parts}) < 2 or {host} rlike '^[0-9.]+$' then array({host}) else transform(sequence(0, size({parts}) - 2), i -> array_join(slice({parts}, i + 1, size({parts})), '.')) end")
 
 
 def intervals(entries: DataFrame) -> DataFrame:

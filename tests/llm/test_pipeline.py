@@ -8,6 +8,8 @@ import corpus_pipeline
 from tallyvane.llm import queries
 
 DATA = "/root/testdata"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+STAGE = dict(corpus_pipeline.STAGES)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -26,18 +28,42 @@ def test_every_stage_decides(spark):
     item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
     text = docs.where("lang = 'en' and n_chars > 800").first()["text"]
     planted = [(9001, "12345 !!!"), (9002, None), (9003, text), (9004, text.upper()), (9005, f"{text[:200]} {item} {text[200:400]}"), (9006, "the reader of this and that wrote to bob@example.com once more")]
-    all_docs = docs.unionByName(spark.createDataFrame([(i, t, None, "s", 1) for i, t in planted], "doc_id long, text string, lang string, source string, n_chars long"))
+    all_docs = docs.unionByName(spark.createDataFrame([(i, t, None, "s", 1) for i, t in planted], SCHEMA))
     ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
-    stage = dict(corpus_pipeline.STAGES)
-    a = stage["language_id"](spark, all_docs, sf)
+    a = STAGE["language_id"](spark, all_docs, sf)
     assert ids(all_docs) - ids(a) == {9001, 9002} | ids(docs.where("text is null or not text rlike '\\\\p{L}'")) and a.columns == docs.columns
     assert a.where("lang is null").count() == 0
-    b = stage["simhash_near_dedup"](spark, a, sf)
+    b = STAGE["simhash_near_dedup"](spark, a, sf)
     assert not {9003, 9004} & ids(b) and {9005, 9006} <= ids(b) and b.columns == docs.columns
-    c = stage["benchmark_decontamination"](spark, b, sf)
+    c = STAGE["benchmark_decontamination"](spark, b, sf)
     assert 9005 not in ids(c) and 9006 in ids(c) and c.columns == docs.columns
-    d = stage["pii"](spark, c, sf)
+    d = STAGE["pii"](spark, c, sf)
     assert "<EMAIL>" in d.where("doc_id = 9006").first()["text"] and d.where(F.length("text") != F.col("n_chars")).count() == 0 and d.columns == docs.columns
-    e = stage["packing"](spark, d, sf)
+    e = STAGE["packing"](spark, d, sf)
     assert ids(e) == ids(d)
-    assert stage["simhash_near_dedup"](spark, all_docs.limit(0), sf).count() == 0
+
+
+def test_stages_decide_about_rows(spark, tmp_path):
+    """Repeated rows, ids that are null or stand on two texts, and columns of clashing names; from files and from memory."""
+    sf = f"{DATA}/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    one, two, three = (f"{w} wrote this long and quiet story about the old house by the sea and its garden" for w in ("anna", "bruno wholly otherwise", "carla"))
+    rows = [(1, one), (1, one), (1, "Something else stands under the same number here, and nobody minds it at all."), (2, one.upper()), (None, one), (None, two), (None, two), (3, f"before it {item} after it"), (None, f"before that {item} after that"), (3, three + " with more words than the others have, of which none are known")]
+    plain = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).withColumns({"score": F.lit("mine"), "file": F.lit(1), "_said": F.lit(2), "lang_pred": F.lit(3)})
+    plain.repartition(3).write.parquet(str(tmp_path / "docs"))
+    for docs in (plain, spark.read.parquet(str(tmp_path / "docs"))):
+        assert sorted(map(repr, STAGE["language_id"](spark, docs, sf).collect())) == sorted(map(repr, docs.collect()))
+        left = STAGE["simhash_near_dedup"](spark, docs, sf)
+        texts = sorted(r["text"] for r in left.collect())
+        assert texts == sorted({t for i, t in rows if t.lower() != one} | {one}) and left.columns == docs.columns and left.where(F.col("text") == one).first()["doc_id"] == 1
+        clean = STAGE["benchmark_decontamination"](spark, docs, sf)
+        assert clean.count() == len(rows) - 2 and clean.where(F.contains("text", F.lit(item))).count() == 0
+        assert STAGE["pii"](spark, docs.drop("n_chars"), sf).columns == [c for c in docs.columns if c != "n_chars"]
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, f"{DATA}/sf0.001").count() == 0
+    unknown = spark.createDataFrame([(1, "some words", None, None, 1), (2, "12 34", None, None, 1), (3, None, None, None, None)], SCHEMA)
+    assert [r["doc_id"] for r in STAGE["language_id"](spark, unknown, "").collect()] == [1]
