@@ -66,9 +66,10 @@ def blocks(df: DataFrame, prints: str, near: int) -> DataFrame:
 
 
 def _bag(hashes: str) -> str:
-    """The hashes with repeats made different by their number, so that sets of them meet like bags."""
+    """The hashes with each repeat but the first made another one by its number, so that sets of them meet like bags."""
     sort = f"array_sort({hashes})"
-    return f"if(size(array_distinct({hashes})) = size({hashes}), {hashes}, transform({sort}, (x, i) -> xxhash64(x, i + 1 - array_position({sort}, x))))"
+    numbered = f"transform({sort}, (x, i) -> if(i + 1 = array_position({sort}, x), x, xxhash64(x, i + 1 - array_position({sort}, x))))"
+    return f"if(size(array_distinct({hashes})) = size({hashes}), {hashes}, {numbered})"
 
 
 def _starts(hit: str) -> Column:
