@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # Units of volume and of age as they stand in product names.
 LITRE_UNITS = ("l", "리터", "liter", "litre")
 VOLUME_PATTERN = r"(?i)([0-9]+(?:\.[0-9]+)?)\s*(ml|cl|l|리터|liter|litre)(?![a-z])"
+TAIL_VOLUME_PATTERN = r"(?i)([0-9]+)\s*m\s*$"
 AGE_PATTERN = r"(?i)([0-9]{1,2})\s*(?:년|年|yo\b|y\.o|years?|yrs?)"
 
 
@@ -26,14 +27,16 @@ def to_num(c: Column | str, positive: bool = True) -> Column:
     return F.when(n > 0, n) if positive else n
 
 
-def volume_ml(c: Column | str, default: int | None = None, last: bool = False) -> Column:
-    """Millilitres of the first (or last) volume in a text; litres and centilitres are converted."""
+def volume_ml(c: Column | str, default: int | None = None, last: bool = False, tail: bool = False) -> Column:
+    """Millilitres of the first (or last) volume in a text; litres and centilitres are converted. tail: a text cut off after `700m` counts too."""
     numbers = F.regexp_extract_all(col(c), F.lit(VOLUME_PATTERN), 1)
     units = F.regexp_extract_all(col(c), F.lit(VOLUME_PATTERN), 2)
     n = F.try_element_at(numbers, F.lit(-1 if last else 1)).try_cast("double")
     unit = F.lower(F.try_element_at(units, F.lit(-1 if last else 1)))
     ml = F.when(unit.isin(*LITRE_UNITS), n * 1000).when(unit == "cl", n * 10).otherwise(n)
     out = F.round(ml).cast("int")
+    if tail:
+        out = F.coalesce(out, F.regexp_extract(col(c), TAIL_VOLUME_PATTERN, 1).try_cast("int"))
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
@@ -150,22 +153,55 @@ def clean_display(c: Column | str, generic: Sequence[str] = ()) -> Column:
     return F.trim(F.regexp_replace(out, r"\s+", " "))
 
 
+def format_manwon(c: Column | str) -> Column:
+    """A whole number of won in units of ten thousand with one decimal that isn't 0, as `12.3만`; under ten thousand with separators."""
+    n = col(c)
+    short = F.regexp_replace(F.format_number(n / 10000.0, 1), r"\.0$", "")
+    return F.when(F.abs(n) >= 10000, F.concat(short, F.lit("만"))).otherwise(F.format_number(n, 0))
+
+
 def format_signed(c: Column | str) -> Column:
     """A whole number with thousands separators and its sign; 0 has none."""
     n = col(c)
     return F.concat(F.when(n > 0, "+").when(n < 0, "-").otherwise(""), F.format_number(F.abs(n), 0))
 
 
-def garbage(c: Column | str, max_len: int = 35, words: Sequence[str] = (), ending: str = r"(?:다|요|까|니다)[.!?]?$", punctuation: str = r"[?!…;]|\.\s") -> Column:
-    """Whether a text can't be a name: empty or null, too long, punctuated or ending like a sentence, or holding one of the words."""
-    text = F.trim(col(c))
-    bad = (text == "") | (F.length(text) > max_len) | text.rlike(punctuation) | text.rlike(ending)
+# What is said in speech and isn't in names, and how sentences end.
+GARBAGE_WORDS = (
+    "할인", "적립", "정립", "포인트", "마찬가지", "참고", "구독", "부탁", "시작", "그럼", "좋아요", "바랍", "입니다",
+    "습니다", "하고 있", "이네요", "다음은", "보시", "준비", "소개", "말씀", "드리", "있으니", "같은 가격", "되겠",
+)
+SENTENCE_ENDINGS = ("니다", "네요", "어요", "아요", "세요", "으니", "니까", "군요", "구요")
+
+
+def garbage(c: Column | str, max_len: int = 35, words: Sequence[str] = GARBAGE_WORDS, endings: Sequence[str] = SENTENCE_ENDINGS) -> Column:
+    """Whether a text can't be a name: empty or null, too long, of several sentences, ending like one, or holding one of the words."""
+    text = F.trim(F.regexp_replace(col(c), r"^\s+|\s+$", ""))
+    bad = (text == "") | (F.length(text) > max_len) | F.contains(text, F.lit(". ")) | F.endswith(text, F.lit("."))
+    if endings:
+        bad = bad | text.rlike(f"(?:{'|'.join(map(_quoted, endings))})$")
     return F.coalesce(bad | (matches_any(text, *(_quoted(w) for w in words)) if words else F.lit(False)), F.lit(True))
 
 
-def per_person_price(name: Column | str, price: Column | str, grams: Column | str) -> Column:
-    """Price per person from a menu line: a set for n is divided by n, a price for so many grams goes to `grams`, a range is averaged."""
-    people = F.regexp_extract(col(name), r"([0-9]+)\s*(?:인|명|persons?|people|pax)", 1).try_cast("double")
+def normalize_name(c: Column | str, synonyms: Mapping[str, Sequence[str]] | None = None, noise: Sequence[str] = ()) -> Column:
+    """A name as rules see it: lower-cased, every spelling replaced by its word (longest first), noise patterns and runs of spaces made one space."""
+    pairs = sorted(((v.lower(), word.lower()) for word, variants in (synonyms or {}).items() for v in variants), key=lambda p: -len(p[0]))
+    out = rewrite(F.lower(col(c)), pairs)
+    for pattern in noise:
+        out = F.regexp_replace(out, f"(?i){pattern}", " ")
+    return F.trim(F.regexp_replace(out, r"\s+", " "))
+
+
+def per_person_price(name: Column | str, price: Column | str, grams: Column | str, least_party: Sequence[str] = ("이상", "부터", "minimum", "at least")) -> Column:
+    """Price per person from a menu line: a set for n is divided by n, a price for so many grams goes to `grams`, a range is averaged.
+
+    A line that only says from how many people on it is served (a word of least_party after the number) is a price a
+    person as it stands. price is a number, or a text that may hold a range such as 10,000~12,000.
+    """
+    party = r"([0-9]+)\s*(?:인|명|persons?|people|pax)"
+    people = F.regexp_extract(col(name), party, 1).try_cast("double")
+    exempt = col(name).rlike(f"(?i){party}\\s*(?:{'|'.join(map(_quoted, least_party))})|(?:{'|'.join(map(_quoted, least_party))})\\s*{party}")
     portion = F.regexp_extract(col(name), r"(?i)([0-9]+)\s*g(?![a-z])", 1).try_cast("double")
-    p = col(price).cast("double")
-    return F.when(people > 1, p / people).when(portion > 0, p * col(grams) / portion).otherwise(p)
+    numbers = F.transform(F.regexp_extract_all(col(price).cast("string"), F.lit(r"[0-9][0-9,]*(?:\.[0-9]+)?"), 0), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("double"))
+    p = F.when(F.size(numbers) >= 2, (numbers[0] + numbers[1]) / 2).otherwise(F.try_element_at(numbers, F.lit(1)))
+    return F.when((people > 1) & ~exempt, p / people).when(portion > 0, p * col(grams) / portion).otherwise(p)

@@ -35,6 +35,11 @@ def iso_week_bounds(c: Column | str) -> Column:
     return F.struct(monday.alias("monday"), F.date_add(monday, 6).alias("sunday"))
 
 
+def add_months_clamped(c: Column | str, months: int) -> Column:
+    """The same day so many months on, or the last one of a shorter month."""
+    return F.add_months(col(c), months)
+
+
 def iso_week_mod(c: Column | str, n: int = 4) -> Column:
     return F.weekofyear(col(c)) % n
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyvane.operators import ranking
+
 Names = Sequence[str]
 
 
@@ -106,6 +108,18 @@ def partitioned_floor(obs: DataFrame, online: Column, item: str = "item", source
     )
 
 
+def cheapest_listing(listings: DataFrame, item: str, date: str, price: str, carry: Names, least: float = 0) -> DataFrame:
+    """Per item the cheapest listing of the newest date of all, with the carried columns (seller, region); prices under `least` don't count."""
+    newest = listings.agg(F.max(date).alias("_last"))
+    now = listings.join(F.broadcast(newest), F.col(date) == F.col("_last")).where(F.col(price) >= least)
+    return now.groupBy(item).agg(F.min(F.struct(price, *carry)).alias("b")).select(item, "b.*")
+
+
+def cheaper_view(a: str, b: str) -> Column:
+    """Struct (price, view) of the cheaper of two views of a price, named by its column; a missing one loses, of equals the first counts."""
+    return F.when(F.col(a).isNull() & F.col(b).isNull(), None).when(F.col(b).isNull() | (F.col(a) <= F.col(b)), F.struct(F.col(a).alias("price"), F.lit(a).alias("view"))).otherwise(F.struct(F.col(b).alias("price"), F.lit(b).alias("view")))
+
+
 def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, value: str, min_abs: float = 1000, min_pct: float = 1.0) -> DataFrame:
     """Rows that differ between two snapshots: new, removed, rise or drop, with both values, the difference and percent.
 
@@ -130,8 +144,8 @@ def two_measure_diff(prev: DataFrame, cur: DataFrame, key: str, value: str, seco
 
 
 def membership_moves(prev: DataFrame, cur: DataFrame, key: str, value: str, pct: float = 15.0) -> DataFrame:
-    """new and lost keys, and common ones whose value moved by pct percent or more."""
-    return snapshot_diff(prev, cur, key, value, 0, 0).where(F.col("kind").isin("new", "removed") | (F.abs("pct") >= pct))
+    """new and lost keys, and common ones whose value moved by more than pct percent."""
+    return snapshot_diff(prev, cur, key, value, 0, 0).where(F.col("kind").isin("new", "removed") | (F.abs("pct") > pct))
 
 
 def diff_guard(prev: DataFrame, required: Names) -> DataFrame:
@@ -160,9 +174,26 @@ def master_summary(df: DataFrame, item: str, name: str, market: str, price: str,
     )
 
 
-def alias_audit(df: DataFrame, item: str, name: str, least: int = 3) -> DataFrame:
-    """Items with at least so many spellings, and the spellings."""
-    return df.groupBy(item).agg(F.array_sort(F.collect_set(name)).alias("s")).where(F.size("s") >= least).select(item, F.size("s").alias("spellings"), F.array_join("s", "; ").alias("names"))
+def alias_audit(df: DataFrame, item: str, name: str, least: int = 3, most: int = 20) -> DataFrame:
+    """Items with at least so many spellings: how many, and the first `most` of them in order."""
+    one = df.where(F.col(name).isNotNull()).select(item, name).distinct()
+    n = one.groupBy(item).agg(F.count("*").alias("spellings")).where(F.col("spellings") >= least)
+    first = one.withColumn("_k", F.row_number().over(_w(item).orderBy(name))).where(F.col("_k") <= most)
+    return n.join(first.groupBy(item).agg(F.array_join(F.array_sort(F.collect_list(name)), "; ").alias("names")), item)
+
+
+def unmatched_names(df: DataFrame, name: str, ident: str) -> DataFrame:
+    """Names without an id and the rows each has."""
+    return df.where(F.col(ident).isNull()).groupBy(name).agg(F.count("*").alias("rows"))
+
+
+def match_rate(df: DataFrame, name: str, ident: str, curated: DataFrame | None = None) -> DataFrame:
+    """One row: distinct names, matched ones and their share; and the share there would be with the curated names (column name) matched too."""
+    one = df.groupBy(name).agg(F.max(F.col(ident).isNotNull()).alias("_m"))
+    more = one.join(curated.select(name, F.lit(True).alias("_c")).distinct(), name, "left") if curated is not None else one.withColumn("_c", F.lit(None).cast("boolean"))
+    out = more.agg(F.count("*").alias("names"), F.count_if("_m").alias("matched"), F.count_if(F.col("_m") | F.coalesce("_c", F.lit(False))).alias("_then"))
+    share = lambda c: F.round(F.col(c) / F.when(F.col("names") != 0, F.col("names")), 4)
+    return out.select("names", "matched", share("matched").alias("rate"), share("_then").alias("projected"))
 
 
 def mode_by(df: DataFrame, key: str | Names, value: str, tie: Column | None = None) -> DataFrame:
@@ -173,24 +204,39 @@ def mode_by(df: DataFrame, key: str | Names, value: str, tie: Column | None = No
     return counts.groupBy(*keys).agg(F.min(order).alias("o")).select(*keys, F.col("o.v").alias(value), (-F.col("o.a")).alias("n"))
 
 
-def quartiles(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Linear-interpolated 25, 50 and 75 percent points."""
+def quartiles(df: DataFrame, key: str, value: str, large: bool = False) -> DataFrame:
+    """Linear-interpolated 25, 50 and 75 percent points. large: of few keys with any number of values each, by counts of values."""
+    if large:
+        return ranking.percentiles(df, [key], value, {"p25": 0.25, "median": 0.5, "p75": 0.75})
     return df.groupBy(key).agg(*(F.percentile(value, p).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))))
 
 
 def index_percentile(df: DataFrame, key: str, value: str, share: float) -> DataFrame:
-    """sorted[int(n * share)] of each key, without collecting the group: a rank against a count."""
-    own = df.where(F.col(value).isNotNull())
-    n = own.groupBy(key).agg(F.count("*").alias("_n"))
-    ranked = own.withColumn("_r", F.row_number().over(_w(key).orderBy(value)) - 1).join(n, key)
-    return ranked.where(F.col("_r") == F.least(F.floor(F.col("_n") * share), F.col("_n") - 1)).select(key, F.col(value).alias("value"), F.col("_n").alias("n"))
+    """sorted[int(n * share)] of each key, by running counts of its values: no task holds or sorts a key's rows."""
+    place = F.least(F.floor(F.col("total") * share), F.col("total") - 1)
+    at = ranking.running_counts(df, [key], value).where((F.col("before") <= place) & (place < F.col("before") + F.col("n")))
+    return at.select(key, F.col(value).alias("value"), F.col("total").alias("n"))
 
 
-def estimate_per_person(menu: DataFrame, place: str, price: str, appetite: Mapping[str, float] | None = None, min_items: int = 4, fallback: float | None = None) -> DataFrame:
+def estimate_per_person(
+    menu: DataFrame, place: str, price: str, appetite: Mapping[str, float] | None = None, min_items: int = 4, fallback: float | None = None, main: Column | None = None, party: str | None = None
+) -> DataFrame:
     """Low, standard and high cost a person of each place from its dishes' prices a person.
 
-    From min_items dishes on the quartiles, with fewer the least, mean and greatest, without any the fallback; confidence says which.
+    Only main dishes count, unless a place has none of them. Where dishes name a number of people (party over 1), those
+    alone count, each price divided by it, with their least, mean and greatest. Else from min_items dishes on the quartiles,
+    with fewer the least, mean and greatest, without any the fallback; confidence says which.
     """
+    if main is not None:
+        menu = menu.withColumn("_main", F.coalesce(main, F.lit(False)))
+        some = menu.groupBy(place).agg(F.max("_main").alias("_some"))
+        menu = menu.join(some, place).withColumn(price, F.when(F.col("_main") | ~F.col("_some"), F.col(price)))
+    if party is not None:
+        own = F.when(F.col(party) > 1, F.col(price) / F.col(party))
+        parties = menu.withColumn("_own", own).groupBy(place).agg(F.count("_own").alias("n"), F.min("_own").alias("_lo"), F.avg("_own").alias("_mid"), F.max("_own").alias("_hi")).where("n > 0")
+        rest = estimate_per_person(menu.join(parties.select(place), place, "left_anti"), place, price, appetite, min_items, fallback)
+        confidence = F.when(F.col("n") >= 3, "party").otherwise("few parties")
+        return rest.unionByName(parties.select(place, "n", *(F.round(c, 4).alias(a) for c, a in (("_lo", "low"), ("_mid", "std"), ("_hi", "high"))), confidence.alias("confidence")))
     factor = {"low": 1.0, "std": 1.0, "high": 1.0} | dict(appetite or {})
     agg = menu.groupBy(place).agg(
         F.count(price).alias("n"),
@@ -210,13 +256,19 @@ def weighted_score(counts: DataFrame, key: str, category: str, n: str, weights:
     score = counts.groupBy(key).agg(F.sum(F.col(n) * weight).alias("score"))
     top = score.agg(F.max("score").alias("_top"))
     out = score.crossJoin(F.broadcast(top)).withColumn("score_norm", F.round(F.col("score") * 100 / F.coalesce(F.nullif("_top", F.lit(0.0)), F.lit(1.0)), 2)).drop("_top")
-    return out
+    return ranking.with_rank(out, "score", "rank")
 
 
-def weekly_rollup(diffs: DataFrame, key: str, date: str, prev_date: str, delta: str, value: str) -> DataFrame:
-    """Per ISO week and key: the sum of the deltas of one-day steps, their number and the last value."""
+def weekly_rollup(diffs: DataFrame, key: str, date: str, prev_date: str, delta: str, value: str, floor: str | None = None, least: float = 1.0) -> DataFrame:
+    """Per ISO week and key: the sum of the deltas of one-day steps, their number and the last value.
+
+    With floor, a column, also whether the value came under it in the week (breakthrough), and the list the key is on:
+    `deepen` from a sum of -least down, `raise` from least up.
+    """
     own = diffs.where(F.datediff(date, prev_date) == 1).withColumn("week", F.date_trunc("week", date).cast("date"))
-    return own.groupBy("week", key).agg(F.sum(delta).alias("delta"), F.count("*").alias("steps"), F.max_by(value, date).alias("last"))
+    through = [F.max(F.coalesce(F.col(value) < F.col(floor), F.lit(False))).alias("breakthrough")] if floor else []
+    out = own.groupBy("week", key).agg(F.sum(delta).alias("delta"), F.count("*").alias("steps"), F.max_by(value, date).alias("last"), *through)
+    return out.withColumn("list", F.when(F.col("delta") <= -least, "deepen").when(F.col("delta") >= least, "raise")) if floor else out
 
 
 def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -254,6 +306,19 @@ def balances(account: str, *movements: tuple[DataFrame, Column]) -> DataFrame:
     return rows.groupBy(account).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("balance"), F.count("*").alias("movements"))
 
 
+def ledger_windows(rows: DataFrame, account: str, member: str, at: str, amount: str, as_of: str) -> DataFrame:
+    """Per account and member: the sum of all amounts, and of those since the ISO week's and the month's first day, up to as_of."""
+    day, now = F.col(at).cast("date"), F.lit(as_of).cast("date")
+    since = lambda unit: F.coalesce(F.sum(F.when(day >= F.date_trunc(unit, now).cast("date"), F.col(amount))), F.lit(0))
+    return rows.where(day <= now).groupBy(account, member).agg(F.sum(amount).alias("total"), since("week").alias("week"), since("month").alias("month"))
+
+
+def item_freshness(obs: DataFrame, item: str, date: str) -> DataFrame:
+    """Per item its latest date, and whether that is the latest of all (is_new)."""
+    own = obs.groupBy(item).agg(F.max(date).alias("latest"))
+    return own.crossJoin(F.broadcast(own.agg(F.max("latest").alias("_last")))).withColumn("is_new", F.col("latest") == F.col("_last")).drop("_last")
+
+
 def freshness_summary(obs: DataFrame, source: str, item: str, date: str, min_obs: int = 1) -> DataFrame:
     """Per source: its latest date, items, and whether that is the latest date of all; of dates with min_obs rows where there are any."""
     latest = obs.groupBy(source).agg(F.max(date).alias("latest"), F.count_distinct(item).alias("items"))
@@ -262,20 +327,34 @@ def freshness_summary(obs: DataFrame, source: str, item: str, date: str, min_obs
 
 
 def row_hash(columns: Names) -> Column:
-    return F.xxhash64(*columns)
+    """SHA-256 of the columns as text, a unit separator between them and a character of its own for null."""
+    return F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256)
 
 
 def fingerprint(df: DataFrame, columns: Names) -> DataFrame:
-    """One row that tells a table's content, whatever its order: rows, and two sums over row hashes."""
-    h, g = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
-    return df.agg(F.count("*").alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("h1"), F.sum(g.cast("decimal(38,0)")).alias("h2"))
+    """One row that tells a table's content, whatever its order: rows, and a SHA-256.
+
+    Rows' hashes are added up by their eight 32-bit words, map-side and exactly, and the sums are hashed: no row meets
+    another, where a sorted list of all hashes would be one task's.
+    """
+    words = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
+    sums = df.select(row_hash(columns).alias("_h")).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(w), F.lit(0)).alias(f"_{i}") for i, w in enumerate(words)))
+    return sums.select("rows", F.sha2(F.concat_ws(",", "rows", *(F.col(f"_{i}").cast("string") for i in range(8))), 256).alias("sha256"))
 
 
 def changed(prev: DataFrame, cur: DataFrame, columns: Names) -> bool:
-    """Whether two tables' fingerprints differ."""
+    """Whether two tables' fingerprints differ: an action, for the gate before a rebuild."""
     return fingerprint(prev, columns).first() != fingerprint(cur, columns).first()
 
 
+def field_diff(prev: DataFrame, cur: DataFrame, key: str, columns: Names) -> DataFrame:
+    """Rows (key, field, old, new) of the fields, as text, in which two tables with one row a key differ; a key of one side only differs in all it has."""
+    text = lambda side, c: F.col(f"{side}.{c}").cast("string")
+    both = prev.select(key, *columns).alias("p").join(cur.select(key, *columns).alias("c"), key, "full")
+    cells = F.array(*(F.struct(F.lit(c).alias("field"), text("p", c).alias("old"), text("c", c).alias("new")) for c in columns))
+    return both.select(key, F.explode(F.filter(cells, lambda x: ~x["old"].eqNullSafe(x["new"]))).alias("x")).select(key, "x.*")
+
+
 def should_run(prev_print, cur_print, output_exists: bool, force: bool = False) -> bool:
     """The gate before a rebuild: forced, changed, or the output is missing."""
     return force or not output_exists or prev_print != cur_print
@@ -305,6 +384,11 @@ def share_of_total(df: DataFrame, value: str, keys: Names = ()) -> DataFrame:
     return joined.withColumn("share_pct", F.round(F.col(value) * 100.0 / F.when(F.col("_t") != 0, F.col("_t")), 2)).drop("_t")
 
 
+def unit_value(df: DataFrame, value: str, quantity: str, digits: int = 4) -> DataFrame:
+    """df with unit_value, value over quantity; null without a quantity."""
+    return df.withColumn("unit_value", F.round(F.col(value) / F.when(F.col(quantity) != 0, F.col(quantity)), digits))
+
+
 def from_peak(df: DataFrame, key: str, year: str, value: str) -> DataFrame:
     """Per key: peak year (the first of equals), peak, last year and the change from the peak in percent."""
     agg = df.groupBy(key).agg(F.min(F.struct((-F.col(value)).alias("v"), F.col(year).alias("y"))).alias("p"), F.max(F.struct(F.col(year).alias("y"), F.col(value).alias("v"))).alias("l"))

@@ -17,7 +17,23 @@ is_garbage_text = garbage
 
 # What marks a bundle and a collectible in a product name.
 BUNDLE_WORDS = (r"세트", r"\bset\b", r"패키지", r"gift", r"x\s*[2-9]\b", r"[2-9]\s*병", r"\+")
-COLLECTIBLE_PATTERNS = (r"\b(?:19|20)[0-9]0'?s\b", r"vintage", r"빈티지", r"limited", r"한정", r"single\s+cask", r"cask\s*(?:no|#)", r"[2-9](?:\.[0-9]+)?\s*l(?:itre|iter)?\b")
+COLLECTIBLE_PATTERNS = (
+    r"(?:19|20)[0-9]0\s*'?s",
+    "vintage",
+    "빈티지",
+    "limited",
+    "리미티드",
+    "한정",
+    "collector",
+    "anniversary",
+    "기념판",
+    "컬렉터",
+    r"single\s*cask",
+    r"싱글\s*캐스크",
+    r"cask\s*no",
+    r"#\s*[0-9]",
+    r"\b[2-9](?:[.,][0-9])?\s*l\b",
+)
 
 
 def apply_gates(df: DataFrame, gates: Sequence[tuple[Column, str]], ok: str = "ok", status: str = "status", reason: str = "reason") -> DataFrame:

@@ -6,7 +6,8 @@ counted size allows it; beyond that the same join is left to Spark, blocked by a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, insort
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyvane.functions.similarity import seq_ratio
-from tallyvane.functions.text import age, descriptor_set, model_numbers, tokens
+from tallyvane.functions.text import AGE_PATTERN, VOLUME_PATTERN, age, descriptor_set, model_numbers, normalize_name, rewrite, tokens
 from tallyvane.functions.values import haversine_m
 
 Names = Sequence[str]
@@ -23,7 +24,7 @@ BROADCAST_ROWS = 200_000
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; counting stops one row beyond."""
+    """df with a broadcast hint if it has at most so many rows. Counting is an action when the plan is made; it stops one row beyond."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
@@ -40,45 +41,59 @@ def anti(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key).distinct(), key, "left_anti")
 
 
-def _anchored(names: DataFrame, text: str, rules: DataFrame) -> DataFrame:
-    """Candidate (name, rule) pairs: those of which a word of the rule's first token, or of an alias, is one of the name's.
+def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, on: Names = ()) -> DataFrame:
+    """Distinct pairs (on, text, needle) of which the text holds the needle, in lower case, as it stands: letters, signs and spaces alike.
 
-    Tokens are matched as text inside names, so a rule whose first token is part of a word is met by the substring test
-    after a join on the token's first two characters inside the name's words.
+    Both sides meet on the first one to three characters of a needle, by their own number, so nothing is compared with everything.
     """
-    keyed = names.withColumn("_gram", F.explode(F.array_distinct(F.flatten(F.transform(tokens(text), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - 1, F.lit(1))), lambda i: w.substr(i, F.lit(2))))))))
-    heads = F.concat(F.slice("match", 1, 1), F.coalesce("alias", F.array().cast("array<string>")))
-    probes = rules.withColumn("_gram", F.explode(F.array_distinct(F.transform(heads, lambda t: F.substring(F.try_element_at(tokens(t), F.lit(1)), 1, 2)))))
-    return keyed.join(bounded(probes), "_gram").drop("_gram").distinct()
+    n = needles.select(*on, F.lower(needle).alias("_needle")).where("_needle <> ''").distinct().withColumn("_gram", F.substring("_needle", 1, 3))
+    low = F.lower(text)
+    grams = lambda k: F.when(F.length(low) >= k, F.transform(F.sequence(F.lit(1), F.length(low) - k + 1), lambda i: low.substr(i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    keyed = texts.select(*on, F.col(text).alias("_text")).where("_text is not null").distinct().withColumn(text, F.col("_text"))
+    keyed = keyed.select(*on, "_text", F.explode(F.array_distinct(F.concat(grams(1), grams(2), grams(3)))).alias("_gram"))
+    met = keyed.join(bounded(n), [*on, "_gram"]).where(F.contains(F.lower("_text"), F.col("_needle")))
+    return met.select(*on, F.col("_text").alias("text"), F.col("_needle").alias("needle"))
 
 
-def resolve_rules(df: DataFrame, text: str, rules: DataFrame, excludes: Names = (), age_col: str | None = None) -> DataFrame:
-    """Distinct texts with status (matched, excluded, unmatched), rule id, name and rule_no.
+def _hits(names: DataFrame, rules: DataFrame) -> DataFrame:
+    """(low, rule_no) of the rules that a name can meet: it holds the rule's first token or one of its aliases."""
+    heads = F.array_distinct(F.concat(F.slice("match", 1, 1), F.col("alias")))
+    probes = rules.select("rule_no", F.explode(heads).alias("head"))
+    met = containing(names, "low", probes, "head")
+    return met.join(bounded(probes.withColumnRenamed("head", "needle")), "needle").select(F.col("text").alias("low"), "rule_no").distinct()
 
-    rules: rule_no, id, name, match (all must stand in the text), not (none may) and alias (one in it is enough). The
-    lowest rule_no wins; excluded words come first. With age_col, a rule's age must equal the text's where both have one.
+
+def resolve_rules(df: DataFrame, text: str, rules: DataFrame, excludes: Names = (), age_col: str | None = None, synonyms: Mapping[str, Names] | None = None, noise: Names = ()) -> DataFrame:
+    """Distinct texts with status (matched, excluded, unmatched), rule id, name and rule_no, and how many rules hit.
+
+    rules: rule_no, id, name, match (all must stand in the text), not (none may) and alias (one in it is enough); a token
+    is met as it stands, also inside words. Texts are normalised first: lower-cased, synonyms replaced, noise taken out.
+    The lowest rule_no wins; excluded words come first. With age_col, a rule's age must equal the text's where both have one.
     """
-    names = df.select(F.col(text).alias("text")).where("text is not null").distinct().withColumn("_low", F.lower("text"))
+    names = df.select(F.col(text).alias("text")).where("text is not null").distinct().withColumn("low", normalize_name("text", synonyms, noise))
     lowered = rules.select("rule_no", "id", "name", *(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.lower(x)).alias(c) for c in ("match", "not", "alias")), *([F.col(age_col).alias("_rule_age")] if age_col else []))
-    pairs = _anchored(names, "_low", lowered)
-    every = (F.size("match") > 0) & F.forall("match", lambda t: F.contains(F.col("_low"), t))
-    some = F.exists("alias", lambda t: F.contains(F.col("_low"), t))
-    none = ~F.exists("not", lambda t: F.contains(F.col("_low"), t))
+    pairs = _hits(names, lowered).join(bounded(lowered), "rule_no")
+    every = (F.size("match") > 0) & F.forall("match", lambda t: F.contains(F.col("low"), t))
+    some = F.exists("alias", lambda t: F.contains(F.col("low"), t))
+    none = ~F.exists("not", lambda t: F.contains(F.col("low"), t))
     hit = pairs.where((every | some) & none)
     if age_col:
-        own = age("_low", "first")
+        own = age("low", "first")
         hit = hit.where(F.coalesce(own == F.col("_rule_age"), F.lit(True)))
-    best = hit.groupBy("text").agg(F.min(F.struct("rule_no", "id", "name")).alias("b"), F.count_distinct("rule_no").alias("hits"))
-    bad = F.exists(F.array(*(F.lit(x.lower()) for x in excludes)).cast("array<string>"), lambda t: F.contains(F.col("_low"), t)) if excludes else F.lit(False)
-    out = names.join(best, "text", "left").withColumn("_bad", bad)
+    best = hit.groupBy("low").agg(F.min(F.struct("rule_no", "id", "name")).alias("b"), F.count("*").alias("hits"))
+    bad = F.exists(F.array(*(F.lit(x.lower()) for x in excludes)).cast("array<string>"), lambda t: F.contains(F.col("low"), t)) if excludes else F.lit(False)
+    out = names.join(best, "low", "left").withColumn("_bad", bad)
     status = F.when(F.col("_bad"), "excluded").when(F.col("b").isNotNull(), "matched").otherwise("unmatched")
     keep = F.col("status") == "matched"
     return out.withColumn("status", status).select("text", "status", F.when(keep, F.col("b.id")).alias("id"), F.when(keep, F.col("b.name")).alias("name"), F.when(keep, F.col("b.rule_no")).alias("rule_no"), F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
-def resolve_unique(df: DataFrame, text: str, rules: DataFrame) -> DataFrame:
-    """Like resolve_rules, but matched only where exactly one rule hits; with more, `ambiguous`."""
-    out = resolve_rules(df, text, rules)
+def resolve_unique(df: DataFrame, text: str, rules: DataFrame, **how) -> DataFrame:
+    """Like resolve_rules, but matched only where exactly one rule hits; with more, `ambiguous`.
+
+    A bridge from other spellings of brands is given as synonyms, an exact age by age_col.
+    """
+    out = resolve_rules(df, text, rules, **how)
     status = F.when(F.col("hits") == 1, "matched").when(F.col("hits") > 1, "ambiguous").otherwise("unmatched")
     return out.select("text", status.alias("status"), F.when(F.col("hits") == 1, F.col("id")).alias("id"), "hits")
 
@@ -93,25 +108,56 @@ def resolve_cascade(names: DataFrame, text: str, stages: Sequence[tuple[str, Dat
     return names.select(F.col(text).alias("text")).distinct().join(best, "text", "left").select("text", F.col("s.id").alias("id"), F.coalesce("s.stage", F.lit("unmatched")).alias("stage"))
 
 
-def guards_ok(a: Column, b: Column, flags: dict[str, Sequence[str]] | None = None, age_mode: str = "both") -> Column:
-    """Whether two names may be one product: ages (equal if both have one, or strictly equal), model numbers and descriptor sets agree."""
+def guards_ok(a: Column, b: Column, flags: dict[str, Sequence[str]] | None = None, age_mode: str = "both", contain: bool = False) -> Column:
+    """Whether two names may be one product: ages (equal if both have one, or strictly equal), model numbers and descriptor sets agree.
+
+    contain: every token of either name must stand in the other too.
+    """
     x, y = age(a, "max"), age(b, "max")
-    ages = x.eqNullSafe(y) if age_mode == "strict" else F.coalesce(x == y, F.lit(True))
-    same = ages & (model_numbers(a) == model_numbers(b))
-    return same & (descriptor_set(a, flags) == descriptor_set(b, flags)) if flags else same
+    same = (x.eqNullSafe(y) if age_mode == "strict" else F.coalesce(x == y, F.lit(True))) & (model_numbers(a) == model_numbers(b))
+    if flags:
+        same = same & (descriptor_set(a, flags) == descriptor_set(b, flags))
+    if contain:
+        same = same & F.forall(tokens(a), lambda t: F.contains(F.lower(b), t)) & F.forall(tokens(b), lambda t: F.contains(F.lower(a), t))
+    return same
 
 
-def match_contains(items: DataFrame, dim: DataFrame, item: str, name: str, block: str, tolerance: int = 20, price: str | None = None) -> DataFrame:
-    """Each distinct item with the dimension name that it contains: fewest extra characters, then lowest price, then name.
+def match_contains(items: DataFrame, dim: DataFrame, item: str, name: str, block: str, tolerance: int = 20, price: str | None = None, editions: Names = ()) -> DataFrame:
+    """Each distinct item with the dimension name that it contains: fewest extra characters, then lowest (unit) price, then name.
 
-    Both sides have the block column; only equal blocks are compared.
+    Both sides have the block column; only equal blocks are compared, and of them what holds the name's first characters.
+    A word of `editions` in the item alone makes it another product.
     """
-    left = items.select(F.col(item).alias("item"), block).where("item is not null").distinct()
-    right = dim.select(F.col(name).alias("name"), block, *([F.col(price).alias("price")] if price else [F.lit(0).alias("price")]))
-    joined = left.join(right, block).where(F.contains(F.lower("item"), F.lower("name")))
-    extra = F.length("item") - F.length("name")
-    near = joined.withColumn("extra", extra).where((F.col("extra") <= tolerance) & (F.col("name") != ""))
-    return near.groupBy("item", block).agg(F.min(F.struct("extra", "price", "name")).alias("b")).select("item", block, F.col("b.name").alias("name"), F.col("b.extra").alias("extra"))
+    right = dim.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("name"), block).agg(F.min(price if price else F.lit(0)).alias("price"))
+    met = containing(items.select(F.col(item).alias("item"), block), "item", right, "name", [block])
+    joined = met.join(right.withColumn("needle", F.lower("name")), [block, "needle"]).withColumn("extra", F.length("text") - F.length("name"))
+    plain = lambda word: ~(F.contains(F.lower("text"), F.lit(word.lower())) & ~F.contains(F.col("needle"), F.lit(word.lower())))
+    near = joined.where(F.col("extra") <= tolerance)
+    for word in editions:
+        near = near.where(plain(word))
+    return near.groupBy(F.col("text").alias("item"), block).agg(F.min(F.struct("extra", "price", "name")).alias("b")).select("item", block, F.col("b.name").alias("name"), F.col("b.extra").alias("extra"))
+
+
+def cross_rates(fx: DataFrame, quote: str, date: str = "date", currency: str = "currency", rate: str = "rate") -> DataFrame:
+    """(date, currency, rate) in units of the quote for one unit of a currency, from rates for one unit of a third one."""
+    to = fx.where(F.col(currency) == quote).groupBy(date).agg(F.max(rate).alias("_to"))
+    return fx.join(to, date).select(date, currency, (F.col("_to") / F.when(F.col(rate) != 0, F.col(rate))).alias(rate))
+
+
+def convert_asof(df: DataFrame, rates: DataFrame, amount: str, currency: str, date: str, base: str, max_age: int = 1) -> DataFrame:
+    """df with converted, rate_date and warning: the amount by its currency's last rate at or before its date.
+
+    warning says where that rate is more than max_age days old (`stale`), where the first one there is had to serve
+    (`no rate yet`) and where there is none at all (`no rate`); the base itself converts to itself.
+    """
+    r = rates.select(F.col("currency").alias(currency), F.col("date").alias(date), F.struct(F.col("date").alias("d"), F.col("rate").alias("r")).alias("_rate"))
+    first = r.groupBy(currency).agg(F.min("_rate").alias("_first"))
+    out = asof_join(df, r, currency, date, "_rate", "_asof").join(bounded(first), currency, "left")
+    own = F.col(currency) == base
+    used = F.coalesce("_asof", "_first")
+    late = F.datediff(F.col(date), F.col("_asof.d")) > max_age
+    warning = F.when(own, None).when(used.isNull(), "no rate").when(F.col("_asof").isNull(), "no rate yet").when(late, "stale")
+    return out.select(*df.columns, F.when(own, F.col(amount).cast("double")).otherwise(F.col(amount) * used["r"]).alias("converted"), F.when(~own, used["d"]).alias("rate_date"), warning.alias("warning"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, value: str, out: str = "asof") -> DataFrame:
@@ -131,72 +177,189 @@ def window_min_join(left: DataFrame, right: DataFrame, key: str, date: str, valu
     return both.withColumn(out, F.min("_v").over(ahead)).where("_left").drop("_left", "_v")
 
 
+class _Free:
+    """Rows of one source that no anchor took, in order of volume: the nearest one to a volume, the first of equals."""
+
+    def __init__(self):
+        self.known: list[tuple[float, int, int]] = []
+        self.unknown: list[tuple[int, int]] = []
+
+    def add(self, volume: float, order: int, row: int) -> None:
+        if volume != volume:
+            insort(self.unknown, (order, row))
+        else:
+            insort(self.known, (volume, order, row))
+
+    def remove(self, volume: float, order: int, row: int) -> None:
+        own, entry = (self.unknown, (order, row)) if volume != volume else (self.known, (volume, order, row))
+        own.pop(bisect_left(own, entry))
+
+    def nearest(self, volume: float, tolerance: float) -> int | None:
+        """Any is compatible with an unknown volume; an unknown one is further than all known ones in reach."""
+        if volume != volume:
+            return min([*((o, r) for _, o, r in self.known), *self.unknown[:1]], default=(0, None))[1]
+        i, best = bisect_left(self.known, (volume,)), None
+        if i < len(self.known):
+            best = (self.known[i][0] - volume, *self.known[i][1:])
+        if i:
+            v = self.known[i - 1][0]
+            _, order, row = self.known[bisect_left(self.known, (v,))]
+            best = min(best or (float("inf"), 0, 0), (volume - v, order, row))
+        if best and best[0] <= tolerance:
+            return best[2]
+        return self.unknown[0][1] if self.unknown else None
+
+
+def _matched(k1: Sequence, volume: Sequence, source: Sequence, order: Sequence, anchor: str, tolerance: float) -> list[int | None]:
+    """Of rows in order, the anchor's order that each is matched to."""
+    free: dict[str, _Free] = {}
+    exact: dict[tuple, _Free] = {}
+    for i, s in enumerate(source):
+        free.setdefault(s, _Free()).add(volume[i], order[i], i)
+        exact.setdefault((s, k1[i]), _Free()).add(volume[i], order[i], i)
+
+    def take(i: int) -> None:
+        free[source[i]].remove(volume[i], order[i], i)
+        exact[source[i], k1[i]].remove(volume[i], order[i], i)
+
+    ids: list[int | None] = [None] * len(source)
+    used, sources = set(), sorted(free)
+    for head in [anchor, *(s for s in sources if s != anchor)]:
+        for i in (i for i, s in enumerate(source) if s == head):
+            if i in used:
+                continue
+            near = []
+            for other in (s for s in sources if s != head):
+                same = exact.get((other, k1[i]))
+                j = same.nearest(volume[i], tolerance) if same else None
+                j = free[other].nearest(volume[i], tolerance) if j is None else j
+                if j is not None:
+                    near.append(j)
+            for j in (i, *near) if near else ():
+                used.add(j)
+                take(j)
+                ids[j] = int(order[i])
+    return ids
+
+
 def match_catalogues(rows: DataFrame, source: str, anchor: str, k1: str, k2: str, volume: str, order: str, volume_tolerance: int = 0) -> DataFrame:
     """Rows of several catalogues matched to the anchor's, one of each source at most: columns of rows, and match_id.
 
     Anchors go in order; each takes from every other source the nearest volume among rows of its exact key k1, else of
     its rewritten key k2, which no anchor took before. Anchors left alone and the other sources' leftovers are matched among
-    themselves by k2. Greedy and sequential, so it runs inside each block of k2, which k1 determines.
+    themselves by k2. An unknown volume goes with any, after the known ones in reach. Greedy and sequential, so it runs
+    inside each block: of k2, which k1 determines, and of volumes that steps within the tolerance join, as nothing
+    matches across a wider gap; unknown volumes keep their key in one block.
     """
     schema = StructType([*rows.schema.fields, StructField("match_id", LongType())])
     names = rows.columns
+    sizes = rows.groupBy(k2, volume).agg(F.count("*").alias("_c"))
+    gap = F.col(volume) - F.lag(volume).over(Window.partitionBy(k2).orderBy(F.col(volume).asc_nulls_first())) > volume_tolerance
+    whole = F.max(F.col(volume).isNull()).over(Window.partitionBy(k2))
+    steps = F.sum(F.when(gap, 1).otherwise(0)).over(Window.partitionBy(k2).orderBy(F.col(volume).asc_nulls_first()))
+    blocks = sizes.withColumn("_gap", gap).withColumn("_block", F.when(whole, 0).otherwise(steps)).select(F.col(k2).alias("_k2"), F.col(volume).alias("_v"), "_block")
+    keyed = rows.join(blocks, F.col(k2).eqNullSafe(F.col("_k2")) & F.col(volume).eqNullSafe(F.col("_v"))).drop("_k2", "_v")
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values([order, source], kind="stable").reset_index(drop=True)
-        ids, used = [None] * len(block), set()
-        sources = sorted(set(block[source]))
-        for head in [anchor, *(s for s in sources if s != anchor)]:
-            for i in block.index[block[source] == head]:
-                if i in used:
-                    continue
-                taken = []
-                for other in sources:
-                    if other == head:
-                        continue
-                    free = [j for j in block.index[block[source] == other] if j not in used]
-                    for exact in (True, False):
-                        near = [j for j in free if (block[k1][j] == block[k1][i]) == exact and (pd.isna(block[volume][i]) or pd.isna(block[volume][j]) or abs(block[volume][j] - block[volume][i]) <= volume_tolerance)]
-                        if near:
-                            best = min(near, key=lambda j: (abs((block[volume][j] or 0) - (block[volume][i] or 0)), block[order][j]))
-                            taken.append(best)
-                            break
-                if taken:
-                    used |= {i, *taken}
-                    for j in (i, *taken):
-                        ids[j] = int(block[order][i])
+        ids = _matched(block[k1].tolist(), block[volume].astype("float64").tolist(), block[source].tolist(), block[order].tolist(), anchor, volume_tolerance)
         return block.assign(match_id=pd.array(ids, dtype="Int64"))[[*names, "match_id"]]
 
-    return rows.groupBy(k2).applyInPandas(run, schema)
+    return keyed.groupBy(k2, "_block").applyInPandas(run, schema)
 
 
-def match_tokens(queries: DataFrame, listings: DataFrame, query: str, listing: str, price: str, stop: Names = ()) -> DataFrame:
+def match_tokens(queries: DataFrame, listings: DataFrame, query: str, listing: str, price: str, stop: Names = (), product: str | None = None) -> DataFrame:
     """Each distinct query with the cheapest listing of those that hold all its tokens with the fewest extra ones.
 
     Candidates share the query's longest token, so nothing is compared with everything. label is exact without extra
-    tokens, else near; tier and pool count the listings as good as the best, and all that match.
+    tokens, else near; tier and pool count the listings as good as the best, and all that match. With product, siblings
+    counts the listings of the chosen one's product, and sibling_high is the dearest of them.
     """
     none = F.array(*(F.lit(s) for s in stop)).cast("array<string>")
     q = queries.select(F.col(query).alias("query")).where("query is not null").distinct().withColumn("_q", F.array_except(tokens("query"), none)).where(F.size("_q") > 0)
     longest = F.array_min(F.transform("_q", lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))["t"]
     q = q.withColumn("_t", longest)
-    one = listings.select(F.col(listing).alias("listing"), F.col(price).alias("price")).where("listing is not null").withColumn("_l", F.array_distinct(F.array_except(tokens("listing"), none)))
+    own = [F.col(product).alias("product")] if product else []
+    one = listings.select(F.col(listing).alias("listing"), F.col(price).alias("price"), *own).where("listing is not null").withColumn("_l", F.array_distinct(F.array_except(tokens("listing"), none)))
     pairs = q.join(one.withColumn("_t", F.explode("_l")), "_t").where(F.size(F.array_except("_q", "_l")) == 0)
     pairs = pairs.withColumn("extra", F.size("_l") - F.size(F.array_distinct("_q")))
-    best = pairs.groupBy("query").agg(F.min(F.struct("extra", "price", "listing")).alias("b"), F.count("*").alias("pool"))
+    best = pairs.groupBy("query").agg(F.min(F.struct("extra", "price", "listing", *(["product"] if product else []))).alias("b"), F.count("*").alias("pool"))
     tier = pairs.join(best.select("query", F.col("b.extra").alias("_e")), "query").where("extra = _e").groupBy("query").agg(F.count("*").alias("tier"))
-    return best.join(tier, "query").select("query", F.col("b.listing").alias("listing"), F.col("b.price").alias("price"), F.col("b.extra").alias("extra"), F.when(F.col("b.extra") == 0, "exact").otherwise("near").alias("label"), "tier", "pool")
-
-
-def match_fuzzy(names: DataFrame, dim: DataFrame, name: str, brand: str, ident: str, block: str, least: float = 0.62, margin: float = 0.10) -> DataFrame:
-    """Each distinct name with the most similar dimension name of its block: id, ratio, or why not (low, ambiguous, none)."""
-    left = names.select(F.col(name).alias("name"), block).where("name is not null").distinct()
-    right = dim.select(F.col(brand).alias("candidate"), F.col(ident).alias("id"), block).distinct()
-    scored = left.join(right, block).withColumn("ratio", seq_ratio("name", "candidate"))
-    top = scored.groupBy("name", block).agg(F.max(F.struct("ratio", "candidate", "id")).alias("b"), F.slice(F.sort_array(F.collect_set(F.struct("ratio", "candidate")), False), 2, 1).alias("s"))
-    second = F.coalesce(F.try_element_at("s", F.lit(1))["ratio"], F.lit(0.0))
-    reason = F.when(F.col("b.ratio") < least, "low").when(F.col("b.ratio") - second < margin, "ambiguous")
-    out = left.join(top, ["name", block], "left").withColumn("reason", F.when(F.col("b").isNull(), "none").otherwise(reason))
-    return out.select("name", block, F.when(F.col("reason").isNull(), F.col("b.id")).alias("id"), F.round("b.ratio", 6).alias("ratio"), "reason")
+    out = best.join(tier, "query").select("query", F.col("b.listing").alias("listing"), F.col("b.price").alias("price"), F.col("b.extra").alias("extra"), F.when(F.col("b.extra") == 0, "exact").otherwise("near").alias("label"), "tier", "pool", *([F.col("b.product").alias("product")] if product else []))
+    if not product:
+        return out
+    same = listings.groupBy(F.col(product).alias("product")).agg(F.count("*").alias("siblings"), F.max(price).alias("sibling_high"))
+    return out.join(same, "product", "left")
+
+
+def could_reach(a: str, b: str, least: float) -> Column:
+    """False only where two texts can't be so similar: 2 M / T is at most twice the characters they share over all of theirs."""
+    both = F.length(a) + F.length(b)
+    count = lambda s, c: F.length(s) - F.length(F.replace(F.col(s), c, F.lit("")))
+    shared = F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(count(a, c), count(b, c))))
+    return F.when(2 * F.least(F.length(a), F.length(b)) < least * both, False).otherwise(2 * shared >= least * both)
+
+
+def match_fuzzy(
+    names: DataFrame,
+    dim: DataFrame,
+    name: str,
+    canonical: str,
+    ident: str,
+    brand: str,
+    edition: str,
+    block: str,
+    fixes: Sequence[tuple[str, str]] = (),
+    aliases: DataFrame | None = None,
+    least: float = 0.62,
+    short: float = 0.6,
+    sub_least: float = 0.34,
+    margin: float = 0.10,
+    alias_least: float = 0.85,
+    alias_margin: float = 0.08,
+) -> DataFrame:
+    """Each distinct misread name with the id that it most likely means: (name, block, id, info, ratio); where none does, info says why.
+
+    Curated fixes are applied first. What stands before the age is held against the block's brands: the most similar one must
+    reach `least`, and the name's part must not be a fragment of it. Then only products of that brand and of the very same
+    age count. One is taken; of several, without further words in the name the plainest edition, else the one
+    whose edition is most like those words, if it reaches sub_least and leads by the margin. What fails is looked up among
+    the aliases (block, alias, id), exactly or by a similarity of alias_least with alias_margin, at the same age.
+    info: brand, base, edition, alias exact, alias fuzzy; or low brand, fragment, age, ambiguous.
+    """
+    squash = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
+    bare = lambda c: F.regexp_replace(c, VOLUME_PATTERN, " ")
+    left = names.select(F.col(name).alias("name"), block).where("name is not null").distinct().withColumn("fixed", rewrite("name", fixes))
+    left = left.withColumn("_age", age("fixed", "max")).withColumn("part", squash(bare(F.regexp_extract("fixed", rf"^(.*?)(?:{AGE_PATTERN.removeprefix('(?i)')}.*)?$", 1))))
+    left = left.withColumn("rest", F.replace(squash(bare(F.regexp_replace("fixed", AGE_PATTERN, " "))), F.col("part"), F.lit("")))
+    goods = dim.select(F.col(canonical).alias("canonical"), F.col(ident).alias("id"), squash(F.col(brand)).alias("brand"), squash(F.coalesce(F.col(edition), F.lit(""))).alias("extra"), block).distinct().withColumn("_of", age("canonical", "max"))
+
+    pairs = left.join(goods.select("brand", block).distinct(), block).where(could_reach("part", "brand", least)).withColumn("ratio", seq_ratio("part", "brand"))
+    top = pairs.where(F.col("ratio") >= least).groupBy("name", block).agg(F.max(F.struct("ratio", "brand")).alias("b"))
+    own = left.join(top, ["name", block], "left").withColumn("brand", F.col("b.brand")).withColumn("whole", F.length("part") >= short * F.length("brand"))
+    cands = own.where("whole").join(goods, [block, "brand"]).where(F.col("_age").eqNullSafe(F.col("_of"))).select("name", block, "rest", "id", "extra", F.col("b.ratio").alias("brand_ratio"))
+    counted = cands.withColumn("_n", F.count("*").over(Window.partitionBy("name", block))).withColumn("sub", F.when((F.col("_n") > 1) & (F.col("rest") != ""), seq_ratio("rest", "extra")))
+    order = Window.partitionBy("name", block).orderBy(F.col("sub").desc_nulls_last(), F.when(F.col("rest") == "", F.length("extra")), F.col("id").desc())
+    ranked = counted.withColumn("_k", F.row_number().over(order)).withColumn("_second", F.lead("sub").over(order)).where("_k = 1")
+    clear = (F.col("sub") >= sub_least) & (F.col("sub") - F.coalesce("_second", F.lit(0.0)) >= margin)
+    how = F.when(F.col("_n") == 1, "brand").when(F.col("rest") == "", "base").when(clear, "edition").otherwise("ambiguous")
+    found = ranked.select("name", block, how.alias("_how"), "id", F.when(how == "edition", F.col("sub")).otherwise(F.col("brand_ratio")).alias("_r"))
+    why = F.when(F.col("b").isNull(), "low brand").when(~F.col("whole"), "fragment").when(F.col("_how").isNull(), "age").otherwise(F.col("_how"))
+    out = own.join(found, ["name", block], "left").withColumn("info", why)
+    out = out.select("name", block, "fixed", "_age", F.when(F.col("info") != "ambiguous", F.col("id")).alias("id"), "info", F.when(F.col("info") != "ambiguous", F.col("_r")).alias("ratio"))
+    if aliases is not None:
+        known = aliases.select(block, squash(bare(F.col("alias"))).alias("alias"), F.col("id").alias("alias_id"), age("alias", "max").alias("_a")).where(F.length("alias") >= 4).distinct()
+        lost = out.where("id is null").select("name", block, squash(bare(F.col("fixed"))).alias("key"), "_age").where(F.length("key") >= 4)
+        single = known.groupBy(block, F.col("alias").alias("key")).agg(F.count_distinct("alias_id").alias("_c"), F.min("alias_id").alias("_exact")).where("_c = 1")
+        exact = lost.join(single, [block, "key"]).select("name", block, "_exact")
+        tried = lost.join(known, block).where(F.col("_age").eqNullSafe(F.col("_a"))).where(could_reach("key", "alias", alias_least - alias_margin)).withColumn("r", seq_ratio("key", "alias"))
+        best = Window.partitionBy("name", block).orderBy(F.col("r").desc(), "alias", "alias_id")
+        fuzzy = tried.withColumn("_k", F.row_number().over(best)).withColumn("_next", F.lead("r").over(best)).where("_k = 1")
+        fuzzy = fuzzy.where((F.col("r") >= alias_least) & (F.col("r") - F.coalesce("_next", F.lit(0.0)) >= alias_margin)).select("name", block, F.col("alias_id").alias("_fuzzy"), F.col("r").alias("_fr"))
+        out = out.join(exact, ["name", block], "left").join(fuzzy, ["name", block], "left")
+        out = out.withColumn("info", F.when(F.col("_exact").isNotNull(), "alias exact").when(F.col("_fuzzy").isNotNull(), "alias fuzzy").otherwise(F.col("info")))
+        out = out.withColumn("ratio", F.coalesce("ratio", F.when(F.col("_exact").isNotNull(), 1.0).otherwise(F.col("_fr")))).withColumn("id", F.coalesce("id", "_exact", "_fuzzy"))
+    return out.select("name", block, "id", "info", F.round("ratio", 6).alias("ratio"))
 
 
 def match_brand_age(items: DataFrame, offers: DataFrame, item: str, offer: str, price: str, volume: str, brands: DataFrame, exclude: str | None = None, least_volume: int = 500) -> DataFrame:
@@ -285,9 +448,13 @@ def pair_boxes(names: DataFrame, prices: DataFrame, frame: str, max_gap: float,
 
 
 def suggest_canonical(unmatched: DataFrame, dim: DataFrame, name: str, canonical: str, block: str, sure: float = 0.85, maybe: float = 0.62) -> DataFrame:
-    """Each distinct unmatched name with its most similar canonical one of the block and a class: alias, candidate (same age) or new."""
+    """Each distinct unmatched name with its most similar canonical one of the block and a class: alias, candidate (same age) or new.
+
+    Names that can't reach `maybe` by their letters aren't compared further; without any that does, a name is new and has no canonical one.
+    """
     left = unmatched.select(F.col(name).alias("name"), block).where("name is not null").distinct()
-    scored = left.join(dim.select(F.col(canonical).alias("canonical"), block).distinct(), block).withColumn("ratio", seq_ratio("name", "canonical"))
+    pairs = left.join(dim.select(F.col(canonical).alias("canonical"), block).distinct(), block).where(could_reach("name", "canonical", maybe))
+    scored = pairs.withColumn("ratio", seq_ratio("name", "canonical")).where(F.col("ratio") >= maybe)
     best = scored.groupBy("name", block).agg(F.max(F.struct("ratio", "canonical")).alias("b"))
     same = age("name", "max").eqNullSafe(age("canonical", "max"))
     out = left.join(best, ["name", block], "left").select("name", block, F.col("b.canonical").alias("canonical"), F.round("b.ratio", 6).alias("ratio"))

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyvane.operators import ranking
+
 Names = Sequence[str]
 
 
@@ -63,9 +67,9 @@ def baseline_rate(series: DataFrame, exclude: DataFrame, key: str, date: str, va
     w = Window.partitionBy(key).orderBy(F.unix_date(F.col(date).cast("date"))).rangeBetween(1, k)
     seen = s.withColumn("after", F.min(value).over(w)).where("after is not null").withColumn("change", F.col("after") - F.col(value))
     n = seen.agg(F.count("*").alias("n"), F.count_if(F.col("change") < 0).alias("drops"))
-    half = seen.groupBy("change").agg(F.count("*").alias("c"))
-    upto = half.withColumn("upto", F.sum("c").over(Window.orderBy("change"))).crossJoin(F.broadcast(n)).where(F.col("upto") > F.floor(F.col("n") / 2))
-    return n.crossJoin(F.broadcast(upto.agg(F.min("change").alias("upper_median")))).withColumn("rate", F.round(F.col("drops") / F.when(F.col("n") != 0, F.col("n")), 4))
+    half = F.floor(F.col("total") / 2)
+    middle = ranking.running_counts(seen, [], "change").where((F.col("before") <= half) & (half < F.col("before") + F.col("n")))
+    return n.crossJoin(F.broadcast(middle.agg(F.max("change").alias("upper_median")))).withColumn("rate", F.round(F.col("drops") / F.when(F.col("n") != 0, F.col("n")), 4))
 
 
 def trajectory(series: DataFrame, key: str, period: str, value: str, step: float = 0.015, least: int = 3) -> DataFrame:
@@ -87,27 +91,38 @@ def trajectory(series: DataFrame, key: str, period: str, value: str, step: float
     return s.select(key, F.col(period).alias("last"), F.col(value).alias("value"), F.col("_n").alias("periods"), tier.alias("tier"), tag.alias("tag"))
 
 
-def rare_drops(history: DataFrame, key: str, date: str, price: str, week_start: str, week_end: str, drop: float = 0.20, band: float = 0.02, persist: int = 6, flat: float = 0.04) -> DataFrame:
-    """Keys whose price falls in a week by `drop` from a plateau: a price met, within band, on at least `persist` dates.
+def rare_drops(
+    history: DataFrame, key: str, date: str, price: str, week_start: str, week_end: str, drop: float = 0.20, band: float = 0.02, persist: int = 6, flat: float = 0.04, discount: str | None = None, base_discount: float = 20.0
+) -> DataFrame:
+    """Keys whose price falls in a week by `drop` from a plateau: the highest price met, within band, on at least `persist` dates.
 
-    The fall must be the first so low, follow a flat stretch (its range before the week within `flat`), and still hold at the week's end.
+    The current price is that of the week's last date. It must be the first so low (within band), on a date of the week;
+    at least `persist` dates lie before that, their prices flat (their range within `flat` of the plateau), and the last of
+    them was at most base_discount percent off, where a column of discounts is given.
     """
-    day = last_per_day(history, [key], date, price)
-    levels = day.select(key, F.col(price).alias("level")).distinct()
-    met = levels.join(day, key).where(F.abs(F.col(price) - F.col("level")) <= F.col("level") * band)
-    plateau = met.groupBy(key, "level").agg(F.count_distinct(date).alias("n")).where(F.col("n") >= persist).groupBy(key).agg(F.max("level").alias("plateau"))
-    inside = (F.col(date) >= F.lit(week_start).cast("date")) & (F.col(date) <= F.lit(week_end).cast("date"))
-    ago = F.col(date) < F.lit(week_start).cast("date")
-    recent = ago & (F.datediff(F.lit(week_start).cast("date"), date) <= 90)
-    agg = day.groupBy(key).agg(
-        F.min(F.when(inside, F.col(price))).alias("low"),
-        F.max(F.when(inside, F.struct(date, price)))[price].alias("last"),
-        F.min(F.when(ago, F.col(price))).alias("low_before"),
-        F.min(F.when(recent, F.col(price))).alias("_a"),
-        F.max(F.when(recent, F.col(price))).alias("_b"),
+    day = history.where(F.col(price) > 0).groupBy(key, date).agg(F.min(F.struct(F.col(price).alias("p"), (F.col(discount) if discount else F.lit(None).cast("double")).alias("off"))).alias("_s")).select(key, date, F.col("_s.p").alias("_p"), F.col("_s.off").alias("_off"), F.log("_s.p").alias("_lp"))
+    # Prices within the band are a stretch of the key's prices in order of their logarithm, so no two dates are paired.
+    reach = f"range between {-math.log(1 - band) + 1e-12!r}D preceding and {math.log(1 + band) + 1e-12!r}D following"
+    met = day.withColumn("_met", F.expr(f"count(*) over (partition by `{key}` order by _lp {reach})"))
+    start, end = (F.lit(x).cast("date") for x in (week_start, week_end))
+    own = Window.partitionBy(key)
+    now = F.max(F.when(F.col(date).between(start, end), F.struct(F.col(date).alias("d"), F.col("_p").alias("p"))))
+    met = met.withColumn("_now", now.over(own)["p"]).where("_now is not null")
+    met = met.withColumn("_first", F.min(F.when(F.col("_p") <= F.col("_now") * (1 + band), F.col(date))).over(own))
+    before = F.col(date) < F.col("_first")
+    agg = met.groupBy(key).agg(
+        F.max(F.when((F.col("_met") >= persist) & (F.col("_p") > F.col("_now") * (1 + drop * 0.5)), F.col("_p"))).alias("plateau"),
+        F.first("_now").alias("current"),
+        F.first("_first").alias("drop_date"),
+        F.count_if(before).alias("flat_days"),
+        F.min(F.when(before, F.col("_p"))).alias("_lo"),
+        F.max(F.when(before, F.col("_p"))).alias("_hi"),
+        F.max(F.when(before, F.struct(F.col(date).alias("d"), F.col("_off").alias("off")))).alias("_last"),
     )
-    ok = (F.col("low") <= F.col("plateau") * (1 - drop)) & (F.col("low") < F.col("low_before")) & (F.col("_b") <= F.col("_a") * (1 + flat)) & (F.col("last") <= F.col("plateau") * (1 - drop))
-    return agg.join(plateau, key).where(ok).select(key, "plateau", "low", "last", F.round((1 - F.col("low") / F.col("plateau")) * 100, 2).alias("drop_pct"))
+    ok = (F.col("plateau") - F.col("current") >= F.col("plateau") * drop) & F.col("drop_date").between(start, end) & (F.col("flat_days") >= persist) & (F.col("_hi") - F.col("_lo") <= F.col("plateau") * flat)
+    if discount:
+        ok = ok & F.coalesce(F.col("_last.off") <= base_discount, F.lit(True))
+    return agg.where(ok).select(key, "plateau", "current", F.round((1 - F.col("current") / F.col("plateau")) * 100, 2).alias("drop_pct"), "drop_date", "flat_days")
 
 
 def value_lenses(a: DataFrame, b: DataFrame, group: str, key: str, rank: str, price: str) -> DataFrame:
@@ -121,6 +136,14 @@ def value_lenses(a: DataFrame, b: DataFrame, group: str, key: str, rank: str, pr
     return out.withColumn("same_rank_gap_pct", F.round((F.col("price") - F.col("same_rank_price")) * 100.0 / F.when(F.col("same_rank_price") != 0, F.col("same_rank_price")), 2))
 
 
+def lens_score(df: DataFrame, rank: str = "rank", beats: str = "beats_rank", gap_pct: str = "same_rank_gap_pct", low: str | None = None, below: str | None = None) -> DataFrame:
+    """df with score: 100 and 15 a rank for beating a lesser rank's price, the percent under the same rank's, 25 for a recent low, else 8 under the mean."""
+    score = F.when(F.col(beats).isNotNull(), 100 + 15 * (F.col(rank) - F.col(beats))).otherwise(0) + F.when(F.col(gap_pct) < 0, F.round(-F.col(gap_pct))).otherwise(0)
+    if low:
+        score = score + F.when(F.coalesce(low, F.lit(False)), 25).when(F.coalesce(below, F.lit(False)) if below else F.lit(False), 8).otherwise(0)
+    return df.withColumn("score", score.cast("long"))
+
+
 def recent_lens(ts: DataFrame, key: str, date: str, value: str, last: int = 14, least: int = 3) -> DataFrame:
     """Over each key's last points: whether its latest is their low, and whether it is under their mean."""
     w = Window.partitionBy(key).orderBy(F.col(date).desc())
@@ -161,8 +184,8 @@ def rank_movers(prev: DataFrame, cur: DataFrame, key: str, a: str, b: str) -> Da
     """Common keys with their rank by gap (b - a) in both snapshots, the move, and which of the two prices moved more."""
 
     def ranked(df: DataFrame, tag: str) -> DataFrame:
-        gap = F.col(b) - F.col(a)
-        return df.where(gap.isNotNull()).select(key, F.col(a).alias(f"a_{tag}"), F.col(b).alias(f"b_{tag}"), F.rank().over(Window.orderBy(gap.desc())).cast("long").alias(f"rank_{tag}"))
+        own = df.select(key, F.col(a).alias(f"a_{tag}"), F.col(b).alias(f"b_{tag}"), (F.col(b) - F.col(a)).alias("_gap"))
+        return ranking.with_rank(own, "_gap", f"rank_{tag}").drop("_gap")
 
     both = ranked(prev, "prev").join(ranked(cur, "cur"), key)
     da, db = F.abs(F.col("a_cur") - F.col("a_prev")), F.abs(F.col("b_cur") - F.col("b_prev"))
@@ -199,13 +222,20 @@ def opportunity_diff(prev: DataFrame, cur: DataFrame, key: str, live: DataFrame
     return seen.select(key, F.when((F.col("status") == "expired") & F.col("_l").isNull(), "unknown").otherwise(F.col("status")).alias("status"))
 
 
-def recommend(candidates: DataFrame, key: str, prev_gap: str, gap: str, last: DataFrame, n: int = 5, widened: float = 5.0) -> DataFrame:
-    """Up to n keys: first what is new or whose gap widened by `widened` percent, then others; none that was recommended last time comes before one that wasn't."""
+def recommend(candidates: DataFrame, key: str, prev_gap: str, gap: str, state: DataFrame, date: str, n: int = 5, widened: float = 5.0) -> DataFrame:
+    """Up to n keys for a date: first what is new or whose gap widened by over `widened` percent, then others that weren't recommended last time.
+
+    state holds the recommendations so far (date, key); the newest date before this one is the last time. What comes out
+    has the columns of state, so it can be appended, and place, gap and fresh.
+    """
+    last = state.where(F.col("date") < F.lit(date).cast(state.schema["date"].dataType))
+    last = last.join(F.broadcast(last.agg(F.max("date").alias("date"))), "date").select(key, F.lit(True).alias("_last")).distinct()
     fresh = F.col(prev_gap).isNull() | ((F.col(gap) - F.col(prev_gap)) * 100.0 > F.col(prev_gap) * widened)
-    seen = candidates.join(last.select(key, F.lit(1).alias("_last")).distinct(), key, "left")
-    order = [F.coalesce("_last", F.lit(0)), F.when(fresh, 0).otherwise(1), F.col(gap).desc(), F.col(key)]
-    top = seen.withColumn("fresh", fresh).orderBy(*order).limit(n)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).select("place", key, gap, "fresh", F.coalesce("_last", F.lit(0)).alias("repeated"))
+    seen = candidates.where(F.col(gap) > 0).withColumn("fresh", fresh).join(last, key, "left").where(F.col("fresh") | F.col("_last").isNull())
+    order = [F.when(F.col("fresh"), 0).otherwise(1), F.col(gap).desc(), F.col(key)]
+    top = seen.orderBy(*order).limit(n)  # the window sees these n
+    place = F.row_number().over(Window.orderBy(*order)).alias("place")
+    return top.select(F.lit(date).cast(state.schema["date"].dataType).alias("date"), key, place, gap, "fresh", F.coalesce("_last", F.lit(False)).alias("repeated"))
 
 
 def stable_runs(df: DataFrame, key: str, ts: str, diff: str, threshold: float, least: int = 1, tie: str | None = None) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from functools import wraps
 
@@ -66,3 +69,11 @@ def pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 PAIR = f"{MONTHLY}, prev as (select item, price, qty from monthly where \"month\" = '{PREV}'), cur as (select item, price, qty from monthly where \"month\" = '{CUR}')"
+
+
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder beside the checkpoints that all executors share; a temporary one serves a session in one process only."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{named or tempfile.mkdtemp(prefix='spark-')}/{kind}-{uuid.uuid4().hex}"

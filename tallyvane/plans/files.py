@@ -1,24 +1,16 @@
 """Queries of the readers and sinks that need files: each writes what it reads back to a new folder."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
-from tallyvane.plans.base import query, table
+from tallyvane.plans.base import query, shared_folder, table
 from tallyvane.sources import readers as R
 from tallyvane.sources import writers as X
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/files-{uuid.uuid4().hex}"
-
-
 @query("select p_partkey::varchar p_partkey, p_name, case when p_size > 10 then p_size::varchar end size, null::varchar colour from part")
 def s1_csv_round_trip(spark, sf):
     """Written as sorted CSV with empty cells for nulls, read back loosely with a column that isn't there."""
-    path = _folder(spark)
+    path = shared_folder(spark, "files")
     p = table(spark, sf, "part").select("p_partkey", "p_name", F.when(F.col("p_size") > 10, F.col("p_size")).alias("size"))
     X.write_table(p, path, "csv", ["p_partkey", "p_name", "size"], ["p_partkey"])
     return R.read_csv_loose(spark, path, ["p_partkey", "p_name", "size", "colour"])
@@ -27,18 +19,18 @@ def s1_csv_round_trip(spark, sf):
 @query("select p_name \"name\", p_size::varchar size from part where p_size % 4 <> 0")
 def s3_csv_with_comments(spark, sf):
     """Every fourth size's line is a comment."""
-    path = _folder(spark)
+    path = shared_folder(spark, "files")
     line = F.concat(F.when(F.col("p_size") % 4 == 0, "# ").otherwise(""), "p_name", F.lit(","), "p_size")
     table(spark, sf, "part").select(line.alias("value")).write.text(path)
-    rows = spark.read.option("comment", "#").schema("name string, size string").csv(path)
-    return rows
+    return R.read_csv_loose(spark, path, comment="#", header=["name", "size"])
 
 
-@query("select p_name \"name\", case when p_partkey % 2 = 1 then p_brand end branch, p_size::varchar price from part")
+@query("select p_name || ', ' || p_type \"name\", case when p_partkey % 2 = 1 then p_brand end branch, p_size::varchar price from part")
 def s5_migrate_positional(spark, sf):
-    """Lines of two columns beside lines of three, the one between inserted later."""
+    """Lines of two columns beside lines of three, the one between inserted later; names hold commas, in quotes."""
     p = table(spark, sf, "part")
-    line = F.when(F.col("p_partkey") % 2 == 1, F.concat_ws(",", "p_name", "p_brand", "p_size")).otherwise(F.concat_ws(",", "p_name", "p_size"))
+    name = F.concat(F.lit('"'), "p_name", F.lit(", "), "p_type", F.lit('"'))
+    line = F.when(F.col("p_partkey") % 2 == 1, F.concat_ws(",", name, "p_brand", "p_size")).otherwise(F.concat_ws(",", name, "p_size"))
     return R.migrate_positional(p.select(line.alias("value")), ["name", "price"], ["name", "branch", "price"])
 
 
@@ -52,6 +44,14 @@ def s15_markdown_tables(spark, sf):
     return rows.select("heading", F.col("cells")[0].alias("name"), F.col("cells")[1].cast("bigint").alias("n"))
 
 
+@query("select p_brand, count(*) total, sum(case when p_size > 40 then -p_size else 0 end)::bigint change from part group by 1")
+def s15_summary_numbers(spark, sf):
+    """Numbers of a report's summary lines, read back by pattern."""
+    n = table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.sum(F.when(F.col("p_size") > 40, -F.col("p_size")).otherwise(0)).alias("c"))
+    text = n.select("p_brand", F.concat(F.lit("# Report\n- total: **"), F.format_number("n", 0), F.lit("** items\n- change: "), "c", F.lit(" won")).alias("text"))
+    return text.select("p_brand", *R.summary_numbers("text", {"total": r"total: \*\*([0-9,]+)", "change": r"change: (-?[0-9,]+)"}))
+
+
 @query("select conv_id, turn ms, trim(regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) \"text\" from conversations where trim(regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) <> ''")
 def s16_captions(spark, sf):
     """Conversations as caption documents of one event a turn, cut in two segments, and back."""
@@ -64,7 +64,7 @@ def s16_captions(spark, sf):
 @query("select p_partkey, '2026-06-01' run_date from part where p_size > 20 union all select p_partkey, '2026-06-02' from part where p_size > 30")
 def s20_dated_snapshots(spark, sf):
     """Two days' snapshots; the first day's second run replaces its first and leaves the other day alone."""
-    path, p = _folder(spark), table(spark, sf, "part").select("p_partkey", "p_size")
+    path, p = shared_folder(spark, "files"), table(spark, sf, "part").select("p_partkey", "p_size")
     for size, day in ((10, "2026-06-01"), (30, "2026-06-02"), (20, "2026-06-01")):
         X.write_snapshot(p.where(F.col("p_size") > size).select("p_partkey"), path, day)
     return spark.read.parquet(path).select("p_partkey", F.col("run_date").cast("string").alias("run_date"))

@@ -6,6 +6,7 @@ from tallyvane.functions import classify as C
 from tallyvane.functions import text as T
 from tallyvane.functions import values as V
 from tallyvane.operators import gates as G
+from tallyvane.operators import joins as J
 from tallyvane.plans.base import OBS, PAIR, obs, pair, query, table
 
 
@@ -24,9 +25,9 @@ def c1_to_num(spark, sf):
     return x.select("p_partkey", T.to_num(F.concat(F.lit("₩ "), F.format_number("p_partkey", 0), F.lit(" won"))).alias("number"), T.to_num("p_brand").alias("brand_no"))
 
 
-@query(f"with {LABEL} select p_partkey, (p_size * 25)::int first_ml, (p_size * 25)::int last_ml, 700 default_ml from lab")
+@query(f"with {LABEL} select p_partkey, (p_size * 25)::int first_ml, (p_size * 25)::int last_ml, 700 default_ml, (p_size * 10)::int tail_ml from lab")
 def c2_volume(spark, sf):
-    return _label(spark, sf).select("p_partkey", T.volume_ml("label").alias("first_ml"), T.volume_ml("label", last=True).alias("last_ml"), T.volume_ml("p_name", 700).alias("default_ml"))
+    return _label(spark, sf).select("p_partkey", T.volume_ml("label").alias("first_ml"), T.volume_ml("label", last=True).alias("last_ml"), T.volume_ml("p_name", 700).alias("default_ml"), T.volume_ml(F.concat("p_name", F.lit(" "), F.col("p_size") * 10, F.lit("m")), tail=True).alias("tail_ml"))
 
 
 @query(f"with {LABEL} select p_partkey, p_size age, case when p_size between 3 and 80 then p_size end oldest from lab")
@@ -60,11 +61,11 @@ def c8_classify_first(spark, sf):
     return table(spark, sf, "part").select("p_partkey", C.classify_first("p_name", [("colour", ["red", "blue"]), ("size", ["small", "big"])], "other").alias("kind"))
 
 
-@query("select p_partkey, case when contains(p_name, 'red') and contains(p_name, 'ring') then 'red ring' when contains(p_name, 'red') then 'colour' when contains(p_name, 'ring') then 'shape' else 'other' end kind from part")
+@query("""with w as (select p_partkey, p_name, string_split(p_name, ' ') l from part) select p_partkey, case when contains(p_name, 'red') and contains(p_name, 'ring') then 'red ring' when contains(p_name, 'red') then 'colour' when contains(p_name, 'ring') then 'shape' else 'other' end kind,
+ array_to_string(list_filter(l, lambda x: contains(x, 'red') or contains(x, 'ring')), ',') hits, array_to_string(list_filter(l, lambda x: not (contains(x, 'red') or contains(x, 'ring'))), ',') rest from w""")
 def c9_classify_precedence(spark, sf):
-    words = F.split("p_name", " ")
-    c = C.classify_precedence(words, [("colour", ["red"]), ("shape", ["ring"])], {("colour", "shape"): "red ring"})
-    return table(spark, sf, "part").select("p_partkey", c["label"].alias("kind"))
+    c = C.classify_precedence(F.split("p_name", " "), [("colour", ["red"]), ("shape", ["ring"])], {("colour", "shape"): "red ring"})
+    return table(spark, sf, "part").select("p_partkey", c["label"].alias("kind"), F.array_join(c["hits"], ",").alias("hits"), F.array_join(c["unmatched"], ",").alias("rest"))
 
 
 @query("""with m as (select p_partkey, replace(p_name, 'red widget', ' ') t from part) select p_partkey, case when regexp_matches(t, 'red|ring') then 'first' when contains(t, 'gear') then 'second' end tier,
@@ -102,10 +103,14 @@ def c15_date_from_text(spark, sf):
     return e.select("event_id", V.date_from_text(F.concat(F.lit("seen "), F.date_format("ts", "yyyy.M.d"), F.lit(" at noon"))).alias("a"), V.last_date_in_name(F.concat(F.lit("x__run2019-01-05_"), F.date_format("ts", "yyyy-MM-dd"))).alias("b"))
 
 
-@query("select c_custkey, 'N' || c_nationkey branch from customer")
+@query("select c_custkey, case c_custkey % 4 when 0 then 'N' || c_nationkey when 1 then 'N' || c_nationkey || '점' when 2 then 'N' || c_nationkey || ' branch' end branch, c_mktsegment || '점' named from customer")
 def c16_branch(spark, sf):
-    c = table(spark, sf, "customer")
-    return c.select("c_custkey", T.branch_from_text(F.concat(F.lit("shop (sale) (N"), F.col("c_nationkey"), F.lit(")")), F.lit(""), ["sale"]).alias("branch"))
+    """A branch in brackets, as a word of the title, only in the body, or nowhere; and one that only the description names."""
+    c, key = table(spark, sf, "customer"), F.concat(F.lit("N"), F.col("c_nationkey"))
+    kind = F.col("c_custkey") % 4
+    title = F.when(kind == 0, F.concat(F.lit("shop (sale) ("), key, F.lit(")"))).when(kind == 1, F.concat(F.lit("shop "), key, F.lit("점 open"))).otherwise("shop")
+    body = F.when(kind == 2, F.concat(F.lit("come to "), key, F.lit(" branch now"))).otherwise("come and see")
+    return c.select("c_custkey", T.branch_from_text(title, body, ["sale"]).alias("branch"), T.branch_from_text(F.lit("what's new"), F.concat(F.lit("in "), "c_mktsegment", F.lit("점")), []).alias("named"))
 
 
 @query(f"with {OBS} select item, d, source, price, case when p_size > 0 then round(price * 100.0 / p_size, 4) end unit from obs join part on p_partkey = item", dates=["d"])
@@ -122,6 +127,33 @@ def c18_convert(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.round(V.convert(F.round("l_extendedprice").cast("bigint"), "l_returnflag", FX), 2).alias("converted"))
 
 
+FX_SQL = """fx as (select o_orderdate::date d, unnest(['A', 'F', 'N']) c, unnest([1.0 + (o_custkey % 7) / 100.0, 1350.5 + o_custkey % 50, 9.25]) r from orders where o_orderkey in (select min(o_orderkey) from orders where day(o_orderdate) in (1, 2, 11, 21) group by o_orderdate::date)),
+cr as (select d, c, t.r / fx.r r from fx join (select d, r from fx where c = 'F') t using (d))"""
+
+
+def _fx(spark, sf):
+    """Rates for one unit of some third currency, on four days a month."""
+    o = table(spark, sf, "orders").withColumn("d", F.col("o_orderdate").cast("date")).where(F.dayofmonth("d").isin(1, 2, 11, 21))
+    one = o.groupBy("d").agg(F.min(F.struct("o_orderkey", "o_custkey")).alias("o"))
+    return one.select(F.col("d").alias("date"), F.explode(F.create_map(F.lit("A"), 1.0 + F.col("o.o_custkey") % 7 / 100.0, F.lit("F"), 1350.5 + F.col("o.o_custkey") % 50, F.lit("N"), F.lit(9.25))).alias("currency", "rate"))
+
+
+@query(f"with {FX_SQL} select d, c currency, round(r, 6) rate from cr", dates=["d"])
+def c18_cross_rates(spark, sf):
+    return J.cross_rates(_fx(spark, sf), "F").select(F.col("date").alias("d"), "currency", F.round("rate", 6).alias("rate"))
+
+
+@query(f"""with {FX_SQL}, l as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_tax > 0.07 then 'X' else l_returnflag end c, l_shipdate::date d, round(l_extendedprice)::bigint a from lineitem),
+k as (select distinct c, d from l), j as (select k.c, k.d, cr.d rd, cr.r from k asof left join cr on k.c = cr.c and k.d >= cr.d), f as (select c, min(d) fd, min_by(r, d) fr from cr group by 1)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l.c currency, l.d, round(case when l.c = 'F' then a else a * coalesce(j.r, fr) end, 2) converted, case when l.c <> 'F' then coalesce(rd, fd) end rate_date,
+ case when l.c = 'F' then null when fd is null then 'no rate' when rd is null then 'no rate yet' when l.d - rd > 7 then 'stale' end warning from l join j on l.c = j.c and l.d = j.d left join f on f.c = l.c""", dates=["d", "rate_date"])
+def c18_convert_asof(spark, sf):
+    """Amounts by the last rate at or before their day, with a warning where that is old or had to come from later."""
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_tax") > 0.07, "X").otherwise(F.col("l_returnflag")).alias("currency"), F.col("l_shipdate").cast("date").alias("d"), F.round("l_extendedprice").cast("bigint").alias("a"))
+    out = J.convert_asof(line, J.cross_rates(_fx(spark, sf), "F"), "a", "currency", "d", "F", 7)
+    return out.drop("a").withColumn("converted", F.round("converted", 2))
+
+
 @query("""with c as (select p_partkey, round(p_retailprice)::bigint b from part), d as (select *, b * 0.2::double x from c), l as (select *, (b + x) * 0.72::double y from d), e as (select *, y * 0.3::double z from l), v as (select *, (b + x + y + z) * 0.1::double w from e)
 select p_partkey, round(x, 2) customs, round(y, 2) liquor, round(b + x + y + z + w, 2) landed, round((b + x + y + z + w) / nullif(b, 0), 4) multiplier from v""")
 def c19_landed_cost(spark, sf):
@@ -134,10 +166,10 @@ def c20_bands(spark, sf):
     return table(spark, sf, "part").select("p_partkey", *(V.band("p_size", [10, 30], ["a", "b", "c"], c).alias(n) for c, n in (("left", "lft"), ("right", "rgt"), ("mixed", "mixed"))))
 
 
-@query("select o_orderkey, date_trunc('week', o_orderdate)::date monday, (date_trunc('week', o_orderdate) + interval 6 day)::date sunday, (weekofyear(o_orderdate) % 4)::int rota, strftime(o_orderdate, '%Y-%m') \"month\" from orders", dates=["monday", "sunday"])
+@query("select o_orderkey, date_trunc('week', o_orderdate)::date monday, (date_trunc('week', o_orderdate) + interval 6 day)::date sunday, (weekofyear(o_orderdate) % 4)::int rota, strftime(o_orderdate, '%Y-%m') \"month\", (o_orderdate::date + interval 1 month)::date later from orders", dates=["monday", "sunday", "later"])
 def c21_calendar(spark, sf):
     b = V.iso_week_bounds("o_orderdate")
-    return table(spark, sf, "orders").select("o_orderkey", b["monday"].alias("monday"), b["sunday"].alias("sunday"), V.iso_week_mod("o_orderdate").alias("rota"), V.month_key("o_orderdate").alias("month"))
+    return table(spark, sf, "orders").select("o_orderkey", b["monday"].alias("monday"), b["sunday"].alias("sunday"), V.iso_week_mod("o_orderdate").alias("rota"), V.month_key("o_orderdate").alias("month"), V.add_months_clamped(F.col("o_orderdate").cast("date"), 1).alias("later"))
 
 
 @query("""select c_custkey, 'Seoul ' || 'G' || c_nationkey || '구' region, 'G' || c_nationkey || '구' locality, round(2 * 6371000.0 * asin(sqrt(least(pow(sin(radians(37.5 - (37.4 + c_custkey % 1000 / 5000.0)) / 2), 2) + cos(radians(37.4 + c_custkey % 1000 / 5000.0)) * cos(radians(37.5)) * pow(sin(radians(127.0 - 126.9) / 2), 2), 1.0))), 3) metres from customer""")
@@ -146,18 +178,21 @@ def c22_geo(spark, sf):
     return c.select("c_custkey", V.region_of("addr").alias("region"), V.locality("addr").alias("locality"), F.round(V.haversine_m(37.4 + F.col("c_custkey") % 1000 / 5000.0, F.lit(126.9), F.lit(37.5), F.lit(127.0)), 3).alias("metres"))
 
 
-@query("""select p_partkey, case when p_size % 3 = 2 then round(p_retailprice / 2, 2) when p_size % 3 = 1 then round(p_retailprice * 200.0 / 150, 2) else round(p_retailprice, 2) end cost from part""")
+@query("""with p as (select *, round(p_retailprice)::bigint v from part) select p_partkey, case p_size % 5 when 2 then round(v / 2, 2) when 1 then round(v * 200.0 / 150, 2) when 3 then v + 500.0 when 4 then v::double else v::double end cost from p""")
 def c23_per_person(spark, sf):
     p = table(spark, sf, "part")
-    name = F.when(F.col("p_size") % 3 == 2, F.concat("p_name", F.lit(" set 2인"))).when(F.col("p_size") % 3 == 1, F.concat("p_name", F.lit(" 150g"))).otherwise(F.col("p_name"))
-    return p.select("p_partkey", F.round(T.per_person_price(name, "p_retailprice", F.lit(200)), 2).alias("cost"))
+    kind, v = F.col("p_size") % 5, F.round("p_retailprice").cast("bigint")
+    name = F.when(kind == 2, F.concat("p_name", F.lit(" set 2인"))).when(kind == 1, F.concat("p_name", F.lit(" 150g"))).when(kind == 4, F.concat("p_name", F.lit(" 2인 이상 주문"))).otherwise(F.col("p_name"))
+    price = F.when(kind == 3, F.concat_ws("~", F.format_number(v, 0), F.format_number(v + 1000, 0))).otherwise(v.cast("string"))
+    return p.select("p_partkey", F.round(T.per_person_price(name, price, F.lit(200)), 2).alias("cost"))
 
 
-@query("select p_partkey, replace(replace(p_name, 'widget', ''), '  ', ' ') is not null ok, trim(replace(p_name, 'widget', '')) name from part")
+@query("""select p_partkey, replace(replace(p_name, 'widget', ''), '  ', ' ') is not null ok, trim(replace(p_name, 'widget', '')) name, case when p_size > 25 then '+' when p_size < 25 then '-' else '' end || abs(p_size - 25) delta,
+ case when p_size >= 10 then case when p_size % 10 = 0 then (p_size // 10)::varchar else (p_size / 10.0)::decimal(9, 1)::varchar end || '만' else format('{:,}', p_size * 1000) end won from part""")
 def c24_clean_display(spark, sf):
     p = table(spark, sf, "part")
     name = T.clean_display(F.concat(F.col("p_name"), F.lit(" 700ml")), ["widget"])
-    return p.select("p_partkey", name.isNotNull().alias("ok"), name.alias("name"))
+    return p.select("p_partkey", name.isNotNull().alias("ok"), name.alias("name"), T.format_signed(F.col("p_size") - 25).alias("delta"), T.format_manwon(F.col("p_size") * 1000).alias("won"))
 
 
 @query("""with g as (select doc_id, case when lang is null then 'no language' when n_chars < 200 then 'short' when contains(text, '@') then 'contact' end reason from documents) select doc_id, reason, case when reason is null then 'ok' else 'rejected' end status from g""")
@@ -177,10 +212,14 @@ def f4_sane_price(spark, sf):
     return obs(spark, sf).withColumn("sane", G.is_sane("price")).withColumn("banded", G.is_sane("price", 15000, 60000))
 
 
-@query("select p_partkey, p_size % 5 = 0 bundle, p_size % 7 = 0 collectible from part")
+# Name endings, and whether they mark a collectible: 1.75 litres are sold everywhere, two aren't.
+RARE = [(" vintage", True), (" 1.75L", False), (" 2 L", True), (" collector", True), (" 10th Anniversary", True), (" 리미티드", True), (" #7", True), (" 1990s", True), (" 100 proof 12yo", False), (" 1L", False), (" Cask No. 4", True), (" 2018 release", False), ("", False)]
+
+
+@query(f"select p_partkey, p_size % 5 = 0 bundle, [{', '.join(str(x).lower() for _, x in RARE)}][p_size % {len(RARE)} + 1] collectible from part")
 def f5_f6_predicates(spark, sf):
     p = table(spark, sf, "part")
-    label = F.concat(F.col("p_name"), F.when(F.col("p_size") % 5 == 0, " gift box").otherwise(""), F.when(F.col("p_size") % 7 == 0, " vintage").otherwise(""))
+    label = F.concat(F.col("p_name"), F.when(F.col("p_size") % 5 == 0, " gift box").otherwise(""), F.get(F.array(*(F.lit(s) for s, _ in RARE)), F.col("p_size") % len(RARE)))
     return p.select("p_partkey", G.is_bundle(label).alias("bundle"), G.is_collectible(label).alias("collectible"))
 
 

@@ -56,11 +56,22 @@ hit as (select t, rule_no, id, name from nm, rules where (len(list_filter(m, lam
 best as (select t, min(rule_no) rule_no, count(*) hits from hit group by 1)"""
 
 
-@query(f"""with {RULE_SQL} select nm.t "text", case when contains(nm.t, 'pin') then 'excluded' when b.rule_no is not null then 'matched' else 'unmatched' end status,
-case when not contains(nm.t, 'pin') then r.id end id, case when not contains(nm.t, 'pin') then r.name end "name", case when not contains(nm.t, 'pin') then b.rule_no end rule_no, coalesce(hits, 0) hits
-from nm left join best b on b.t = nm.t left join rules r on r.rule_no = b.rule_no""")
+# Names as they are typed: other words for the same thing, asides in brackets, signs; and rules of one letter, of a sign, inside words.
+MORE_RULES = [(0, "R0", "boxed x", ["x", "+"], [], []), *RULES, (6, "R6", "sign", ["+"], ["bolt"], []), (7, "R7", "letter", ["z"], [], ["d/"])]
+SYNONYMS, NOISE = {"ring": ["circle", "rings"], "gear": ["cog"]}, [r"\([^)]*\)"]
+TYPED = "case when p_size % 3 = 0 then replace(p_name, 'ring', 'CIRCLE') when p_size % 3 = 1 then replace(p_name, 'gear', 'Cog') else upper(p_name) end || case when p_size % 7 = 0 then ' a+b box' when p_size % 7 = 1 then ' box' when p_size % 7 = 2 then ' (blue bolt)' when p_size % 7 = 3 then ' d/e' else '' end"
+
+
+@query(f"""with rules as (select * from (values (0, 'R0', 'boxed x', ['x', '+'], []::varchar[], []::varchar[]), (1, 'R1', 'small ring', ['small', 'ring'], [], []), (2, 'R2', 'red thing', ['red'], ['widget'], []),
+ (3, 'R3', 'bolt', ['bolt'], ['blue'], ['hot gear']), (4, 'R4', 'any gear', ['gear'], [], []), (5, 'R5', 'blue', ['blue'], [], []), (6, 'R6', 'sign', ['+'], ['bolt'], []), (7, 'R7', 'letter', ['z'], [], ['d/'])) t(rule_no, id, name, m, n, a)),
+nm as (select distinct {TYPED} t from part), lo as (select t, trim(regexp_replace(regexp_replace(replace(replace(replace(lower(t), 'circle', 'ring'), 'rings', 'ring'), 'cog', 'gear'), '\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')) s from nm),
+hit as (select t, rule_no, id, name from lo, rules where (len(list_filter(m, lambda x: contains(s, x))) = len(m) or len(list_filter(a, lambda x: contains(s, x))) > 0) and len(list_filter(n, lambda x: contains(s, x))) = 0),
+best as (select t, min(rule_no) rule_no, count(*) hits from hit group by 1)
+select lo.t "text", case when contains(s, 'rod') then 'excluded' when b.rule_no is not null then 'matched' else 'unmatched' end status, case when not contains(s, 'rod') then r.id end id, case when not contains(s, 'rod') then r.name end "name",
+ case when not contains(s, 'rod') then b.rule_no end rule_no, coalesce(hits, 0) hits from lo left join best b on b.t = lo.t left join rules r on r.rule_no = b.rule_no""")
 def j4_resolve_rules(spark, sf):
-    return J.resolve_rules(parts(spark, sf), "p_name", _rules(spark), ["pin"])
+    rules = spark.createDataFrame(MORE_RULES, "rule_no int, id string, name string, match array<string>, not array<string>, alias array<string>")
+    return J.resolve_rules(parts(spark, sf).select(F.expr(TYPED).alias("typed")), "typed", rules, ["rod"], synonyms=SYNONYMS, noise=NOISE)
 
 
 @query(f"""with {RULE_SQL} select nm.t "text", case when hits = 1 then 'matched' when hits > 1 then 'ambiguous' else 'unmatched' end status, case when hits = 1 then r.id end id, coalesce(hits, 0) hits
@@ -82,13 +93,16 @@ def j6_resolve_cascade(spark, sf):
     return J.resolve_cascade(p, "p_name", [("manual", manual), ("rules", rules), ("type", kind)])
 
 
-@query("""with i as (select distinct p_name || ' ' || lower(p_type) item, p_brand from part), d as (select distinct p_name nm, p_brand from part),
-x as (select i.item, i.p_brand, length(i.item) - length(nm) extra, nm from i join d using (p_brand) where contains(lower(i.item), lower(nm)) and length(i.item) - length(nm) <= 20)
-select item, p_brand, nm as "name", extra from (select *, row_number() over (partition by item, p_brand order by extra, nm) k from x) where k = 1""")
+@query("""with i as (select distinct p_name || ' ' || lower(p_type) item, p_brand from part), d as (select p_name nm, p_brand, min(round(p_retailprice * 100.0 / p_size, 4)) u from part group by 1, 2 union all select p_name || ' pro', p_brand, 1.0 from part group by p_name, p_brand),
+x as (select i.item, i.p_brand, length(i.item) - length(nm) extra, u, nm from i join d using (p_brand) where contains(lower(i.item), lower(nm)) and length(i.item) - length(nm) <= 20 and not (contains(i.item, 'economy') and not contains(nm, 'economy')))
+select item, p_brand, nm as "name", extra from (select *, row_number() over (partition by item, p_brand order by extra, u, nm) k from x) where k = 1""")
 def j7_match_contains(spark, sf):
-    p = parts(spark, sf)
-    items = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("item"), "p_brand")
-    return J.match_contains(items, p.select("p_name", "p_brand").distinct(), "item", "p_name", "p_brand")
+    """Names inside listings of their brand; the word `economy` makes a listing another product; unit prices settle ties."""
+    p = parts(spark, sf).where("p_size > 0")
+    items = parts(spark, sf).select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("item"), "p_brand")
+    names = p.select("p_name", "p_brand", F.round(F.col("p_retailprice") * 100.0 / F.col("p_size"), 4).alias("unit"))
+    more = parts(spark, sf).select(F.concat("p_name", F.lit(" pro")).alias("p_name"), "p_brand", F.lit(1.0).alias("unit"))
+    return J.match_contains(items, names.unionByName(more), "item", "p_name", "p_brand", price="unit", editions=["economy"])
 
 
 @query(f"""with {OBS}, l as (select distinct item, d from obs where source = 'S0'), r as (select item, d, max(price) price from obs where source = 'S1' group by 1, 2)
@@ -118,33 +132,47 @@ def j9_match_catalogues(spark, sf):
 FLAGS = {"red": ["red"], "blue": ["blue"]}
 
 
-@query("""with n as (select p_brand, p_name || ' ' || p_size t, p_partkey k, regexp_extract_all(p_name, '(red|blue)') f, case when p_size between 40 and 129 then p_size end m from part),
-p as (select a.p_brand, a.k a, b.k b, a.m is not distinct from b.m and list_sort(list_distinct(list_transform(a.f, lambda x: x))) = list_sort(list_distinct(b.f)) ok from n a join n b on a.p_brand = b.p_brand and a.k < b.k and a.t <> b.t and left(a.t, 3) = left(b.t, 3))
-select p_brand, count(*) pairs, count(*) filter (ok) agreeing from p group by 1""")
+@query("""with n as (select distinct p_brand, p_name || ' ' || p_size t, p_name from part), l as (select distinct p_brand, lower(p_type) || ' ' || p_name || ' ' || (p_size + 10) || ' red' t from part),
+x as (select n.p_brand, n.t a, l.t b from n join l using (p_brand) where contains(l.t, n.p_name)), num as (select *, list_filter(regexp_extract_all(a, '[0-9]+')::int[], lambda v: v between 40 and 129) na, list_filter(regexp_extract_all(b, '[0-9]+')::int[], lambda v: v between 40 and 129) nb from x),
+g as (select p_brand, na = nb and contains(a, 'red') = contains(b, 'red') and contains(a, 'blue') = contains(b, 'blue') ok, len(list_filter(string_split(a, ' '), lambda w: not contains(b, w))) + len(list_filter(string_split(b, ' '), lambda w: not contains(a, w))) = 0 inside from num)
+select p_brand, count(*) pairs, count(*) filter (ok) agreeing, count(*) filter (ok and inside) contained from g group by 1""")
 def j10_guards(spark, sf):
-    n = parts(spark, sf).select("p_brand", F.concat_ws(" ", "p_name", "p_size").alias("t"), "p_partkey").withColumn("h", F.left("t", F.lit(3)))
-    a, b = n.alias("a"), n.alias("b")
-    near = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.p_partkey") < F.col("b.p_partkey")) & (F.col("a.t") != F.col("b.t")))
-    ok = J.guards_ok(F.col("a.t"), F.col("b.t"), FLAGS)
-    return near.select(F.col("a.p_brand").alias("p_brand"), ok.alias("ok")).groupBy("p_brand").agg(F.count("*").alias("pairs"), F.count_if("ok").alias("agreeing"))
+    """Of the pairs that a containment match proposes within a brand, how many the guards let pass."""
+    p = parts(spark, sf)
+    names = p.select("p_brand", "p_name", F.concat_ws(" ", "p_name", "p_size").alias("a")).distinct()
+    other = p.select("p_brand", F.concat_ws(" ", F.lower("p_type"), "p_name", F.col("p_size") + 10, F.lit("red")).alias("b")).distinct()
+    near = J.containing(other, "b", names, "p_name", ["p_brand"]).withColumnRenamed("needle", "p_name").join(names, ["p_brand", "p_name"])
+    ok, inside = J.guards_ok(F.col("a"), F.col("text"), FLAGS), J.guards_ok(F.col("a"), F.col("text"), FLAGS, contain=True)
+    return near.groupBy("p_brand").agg(F.count("*").alias("pairs"), F.count_if(ok).alias("agreeing"), F.count_if(inside).alias("contained"))
+
+
+@query("""with q as (select distinct p_name query from part), l as (select p_name || ' ' || lower(p_type) listing, round(p_retailprice)::bigint price, p_partkey % 50 product from part),
+x as (select query, listing, price, product, len(list_distinct(string_split(listing, ' '))) - len(list_distinct(string_split(query, ' '))) extra from q join l on len(list_filter(string_split(query, ' '), lambda t: not list_contains(string_split(listing, ' '), t))) = 0),
+r as (select *, row_number() over (partition by query order by extra, price, listing, product) k, count(*) over (partition by query) pool, count(*) over (partition by query, extra) tier from x),
+s as (select product, count(*) siblings, max(price) sibling_high from l group by 1)
+select query, listing, price, extra, case when extra = 0 then 'exact' else 'near' end "label", tier, pool, product, siblings, sibling_high from r join s using (product) where k = 1""")
+def j11_match_tokens(spark, sf):
+    p = parts(spark, sf)
+    listings = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("listing"), F.round("p_retailprice").cast("bigint").alias("price"), (F.col("p_partkey") % 50).alias("pid"))
+    return J.match_tokens(p.select(F.col("p_name").alias("query")), listings, "query", "listing", "price", product="pid")
 
 
-@query("""with q as (select distinct p_name query from part), l as (select p_name || ' ' || lower(p_type) listing, round(p_retailprice)::bigint price from part),
-x as (select query, listing, price, len(list_distinct(string_split(listing, ' '))) - len(list_distinct(string_split(query, ' '))) extra from q join l on len(list_filter(string_split(query, ' '), lambda t: not list_contains(string_split(listing, ' '), t))) = 0),
-r as (select *, row_number() over (partition by query order by extra, price, listing) k, count(*) over (partition by query) pool, min(extra) over (partition by query) e, count(*) over (partition by query, extra) tier from x)
-select query, listing, price, extra, case when extra = 0 then 'exact' else 'near' end "label", tier, pool from r where k = 1""")
-def j11_match_tokens(spark, sf):
+def misread(spark, sf):
+    """(names, goods, aliases) of the fuzzy match: labels read with a letter lost, products of a brand, an age and an edition, and other spellings."""
     p = parts(spark, sf)
-    listings = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("listing"), F.round("p_retailprice").cast("bigint").alias("price"))
-    return J.match_tokens(p.select(F.col("p_name").alias("query")), listings, "query", "listing", "price")
+    goods = p.select(F.concat_ws(" ", "p_name", F.concat((F.col("p_size") % 3 * 6 + 6).cast("string"), F.lit("yo")), F.lower("p_type")).alias("canonical"), F.concat_ws("/", "p_name", F.col("p_size") % 3, "p_type").alias("id"), F.col("p_name").alias("brand"), F.lower("p_type").alias("edition"), "p_brand").distinct()
+    kind = F.col("p_partkey") % 6
+    read = F.when(kind == 0, F.regexp_replace("canonical", "e", "")).when(kind == 1, F.regexp_replace("canonical", " (standard|economy|medium|promo|large|small)$", "")).when(kind == 2, F.concat(F.left("p_name", F.lit(4)), F.lit(" 12yo"))).when(kind == 3, F.replace(F.col("canonical"), F.lit("i"), F.lit("1"))).when(kind == 4, F.concat(F.lit("the grand "), F.reverse("p_name"))).otherwise(F.replace(F.col("canonical"), F.lit("ring"), F.lit("rlng")))
+    labels = p.select("p_partkey", "p_name", "p_brand", F.concat_ws(" ", "p_name", F.concat((F.col("p_size") % 3 * 6 + 6).cast("string"), F.lit("yo")), F.lower("p_type")).alias("canonical")).select("p_brand", read.alias("n"))
+    aliases = goods.select("p_brand", F.concat(F.lit("the grand "), F.reverse("brand")).alias("alias"), "id").groupBy("p_brand", "alias").agg(F.min("id").alias("id"))
+    return labels, goods, aliases
 
 
 @query()
 def j12_match_fuzzy(spark, sf):
-    """Part names with a vowel dropped, against the names of their brand; the ratio has no SQL form."""
-    p = parts(spark, sf)
-    names = p.select(F.regexp_replace("p_name", "e", "").alias("n"), "p_brand")
-    return J.match_fuzzy(names, p.select("p_name", F.col("p_name").alias("id"), "p_brand").distinct(), "n", "p_name", "id", "p_brand")
+    """Misread labels against the products of their brand block; the ratio has no SQL form, so a test holds it against plain Python."""
+    labels, goods, aliases = misread(spark, sf)
+    return J.match_fuzzy(labels, goods, "n", "canonical", "id", "brand", "edition", "p_brand", [("rlng", "ring")], aliases)
 
 
 @query(f"""with {OBS}, b as (select unnest(['ring', 'bolt', 'gear']) token), i as (select distinct p_name item, w token from part, unnest(string_split(p_name, ' ')) u(w) where w in (select token from b)),
@@ -166,14 +194,15 @@ def _places(spark, sf):
     return c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("nm"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("loc"), (37.4 + (F.col("c_custkey") % 1000) / 5000.0).alias("lat"), (126.9 + (F.col("c_custkey") % 700) / 5000.0).alias("lng"))
 
 
-@query(f"""with {PLACES}, reg as (select left(nm, length(nm) - 1) nm, loc, lat, lng from pl where k % 3 = 0),
+@query(f"""with {PLACES}, reg as (select left(nm, length(nm) - 1) nm, case when k % 2 = 0 then loc else 'elsewhere' end loc, lat + case when k % 4 = 1 then 0.01 else 0.0005 end lat, lng from pl where k % 30 = 0 or k % 10 = 3 or k % 50 = 7),
 n as (select *, regexp_replace(lower(nm), '[^\\p{{L}}\\p{{N}}]', '', 'g') x from pl), m as (select *, regexp_replace(lower(nm), '[^\\p{{L}}\\p{{N}}]', '', 'g') y from reg),
-h as (select distinct k from n join m on left(x, 17) = left(y, 17) and (starts_with(x, y) or starts_with(y, x)) and (coalesce(n.loc = m.loc, true) or {HAV.format(a='n.lat', b='n.lng', c='m.lat', d='m.lng')} <= 150))
+h as (select distinct k from n join m on left(x, 15) = left(y, 15) and (starts_with(x, y) or starts_with(y, x)) and (coalesce(n.loc = m.loc, true) or {HAV.format(a='n.lat', b='n.lng', c='m.lat', d='m.lng')} <= 150))
 select k, nm, loc, lat, lng, k in (select k from h) registered from pl""")
 def j14_match_registry(spark, sf):
+    """Registry names lack the last digit, so ten places share each: told apart by locality or the radius, or not met at all."""
     p = _places(spark, sf)
-    reg = p.where("k % 3 = 0").withColumn("nm", F.expr("left(nm, length(nm) - 1)"))
-    return J.match_registry(p, reg, "nm", "loc", "lat", "lng", prefix=17)
+    reg = p.where("k % 30 = 0 or k % 10 = 3 or k % 50 = 7").select(F.expr("left(nm, length(nm) - 1)").alias("nm"), F.when(F.col("k") % 2 == 0, F.col("loc")).otherwise("elsewhere").alias("loc"), (F.col("lat") + F.when(F.col("k") % 4 == 1, 0.01).otherwise(0.0005)).alias("lat"), "lng")
+    return J.match_registry(p, reg, "nm", "loc", "lat", "lng", prefix=15)
 
 
 @query(f"""with {PLACES}, c as (select n_name centre, 37.4 + n_nationkey / 125.0 clat, 126.9 + (n_nationkey % 7) / 50.0 clng from nation),
@@ -311,19 +340,37 @@ def s19_upsert(spark, sf):
     return X.upsert(a.select("item", "price", "qty"), b.select("item", "price", "qty"), ["item"])
 
 
-@query(f"""with {PAIR}, e as (select distinct p_brand asset, p_partkey o from part), a as (select distinct item o from cur)
-select asset, count(*) expected, count(a.o) present, coalesce(array_to_string(list_sort(list(e.o::varchar) filter (a.o is null)), ','), '') missing from e left join a using (o) group by 1""")
+@query(f"""with {PAIR}, e as (select distinct p_brand asset, p_partkey::varchar o from part), a as (select distinct item::varchar o from cur)
+select asset, count(*) expected, count(a.o) present, count(*) filter (a.o is null) missing, min(e.o) filter (a.o is null) first_missing from e left join a using (o) group by 1""")
 def s21_run_manifest(spark, sf):
     p = parts(spark, sf).select(F.col("p_brand").alias("asset"), F.col("p_partkey").cast("string").alias("o"))
     return X.run_manifest(p, pair(spark, sf)[1].select(F.col("item").cast("string").alias("o")), "asset", "o")
 
 
+@query(f"with {PAIR} select p_brand asset, p_partkey::varchar o from part where p_partkey not in (select item from cur)")
+def s21_missing_outputs(spark, sf):
+    p = parts(spark, sf).select(F.col("p_brand").alias("asset"), F.col("p_partkey").cast("string").alias("o"))
+    return X.missing_outputs(p, pair(spark, sf)[1].select(F.col("item").cast("string").alias("o")), "asset", "o")
+
+
 @query("select o_orderkey, o_custkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')")
 def s22_unprocessed(spark, sf):
     done = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     return X.unprocessed(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), done, "o_orderkey")
 
 
+@query("""with h as (select p_partkey, p_name, p_size, round(p_retailprice * 10)::bigint v from part)
+select p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) || ' ' || case p_size % 4 when 0 then 'sale: ' || v || ' won' when 1 then 'price ' || v when 2 then 'ask us' else 'sale: ' || v || ' won price ' || v + 1 end "text",
+ case when p_size % 4 <> 2 and v between 9500 and 15000 then v::double end price from h""")
+def s13_article_price(spark, sf):
+    """A page's text without tags, and its price by the first of two patterns that is met, if it is a sane one."""
+    v = F.round(F.col("p_retailprice") * 10).cast("bigint")
+    said = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("sale: "), v, F.lit(" won"))).when(F.col("p_size") % 4 == 1, F.concat(F.lit("price "), v)).when(F.col("p_size") % 4 == 2, "ask us").otherwise(F.concat(F.lit("sale: "), v, F.lit(" won</b><i>price "), v + 1))
+    page = F.concat(F.lit("<html><script>var price = 'price 10000';</script><style>p {}</style><h1>"), "p_name", F.lit("</h1>\n<p><b>"), said, F.lit("</b></p></html>"))
+    p = parts(spark, sf).select("p_partkey", R.strip_tags(page).alias("text"))
+    return p.withColumn("price", R.extract_first("text", ["sale: ([0-9,]+)", "price ([0-9,]+)"], 9500, 15000))
+
+
 @query("""select url, regexp_extract(html, '<title>([^<]*)</title>', 1) title, len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>')) links from pages""")
 def s13_titles(spark, sf):
     p = table(spark, sf, "pages")
@@ -342,9 +389,26 @@ def s12_html_cards(spark, sf):
     return R.extract_html_cards(table(spark, sf, "pages"), "html", "<li>", {"href": 'href="([^"]*)"', "label": ">([^<]+)</a>"}, ["page_id"])
 
 
-@query("select event_id, (props::json->>'k')::bigint k from events where props::json->>'k' is not null")
+@query("""with x as (select p_partkey, (row_number() over (partition by p_brand order by p_partkey))::int card, p_brand, p_name, round(p_retailprice)::bigint sale, case when p_size % 3 <> 0 then round(p_retailprice)::bigint + p_size * 10 end listed from part)
+select p_brand, card, p_name "name", sale, coalesce(listed, sale) listed, round((1 - sale / coalesce(listed, sale)) * 100)::int discount_pct from x""")
+def s12_card_prices(spark, sf):
+    """A page of cards for each brand, some without a list price; discounts are derived."""
+    price = F.round("p_retailprice").cast("bigint")
+    listed = F.when(F.col("p_size") % 3 != 0, F.concat(F.lit('<s class="list">'), F.format_number(price + F.col("p_size") * 10, 0), F.lit("</s>"))).otherwise("")
+    card = F.concat(F.lit('<div class="card"><b>'), "p_name", F.lit("</b>"), listed, F.lit('<em class="sale">'), F.format_number(price, 0), F.lit(" won</em></div>"))
+    pages = parts(spark, sf).groupBy("p_brand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", card.alias("c")))), lambda x: x["c"]), "\n").alias("html"))
+    cards = R.extract_html_cards(pages, "html", '<div class="card">', {"name": "<b>([^<]*)</b>", "sale": 'class="sale">([^<]*)<', "listed": 'class="list">([^<]*)<'}, ["p_brand"])
+    return R.with_discount(cards, "sale", "listed")
+
+
+@query("""with l as (select l_orderkey, l_partkey % 5 id, round(l_extendedprice)::bigint p, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) n from lineitem)
+select l_orderkey, id, p from (select *, row_number() over (partition by l_orderkey, id order by n desc) k from l) where k = 1""")
 def s10_json_objects(spark, sf):
-    return R.extract_json_objects(table(spark, sf, "events"), "props", {"k": "bigint"}, "k", ["event_id"])
+    """Offers nested in other objects, with objects in them and braces in their texts; of an id that repeats the last counts."""
+    offer = F.struct((F.col("l_partkey") % 5).alias("id"), F.round("l_extendedprice").cast("bigint").alias("p"), F.struct(F.lit("a}b{").alias("name"), F.struct(F.lit(1).alias("id")).alias("inner")).alias("seller"))
+    line = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", offer.alias("o")))).alias("v"))
+    doc = F.to_json(F.struct(F.lit(3).alias("id"), F.struct(F.struct(F.transform("v", lambda x: x["o"]).alias("offers")).alias("list")).alias("state")))
+    return R.extract_json_objects(line.select("l_orderkey", doc.alias("doc")), "doc", {"id": "bigint", "p": "bigint"}, "id", ["l_orderkey"])
 
 
 @query("""with o as (select l_orderkey, l_quantity::bigint grams, round(l_extendedprice)::bigint price from lineitem), r as (select *, row_number() over (partition by l_orderkey order by case when grams between 20 and 30 then 0 else 1 end, price, grams) k from o)
@@ -366,8 +430,12 @@ def s4_map_columns(spark, sf):
     return R.map_columns(parts(spark, sf), {"name": ["NAME"], "price": ["retailprice"], "colour": ["colour", "color"]})
 
 
-@query("""select conv_id, turn, length(text) n, coalesce(text = '' or length(trim(text)) > 35, true) or regexp_matches(trim(text), '[?!…;]|\\.\\s') or regexp_matches(trim(text), '(?:다|요|까|니다)[.!?]?$') or trim(text) = '' garbage from conversations""")
+@query("""with x as (select conv_id, turn, left(text, 12) || case conv_id % 8 when 0 then ' 있으니' when 1 then ' 토닉 소다' when 2 then '.' when 3 then '. and so' when 4 then ' 20% 할인 중' when 5 then ' 좋네요' when 6 then repeat(' long', 6) else '' end || case when turn % 3 = 0 then '  ' else '' end t from conversations),
+s as (select *, trim(t) s from x)
+select conv_id, turn, s = '' or length(s) > 35 or contains(s, '. ') or s like '%.' or s like '%니다' or s like '%네요' or s like '%으니' or s like '%니까' or s like '%세요' or contains(s, '할인') or contains(s, '있으니') garbage from s""")
 def f3_garbage(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.length("text").alias("n"), T.garbage("text").alias("garbage"))
-
-
+    """Beginnings of turns, some with what speech ends in or names never hold; `소다` (soda) is a name."""
+    kind = F.col("conv_id") % 8
+    tail = F.when(kind == 0, " 있으니").when(kind == 1, " 토닉 소다").when(kind == 2, ".").when(kind == 3, ". and so").when(kind == 4, " 20% 할인 중").when(kind == 5, " 좋네요").when(kind == 6, " long long long long long long").otherwise("")
+    name = F.concat(F.left("text", F.lit(12)), tail, F.when(F.col("turn") % 3 == 0, "  ").otherwise(""))
+    return table(spark, sf, "conversations").select("conv_id", "turn", T.garbage(name).alias("garbage"))

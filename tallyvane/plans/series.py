@@ -70,24 +70,28 @@ def q16_trend_classes(spark, sf):
     return W.trajectory(monthly(spark, sf), "item", "month", "price").groupBy("tier", "tag").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {OBS}, day as (select item, d, min(price) price from obs group by all), lv as (select distinct item, price lvl from day),
-m as (select lv.item, lvl, count(distinct d) n from lv join day on lv.item = day.item and abs(price - lvl) <= lvl * 0.2 group by 1, 2 having count(distinct d) >= 3),
-p as (select item, max(lvl) plateau from m group by 1),
-a as (select item, min(price) filter (d between date '1998-06-01' and date '1998-06-30') low, max_by(price, d) filter (d between date '1998-06-01' and date '1998-06-30') last_, min(price) filter (d < date '1998-06-01') lb,
- min(price) filter (d < date '1998-06-01' and date '1998-06-01' - d <= 90) ra, max(price) filter (d < date '1998-06-01' and date '1998-06-01' - d <= 90) rb from day group by 1)
-select item, plateau, low, last_ as "last", round((1 - low / plateau) * 100, 2) drop_pct from a join p using (item) where low <= plateau * 0.8 and low < lb and rb <= ra * 3 and last_ <= plateau * 0.8""")
+@query(f"""with {OBS}, day as (select item, d, min(struct_pack(p := price, o := l_off)) s from (select l_partkey item, l_shipdate::date d, round(l_extendedprice)::bigint price, round(l_discount * 100)::double l_off from lineitem) group by 1, 2), dd as (select item, d, s.p price, s.o off from day where s.p > 0),
+now_ as (select item, max_by(price, d) cur from dd where d between date '1998-06-01' and date '1998-06-30' group by 1),
+m as (select a.item, a.price, count(*) n from dd a join dd b on a.item = b.item and abs(b.price - a.price) <= a.price * 0.2 group by a.item, a.d, a.price),
+pl as (select item, max(price) plateau from m join now_ using (item) where n >= 3 and price > cur * 1.1 group by 1),
+f as (select item, min(d) first_ from dd join now_ using (item) where price <= cur * 1.2 group by 1),
+b as (select item, count(*) flat_days, min(price) lo, max(price) hi, max_by(off, d) off from dd join f using (item) where d < first_ group by 1)
+select item, plateau, cur "current", round((1 - cur / plateau) * 100, 2) drop_pct, first_ drop_date, flat_days from now_ join pl using (item) join f using (item) join b using (item)
+where plateau - cur >= plateau * 0.2 and first_ between date '1998-06-01' and date '1998-06-30' and flat_days >= 3 and hi - lo <= plateau * 2.0 and coalesce(off <= 6, true)""", dates=["drop_date"])
 def w6_rare_drops(spark, sf):
-    return W.rare_drops(obs(spark, sf), "item", "d", "price", "1998-06-01", "1998-06-30", 0.2, 0.2, 3, 2.0)
+    o = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_shipdate").cast("date").alias("d"), F.round("l_extendedprice").cast("bigint").alias("price"), F.round(F.col("l_discount") * 100).alias("off"))
+    return W.rare_drops(o, "item", "d", "price", "1998-06-01", "1998-06-30", 0.2, 0.2, 3, 2.0, "off", 6.0)
 
 
 @query(f"""with {OBS}, a as (select p_brand, p_partkey, p_size "rank", min(price) price from obs join part on item = p_partkey where source = 'S0' group by all),
 b as (select p_brand, p_size other_rank, min(price) other from obs join part on item = p_partkey where source = 'S1' group by all),
-j as (select a.p_brand, p_partkey, "rank", price, max(other_rank) filter (other_rank < "rank" and price <= other) beats_rank, min(other) filter (other_rank = "rank") same_rank_price from a left join b on a.p_brand = b.p_brand group by all)
-select *, round((price - same_rank_price) * 100.0 / nullif(same_rank_price, 0), 2) same_rank_gap_pct from j""")
+j as (select a.p_brand, p_partkey, "rank", price, max(other_rank) filter (other_rank < "rank" and price <= other) beats_rank, min(other) filter (other_rank = "rank") same_rank_price from a left join b on a.p_brand = b.p_brand group by all),
+g as (select *, round((price - same_rank_price) * 100.0 / nullif(same_rank_price, 0), 2) same_rank_gap_pct from j)
+select *, (case when beats_rank is not null then 100 + 15 * ("rank" - beats_rank) else 0 end + case when same_rank_gap_pct < 0 then round(-same_rank_gap_pct) else 0 end)::bigint score from g""")
 def w7_value_lenses(spark, sf):
     o = obs(spark, sf).join(table(spark, sf, "part").select("p_partkey", "p_brand", "p_size"), F.col("item") == F.col("p_partkey"))
     side = lambda s: o.where(F.col("source") == s).groupBy("p_brand", "p_partkey", "p_size").agg(F.min("price").alias("price"))
-    return W.value_lenses(side("S0"), side("S1"), "p_brand", "p_partkey", "p_size", "price")
+    return W.lens_score(W.value_lenses(side("S0"), side("S1"), "p_brand", "p_partkey", "p_size", "price"))
 
 
 @query(f"""with {OBS}, day as (select item, d, min(price) price from obs group by all), r as (select *, row_number() over (partition by item order by d desc) k from day),
@@ -167,13 +171,16 @@ def w14_opportunity_diff(spark, sf):
     return W.opportunity_diff(top(a, 14), top(b, 16), "item", b)
 
 
-@query(f"""with {PAIR}, c as (select cur.item, prev.price prev_gap, cur.price gap from cur left join prev using (item)), l as (select item, 1 r from prev order by price desc, item limit 5),
-x as (select c.item, gap, prev_gap is null or (gap - prev_gap) * 100.0 > prev_gap * 5.0 fresh, coalesce(r, 0) repeated from c left join l using (item)),
-o as (select *, row_number() over (order by repeated, case when fresh then 0 else 1 end, gap desc, item) place from x) select place, item, gap, fresh, repeated from o where place <= 5""")
+@query(f"""with {PAIR}, c as (select cur.item, prev.price prev_gap, cur.price gap from cur left join prev using (item)), l as (select item from prev order by price desc, item limit 400),
+x as (select c.item, gap, prev_gap is null or (gap - prev_gap) * 100.0 > prev_gap * 5.0 fresh, c.item in (select item from l) repeated from c where gap > 0 and c.item % 3 <> 0 or prev_gap is not null and c.item in (select item from prev where qty > 1)),
+o as (select *, row_number() over (order by case when fresh then 0 else 1 end, gap desc, item) place from x where fresh or not repeated) select date '1998-06-30' date, item, place, gap, fresh, repeated from o where place <= 5""", dates=["date"])
 def w15_recommend(spark, sf):
+    """What the state holds of May comes back in June only where it changed."""
     a, b = pair(spark, sf)
-    cand = b.select("item", F.col("price").alias("gap")).join(a.select("item", F.col("price").alias("prev_gap")), "item", "left")
-    return W.recommend(cand, "item", "prev_gap", "gap", a.orderBy(F.col("price").desc(), "item").limit(5))
+    cand = b.select("item", F.col("price").alias("gap")).join(a.select("item", F.col("price").alias("prev_gap"), "qty"), "item", "left").where("item % 3 <> 0 or prev_gap is not null and qty > 1")
+    may = a.orderBy(F.col("price").desc(), "item").limit(400).select(F.to_date(F.lit("1998-05-31")).alias("date"), "item")
+    state = may.unionByName(b.select(F.to_date(F.lit("1998-06-30")).alias("date"), "item")).unionByName(b.select(F.to_date(F.lit("1998-04-30")).alias("date"), "item"))
+    return W.recommend(cand, "item", "prev_gap", "gap", state, "1998-06-30")
 
 
 @query("""with l as (select *, value - lag(value) over (partition by user_id order by ts, event_id) df from events),

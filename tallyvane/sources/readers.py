@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 BOM = "﻿"
 
 
-def read_csv_loose(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, comment: str | None = None) -> DataFrame:
-    """All-string CSV with a header that may start with a byte-order mark; a path that isn't there gives an empty table of the columns."""
-    reader = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").option("multiLine", False)
+def read_csv_loose(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, comment: str | None = None, header: Sequence[str] | None = None) -> DataFrame:
+    """All-string CSV with a header that may start with a byte-order mark, or with the names given; a path that isn't there gives an empty table of the columns."""
+    reader = spark.read.option("header", header is None).option("inferSchema", False).option("encoding", "UTF-8").option("multiLine", False)
     if comment:
         reader = reader.option("comment", comment)
     try:
@@ -23,7 +26,7 @@ def read_csv_loose(spark: SparkSession, path: str | Sequence[str], columns: Sequ
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df = spark.createDataFrame([], StructType([]).add("_", StringType())).drop("_")
-    df = df.toDF(*(c.lstrip(BOM).strip() for c in df.columns))
+    df = df.toDF(*(header if header and df.columns else (c.lstrip(BOM).strip() for c in df.columns)))
     if columns is None:
         return df
     return df.select(*((F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string")).alias(c) for c in columns))
@@ -48,15 +51,16 @@ def map_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFram
 
 
 def migrate_positional(lines: DataFrame, old: Sequence[str], new: Sequence[str], c: str = "value") -> DataFrame:
-    """Comma-separated lines without a header, of the old or the new number of columns, as the new schema."""
-    cells = F.split(F.col(c), ",")
-    at = {name: i for i, name in enumerate(old)}
+    """CSV lines without a header, of the old or the new number of columns, as the new schema; quoted commas part nothing."""
 
-    def cell(i: int, name: str) -> Column:
-        before = F.get(cells, F.lit(at[name])) if name in at else F.lit(None).cast("string")
-        return F.when(F.size(cells) == len(old), before).otherwise(F.get(cells, F.lit(i)))
+    def parsed(names: Sequence[str]) -> Column:
+        fields = ", ".join(f"c{i} string" for i in range(len(names)))
+        return F.from_csv(F.col(c), F.lit(f"{fields}, bad string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
 
-    return lines.select(*(cell(i, name).alias(name) for i, name in enumerate(new)))
+    rows = lines.select(parsed(old).alias("_old"), parsed(new).alias("_new"))
+    at = {name: i for i, name in enumerate(old)}
+    before = lambda name: F.col(f"_old.c{at[name]}") if name in at else F.lit(None).cast("string")
+    return rows.select(*(F.when(F.col("_old.bad").isNull(), before(name)).otherwise(F.col(f"_new.c{i}")).alias(name) for i, name in enumerate(new)))
 
 
 def snapshots(df: DataFrame, date: str = "snapshot_date") -> DataFrame:
@@ -97,17 +101,36 @@ def pick_month(df: DataFrame, month: str, current: str) -> DataFrame:
     return df.where(F.col(month) == chosen) if chosen is not None else df.limit(0)
 
 
+def _walk(text: str | None, keys: frozenset[str]) -> list[str]:
+    """The objects anywhere in a JSON text that have all the keys, in document order, as JSON; none of a text that isn't JSON."""
+    try:
+        stack = [json.loads(text)] if text else []
+    except ValueError:
+        return []
+    found = []
+    while stack:
+        node = stack.pop()
+        if isinstance(node, dict):
+            if keys <= node.keys():
+                found.append(json.dumps({k: node[k] for k in keys}))
+            stack += reversed(node.values())
+        elif isinstance(node, list):
+            stack += reversed(node)
+    return found
+
+
 def extract_json_objects(df: DataFrame, c: str, fields: Mapping[str, str], ident: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Objects anywhere in a JSON text that have all the fields (flat objects), typed; the last of an id in a row wins.
+    """Objects at any depth of a JSON text that have all the fields, typed; the last of an id in a row wins.
 
-    Innermost objects are found by their braces and parsed by Spark, so no Python is run on the texts.
+    Nesting is irregular, so an Arrow-batched function walks each document and hands on the wanted fields; the types are Spark's.
     """
-    found = F.regexp_extract_all(F.col(c), F.lit(r"\{[^{}]*\}"), 0)
+    keys = frozenset(fields)
+    walked = F.pandas_udf(lambda texts: pd.Series([_walk(t, keys) for t in texts], dtype=object), ArrayType(StringType()))
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", *keep, F.posexplode(walked(F.col(c))).alias("_at", "_json"))
     schema = ", ".join(f"`{k}` {t}" for k, t in fields.items())
-    rows = df.select(*keep, F.posexplode(found).alias("_at", "_json")).withColumn("_o", F.from_json("_json", schema))
-    rows = rows.where(" and ".join(f"_o.`{k}` is not null" for k in fields)).select(*keep, "_at", "_o.*")
-    last = Window.partitionBy(*keep, ident).orderBy(F.col("_at").desc())
-    return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_at")
+    rows = rows.withColumn("_o", F.from_json("_json", schema)).where(F.col(f"_o.`{ident}`").isNotNull()).select("_row", *keep, "_at", "_o.*")
+    last = Window.partitionBy("_row", ident).orderBy(F.col("_at").desc())
+    return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_at", "_row")
 
 
 def pick_variant(df: DataFrame, key: str, variants: str, lo: int = 650, hi: int = 800) -> DataFrame:
@@ -123,6 +146,14 @@ def extract_html_cards(df: DataFrame, c: str, separator: str, fields: Mapping[st
     return cards.select(*keep, "card", *(F.nullif(F.regexp_extract("_html", p, 1), F.lit("")).alias(name) for name, p in fields.items()))
 
 
+def with_discount(df: DataFrame, sale: str, listed: str) -> DataFrame:
+    """df with both prices as numbers, a missing list price as the sale price, and discount_pct, rounded to whole percent."""
+    from tallyvane.functions.text import to_num
+
+    out = df.withColumn(sale, to_num(sale)).withColumn(listed, F.coalesce(to_num(listed), F.col(sale)))
+    return out.withColumn("discount_pct", F.round((1 - F.col(sale) / F.col(listed)) * 100).cast("int"))
+
+
 def strip_tags(c: Column | str) -> Column:
     """Text of an HTML string without scripts, styles and tags."""
     col = F.col(c) if isinstance(c, str) else c
@@ -159,6 +190,12 @@ def parse_md_tables(df: DataFrame, c: str, keep: Sequence[str] = ()) -> DataFram
     return rows.select(*keep, "heading", "line", cells.alias("cells"))
 
 
+def summary_numbers(c: Column | str, patterns: Mapping[str, str]) -> list[Column]:
+    """Whole numbers of a report's summary lines: of each name the first group of its pattern's first match, null without one."""
+    col = F.col(c) if isinstance(c, str) else c
+    return [F.regexp_replace(F.regexp_extract(col, p, 1), "[^0-9-]", "").try_cast("bigint").alias(n) for n, p in patterns.items()]
+
+
 def read_captions(df: DataFrame, c: str, keep: Sequence[str] = ()) -> DataFrame:
     """Rows (ms, text) of caption JSON; events without text aren't rows."""
     schema = "events array<struct<tStartMs:bigint,segs:array<struct<utf8:string>>>>"

@@ -40,10 +40,15 @@ def write_snapshot(df: DataFrame, root: str, run_date: str) -> None:
 
 
 def run_manifest(expected: DataFrame, actual: DataFrame, asset: str, output: str) -> DataFrame:
-    """Per asset how many outputs are expected and there, and which are missing."""
+    """Per asset how many outputs are expected, there and missing, and the first missing one."""
     both = expected.select(asset, output).distinct().join(actual.select(output, F.lit(True).alias("_there")).distinct(), output, "left")
-    missing = F.array_sort(F.collect_set(F.when(F.col("_there").isNull(), F.col(output))))
-    return both.groupBy(asset).agg(F.count("*").alias("expected"), F.count("_there").alias("present"), F.array_join(missing, ",").alias("missing"))
+    gone = F.col("_there").isNull()
+    return both.groupBy(asset).agg(F.count("*").alias("expected"), F.count("_there").alias("present"), F.count_if(gone).alias("missing"), F.min(F.when(gone, F.col(output))).alias("first_missing"))
+
+
+def missing_outputs(expected: DataFrame, actual: DataFrame, asset: str, output: str) -> DataFrame:
+    """Rows (asset, output) that are expected and aren't there."""
+    return expected.select(asset, output).distinct().join(actual.select(output).distinct(), output, "left_anti").select(asset, output)
 
 
 def unprocessed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -47,23 +47,23 @@ def stream_gate(src: DataFrame, gates: Sequence[tuple[Column, str]], ok_path: st
     return src.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def floor_batch(state: DataFrame | None, batch: DataFrame, item: str, source: str, date: str, price: str) -> DataFrame:
-    """The latest price of each (item, source) after a batch: a late row never replaces a newer day's price."""
-    day = batch.where(F.col(price).isNotNull()).groupBy(item, source).agg(F.max(F.struct(F.col(date), (-F.col(price)).alias("_p"))).alias("b")).select(item, source, F.col(f"b.{date}").alias(date), (-F.col("b._p")).alias(price))
-    if state is None:
-        return day
-    both = state.select(item, source, date, price).unionByName(day)
-    return both.groupBy(item, source).agg(F.max(F.struct(F.col(date), (-F.col(price)).alias("_p"))).alias("b")).select(item, source, F.col(f"b.{date}").alias(date), (-F.col("b._p")).alias(price))
+def latest_prices(src: DataFrame, item: str, source: str, date: str, price: str) -> DataFrame:
+    """The lowest price of the newest day of each (item, source), of a table or a stream: a late row never replaces a newer day's price."""
+    best = F.max(F.struct(F.col(date), (-F.col(price)).alias("_p"))).alias("b")
+    return src.where(F.col(price).isNotNull()).groupBy(item, source).agg(best).select(item, source, F.col(f"b.{date}").alias(date), (-F.col("b._p")).alias(price))
 
 
-def stream_floor(spark: SparkSession, src: DataFrame, item: str, source: str, date: str, price: str, root: str, checkpoint: str):
-    """Start keeping the latest price of each (item, source), a new version of the table per batch under root/version=N."""
+def stream_floor(src: DataFrame, item: str, source: str, date: str, price: str, root: str, checkpoint: str):
+    """Start keeping the latest price of each (item, source): the state is Spark's, and a batch writes the rows it changed.
+
+    They go to a partition of the batch's own under root, so a batch that is run again replaces itself, and latest_prices()
+    of all partitions is the table: an older state of a key never wins.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        before = spark.read.parquet(f"{root}/version={batch_id - 1}") if batch_id else None
-        floor_batch(before, batch, item, source, date, price).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return latest_prices(src, item, source, date, price).writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def floor_of(latest: DataFrame, item: str, source: str, price: str) -> DataFrame:
@@ -108,4 +108,4 @@ def sessions(src: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFram
     return src.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-__all__ = ["floor_batch", "floor_of", "read_stream", "sessions", "sliding", "stream_changes", "stream_floor", "stream_gate", "stream_ingest", "tumbling", "upsert"]
+__all__ = ["floor_of", "latest_prices", "read_stream", "sessions", "sliding", "stream_changes", "stream_floor", "stream_gate", "stream_ingest", "tumbling", "upsert"]
