@@ -130,8 +130,8 @@ def _quoted(word: str) -> str:
 
 
 def matches_any(c: Column | str, *patterns: str) -> Column:
-    """Whether one of the patterns stands in the text; false for null."""
-    return F.coalesce(col(c).rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False))
+    """Whether one of the patterns stands in the text; false for null, and without patterns."""
+    return F.lit(False) if not patterns else F.coalesce(col(c).rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False))
 
 
 def branch_from_text(title: Column | str, body: Column | str, stop: Sequence[str] = ()) -> Column:

@@ -9,6 +9,7 @@ from tallyvane.operators import aggregates as A
 from tallyvane.operators import gates as G
 from tallyvane.operators import joins as J
 from tallyvane.operators import ordering as O
+from tallyvane.operators import ranking
 from tallyvane.operators import series as W
 from tallyvane.plans.aggregates import LATEST
 from tallyvane.plans.base import OBS, PAIR, obs, pair, query, table
@@ -170,7 +171,8 @@ def q13_banded_styles(spark, sf):
     floor = A.source_latest_floor(obs(spark, sf)).select("item", "floor")
     x = floor.join(parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_name"), "item")
     x = x.select(V.band("floor", [5000, 20000], ["low", "mid", "high"], "right").alias("band"), C.classify_first("p_name", [("red", ["red"]), ("ring", ["ring"])], "rest").alias("style"), "floor")
-    return x.groupBy("band", "style").agg(F.count("*").alias("n"), F.percentile("floor", 0.5).alias("median"), F.max("floor").alias("high"))
+    median = ranking.percentiles(x, ["band", "style"], "floor", {"median": 0.5})  # nine groups hold all floors
+    return x.groupBy("band", "style").agg(F.count("*").alias("n"), F.max("floor").alias("high")).join(median, ["band", "style"])
 
 
 @query("""with d as (select event_type k, ts::date d, round(sum(value))::bigint v from events group by 1, 2), l as (select *, lag(d) over w pd, v - lag(v) over w delta from d window w as (partition by k order by d)),
@@ -192,7 +194,7 @@ def q17_new_candidates(spark, sf):
     n = fresh.groupBy("p_name").agg(F.count("*").alias("seen"), F.min("price").alias("low"))
     top = parts(spark, sf).agg(F.max("p_partkey").alias("top"))
     status = F.when(F.col("seen") >= 3, "promote").otherwise("review")
-    return n.crossJoin(F.broadcast(top)).select("p_name", "seen", "low", status.alias("status"), (F.col("top") + F.row_number().over(Window.orderBy("p_name"))).alias("id"))
+    return ranking.numbered(n, "p_name", "no").crossJoin(F.broadcast(top)).select("p_name", "seen", "low", status.alias("status"), (F.col("top") + F.col("no")).alias("id"))
 
 
 @query(f"""with {OBS}, {RULE_SQL}, x as (select item, source, d, price, p_name, (select r.id from best b join rules r on r.rule_no = b.rule_no where b.t = p_name) id from obs join part on p_partkey = item where d >= date '1998-01-01'),
