@@ -163,15 +163,16 @@ def gate_stats(df: DataFrame, family: str, outcome: str, outcomes: Names) -> Dat
 
 
 def master_summary(df: DataFrame, item: str, name: str, market: str, price: str, first: int = 4) -> DataFrame:
-    """Per item: distinct names, rows, its markets joined, price range and its first names in order."""
-    return df.groupBy(item).agg(
-        F.count_distinct(name).alias("aliases"),
+    """Per item: distinct names, rows, its markets joined, price range and its first names in order. Markets are few; names may be any number."""
+    agg = df.groupBy(item).agg(
         F.count("*").alias("rows"),
         F.array_join(F.array_sort(F.collect_set(market)), "/").alias("markets"),
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
-        F.array_join(F.slice(F.array_sort(F.collect_set(name)), 1, first), "; ").alias("names"),
     )
+    one = df.where(F.col(name).isNotNull()).select(item, name).distinct().withColumn("_k", F.row_number().over(_w(item).orderBy(name)))
+    names = one.groupBy(item).agg(F.count("*").alias("aliases"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("_k") <= first, F.col(name)))), "; ").alias("names"))
+    return agg.join(names, item, "left").select(item, F.coalesce("aliases", F.lit(0)).alias("aliases"), "rows", "markets", "min_price", "max_price", F.coalesce("names", F.lit("")).alias("names"))
 
 
 def alias_audit(df: DataFrame, item: str, name: str, least: int = 3, most: int = 20) -> DataFrame:

@@ -75,20 +75,20 @@ def baseline_rate(series: DataFrame, exclude: DataFrame, key: str, date: str, va
 def trajectory(series: DataFrame, key: str, period: str, value: str, step: float = 0.015, least: int = 3) -> DataFrame:
     """Per key with at least so many periods: where the last value lies in the range, and a tag from its last two changes.
 
-    Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady.
+    Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady. One shuffle
+    and one sort: the aggregate by key goes on with the window's partitions.
     """
     w = Window.partitionBy(key).orderBy(period)
-    own = Window.partitionBy(key)
-    s = series.groupBy(key, period).agg(F.min(value).alias(value))
     change = lambda a, b: (a - b) / F.when(b != 0, b)
-    s = s.withColumn("_1", F.lag(value, 1).over(w)).withColumn("_2", F.lag(value, 2).over(w))
-    s = s.withColumn("_n", F.count("*").over(own)).withColumn("_lo", F.min(value).over(own)).withColumn("_hi", F.max(value).over(own)).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.col(period).desc())))
-    s = s.where((F.col("_r") == 1) & (F.col("_n") >= least))
-    now, past = change(F.col(value), F.col("_1")), F.coalesce(change(F.col("_1"), F.col("_2")), F.lit(0.0))
-    at = (F.col(value) - F.col("_lo")) / F.when(F.col("_hi") > F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    s = series.groupBy(key, period).agg(F.min(value).alias("_v")).withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
+    last = F.max(F.struct(F.col(period).alias("p"), F.col("_v").alias("v"), F.col("_1").alias("a"), F.col("_2").alias("b"))).alias("_l")
+    s = s.groupBy(key).agg(last, F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where(F.col("_n") >= least)
+    v = F.col("_l.v")
+    now, past = change(v, F.col("_l.a")), F.coalesce(change(F.col("_l.a"), F.col("_l.b")), F.lit(0.0))
+    at = (v - F.col("_lo")) / F.when(F.col("_hi") > F.col("_lo"), F.col("_hi") - F.col("_lo"))
     tier = F.when(at.isNull(), "flat").when(at <= 0.25, "cheap").when(at >= 0.75, "dear").otherwise("middle")
     tag = F.when((now > step) & (past < -step), "rebound").when((now < -step) & (past > step), "pullback").when(now > step, "rising").when(now < -step, "falling").otherwise("steady")
-    return s.select(key, F.col(period).alias("last"), F.col(value).alias("value"), F.col("_n").alias("periods"), tier.alias("tier"), tag.alias("tag"))
+    return s.select(key, F.col("_l.p").alias("last"), v.alias("value"), F.col("_n").alias("periods"), tier.alias("tier"), tag.alias("tag"))
 
 
 def rare_drops(

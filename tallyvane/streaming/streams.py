@@ -70,13 +70,20 @@ def floor_of(latest: DataFrame, item: str, source: str, price: str) -> DataFrame
     return latest.groupBy(item).agg(F.min(F.struct(price, source)).alias("b")).select(item, F.col(f"b.{price}").alias("floor"), F.col(f"b.{source}").alias("floor_source"))
 
 
-def stream_changes(src: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """A row (key, ts, old, new, kind) whenever a key's value differs from the last one seen; kind is new or changed. Rows older than what was seen are ignored."""
+def stream_changes(src: DataFrame, key: str, ts: str, value: str, keep_hours: float | None = None) -> DataFrame:
+    """A row (key, ts, old, new, kind) whenever a key's value differs from the last one seen; kind is new or changed. Rows older than what was seen are ignored.
+
+    The state is a time and a value a key. With keep_hours, which needs a watermark, a key that wasn't seen for so long is
+    forgotten, and new when it comes back; without, keys are kept for good.
+    """
     kinds = {f.name: f.dataType for f in src.schema.fields}
     out = StructType().add(key, kinds[key]).add(ts, kinds[ts]).add("old", kinds[value]).add("new", kinds[value]).add("kind", "string")
     kept = StructType().add("at", "long").add("value", kinds[value])
 
     def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         at, last, known = (*state.get, True) if state.exists else (None, None, False)
         rows = pd.concat(list(parts)).sort_values(ts, kind="stable")
         found = []
@@ -88,9 +95,11 @@ def stream_changes(src: DataFrame, key: str, ts: str, value: str) -> DataFrame:
                 found.append((group[0], t, last, v, "changed" if known else "new"))
             at, last, known = micros, v, True
         state.update((at, last))
+        if keep_hours is not None:
+            state.setTimeoutTimestamp(max(int(at / 1000 + keep_hours * 3_600_000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(found, columns=[f.name for f in out.fields])
 
-    return src.select(key, ts, value).groupBy(key).applyInPandasWithState(run, out, kept, "append", GroupStateTimeout.NoTimeout)
+    return src.select(key, ts, value).groupBy(key).applyInPandasWithState(run, out, kept, "append", GroupStateTimeout.NoTimeout if keep_hours is None else GroupStateTimeout.EventTimeTimeout)
 
 
 def tumbling(src: DataFrame, ts: str, size: str, value: str, keys: Sequence[str] = (), start: str | None = None) -> DataFrame:
