@@ -16,6 +16,15 @@ def s1_csv_round_trip(spark, sf):
     return R.read_csv_loose(spark, path, ["p_partkey", "p_name", "size", "colour"])
 
 
+@query("select p_partkey, p_name, p_size, case when p_size > 10 then p_brand end brand from part")
+def s17_json_round_trip(spark, sf):
+    """Written as sorted JSON lines, nulls left out, and back."""
+    path = shared_folder(spark, "files")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") > 10, F.col("p_brand")).alias("brand"))
+    X.write_table(p, path, "json", ["p_partkey", "p_name", "p_size", "brand"], ["p_partkey"])
+    return spark.read.schema(p.schema).json(path)
+
+
 @query("select p_name \"name\", p_size::varchar size from part where p_size % 4 <> 0")
 def s3_csv_with_comments(spark, sf):
     """Every fourth size's line is a comment."""

@@ -261,6 +261,24 @@ def f15_contaminated(spark, sf):
     return G.flag_contaminated(a.select("item", "price"), [b, ref], "item", "price")
 
 
+@query(f"""with {PAIR}, o as (select o.item, d, min(o.price) price from obs o join cur on cur.item = o.item where o.price < cur.price * 0.9 group by 1, 2)
+select item, array_to_string(list(strftime(d, '%Y-%m-%d') order by d), ',') dates, array_to_string(list(strftime(d, '%Y-%m-%d') || '=' || price order by d), ',') prices from o group by 1""")
+def f15_dirty_manifest(spark, sf):
+    flagged = G.flag_contaminated(obs(spark, sf), [pair(spark, sf)[1].select("item", "price")], "item", "price")
+    m = G.dirty_manifest(flagged, "item", "d", "price")
+    cells = F.transform("dates", lambda d: F.concat_ws("=", d, F.col("prices")[d]))
+    return m.select("item", F.array_join("dates", ",").alias("dates"), F.array_join(cells, ",").alias("prices"))
+
+
+@query(f"with {OBS}, f as (select *, 'run-' || strftime(d, '%Y-%m') source_file from obs) select item, source, d, price, source_file from f where not (price > 80000 and source = 'S1') and source_file not in ('run-1998-03', 'run-1997-11')", dates=["d"])
+def f16_exclude_files(spark, sf):
+    """Whole runs go by their file, single cells by their key."""
+    o = obs(spark, sf).withColumn("source_file", F.concat(F.lit("run-"), F.date_format("d", "yyyy-MM")))
+    bad = o.where("price > 80000 and source = 'S1'")
+    files = spark.createDataFrame([("run-1998-03",), ("run-1997-11",)], "source_file string")
+    return G.exclude_dirty(o, bad, ["item", "source", "d", "price"], files).select("item", "source", "d", "price", "source_file")
+
+
 @query(f"with {OBS}, b as (select item, d from obs where price > 80000) select item, source, d, price from obs where (item, d) not in (select item, d from b)", dates=["d"])
 def f16_exclude_dirty(spark, sf):
     o = obs(spark, sf)
@@ -283,9 +301,13 @@ def f19_drop_stores(spark, sf):
     return G.drop_stores(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", ["BUIL DING"])
 
 
-@query("select event_id, case when event_type = 'click' then 'free' end tag, event_type = 'purchase' paid from events")
+# What is said of a fee, and whether it has to be paid: a negation counts within twelve characters, as a word.
+FEES = [("corkage fee applies", True), ("no corkage fee", False), ("fee as in every house, though no dogs", True), ("fee? no", False), ("notice: fee", True), ("welcome", False)]
+
+
+@query(f"select event_id, case when event_type = 'click' then 'free' end tag, [{', '.join(str(x).lower() for _, x in FEES)}][event_id % 6 + 1] paid from events")
 def f20_evidence(spark, sf):
     e = table(spark, sf, "events")
     tags = F.array(F.struct(F.lit("other").alias("term"), F.lit(0).alias("mark")), F.struct(F.when(F.col("event_type") == "click", "free").otherwise("none").alias("term"), F.lit(1).alias("mark")))
-    text = F.when(F.col("event_type") == "purchase", "corkage fee applies").when(F.col("event_type") == "view", "no corkage fee").otherwise("")
+    text = F.get(F.array(*(F.lit(t) for t, _ in FEES)), (F.col("event_id") % 6).cast("int"))
     return G.free_tag_evidence(e.withColumn("tags", tags).withColumn("t", text), "tags", "^free$", "t", "fee", r"\bno\b").select("event_id", "tag", "paid")
