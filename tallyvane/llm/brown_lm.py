@@ -14,12 +14,13 @@ that training doesn't have take their hash's class.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
@@ -35,8 +36,8 @@ SUFFIXES = 256
 DELTA = 0.1
 ALPHA = 5.0
 END = b"\x00end"
-#: A worker's table of counts is handed on when it holds so many words.
-FLUSH = 250_000
+#: Bytes of text that a worker takes at once: words are numbered, and counts combined, within these.
+CHUNK = 12_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -48,21 +49,48 @@ def _suffix(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % SUFFIXES
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter = Counter()
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches put together until their texts have CHUNK bytes."""
+    held, size = [], 0
     for batch in batches:
-        for text in batch["text"]:
-            seen.update(tokens(text))
-            if len(seen) > FLUSH:
-                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                seen = Counter()
-        seen[END] += len(batch)
-    yield pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= CHUNK:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of texts, the number of each word as it comes, and how many words each text has; words as tokens() has them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    full = pc.greater(pc.binary_length(flat), 0)
+    if not pc.all(full).as_py():  # white space at an end leaves an empty word
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full.to_numpy(zero_copy_only=False)], minlength=len(sizes))
+        flat = flat.filter(full)
+    coded = flat.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy().astype(np.int64), sizes
+
+
+def _with_ends(codes: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """All texts' codes in one line: an end before the first, and after each."""
+    line = np.full(len(codes) + len(sizes) + 1, end, dtype=np.int64)
+    line[np.arange(len(codes)) + np.repeat(np.arange(len(sizes)), sizes) + 1] = codes
+    return line
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in _chunks(batches):
+        names, codes, sizes = _coded(chunk.column("text"))
+        n = np.append(np.bincount(codes, minlength=len(names)), len(sizes)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([*names, END], type=pa.binary()), pa.array(n)], names=["word", "n"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """Rows (word, n) over all of column text, with the ends under END."""
-    return texts.select("text").mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -84,23 +112,20 @@ def unit_bigrams(texts: DataFrame, units: Units) -> DataFrame:
     """Rows (pair, n) of neighbouring units, pair = left * units + right; each text starts after an end."""
     shared = texts.sparkSession.sparkContext.broadcast(units)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, of, end = dict(shared.value.words), shared.value.of, shared.value.end
-        size = end + 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = shared.value
+        size = units.end + 1
         cells = np.zeros(size * size, dtype=np.int64)
-        for batch in batches:
-            line = [end]
-            for text in batch["text"]:
-                line += [known[w] if w in known else of(w) for w in tokens(text)]
-                line.append(end)
-            ids = np.array(line, dtype=np.int64)
+        for chunk in _chunks(batches):
+            names, codes, sizes = _coded(chunk.column("text"))
+            ids = _with_ends(np.array([units.of(w) for w in names], dtype=np.int64)[codes], sizes, units.end)
             pairs, n = np.unique(ids[:-1] * size + ids[1:], return_counts=True)
             cells[pairs] += n
         found = np.flatnonzero(cells)
         for k in range(0, len(found), 100_000):
-            yield pd.DataFrame({"pair": found[k : k + 100_000], "n": cells[found[k : k + 100_000]]})
+            yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 100_000]), pa.array(cells[found[k : k + 100_000]])], names=["pair", "n"])
 
-    return texts.select("text").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -155,22 +180,24 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 12) -> np.ndarray:
     return of
 
 
-class _Ids(dict):
-    """Numbers words as they are met."""
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each is there."""
+    keys = np.sort(keys)
+    edges = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return keys[edges], np.diff(edges, append=len(keys))
 
-    def __init__(self):
-        super().__init__()
-        self.names: list[bytes] = []
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = i = len(self.names)
-        self.names.append(word)
-        return i
+def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    edges = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return keys[edges], np.add.reduceat(n, edges) if len(edges) else n[:0]
 
 
-def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, at = np.unique(keys, return_inverse=True)
-    return found, np.bincount(at, weights=n, minlength=len(found)).astype(np.int64)
+def _pieces(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A binary array of the data's pieces from each edge to the next, without copying any."""
+    offsets = (np.append(edges, len(data)) * data.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(edges), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def word_contexts(texts: DataFrame, units: Units, class_of: np.ndarray, classes: int) -> DataFrame:
@@ -180,43 +207,24 @@ def word_contexts(texts: DataFrame, units: Units, class_of: np.ndarray, classes:
     """
     shared = texts.sparkSession.sparkContext.broadcast((units, class_of))
 
-    def emit(names: list[bytes], keys: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-        owner, code = keys // (2 * classes), keys % (2 * classes)
-        seen = (n << 16 | code).astype("<i8").tobytes()
-        edges = np.flatnonzero(np.diff(owner, prepend=-1))
-        ends = [*edges[1:].tolist(), len(owner)]
-        for k in range(0, len(edges), 50_000):
-            some = edges[k : k + 50_000]
-            yield pd.DataFrame({"word": [names[i] for i in owner[some]], "seen": [seen[8 * a : 8 * b] for a, b in zip(some.tolist(), ends[k : k + 50_000], strict=True)]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, of_unit = shared.value
-        fresh = lambda: (_Ids(), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-        ids, of, free, keys, n = fresh()
-        waiting: list[np.ndarray] = []
-        for batch in batches:
-            line = [END]
-            for text in batch["text"]:
-                line += tokens(text)
-                line.append(END)
-            path = np.fromiter((ids[w] for w in line), np.int64, len(line))
-            new = ids.names[len(of) :]
-            of = np.append(of, np.array([of_unit[known.of(w)] for w in new], dtype=np.int64))
-            free = np.append(free, np.array([w != END and w not in known.words for w in new], dtype=bool))
+        for chunk in _chunks(batches):
+            names, codes, sizes = _coded(chunk.column("text"))
+            kinds = np.array([of_unit[known.of(w)] for w in names] + [of_unit[known.end]], dtype=np.int64)
+            free = np.array([w not in known.words for w in names] + [False])
+            path = _with_ends(codes, sizes, len(names))
             at = np.flatnonzero(free[path])
-            base, kind = path[at] * (2 * classes), of[path]
-            waiting += [base + kind[at - 1], base + classes + kind[at + 1]]
-            if sum(map(len, waiting)) > 2_000_000 or len(ids) > FLUSH:
-                fed = np.concatenate([keys, *waiting])
-                keys, n = _merged(fed, np.concatenate([n, np.ones(len(fed) - len(keys), dtype=np.int64)]))
-                waiting = []
-            if len(ids) > FLUSH:
-                yield from emit(ids.names, keys, n)
-                ids, of, free, keys, n = fresh()
-        fed = np.concatenate([keys, *waiting])
-        yield from emit(ids.names, *_merged(fed, np.concatenate([n, np.ones(len(fed) - len(keys), dtype=np.int64)])))
+            base, kind = path[at] * (2 * classes), kinds[path]
+            keys, n = _counted(np.concatenate([base + kind[at - 1], base + classes + kind[at + 1]]))
+            owner, seen = keys // (2 * classes), (n << 16 | keys % (2 * classes)).astype("<i8")
+            edges = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
+            words = pa.array(names, type=pa.binary())
+            for k in range(0, len(edges) - 1, 50_000):
+                some = edges[k : k + 50_001]
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(owner[some[:-1]])), _pieces(seen[some[0] : some[-1]], some[:-1] - some[0])], names=["word", "seen"])
 
-    return texts.select("text").mapInPandas(run, "word binary, seen binary")
+    return texts.select("text").mapInArrow(run, "word binary, seen binary")
 
 
 def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, first: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -227,7 +235,8 @@ def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, first: np.n
     """
     classes = len(table)
     cells = np.concatenate([table, table.T])  # by code, then by the class that the word may go to
-    small = np.stack([_xlogx(cells + x) - _xlogx(cells) for x in range(33)])
+    gained = lambda sums, x: _xlogx(sums + x) - _xlogx(sums)
+    small = np.stack([gained(cells, x) for x in range(33)]).astype(np.float32)
     edges = np.searchsorted(owner, np.arange(len(first)))
     gain = np.zeros((len(first), classes))
     for lo in range(0, len(first), 4096):
@@ -241,7 +250,8 @@ def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, first: np.n
         gain[lo:hi] = np.add.reduceat(each, edges[lo:hi] - a, axis=0)
     total = np.bincount(owner[code < classes], weights=n[code < classes], minlength=len(first))
     for sums in (table.sum(axis=1), table.sum(axis=0)):
-        lost = _xlogx(sums + total[:, None]) - _xlogx(sums)
+        lost = np.stack([gained(sums, x) for x in range(33)])[np.minimum(total, 32).astype(np.int64)]
+        lost[total > 32] = gained(sums, total[total > 32, None])
         lost[np.arange(len(first)), first] = _xlogx(sums[first]) - _xlogx(np.maximum(sums[first] - total, 0))
         gain -= lost
     gain[:, -1] = -np.inf
@@ -252,25 +262,37 @@ def classified(contexts: DataFrame, units: Units, class_of: np.ndarray, table: n
     """Rows (word, n, class), one for each word of word_contexts()."""
     shared = contexts.sparkSession.sparkContext.broadcast((units, class_of, table))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         known, of_unit, cells = shared.value
         classes = len(cells)
+        batch = pa.concat_batches(held)
+        lists = batch.column("seen")
+        flat = lists.flatten()
+        start, end = flat.offset, flat.offset + len(flat)
+        edges = np.frombuffer(flat.buffers()[1], dtype="<i4")[start : end + 1].astype(np.int64)
+        seen = np.frombuffer(flat.buffers()[2], dtype="<i8", count=(edges[-1] - edges[0]) // 8, offset=edges[0])
+        parts = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        keys, n = _merged(np.repeat(parts, np.diff(edges) // 8) * (2 * classes) + (seen & 0xFFFF), seen >> 16)
+        owner, code = keys // (2 * classes), keys % (2 * classes)
+        first = np.array([of_unit[known.of(w)] for w in batch.column("word").to_pylist()], dtype=np.int64)
+        before = code < classes
+        total = np.bincount(owner[before], weights=n[before], minlength=len(lists)).astype(np.int64)
+        own = best_classes(owner, code, n, first, cells).astype(np.int32)
+        return pa.RecordBatch.from_arrays([batch.column("word"), pa.array(total), pa.array(own)], names=["word", "n", "class"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            if not len(batch):
-                continue
-            parts = [b"".join(x) for x in batch["seen"]]
-            seen = np.frombuffer(b"".join(parts), dtype="<i8")
-            owner = np.repeat(np.arange(len(parts)), [len(x) // 8 for x in parts])
-            keys, n = _merged(owner * (2 * classes) + (seen & 0xFFFF), seen >> 16)
-            owner, code = keys // (2 * classes), keys % (2 * classes)
-            words = [bytes(w) for w in batch["word"]]
-            first = np.array([of_unit[known.of(w)] for w in words], dtype=np.int64)
-            before = code < classes
-            total = np.bincount(owner[before], weights=n[before], minlength=len(words)).astype(np.int64)
-            yield pd.DataFrame({"word": words, "n": total, "class": best_classes(owner, code, n, first, cells).astype("int32")})
+            held.append(batch)
+            rows += len(batch)
+            if rows >= 16_384:
+                yield placed(held)
+                held, rows = [], 0
+        if rows:
+            yield placed(held)
 
     grouped = contexts.groupBy("word").agg(F.collect_list("seen").alias("seen"))
-    return grouped.mapInPandas(run, "word binary, n long, class int")
+    return grouped.mapInArrow(run, "word binary, n long, class int")
 
 
 @dataclass
@@ -357,36 +379,45 @@ def fit(train: DataFrame, text_col: str = "text", classes: int = CLASSES, heavy_
 def _looked_up(model, keep: int):
     """Rows of two kinds: one for each text, with its kept columns, its sums over frequent words and its path of classes; one for each of its rare words."""
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        units, class_of, heavy, classes = m.units, m.class_of, m.heavy, m.heavy_class
-        logs = dict(zip(heavy, np.log10(np.array(list(heavy.values()), dtype=np.float64) + DELTA), strict=True))
+        units, class_of, classes = m.units, m.class_of, m.heavy_class
+        logs = dict(zip(m.heavy, np.log10(np.array(list(m.heavy.values()), dtype=np.float64) + DELTA).tolist(), strict=True))
         suffix_class = [int(class_of[len(units.words) + s]) for s in range(SUFFIXES)]
-        start, end_log = int(class_of[units.end]), float(np.log10(heavy.get(END, 0) + DELTA))
-        names = ["row", "word", "n", "known", "words_log", "path", "at", *(f"k{i}" for i in range(keep))]
-        for batch in batches:
-            docs, rows, words_out, places = [], [], [], []
-            for row, text in zip(batch["row"], batch["text"], strict=True):
-                words = tokens(text)
-                path = np.array([start, *(classes[w] if w in classes else suffix_class[_suffix(w)] for w in words), start], dtype="<u2")
-                found = [logs[w] for w in words if w in logs]
-                # No word holds a space: this key joins nothing, and deals out the texts.
-                docs.append((row, b" %d" % row, len(words) + 1, len(found) + (END in heavy), float(sum(found)) + end_log, path.tobytes(), None))
-                if len(found) < len(words):
-                    rare: dict[bytes, list[int]] = {}
-                    for i, w in enumerate(words):
-                        if w not in logs:
-                            rare.setdefault(w, []).append(i + 1)
-                    rows += [row] * len(rare)
-                    words_out += rare
-                    places += rare.values()
-            out = pd.DataFrame(docs, columns=names[:7])
-            for i in range(keep):
-                out[f"k{i}"] = batch[f"k{i}"].to_numpy()
-            yield out
-            if rows:
-                out = pd.DataFrame({"row": rows, "word": words_out, "n": [len(x) for x in places], "at": [np.array(x, dtype="<i4").tobytes() for x in places]}).reindex(columns=names)
-                yield out.assign(known=0, words_log=0.0, path=None, **{f"k{i}": None for i in range(keep)})
+        start, end_log = int(class_of[units.end]), float(np.log10(m.heavy.get(END, 0) + DELTA))
+        names, inner = ["row", "word", "at", "doc"], ["n", "known", "words_log", "path", *(f"k{i}" for i in range(keep))]
+        for batch in _chunks(batches):
+            words, path, sizes = _coded(batch.column("text"))
+            texts = len(sizes)
+            kind = np.array([classes[w] if w in classes else suffix_class[_suffix(w)] for w in words], dtype="<u2")
+            each = np.array([logs.get(w, np.nan) for w in words])[path]
+            owner = np.repeat(np.arange(texts), sizes)
+            rare = np.isnan(each)
+            known = sizes - np.bincount(owner[rare], minlength=texts) + (END in m.heavy)
+            total = np.bincount(owner, weights=np.where(rare, 0.0, each), minlength=texts) + end_log
+            line = np.full(len(path) + 2 * texts, start, dtype="<u2")
+            line[np.arange(len(path)) + 2 * owner + 1] = kind[path]
+            rows = batch.column("row").to_numpy()
+            # No word holds a space: this key joins nothing, and deals out the texts.
+            key = pa.array([b" %d" % r for r in rows.tolist()], type=pa.binary())
+            kept = [batch.column(f"k{i}") for i in range(keep)]
+            # What only texts have is one column, so that the many rows of rare words are narrow.
+            doc = pa.StructArray.from_arrays([pa.array(sizes + 1), pa.array(known.astype(np.int64)), pa.array(total), _pieces(line, np.cumsum(sizes + 2) - sizes - 2), *kept], names=inner)
+            yield pa.RecordBatch.from_arrays([pa.array(rows), key, pa.nulls(texts, pa.binary()), doc], names=names)
+            at = np.flatnonzero(rare)
+            if not len(at):
+                continue
+            whose = owner[at] * len(words) + path[at]
+            order = np.argsort(whose, kind="stable")
+            at, whose = at[order], whose[order]
+            edges = np.append(np.flatnonzero(np.diff(whose, prepend=-1)), len(at))
+            place = (at - (np.cumsum(sizes) - sizes)[owner[at]] + 1).astype("<i4")
+            every = pa.array(words, type=pa.binary())
+            for k in range(0, len(edges) - 1, 50_000):
+                some = edges[k : k + 50_001]
+                first = at[some[:-1]]
+                found = [pa.array(rows[owner[first]]), every.take(pa.array(path[first])), _pieces(place[some[0] : some[-1]], some[:-1] - some[0]), pa.nulls(len(first), doc.type)]
+                yield pa.RecordBatch.from_arrays(found, names=names)
 
     return run
 
@@ -416,24 +447,31 @@ def _paths(docs: DataFrame, model: Model, words: DataFrame, text_col: str) -> Da
     keep = _kept(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [StructField(f"k{i}", f.dataType) for i, f in enumerate(keep)]
-    schema = StructType([StructField("row", LongType()), StructField("word", BinaryType()), StructField("n", LongType()), StructField("known", LongType()), StructField("words_log", DoubleType()), StructField("path", BinaryType()), StructField("at", BinaryType()), *kept])
+    doc = StructType([StructField("n", LongType()), StructField("known", LongType()), StructField("words_log", DoubleType()), StructField("path", BinaryType()), *kept])
+    schema = StructType([StructField("row", LongType()), StructField("word", BinaryType()), StructField("at", BinaryType()), StructField("doc", doc)])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"), *(F.col(f.name).alias(f"k{i}") for i, f in enumerate(keep)))
-    parts = rows.mapInPandas(_looked_up(shared, len(keep)), schema)
+    parts = rows.mapInArrow(_looked_up(shared, len(keep)), schema)
     counted = parts.join(words.select("word", F.col("n").alias("c"), F.col("class").alias("found")), "word", "left")
-    is_doc = F.col("path").isNotNull()
-    count = F.coalesce("c", F.lit(0))
-    # Both lists skip the texts' own rows, so they go in one order.
+    count, times = F.coalesce("c", F.lit(0)), F.octet_length("at") / 4
+    # All lists skip the texts' own rows, so they go in one order.
     sums = counted.groupBy("row").agg(
-        F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"),
-        F.sum(F.when(is_doc, F.col("known")).otherwise(F.when(count > 0, F.col("n")).otherwise(0))).alias("n_known"),
-        F.sum(F.when(is_doc, F.col("words_log")).otherwise(F.col("n") * F.log10(count + DELTA))).alias("words_log"),
-        F.first("path", ignorenulls=True).alias("path"),
-        F.collect_list(F.when(~is_doc, F.coalesce("found", F.lit(-1)))).alias("found"),
+        F.first("doc", ignorenulls=True).alias("doc"),
+        F.sum(F.when(count > 0, times).otherwise(0.0)).alias("known"),
+        F.sum(times * F.log10(count + DELTA)).alias("log"),
+        F.collect_list(F.when(F.col("at").isNotNull(), F.coalesce("found", F.lit(-1)))).alias("found"),
         F.collect_list("at").alias("at"),
-        *(F.first(f"k{i}", ignorenulls=True).alias(f"k{i}") for i in range(len(keep))),
+    )
+    sums = sums.select(
+        F.col("doc.n").alias("n_tokens"),
+        (F.col("doc.known") + F.coalesce("known", F.lit(0.0)).cast("long")).alias("n_known"),
+        (F.col("doc.words_log") + F.coalesce("log", F.lit(0.0))).alias("words_log"),
+        F.col("doc.path").alias("path"),
+        "found",
+        "at",
+        *(F.col(f"doc.k{i}").alias(f"k{i}") for i in range(len(keep))),
     )
     out = StructType([StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("words_log", DoubleType()), StructField("path", BinaryType()), *kept])
-    return sums.select("n_tokens", "n_known", "words_log", "path", "found", "at", *(f.name for f in kept)).mapInPandas(_filled, out)
+    return sums.mapInPandas(_filled, out)
 
 
 def _scores(paths: DataFrame, model: Model, keep: list[StructField]) -> DataFrame:
