@@ -122,7 +122,8 @@ def contaminated(
     windows = each.withColumn("_win", F.expr("slice(hashes, start + 1, m)")).select("doc_id", "t", "m", "start", fingerprint("_win").alias("print"))
 
     index = blocks(items.select("item_id", "m", "item_print"), "item_print", BLOCK_RADIUS)
-    near = blocks(stored(windows), "print", 0).join(index, ["m", "block", "bits"]).where(distance("print", "item_print") <= RADIUS)
+    # The index has thousands of rows an item, which Spark's estimate doesn't know of: it mustn't be taken for a small table.
+    near = blocks(stored(windows), "print", 0).join(index.hint("merge"), ["m", "block", "bits"]).where(distance("print", "item_print") <= RADIUS)
     pairs = near.select("doc_id", "t", "start", "item_id").distinct().groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "item_id")).alias("pairs"))
     bags = items.select("item_id", "item")
     both = held.select("doc_id", "t", "hashes").join(pairs, ["doc_id", "t"]).select("doc_id", "hashes", F.explode("pairs").alias("p"))
