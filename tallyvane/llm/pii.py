@@ -375,11 +375,6 @@ def mask(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join([*out, text[at:]])
 
 
-@F.pandas_udf(StringType())
-def _masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else mask(t, [(s["kind"], s["start"], s["end"]) for s in own]) for t, own in zip(texts, spans, strict=True)], dtype=object)
-
-
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with every span that find() keeps masked in its text.
 
@@ -391,8 +386,20 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     while own in docs.columns:
         own += "_"
     seen = stored(docs.withColumn(own, _found(F.col(text_col))))
-    spans = _kept(seen, own, _model(seen, own))
-    out = seen.withColumn(own, spans)
+    shared = docs.sparkSession.sparkContext.broadcast(_model(seen, own))
+
+    @F.pandas_udf(StringType())
+    def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, rows in zip(texts, spans, strict=True):
+            keep = [s["base"] for s in rows]
+            if not all(keep):
+                sure = shared.value.probability(np.array([list(s["features"]) for s in rows], dtype=np.int64)) >= 0.5
+                keep = [a or b for a, b in zip(keep, sure, strict=True)]
+            out.append(mask(text, [(s["kind"], s["start"], s["end"]) for s, k in zip(rows, keep, strict=True) if k]))
+        return pd.Series(out, dtype=object)
+
+    # One function decides and masks: each one more in a row is another Python worker for every task.
     some = F.size(own) > 0
-    masked = F.when(some, _masked(F.when(some, F.col(text_col)), F.when(some, F.col(own)).otherwise(F.array().cast(out.schema[own].dataType))))
-    return out.withColumn(text_col, F.coalesce(masked, F.col(text_col))).select(docs.columns)
+    clean = F.when(some, masked(F.when(some, F.col(text_col)), F.when(some, F.col(own)).otherwise(F.array().cast(seen.schema[own].dataType))))
+    return seen.withColumn(text_col, F.coalesce(clean, F.col(text_col))).select(docs.columns)
