@@ -155,5 +155,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
 
     own = f"_said_{uuid.uuid4().hex}"  # no column of the caller's
-    out = docs.withColumn(own, said(F.col(text_col)))
+    # Called nondeterministic, so that a filter on its result doesn't have Spark run it twice.
+    out = docs.withColumn(own, said.asNondeterministic()(F.col(text_col)))
     return out.withColumn(lang_out, F.col(f"{own}.lang")).withColumn(score_out, F.col(f"{own}.score")).drop(own)
