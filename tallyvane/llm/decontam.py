@@ -43,9 +43,19 @@ def with_shingles(df: DataFrame, text_col: str, size: int = SHINGLE) -> DataFram
 
 
 def simhash(hashes: str) -> Column:
-    """64-bit SimHash of an array of hashes: a bit is 1 where over half of them have it."""
-    ones = f"transform(sequence(0, 63), b -> aggregate({hashes}, 0, (a, h) -> a + cast(shiftright(h, b) & 1L as int)))"
-    return F.expr(f"aggregate(transform({ones}, (n, b) -> if(2 * n > size({hashes}), shiftleft(1L, b), 0L)), 0L, (a, x) -> a | x)")
+    """64-bit SimHash of an array of hashes: a bit is 1 where over half of them have it.
+
+    Bits are counted side by side, in lanes of a long that are as wide as the number of hashes calls for: eight sums for up
+    to 127 hashes in place of 64. The uppermost lane must leave the sign alone.
+    """
+
+    def counted(lane: int) -> str:
+        every = sum(1 << lane * i for i in range(64 // lane))
+        sums = f"transform(sequence(0, {lane - 1}), j -> aggregate({hashes}, 0L, (a, h) -> a + (shiftrightunsigned(h, j) & {every}L)))"
+        n = f"shiftrightunsigned(c[b % {lane}], cast({lane} * (b div {lane}) as int)) & {(1 << lane) - 1}L"
+        return f"transform(array({sums}), c -> aggregate(sequence(0, 63), 0L, (o, b) -> if(2 * ({n}) > size({hashes}), o | shiftleft(1L, b), o)))[0]"
+
+    return F.expr(f"case when size({hashes}) < 128 then {counted(8)} when size({hashes}) < 32768 then {counted(16)} else {counted(32)} end")
 
 
 def fingerprint(hashes: str) -> Column:

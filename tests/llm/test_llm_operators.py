@@ -263,6 +263,18 @@ def test_decontamination_finds_an_item_with_its_halves_swapped(spark):
     assert got["similarity"] == round(152 / 160, 6) and got["n_words"] == 160
 
 
+def test_fingerprints_equal_bit_counts(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.getrandbits(64) - 2**63 for _ in range(n)]) for i, n in enumerate([1, 2, 3, 50, 127, 128, 300, 32_767, 32_768])]
+    rows += [(20 + n, [-1] * n) for n in (1, 127, 128)]
+    got = {r["i"]: r["f"] for r in spark.createDataFrame(rows, "i int, h array<long>").select("i", decontam.simhash("h").alias("f")).collect()}
+    for i, hashes in rows:
+        bits = np.unpackbits(np.array(hashes, dtype="<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        assert got[i] == int(np.packbits(bits * 2 > len(hashes), bitorder="little").view("<i8")[0])
+    frame = spark.createDataFrame([([1, 2, 3], [4, 5, 6])], "a array<long>, b array<long>")
+    assert frame.select(decontam.distance("a", "b")).first()[0] == sum(bin(x ^ y).count("1") for x, y in ((1, 4), (2, 5), (3, 6)))
+
+
 def test_bags_count_repeats(spark):
     rng = random.Random(8)
     for _ in range(30):
