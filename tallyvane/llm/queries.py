@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyvane.llm import brown_lm, decontam, langid, packing, pii, rollups, simhash, topk, toxicity, url_lists
+from tallyvane.llm import bpe, brown_lm, decontam, langid, negatives, packing, pii, rollups, simhash, topk, toxicity, url_lists, whitening
 from tallyvane.llm.common import cut, held_out, shared_dir, table
 
 
@@ -123,6 +123,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.whole(table(spark, sf_dir, "embeddings"), label, vec_id % 100 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -136,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_rollups,
         op9_simhash_near_dedup,
         op10_language_id,
+        op11_embedding_whitening,
+        op12_bpe_encoding,
+        op13_hard_negatives,
     )
 }
 
@@ -144,4 +161,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": topk.SQL,
     "op3_benchmark_decontamination": decontam.SQL,
     "op6_url_temporal_lists": OP6_SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
