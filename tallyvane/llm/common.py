@@ -27,6 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
         if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    # Spark makes a folder of its own in the one that is named; it goes when the driver ends.
+    files, folder = on_disk(spark, context.getCheckpointDir())
+    files.deleteOnExit(folder)
     return context.getCheckpointDir()
 
 
@@ -58,7 +61,8 @@ def sampled(df: DataFrame, key: str, expected: int, total: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * expected / total))
 
 
-def _folder(spark: SparkSession, path: str):
+def on_disk(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
@@ -68,14 +72,14 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    files, folder = _folder(spark, path)
+    files, folder = on_disk(spark, path)
     files.deleteOnExit(folder)
     return spark.read.parquet(path)
 
 
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system Spark knows; one that isn't there is no error."""
-    files, folder = _folder(spark, path)
+    files, folder = on_disk(spark, path)
     files.delete(folder, True)
 
 

@@ -54,13 +54,17 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Wider patterns that only propose.
 _DOTTED = re.compile(r"[0-9.]+")
-_WORDED_EMAIL = re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\[at\]|\(at\)|\{at\}| at |@) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}| dot |\.) ?[A-Za-z0-9-]{2,24}){1,3}\b", re.IGNORECASE)
+_WORDED_EMAIL = re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\[at\]|\(at\)|\{at\}|@) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}| dot |\.) ?[A-Za-z0-9-]{2,24}){1,3}\b", re.IGNORECASE)
+# After a plain " at " a sentence may end ("was at home. Then"), so a plain dot has no spaces about it there.
+_AT_EMAIL = re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ? at [A-Za-z0-9-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)|\{dot\}) ?| dot |\.)[A-Za-z0-9-]{2,24}){1,3}\b", re.IGNORECASE)
+_AT = re.compile(r"\[at\]|\(at\)|\{at\}| at |@", re.IGNORECASE)
+_LOCAL_MOST = 64
 _WIDE_PHONE = re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?[0-9]{3,4}[ .-][0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[0-9]{1,4}[ /-][0-9]{3,4}[ -]?[0-9]{3,4})(?![\w-])")
 _WIDE_CARD = re.compile(r"(?<![\w-])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{14,19})(?![\w-])")
 _IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}|:)(?![\w:.])|(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![\w:])")
 _IBAN = re.compile(r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])")
-_NAMED_SECRET = re.compile(r"\b(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"'<>]{6,200})", re.IGNORECASE)
-_BARE_SECRET = re.compile(r"(?<![\w-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,80}|sk-[A-Za-z0-9]{20,80}|[0-9a-f]{32,64})(?![\w-])", re.IGNORECASE)
+_NAMED_SECRET = re.compile(r"\b(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"'<>]{6,})", re.IGNORECASE)
+_BARE_SECRET = re.compile(r"(?<![\w-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9]{20,}+|[0-9a-f]{32,}+)(?![\w-])", re.IGNORECASE)
 
 # What the gazetteer and the context labeler know.
 TLDS = frozenset("com org net edu gov int info biz io co us uk de fr es it nl be ch at eu ca au jp cn in br mx ru pl se no dk fi pt".split())
@@ -118,7 +122,7 @@ def _quads(text: str) -> list[tuple[int, int]]:
             runs = [*runs, (at, part)] if part else []
             at += len(part) + 1
             if len(runs) == 4:
-                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for _, p in runs):
+                if all(_number(p) <= 255 for _, p in runs):
                     found.append((runs[0][0], at - 1))
                 runs = []
     return found
@@ -147,20 +151,43 @@ def _order(span: tuple) -> tuple[int, int]:
     return span[1], (KINDS + MORE).index(span[0])
 
 
+def _worded(text: str) -> list[tuple[int, int]]:
+    """Worded and spaced addresses, leftmost, in linear time: looked for around what may stand for the @."""
+    found, last = [], 0
+    for at in _AT.finditer(text):
+        end = at.start() - (text[at.start() - 1 : at.start()] == " ")
+        start = end
+        while start > max(last, end - _LOCAL_MOST) and text[start - 1] in _LOCAL:
+            start -= 1
+        for s in range(start, end):
+            if s and (text[s - 1].isalnum() or text[s - 1] == "_"):
+                continue
+            m = (_AT_EMAIL if at.group().lower() == " at " else _WORDED_EMAIL).match(text, s)
+            if m and m.end() > at.end():
+                found.append(m.span())
+                last = m.end()
+                break
+    return found
+
+
+def _number(digits: str) -> int:
+    """Of digits whose leading zeros may be many; of what is over 255 only that it is."""
+    digits = digits.lstrip("0")
+    return int(digits or 0) if len(digits) <= 3 else 256
+
+
 def _proposed(text: str) -> list[tuple[str, int, int]]:
     """What the wider patterns match, in the order in which they may claim text."""
-    found = []
-    low = text.lower()
-    if any(x in low for x in ("dot", " @", "@ ", "[at]", "(at)", "{at}")):
-        found += [("email", *m.span()) for m in _WORDED_EMAIL.finditer(text) if re.search(r"[\[({ @](?:at)?", m.group())]
+    found = [("email", a, b) for a, b in _worded(text)]
+    low = text.casefold()
     if any(x in low for x in ("token", "secret", "passw", "pwd", "key")):
         found += [("secret", *m.span(1)) for m in _NAMED_SECRET.finditer(text)]
+    found += [("secret", *m.span()) for m in _BARE_SECRET.finditer(text)]
+    if ":" in text:
+        found += [("ip", *m.span()) for m in _IP6.finditer(text) if "::" in m.group() or m.group().count(":") == 7]
     if not _DIGIT.search(text):
         return found
-    found += [("secret", *m.span()) for m in _BARE_SECRET.finditer(text)]
     found += [("iban", *m.span()) for m in _IBAN.finditer(text)]
-    if "::" in text or text.count(":") >= 7:
-        found += [("ip", *m.span()) for m in _IP6.finditer(text)]
     found += [("card", *m.span()) for m in _WIDE_CARD.finditer(text)]
     return found + [("phone", *m.span()) for m in _WIDE_PHONE.finditer(text)]
 
@@ -188,7 +215,7 @@ def _votes(text: str, kind: str, start: int, end: int) -> str:
     elif kind == "ip":
         parts = span.split(".")
         form = say(not any(len(p) > 1 and p[0] == "0" for p in parts))
-        known, layout = say(0 < int(parts[0]) < 224 and int(parts[0]) != 127), say(any(int(p) > 31 for p in parts), False)
+        known, layout = say(0 < _number(parts[0]) < 224 and _number(parts[0]) != 127), say(any(_number(p) > 31 for p in parts), False)
     elif kind == "card":
         form, known, layout = say(14 <= len(digits) <= 19 and luhn(digits)), say(CARD_PREFIXES.match(digits)), say(len(digits) == len(span) or re.fullmatch(r"[0-9]{4}(?:[ -][0-9]{4,6}){2,4}", span))
     elif kind == "phone":
@@ -201,7 +228,7 @@ def _votes(text: str, kind: str, start: int, end: int) -> str:
         layout = say(" " not in span or all(len(p) == 4 for p in span.split(" ")[:-1]))
     else:
         form = say(len(span) >= 12 and _entropy(span) >= 2.8 or re.search(r"[^A-Za-z0-9]", span) and len(digits) and len(span) >= 8)
-        known, layout = say(SECRET_PREFIXES.match(span) or len(span) in (32, 40, 64) and re.fullmatch(r"[0-9a-fA-F]+", span), False), say(digits and re.search(r"[A-Za-z]", span))
+        known, layout = say(SECRET_PREFIXES.match(span) or len(span) in (32, 40, 64, 96, 128) and re.fullmatch(r"[0-9a-fA-F]+", span), False), say(digits and re.search(r"[A-Za-z]", span))
     context = "n" if NEGATIVE_CONTEXT.search(before) else say(CONTEXT[kind].search(before), False)
     border = say(not ((start and text[start - 1].isalnum()) or text[end : end + 1].isalnum()))
     return form + known + context + border + layout

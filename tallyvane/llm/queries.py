@@ -62,10 +62,10 @@ def op6_url_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = """
 with h as (
   select page_id, timestamp '2024-01-01' + to_minutes((page_id * 7919 % 525600)::bigint) fetched_at,
-    nullif(rtrim(lower(regexp_extract(url, '^\\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') host from pages),
+    nullif(rtrim(lower(regexp_extract(url, '^\\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\\[[^\\]/?#]*\\]|[^/?#:\\[]+)', 1)), '.'), '') host from pages),
 p as (select page_id, host, fetched_at, string_split(host, '.') parts from h),
 x as (
-  select page_id, host, fetched_at, unnest(range(case when regexp_matches(host, '^[0-9.]+$') then 1 else greatest(len(parts) - 1, 1) end)) depth, parts from p where host is not null),
+  select page_id, host, fetched_at, unnest(range(case when regexp_matches(host, '^([0-9.]+|\\[.*)$') then 1 else greatest(len(parts) - 1, 1) end)) depth, parts from p where host is not null),
 s as (select page_id, host, fetched_at, depth, array_to_string(parts[depth + 1:], '.') pattern from x),
 seeds as (select pattern, min(page_id) seed from s group by 1),
 e as (

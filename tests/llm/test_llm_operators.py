@@ -573,6 +573,61 @@ def test_personal_data_at_the_edges(spark):
     assert none.count() == 0 and model.reliability == {} and pii.redact(clash.limit(0)).count() == 0
 
 
+def test_hostile_spans(spark):
+    """Runs of zeros, secrets and keys of any length, and addresses that other words of the text don't change."""
+    zeros = "ip " + "0" * 5000 + "1.2.3.4 and 1." + "0" * 5000 + "2.3.4 and " + "9" * 5000 + ".1.1.1"
+    assert [s[:3] for s in pii.candidates(zeros) if s[0] == "ip"] == [("ip", 3, 5010), ("ip", 5015, 5015 + 2 + 5000 + 5)]
+    secret = "token=" + "aB3-" * 250
+    assert [s[:3] for s in pii.candidates(secret)] == [("secret", 6, 1006)] and pii.mask(secret, [("secret", 6, 1006)]) == "token=<SECRET>"
+    for key in ("0123456789abcdef" * 8, "abcdefabcdef" * 11, "sk-" + "Ab" * 200, "xoxb-" + "a1-" * 100 + "z"):
+        assert [s[:3] for s in pii.candidates("is " + key)] == [("secret", 3, 3 + len(key))]
+    for text, kind in (("contact john at example.com", "email"), ("mail jo [at] corp [dot] com", "email"), ("host fe80::ab:cd", "ip")):
+        alone = [s[:3] for s in pii.candidates(text)]
+        assert len(alone) == 1 and alone[0][0] == kind
+        for more in (" dotted", " 7", " key", " ::", " a@b.cd"):
+            assert [s[:3] for s in pii.candidates(text + more)][:1] == alone
+    assert pii.candidates("he was at home. Then at 12:30:45 we met") == [] and pii.candidates("at at at @ at " * 2000) == []
+    docs = docs_of(spark, [zeros, secret, None])
+    assert pii.digest(pii.find(docs)[0]).count() == 3 and pii.redact(docs).count() == 3
+
+
+def test_beliefs_and_classifier_equal_plain_python(spark):
+    """Expectation-maximisation by loops over all candidates; the classifier is where its penalised likelihood has no slope."""
+    rows = [c for t, _ in planted_texts(random.Random(12), 300) for c in pii.candidates(t)]
+    counts = collections.Counter((c[0], c[4]) for c in rows)
+    import pandas as pd
+
+    patterns = pd.DataFrame([(k, v, n) for (k, v), n in counts.items()], columns=["kind", "votes", "n"])
+    model = pii.fit(patterns, pd.DataFrame([(c[0], c[4], c[5]) for c in rows], columns=["kind", "votes", "features"]))
+    belief = {}
+    for kind in {k for k, _ in counts}:
+        own = {v: n for (k, v), n in counts.items() if k == kind}
+        total = sum(own.values())
+        first = {name: pii.FORM_TRUST if name == "form" else pii.TRUST for name in pii.LABELERS}
+        weight = {name: max(pii.PRIOR_LEAST, (pii.FORM_SHARE if name == "form" else pii.PRIOR_SHARE) * total) for name in pii.LABELERS}
+        yes = {n: dict(zip("y-n", t, strict=True)) for n, t in first.items()}
+        no = {n: dict(zip("n-y", t, strict=True)) for n, t in first.items()}
+        prior = 0.5
+        for _ in range(50):
+            for votes in own:
+                odds = math.log(prior / (1 - prior)) + sum(math.log(yes[n][v] / no[n][v]) for n, v in zip(pii.LABELERS, votes, strict=True))
+                belief[kind, votes] = 1 / (1 + math.exp(-max(-30, min(30, odds))))
+            prior = min(0.98, max(0.02, (sum(n * belief[kind, v] for v, n in own.items()) + 0.5 * pii.PRIOR_LEAST) / (total + pii.PRIOR_LEAST)))
+            for j, name in enumerate(pii.LABELERS):
+                for of, side, order in ((yes, lambda b: b, "y-n"), (no, lambda b: 1 - b, "n-y")):
+                    c = {v: weight[name] * t + sum(n * side(belief[kind, x]) for x, n in own.items() if x[j] == v) for v, t in zip(order, first[name], strict=True)}
+                    of[name] = {v: x / sum(c.values()) for v, x in c.items()}
+        assert math.isclose(model.prior[kind], prior, rel_tol=1e-9)
+        for name in pii.LABELERS:
+            assert math.isclose(model.reliability[kind][name]["yes if personal"], yes[name]["y"], rel_tol=1e-9)
+    slope = [-0.3 * w for w in model.weights]
+    for kind, _, _, _, votes, features in rows:
+        p = 1 / (1 + math.exp(-(sum(model.weights[f] for f in features) + model.weights[pii.DIM])))
+        for f in [*features, pii.DIM]:
+            slope[f] += belief[kind, votes] - p
+    assert max(map(abs, slope)) < 1e-2
+
+
 def test_mask_of_overlapping_spans():
     assert pii.mask("ab 123 cd", [("card", 3, 6), ("phone", 4, 7)]) == "ab <CARD>cd"
 
@@ -629,6 +684,21 @@ def test_deep_hosts_meet_all_their_parents(spark):
     assert url_lists.judge(frame.withColumn("url", F.lit("http://10.0.0.1/")), numbers, "page_id").first()["verdict"] == "unlisted"
 
 
+def test_long_histories_and_addresses(spark, monkeypatch):
+    """Many intervals of one host, in several stretches, against the rule; addresses in brackets; empty tables; long URLs."""
+    monkeypatch.setattr(url_lists, "ERA", 4)
+    acts = ["block", "remove", "allow"]
+    log = [("a.com", acts[i % 3], 10 * i) for i in range(40)] + [("[2001:db8::1]", "block", 5)]
+    entries = spark.createDataFrame(log, "pattern string, action string, t long").select("pattern", "action", F.timestamp_seconds("t").alias("listed_at"))
+    urls = [(i, "http://x.a.com:80/", i) for i in range(0, 420, 3)] + [(1000, "http://[2001:DB8::1]:8080/x", 7), (1001, "http://[2001:db8::1/", 7), (1002, "http://a.com/" + "b." * 50_000, 3), (1003, "http://" + "b." * 3000 + "a.com", 3), (1004, None, 3), (1005, "http://a.com", None)]
+    captures = spark.createDataFrame(urls, "id long, url string, t long").select("id", "url", F.timestamp_seconds("t").alias("fetched_at"), F.lit("mine").alias("_row"), F.lit("mine").alias("host"), F.lit(1).alias("pattern"), F.lit(1).alias("eras"))
+    for rows in (0, 100_000):
+        got = {r["id"]: r["verdict"] for r in url_lists.judge(captures, entries, "id", broadcast_rows=rows).collect()}
+        want = {i: {"remove": "unlisted"}.get(acts[t // 10 % 3], acts[t // 10 % 3]) if t < 400 else "block" for i, _, t in urls[:140]}
+        assert got == want | {1000: "block", 1001: "unlisted", 1002: "block", 1003: "block", 1004: "unlisted", 1005: "unlisted"}
+    assert {r["verdict"] for r in url_lists.judge(captures, entries.limit(0), "id").collect()} == {"unlisted"} and url_lists.judge(captures.limit(0), entries, "id").count() == 0
+
+
 CHANGES = "op string, old_source string, old_lang string, old_tokenizer string, old_tokens long, new_source string, new_lang string, new_tokenizer string, new_tokens long"
 
 
@@ -662,6 +732,44 @@ def test_a_commit_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in rollups.totals(spark, ledger).collect()] == [("s", "en", "v1", 2, 6)]
 
 
+def test_a_commit_that_dies_inside_the_log_changes_nothing(spark, tmp_path):
+    add = spark.createDataFrame([("insert", *[None] * 4, "s", "en", "v1", 3)], CHANGES)
+    ledger = tmp_path / "ledger"
+    rollups.commit(add, str(ledger), "1")
+    (ledger / "log" / "000000000002" / "_temporary").mkdir(parents=True)
+    (ledger / "log" / ".half").write_text('{"number": 2, "ba')
+    (ledger / "log" / "000000000002.json.tmp").write_text("")
+    assert rollups.commit(add, str(ledger), "2") and not rollups.commit(add, str(ledger), "2")
+    assert [tuple(r) for r in rollups.totals(spark, str(ledger)).collect()] == [("s", "en", "v1", 2, 6)]
+
+
+def test_of_two_writers_one_commits(spark, tmp_path, monkeypatch):
+    add, ledger = spark.createDataFrame([("insert", *[None] * 4, "s", "en", "v1", 3)], CHANGES), str(tmp_path / "ledger")
+    rollups.commit(add, ledger, "1")
+    record = rollups._record
+
+    def late(*args):
+        monkeypatch.setattr(rollups, "_record", record)
+        assert rollups.commit(add, ledger, "other")
+        record(*args)
+
+    monkeypatch.setattr(rollups, "_record", late)
+    with pytest.raises(rollups.Overtaken):
+        rollups.commit(add, ledger, "mine")
+    assert [tuple(r) for r in rollups.totals(spark, ledger).collect()] == [("s", "en", "v1", 2, 6)]
+    assert rollups.commit(add, ledger, "mine") and not rollups.commit(add, ledger, "other")
+    assert [tuple(r) for r in rollups.totals(spark, ledger).collect()] == [("s", "en", "v1", 3, 9)]
+
+
+def test_the_log_stays_short(spark, tmp_path):
+    add, ledger = spark.createDataFrame([("insert", *[None] * 4, "s", "en", "v1", 1)], CHANGES), tmp_path / "ledger"
+    for i in range(8):
+        assert rollups.commit(add, str(ledger), str(i), fold=3)
+    assert not any(rollups.commit(add, str(ledger), str(i), fold=3) for i in range(8))
+    assert len([f for f in (ledger / "log").iterdir() if f.name.endswith(".json")]) <= 4 and len(list((ledger / "ids").iterdir())) <= 2
+    assert [tuple(r) for r in rollups.totals(spark, str(ledger)).collect()] == [("s", "en", "v1", 8, 8)]
+
+
 def test_rollup_query_equals_plain_counts(spark, documents):
     import base64
 
