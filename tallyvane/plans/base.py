@@ -72,8 +72,12 @@ PAIR = f"{MONTHLY}, prev as (select item, price, qty from monthly where \"month\
 
 
 def shared_folder(spark: SparkSession, kind: str) -> str:
-    """A new folder beside the checkpoints that all executors share; a temporary one serves a session in one process only."""
+    """A new folder beside the checkpoints that all executors share, gone when the driver ends; a temporary one serves a session in one process only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{named or tempfile.mkdtemp(prefix='spark-')}/{kind}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{named or tempfile.mkdtemp(prefix='spark-')}/{kind}-{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{path.toString()}/rows"
