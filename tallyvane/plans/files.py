@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tallyvane.plans.base import query, shared_folder, table
+from tallyvane.plans.base import PAIR, pair, query, shared_folder, table
 from tallyvane.sources import readers as R
 from tallyvane.sources import writers as X
+from tallyvane.sources.versioned import Table
 
 
 @query("select p_partkey::varchar p_partkey, p_name, case when p_size > 10 then p_size::varchar end size, null::varchar colour from part")
@@ -77,3 +78,44 @@ def s20_dated_snapshots(spark, sf):
     for size, day in ((10, "2026-06-01"), (30, "2026-06-02"), (20, "2026-06-01")):
         X.write_snapshot(p.where(F.col("p_size") > size).select("p_partkey"), path, day)
     return spark.read.parquet(path).select("p_partkey", F.col("run_date").cast("string").alias("run_date"))
+
+
+def _shelved(df):
+    """Rows by a shelf number that a fifth of all items lack, and their brand group, which some lack too."""
+    shelf = F.when(F.col("item") % 5 > 0, F.col("item") % 200).alias("shelf")
+    group = F.when(F.col("item") % 3 > 0, (F.col("item") % 3).cast("string")).alias("grp")
+    return df.groupBy(shelf, group).agg(F.sum("price").alias("price"), F.count("*").alias("n"))
+
+
+SHELVED = f"""{PAIR}, old as (select case when item % 5 > 0 then item % 200 end shelf, case when item % 3 > 0 then (item % 3)::varchar end grp, sum(price)::bigint price, count(*) n from prev group by all),
+new as (select case when item % 5 > 0 then item % 200 end shelf, case when item % 3 > 0 then (item % 3)::varchar end grp, sum(price)::bigint price, count(*) n from cur group by all)"""
+
+
+@query(f"with {SHELVED} select * from new union all select * from old where not exists (select 1 from new where new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp)")
+def s19_table_upsert(spark, sf):
+    """A month's rows put over the last one's in a versioned table, twice; keys may be null."""
+    own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
+    own.upsert(_shelved(prev), ["shelf", "grp"])
+    for _ in range(2):
+        own.upsert(_shelved(cur), ["shelf", "grp"])
+    own.vacuum()
+    return own.read()
+
+
+@query(f"with {SHELVED} select * from old union all select * from new where not exists (select 1 from old where new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp)")
+def s18_table_append(spark, sf):
+    """The same months, of which the later one only adds what isn't there, twice."""
+    own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
+    own.append(_shelved(prev), ["shelf", "grp"])
+    for _ in range(2):
+        own.append(_shelved(cur), ["shelf", "grp"])
+    return own.read()
+
+
+@query("select p_partkey, '2026-06-02' run_date from part where p_size > 30")
+def s20_latest_snapshot(spark, sf):
+    """Snapshots written out of order, one day twice: the pointer stays with the newest day."""
+    own, p = Table(spark, shared_folder(spark, "table")), table(spark, sf, "part").select("p_partkey", "p_size")
+    for size, day in ((10, "2026-06-01"), (40, "2026-06-02"), (20, "2026-06-01"), (30, "2026-06-02"), (5, "2026-05-30")):
+        own.snapshot(p.where(F.col("p_size") > size).select("p_partkey"), day)
+    return own.read_latest()

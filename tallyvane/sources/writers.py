@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyvane.sources.versioned import one_each, without
+
 Names = Sequence[str]
 
 
@@ -22,16 +24,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", columns: Names | Non
 
 def append_dedup(existing: DataFrame, batch: DataFrame, keys: Names) -> DataFrame:
     """The rows of a batch that are to be appended: one of each key, none that is there already. A null key equals a null key."""
-    one = batch.dropDuplicates(list(keys))
-    there = existing.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return one.join(there, same, "left_anti")
+    return without(one_each(batch, keys, None), existing, keys)
 
 
 def upsert(existing: DataFrame, batch: DataFrame, keys: Names, order: str | None = None) -> DataFrame:
-    """existing with the batch's rows in place of its own of the same keys; of a batch's repeats the last in the order counts."""
-    new = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), order).alias("_r")).select(*keys, "_r.*") if order else batch.dropDuplicates(list(keys))
-    return existing.join(new.select(*keys), list(keys), "left_anti").unionByName(new.select(*existing.columns))
+    """existing with the batch's rows in place of its own of the same keys, nulls equal; of a batch's repeats the last in the order counts.
+
+    Of rows in hand; versioned.Table keeps such a table on disk.
+    """
+    new = one_each(batch, keys, order)
+    return without(existing, new, keys).unionByName(new.select(*existing.columns))
 
 
 def write_snapshot(df: DataFrame, root: str, run_date: str) -> None:
