@@ -15,25 +15,21 @@ from tallyvane.functions.values import month_number
 
 is_garbage_text = garbage
 
-# What marks a bundle and a collectible in a product name.
-BUNDLE_WORDS = (r"세트", r"\bset\b", r"패키지", r"gift", r"x\s*[2-9]\b", r"[2-9]\s*병", r"\+")
-COLLECTIBLE_PATTERNS = (
-    r"(?:19|20)[0-9]0\s*'?s",
-    "vintage",
-    "빈티지",
-    "limited",
-    "리미티드",
-    "한정",
-    "collector",
-    "anniversary",
-    "기념판",
-    "컬렉터",
-    r"single\s*cask",
-    r"싱글\s*캐스크",
-    r"cask\s*no",
-    r"#\s*[0-9]",
-    r"\b[2-9](?:[.,][0-9])?\s*l\b",
-)
+# Phrases that mark a bundle or a collectible in a product name; white space may part their words.
+BUNDLE_PHRASES = ("전용 잔", "잔 패키지", "잔 세트", "메가 잔", "미니어처 세트", "미니어쳐 세트", "두 개입", "전용 패키지", "기프트 세트", "선물 세트", "증정")
+COLLECTIBLE_PHRASES = ("vintage", "빈티지", "limited", "리미티드", "한정", "collector", "anniversary", "기념판", "컬렉터", "single cask", "싱글 캐스크", "cask no")
+#: Bottles of so many millilitres are no ordinary retail size.
+LARGE_ML = 2000
+
+
+def _has_phrase(text: Column, phrases: Sequence[str]) -> Column:
+    return matches_any(text, *(r"\s*".join(_quoted(w) for w in phrase.split(" ")) for phrase in phrases))
+
+
+def _of_a_decade(text: Column) -> Column:
+    """Whether a decade of the last or this century is named: a year that ends in 0, and an s after it."""
+    years = F.transform(F.regexp_extract_all(text, F.lit(r"([0-9]+)\s*'?s"), 1), lambda d: F.right(d, F.lit(4)))
+    return F.exists(years, lambda y: (F.length(y) == 4) & F.endswith(y, F.lit("0")) & y.between("1900", "2099"))
 
 
 def apply_gates(df: DataFrame, gates: Sequence[tuple[Column, str]], ok: str = "ok", status: str = "status", reason: str = "reason") -> DataFrame:
@@ -55,12 +51,16 @@ def is_sane(c: Column | str, lo: float = 15000, hi: float | None = None) -> Colu
     return F.coalesce((col(c) >= lo) & (F.lit(True) if hi is None else col(c) <= hi), F.lit(False))
 
 
-def is_bundle(c: Column | str, words: Sequence[str] = BUNDLE_WORDS) -> Column:
-    return matches_any(F.lower(col(c)), *words)
+def is_bundle(c: Column | str, phrases: Sequence[str] = BUNDLE_PHRASES) -> Column:
+    """Whether the name is of a bottle sold with glasses, miniatures or gifts; null isn't."""
+    return _has_phrase(F.lower(col(c)), phrases)
 
 
-def is_collectible(c: Column | str, patterns: Sequence[str] = COLLECTIBLE_PATTERNS) -> Column:
-    return matches_any(F.lower(col(c)), *patterns)
+def is_collectible(c: Column | str, phrases: Sequence[str] = COLLECTIBLE_PHRASES, large: int = LARGE_ML) -> Column:
+    """Whether the name is of no standard product: a phrase, a decade, a number after #, or a volume of `large` or more; null isn't."""
+    text = F.lower(col(c))
+    big = F.exists(volumes_ml(text), lambda v: v >= large)
+    return F.coalesce(_has_phrase(text, phrases) | _of_a_decade(text) | text.rlike(r"#\s*[0-9]") | big, F.lit(False))
 
 
 def is_undersized(volume: Column | str, text: Column | str | None = None, lt: int = 500) -> Column:

@@ -6,17 +6,21 @@ counted size allows it; beyond that the same join is left to Spark, blocked by a
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, insort
 from collections.abc import Mapping, Sequence
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tallyvane.functions.automaton import needles_in
 from tallyvane.functions.similarity import seq_ratio
 from tallyvane.functions.text import AGE_PATTERN, VOLUME_PATTERN, age, descriptor_set, model_numbers, normalize_name, rewrite, tokens
-from tallyvane.functions.values import haversine_m
+from tallyvane.functions.values import EARTH_M, haversine_m
+from tallyvane.operators.lineage import settled
 
 Names = Sequence[str]
 #: Rows of a side that is broadcast after it was counted.
@@ -41,24 +45,32 @@ def anti(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key).distinct(), key, "left_anti")
 
 
-def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, on: Names = ()) -> DataFrame:
+def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, on: Names = (), most: int = BROADCAST_ROWS) -> DataFrame:
     """Distinct pairs (on, text, needle) of which the text holds the needle, in lower case, as it stands: letters, signs and spaces alike.
 
-    Both sides meet on the first one to three characters of a needle, by their own number, so nothing is compared with everything.
+    Up to `most` needles make one automaton, and a distinct text is read once, whatever their number; rows are as many as
+    hits. Beyond that both sides meet on the first one to three characters of a needle, by their own number, so
+    nothing is compared with everything.
     """
-    n = needles.select(*on, F.lower(needle).alias("_needle")).where("_needle <> ''").distinct().withColumn("_gram", F.substring("_needle", 1, 3))
-    low = F.lower(text)
+    n = needles.select(*on, F.lower(needle).alias("_needle")).where("_needle <> ''").distinct()
+    own = texts.select(*on, F.col(text).alias("_text")).where("_text is not null").distinct()
+    block = F.to_json(F.struct(*(F.col(c).cast("string") for c in on))) if on else F.lit("{}")
+    known = n.where(F.lit(True) if not on else F.expr(" and ".join(f"`{c}` is not null" for c in on))).select(block, "_needle").limit(most + 1).collect()
+    if len(known) <= most:
+        hits = needles_in(texts.sparkSession, [tuple(r) for r in known], F.lower("_text"), block)
+        return own.select(*on, F.col("_text").alias("text"), F.explode(hits).alias("needle"))
+    n = n.withColumn("_gram", F.substring("_needle", 1, 3))
+    low = F.lower("_text")
     grams = lambda k: F.when(F.length(low) >= k, F.transform(F.sequence(F.lit(1), F.length(low) - k + 1), lambda i: low.substr(i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-    keyed = texts.select(*on, F.col(text).alias("_text")).where("_text is not null").distinct().withColumn(text, F.col("_text"))
-    keyed = keyed.select(*on, "_text", F.explode(F.array_distinct(F.concat(grams(1), grams(2), grams(3)))).alias("_gram"))
-    met = keyed.join(bounded(n), [*on, "_gram"]).where(F.contains(F.lower("_text"), F.col("_needle")))
+    keyed = own.select(*on, "_text", F.explode(F.array_distinct(F.concat(grams(1), grams(2), grams(3)))).alias("_gram"))
+    met = keyed.join(n, [*on, "_gram"]).where(F.contains(F.lower("_text"), F.col("_needle")))
     return met.select(*on, F.col("_text").alias("text"), F.col("_needle").alias("needle"))
 
 
 def _hits(names: DataFrame, rules: DataFrame) -> DataFrame:
-    """(low, rule_no) of the rules that a name can meet: it holds the rule's first token or one of its aliases."""
-    heads = F.array_distinct(F.concat(F.slice("match", 1, 1), F.col("alias")))
-    probes = rules.select("rule_no", F.explode(heads).alias("head"))
+    """(low, rule_no) of the rules that a name can meet: it holds the longest token that the rule asks for, or one of its aliases."""
+    longest = F.array_min(F.transform("match", lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))["t"]
+    probes = rules.select("rule_no", F.explode(F.array_distinct(F.array_compact(F.concat(F.array(longest), F.col("alias"))))).alias("head"))
     met = containing(names, "low", probes, "head")
     return met.join(bounded(probes.withColumnRenamed("head", "needle")), "needle").select(F.col("text").alias("low"), "rule_no").distinct()
 
@@ -89,13 +101,14 @@ def resolve_rules(df: DataFrame, text: str, rules: DataFrame, excludes: Names =
 
 
 def resolve_unique(df: DataFrame, text: str, rules: DataFrame, **how) -> DataFrame:
-    """Like resolve_rules, but matched only where exactly one rule hits; with more, `ambiguous`.
+    """Like resolve_rules, but matched only where exactly one rule hits; with more, `ambiguous`. Excluded texts stay excluded.
 
     A bridge from other spellings of brands is given as synonyms, an exact age by age_col.
     """
     out = resolve_rules(df, text, rules, **how)
-    status = F.when(F.col("hits") == 1, "matched").when(F.col("hits") > 1, "ambiguous").otherwise("unmatched")
-    return out.select("text", status.alias("status"), F.when(F.col("hits") == 1, F.col("id")).alias("id"), "hits")
+    one = F.col("hits") == 1
+    status = F.when(F.col("status") == "excluded", "excluded").when(one, "matched").when(F.col("hits") > 1, "ambiguous").otherwise("unmatched")
+    return out.select("text", status.alias("status"), F.when(one, F.col("id")).alias("id"), "hits")
 
 
 def resolve_cascade(names: DataFrame, text: str, stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -139,9 +152,13 @@ def match_contains(items: DataFrame, dim: DataFrame, item: str, name: str, block
 
 
 def cross_rates(fx: DataFrame, quote: str, date: str = "date", currency: str = "currency", rate: str = "rate") -> DataFrame:
-    """(date, currency, rate) in units of the quote for one unit of a currency, from rates for one unit of a third one."""
-    to = fx.where(F.col(currency) == quote).groupBy(date).agg(F.max(rate).alias("_to"))
-    return fx.join(to, date).select(date, currency, (F.col("_to") / F.when(F.col(rate) != 0, F.col(rate))).alias(rate))
+    """(date, currency, rate) in units of the quote for one unit of a currency, from rates for one unit of a third one.
+
+    One row for each date and currency: of several rates the greatest counts, for the quote as for the others.
+    """
+    one = fx.groupBy(date, currency).agg(F.max(rate).alias(rate))
+    to = one.where(F.col(currency) == quote).select(date, F.col(rate).alias("_to"))
+    return one.join(to, date).select(date, currency, (F.col("_to") / F.when(F.col(rate) != 0, F.col(rate))).alias(rate))
 
 
 def convert_asof(df: DataFrame, rates: DataFrame, amount: str, currency: str, date: str, base: str, max_age: int = 1) -> DataFrame:
@@ -381,29 +398,63 @@ def match_brand_age(items: DataFrame, offers: DataFrame, item: str, offer: str,
 def match_registry(places: DataFrame, registry: DataFrame, name: str, locality: str, lat: str, lng: str, radius: float = 150.0, prefix: int = 2) -> DataFrame:
     """places with registered: a registry row has an equal name, or one starts with the other, in the same or no locality, or within the radius."""
     key = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
-    p = places.withColumn("_row", F.monotonically_increasing_id()).withColumn("_n", key(F.col(name)))
-    r = registry.select(key(F.col(name)).alias("_m"), F.col(locality).alias("_loc"), F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).where(F.length("_m") >= prefix)
-    pairs = p.withColumn("_b", F.substring("_n", 1, prefix)).join(r.withColumn("_b", F.substring("_m", 1, prefix)), "_b")
+    p = places.withColumn("_n", key(F.col(name))).withColumn("_b", F.substring("_n", 1, prefix))
+    r = registry.select(key(F.col(name)).alias("_m"), F.col(locality).alias("_loc"), F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).where(F.length("_m") >= prefix).withColumn("_of", F.substring("_m", 1, prefix))
     named = F.startswith("_n", "_m") | F.startswith("_m", "_n")
     near = F.coalesce(F.col(locality) == F.col("_loc"), F.lit(True)) | F.coalesce(haversine_m(lat, lng, "_lat", "_lng") <= radius, F.lit(False))
-    hits = pairs.where(named & near).select("_row").distinct().withColumn("registered", F.lit(True))
-    return p.join(hits, "_row", "left").withColumn("registered", F.coalesce("registered", F.lit(False))).drop("_row", "_n")
+    met = (F.col("_b") == F.col("_of")) & named & near
+    # Every place falls on one side of the same condition, so no row needs a number.
+    sides = [p.join(r, met, how).drop("_n", "_b").withColumn("registered", F.lit(how == "left_semi")) for how in ("left_semi", "left_anti")]
+    return sides[0].unionByName(sides[1])
+
+
+def _globe(lat: Column, lng: Column, metres: float) -> list[Column]:
+    """The cell of a place in a grid of so many metres through the globe: three coordinates on the sphere, so there are no poles and no date line."""
+    la, lo = F.radians(lat), F.radians(lng)
+    axes = (F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la))
+    return [F.floor(a * (EARTH_M / metres)).cast("long") for a in axes]
+
+
+_CELL = ["_cx", "_cy", "_cz"]
 
 
 def within_radius(points: DataFrame, centres: DataFrame, radius: float, lat: str = "lat", lng: str = "lng", centre: str = "centre") -> DataFrame:
-    """Pairs of points and centres within so many metres, joined by grid cell: a centre is put in the cells its circle touches.
+    """Pairs of points and centres within so many metres, anywhere on the globe, joined by grid cell.
 
-    centres: centre, lat, lng. Cells are as wide as the radius, so each pair of near ones meets in one cell.
+    centres: centre, lat, lng. The straight line between two places is no longer than the way over the surface, so with cells
+    a little wider than the radius every near pair lies in neighbouring cells. Places without coordinates are near nothing.
     """
-    step = radius / 111_000.0
-    cell = lambda c, s: F.floor(F.col(c) / s).cast("long")
-    wide = 3.0 * step  # cells of longitude, wide enough to 70 degrees of latitude
-    p = points.withColumn("_y", cell(lat, step)).withColumn("_x", cell(lng, wide))
+    wide = radius * 1.001 + 0.01
+    p = points.withColumns(dict(zip(_CELL, _globe(F.col(lat), F.col(lng), wide), strict=True)))
     c = centres.select(F.col(centre), F.col(lat).alias("_lat"), F.col(lng).alias("_lng"))
-    around = F.sequence(F.lit(-1), F.lit(1))
-    c = c.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).withColumn("_y", cell("_lat", step) + F.col("_dy")).withColumn("_x", cell("_lng", wide) + F.col("_dx")).drop("_dy", "_dx")
-    near = p.join(c, ["_y", "_x"]).withColumn("metres", haversine_m(lat, lng, "_lat", "_lng")).where(F.col("metres") <= radius)
-    return near.drop("_y", "_x", "_lat", "_lng").withColumn("walk_min", F.round(F.col("metres") / 67).cast("int"))
+    around = F.array(*(F.struct(*(F.lit(d).alias(n) for d, n in zip(step, _CELL, strict=True))) for step in product((-1, 0, 1), repeat=3)))
+    own = dict(zip(_CELL, _globe(F.col("_lat"), F.col("_lng"), wide), strict=True))
+    c = c.withColumn("_step", F.explode(around)).select(centre, "_lat", "_lng", *((own[n] + F.col(f"_step.{n}")).alias(n) for n in _CELL))
+    near = p.join(c, _CELL).withColumn("metres", haversine_m(lat, lng, "_lat", "_lng")).where(F.col("metres") <= radius)
+    return near.drop(*_CELL, "_lat", "_lng").withColumn("walk_min", F.round(F.col("metres") / 67).cast("int"))
+
+
+def nearest_places(points: DataFrame, centres: DataFrame, k: int, ident: str, start: float = 500.0, lat: str = "lat", lng: str = "lng", centre: str = "centre") -> DataFrame:
+    """The k nearest points of each centre, equals by ident: columns of within_radius and rank; all points where there are no more.
+
+    Rings grow fourfold from `start` metres for centres that don't have k points within reach yet, so dense regions
+    never meet wide rings. Each ring is a join of cells and one action.
+    """
+    order = Window.partitionBy(centre).orderBy("metres", ident)
+    there = points.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+    asked, radius, found = centres.where(F.col(lat).isNotNull() & F.col(lng).isNotNull()), start, None
+    while True:
+        near = within_radius(there, asked, radius, lat, lng, centre).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        last = radius > math.pi * EARTH_M
+        full = None if last else settled(near.where(F.col("rank") == k).select(centre))
+        done = near if last else near.join(full, centre, "left_semi")
+        found = done if found is None else found.unionByName(done)
+        if last:
+            return found
+        asked = settled(asked.join(full, centre, "left_anti"))
+        if asked.isEmpty():
+            return found
+        radius *= 4
 
 
 def compare_curated(a: DataFrame, b: DataFrame, spec: DataFrame, name_a: str, name_b: str, price: str) -> DataFrame:

@@ -73,14 +73,14 @@ def baseline_rate(series: DataFrame, exclude: DataFrame, key: str, date: str, va
 
 
 def trajectory(series: DataFrame, key: str, period: str, value: str, step: float = 0.015, least: int = 3) -> DataFrame:
-    """Per key with at least so many periods: where the last value lies in the range, and a tag from its last two changes.
+    """Per key with at least so many periods that have a value: where the last value lies in the range, and a tag from its last two changes.
 
     Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady. One shuffle
     and one sort: the aggregate by key goes on with the window's partitions.
     """
     w = Window.partitionBy(key).orderBy(period)
     change = lambda a, b: (a - b) / F.when(b != 0, b)
-    s = series.groupBy(key, period).agg(F.min(value).alias("_v")).withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
+    s = series.where(F.col(value).isNotNull()).groupBy(key, period).agg(F.min(value).alias("_v")).withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
     last = F.max(F.struct(F.col(period).alias("p"), F.col("_v").alias("v"), F.col("_1").alias("a"), F.col("_2").alias("b"))).alias("_l")
     s = s.groupBy(key).agg(last, F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where(F.col("_n") >= least)
     v = F.col("_l.v")

@@ -244,10 +244,14 @@ def q21_shelf_boxes(spark, sf):
     return A.mode_by(paired, "nm", "price")
 
 
-@query(f"""with {PAIR}, x as (select p_brand, c.price n, p.price o, p.item is null isnew, c.item is null gone from prev p full join cur c on p.item = c.item join part on p_partkey = coalesce(p.item, c.item))
-select p_brand, count(*) filter (isnew) added, count(*) filter (gone) lost, count(*) filter (not isnew and not gone and n <> o and abs(round((n - o) * 100.0 / o, 4)) >= 15) moved, round(avg(n), 2) mean_now from x group by 1""")
+@query(f"""with {PAIR}, p0 as (select item, case when item % 10 in (3, 4) then 20000 else price end price from prev), c0 as (select item, case item % 10 when 3 then 23000 when 4 then 23001 else price end price from cur), x as (select p_brand, c.price n, p.price o, p.item is null isnew, c.item is null gone from p0 p full join c0 c on p.item = c.item join part on p_partkey = coalesce(p.item, c.item))
+select p_brand, count(*) filter (isnew) added, count(*) filter (gone) lost, count(*) filter (not isnew and not gone and n <> o and abs(round((n - o) * 100.0 / o, 4)) > 15) moved, round(avg(n), 2) mean_now from x group by 1""")
 def q23_place_diff(spark, sf):
+    """Some prices rise by exactly the tolerance, which is no move, and some by a little more."""
     a, b = pair(spark, sf)
+    last = F.col("item") % 10
+    a = a.withColumn("price", F.when(last.isin(3, 4), 20000).otherwise(F.col("price")))
+    b = b.withColumn("price", F.when(last == 3, 23000).when(last == 4, 23001).otherwise(F.col("price")))
     brand = parts(spark, sf).select(F.col("p_partkey").alias("item"), "p_brand")
     moves = A.membership_moves(a, b, "item", "price").join(brand, "item").groupBy("p_brand").agg(F.count_if(F.col("kind") == "new").alias("added"), F.count_if(F.col("kind") == "removed").alias("lost"), F.count_if(F.col("kind").isin("rise", "drop")).alias("moved"))
     seen = O.key_sets(a, b, "item").join(brand, "item").join(b.select("item", "price"), "item", "left").groupBy("p_brand").agg(F.round(F.avg("price"), 2).alias("mean_now"))

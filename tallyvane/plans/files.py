@@ -95,7 +95,7 @@ new as (select case when item % 5 > 0 then item % 200 end shelf, case when item
 def s19_table_upsert(spark, sf):
     """A month's rows put over the last one's in a versioned table, twice; keys may be null."""
     own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
-    own.upsert(_shelved(prev), ["shelf", "grp"])
+    own.upsert(_shelved(prev), ["shelf", "grp"], parts=8)
     for _ in range(2):
         own.upsert(_shelved(cur), ["shelf", "grp"])
     own.vacuum()
@@ -106,7 +106,7 @@ def s19_table_upsert(spark, sf):
 def s18_table_append(spark, sf):
     """The same months, of which the later one only adds what isn't there, twice."""
     own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
-    own.append(_shelved(prev), ["shelf", "grp"])
+    own.append(_shelved(prev), ["shelf", "grp"], parts=8)
     for _ in range(2):
         own.append(_shelved(cur), ["shelf", "grp"])
     return own.read()

@@ -135,7 +135,9 @@ def _fx(spark, sf):
     """Rates for one unit of some third currency, on four days a month."""
     o = table(spark, sf, "orders").withColumn("d", F.col("o_orderdate").cast("date")).where(F.dayofmonth("d").isin(1, 2, 11, 21))
     one = o.groupBy("d").agg(F.min(F.struct("o_orderkey", "o_custkey")).alias("o"))
-    return one.select(F.col("d").alias("date"), F.explode(F.create_map(F.lit("A"), 1.0 + F.col("o.o_custkey") % 7 / 100.0, F.lit("F"), 1350.5 + F.col("o.o_custkey") % 50, F.lit("N"), F.lit(9.25))).alias("currency", "rate"))
+    both = one.select(F.col("d").alias("date"), F.explode(F.create_map(F.lit("A"), 1.0 + F.col("o.o_custkey") % 7 / 100.0, F.lit("F"), 1350.5 + F.col("o.o_custkey") % 50, F.lit("N"), F.lit(9.25))).alias("currency", "rate"))
+    # Every currency is told twice a day; the greater rate counts.
+    return both.unionByName(both.withColumn("rate", F.col("rate") * 0.9))
 
 
 @query(f"with {FX_SQL} select d, c currency, round(r, 6) rate from cr", dates=["d"])
@@ -213,13 +215,15 @@ def f4_sane_price(spark, sf):
 
 
 # Name endings, and whether they mark a collectible: 1.75 litres are sold everywhere, two aren't.
-RARE = [(" vintage", True), (" 1.75L", False), (" 2 L", True), (" collector", True), (" 10th Anniversary", True), (" 리미티드", True), (" #7", True), (" 1990s", True), (" 100 proof 12yo", False), (" 1L", False), (" Cask No. 4", True), (" 2018 release", False), ("", False)]
+RARE = [(" vintage", True), (" 1.75L", False), (" 2 L", True), (" collector", True), (" 10th Anniversary", True), (" 리미티드", True), (" #7", True), (" 1990s", True), (" 100 proof 12yo", False), (" 1L", False), (" Cask No. 4", True), (" 2018 release", False), (" 1985s", False), (" 2 100 s", False), (" Single  Cask", True), ("", False)]
+# Name endings, and whether they mark a bundle; the last ones only look like it.
+BUNDLES = [(" 전용잔", True), (" 메가 잔", True), (" 두 개입", True), (" 증정", True), (" 잔 세트", True), (" 미니어쳐세트", True), (" 선물  세트", True), (" 12+", False), (" a + b", False), (" box 2", False), (" gifted oak", False), (" 세트", False), ("", False)]
 
 
-@query(f"select p_partkey, p_size % 5 = 0 bundle, [{', '.join(str(x).lower() for _, x in RARE)}][p_size % {len(RARE)} + 1] collectible from part")
+@query(f"select p_partkey, [{', '.join(str(x).lower() for _, x in BUNDLES)}][p_partkey % {len(BUNDLES)} + 1] bundle, [{', '.join(str(x).lower() for _, x in RARE)}][p_size % {len(RARE)} + 1] collectible from part")
 def f5_f6_predicates(spark, sf):
     p = table(spark, sf, "part")
-    label = F.concat(F.col("p_name"), F.when(F.col("p_size") % 5 == 0, " gift box").otherwise(""), F.get(F.array(*(F.lit(s) for s, _ in RARE)), F.col("p_size") % len(RARE)))
+    label = F.concat(F.col("p_name"), F.get(F.array(*(F.lit(s) for s, _ in BUNDLES)), (F.col("p_partkey") % len(BUNDLES)).cast("int")), F.get(F.array(*(F.lit(s) for s, _ in RARE)), F.col("p_size") % len(RARE)))
     return p.select("p_partkey", G.is_bundle(label).alias("bundle"), G.is_collectible(label).alias("collectible"))
 
 

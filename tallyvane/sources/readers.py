@@ -102,20 +102,19 @@ def pick_month(df: DataFrame, month: str, current: str) -> DataFrame:
 
 
 def _walk(text: str | None, keys: frozenset[str]) -> list[str]:
-    """The objects anywhere in a JSON text that have all the keys, in document order, as JSON; none of a text that isn't JSON."""
+    """The objects anywhere in a JSON text that have all the keys, in document order, as JSON; none of a text that isn't JSON or is nested too deep to be read."""
     try:
-        stack = [json.loads(text)] if text else []
-    except ValueError:
+        stack, found = [json.loads(text)] if text else [], []
+        while stack:
+            node = stack.pop()
+            if isinstance(node, dict):
+                if keys <= node.keys():
+                    found.append(json.dumps({k: node[k] for k in keys}))
+                stack += reversed(node.values())
+            elif isinstance(node, list):
+                stack += reversed(node)
+    except (ValueError, RecursionError):
         return []
-    found = []
-    while stack:
-        node = stack.pop()
-        if isinstance(node, dict):
-            if keys <= node.keys():
-                found.append(json.dumps({k: node[k] for k in keys}))
-            stack += reversed(node.values())
-        elif isinstance(node, list):
-            stack += reversed(node)
     return found
 
 

@@ -143,7 +143,7 @@ class Table:
             batch = batch.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in own.struct))
         # The batch is computed once and kept until the version is there; the parts that it touches are the folders it makes.
         staged = f"staged/{uuid.uuid4().hex}"
-        batch.withColumn(_PART, part_of(keys, parts)).write.partitionBy(_PART).parquet(f"{self.path}/{staged}")
+        batch.withColumn(_PART, part_of(keys, parts)).hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/{staged}")
         touched = self._parts_in(staged)
         version = own.version if own else 0
         if touched or not own:
