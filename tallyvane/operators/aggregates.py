@@ -272,6 +272,15 @@ def weekly_rollup(diffs: DataFrame, key: str, date: str, prev_date: str, delta:
     return out.withColumn("list", F.when(F.col("delta") <= -least, "deepen").when(F.col("delta") >= least, "raise")) if floor else out
 
 
+def hot_deals(deals: DataFrame, key: str, date: str, save: str, floor: str, n: int = 20) -> DataFrame:
+    """The n best of a week's deals, one a key: its newest day's; by share of the floor saved, then amount saved, then key."""
+    newest = deals.groupBy(key).agg(F.max(F.struct(F.col(date), F.col(save), F.col(floor))).alias("_d")).select(key, "_d.*")
+    share = F.when((F.col(save) != 0) & (F.col(floor) != 0), F.round(F.col(save) / F.col(floor), 6)).otherwise(0.0)
+    order = [F.desc("share"), F.desc_nulls_last(save), F.col(key)]
+    top = newest.withColumn("share", F.coalesce(share, F.lit(0.0))).orderBy(*order).limit(n)  # the window sees these n
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
     """One row per stage: rows for which its predicate and all before it hold."""
     held, exprs = F.lit(True), []

@@ -32,6 +32,15 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def by_alias(df: DataFrame, aliases: Mapping[str, Names]) -> DataFrame:
+    """Columns by the first header that is one of their aliases, case and outer white space aside; null (a string) where none is."""
+    there: dict[str, str] = {}
+    for c in df.columns:
+        there.setdefault(c.strip().lower(), c)
+    found = {name: next((there[a] for a in [name, *own] if a in there), None) for name, own in aliases.items()}
+    return df.select(*((F.col(f"`{c}`") if c else F.lit(None).cast("string")).alias(name) for name, c in found.items()))
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """df with the dimension's columns; keys that the dimension lacks keep nulls."""
     return df.join(bounded(dim), key, "left")

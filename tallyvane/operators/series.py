@@ -211,6 +211,11 @@ def best_per_key(df: DataFrame, keys: Names, order: Sequence[Column]) -> DataFra
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def best_n(df: DataFrame, keys: Names, order: Sequence[Column], n: int, name: str = "place") -> DataFrame:
+    """The first n rows of each key with their place, in an order that should leave no ties; Spark keeps n rows a key and task before it shuffles."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= n)
+
+
 def opportunity_diff(prev: DataFrame, cur: DataFrame, key: str, live: DataFrame | None = None) -> DataFrame:
     """Keys of two reports as new, still or expired; expired only where live, if given, can tell, else unknown."""
     both = prev.select(key, F.lit(True).alias("_p")).distinct().join(cur.select(key, F.lit(True).alias("_c")).distinct(), key, "full")

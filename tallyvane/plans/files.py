@@ -94,8 +94,8 @@ new as (select case when item % 5 > 0 then item % 200 end shelf, case when item
 @query(f"with {SHELVED} select * from new union all select * from old where not exists (select 1 from new where new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp)")
 def s19_table_upsert(spark, sf):
     """A month's rows put over the last one's in a versioned table, twice; keys may be null."""
-    own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
-    own.upsert(_shelved(prev), ["shelf", "grp"], parts=8)
+    own, (prev, cur) = Table(spark, shared_folder(spark, "table"), parts=8), pair(spark, sf)
+    own.upsert(_shelved(prev), ["shelf", "grp"])
     for _ in range(2):
         own.upsert(_shelved(cur), ["shelf", "grp"])
     own.vacuum()
@@ -105,8 +105,8 @@ def s19_table_upsert(spark, sf):
 @query(f"with {SHELVED} select * from old union all select * from new where not exists (select 1 from old where new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp)")
 def s18_table_append(spark, sf):
     """The same months, of which the later one only adds what isn't there, twice."""
-    own, (prev, cur) = Table(spark, shared_folder(spark, "table")), pair(spark, sf)
-    own.append(_shelved(prev), ["shelf", "grp"], parts=8)
+    own, (prev, cur) = Table(spark, shared_folder(spark, "table"), parts=8), pair(spark, sf)
+    own.append(_shelved(prev), ["shelf", "grp"])
     for _ in range(2):
         own.append(_shelved(cur), ["shelf", "grp"])
     return own.read()
@@ -115,7 +115,7 @@ def s18_table_append(spark, sf):
 @query("select p_partkey, '2026-06-02' run_date from part where p_size > 30")
 def s20_latest_snapshot(spark, sf):
     """Snapshots written out of order, one day twice: the pointer stays with the newest day."""
-    own, p = Table(spark, shared_folder(spark, "table")), table(spark, sf, "part").select("p_partkey", "p_size")
+    own, p = Table(spark, shared_folder(spark, "table"), parts=8), table(spark, sf, "part").select("p_partkey", "p_size")
     for size, day in ((10, "2026-06-01"), (40, "2026-06-02"), (20, "2026-06-01"), (30, "2026-06-02"), (5, "2026-05-30")):
         own.snapshot(p.where(F.col("p_size") > size).select("p_partkey"), day)
     return own.read_latest()

@@ -49,10 +49,10 @@ class Manifest:
 
 
 class Table:
-    """A versioned table in a folder of any file system that Spark knows. Nothing is there before the first write."""
+    """A versioned table in a folder of any file system that Spark knows. Nothing is there before the first write, which makes so many parts."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, parts: int = PARTS):
+        self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
 
     # --- files
 
@@ -134,8 +134,8 @@ class Table:
         files, made = self._disk(folder)
         return [m.group(1) for s in files.listStatus(made) if (m := re.fullmatch(rf"{_PART}=(.+)", s.getPath().getName()))]
 
-    def _merge(self, batch: DataFrame, keys: Names, parts: int, replacing: bool) -> int:
-        own = self.manifest()
+    def _merge(self, batch: DataFrame, keys: Names, replacing: bool) -> int:
+        own, parts = self.manifest(), self.parts
         if own and tuple(keys) != own.keys:
             raise ValueError(f"{self.path} has the keys {own.keys}")
         if own:
@@ -155,17 +155,42 @@ class Table:
         files.delete(path, True)
         return version
 
-    def upsert(self, batch: DataFrame, keys: Names, order: str | None = None, parts: int = PARTS) -> int:
+    def upsert(self, batch: DataFrame, keys: Names, order: str | None = None) -> int:
         """Put the batch's rows in place of those with their keys and add the rest; the new version's number.
 
         Of rows of the batch with equal keys the last in the order counts (without one, any). The table's columns stay: the
         batch is brought to their order and types, and a column that it lacks is an error. An empty batch makes no version of a table that has one.
         """
-        return self._merge(one_each(batch, keys, order), keys, parts, True)
+        return self._merge(one_each(batch, keys, order), keys, True)
 
-    def append(self, batch: DataFrame, keys: Names, order: str | None = None, parts: int = PARTS) -> int:
+    def append(self, batch: DataFrame, keys: Names, order: str | None = None) -> int:
         """Add the rows whose keys aren't there yet; what is there stays. Done again, it changes nothing."""
-        return self._merge(one_each(batch, keys, order), keys, parts, False)
+        return self._merge(one_each(batch, keys, order), keys, False)
+
+    def remove(self, batch: DataFrame, keys: Names) -> int:
+        """Remove the rows whose keys the batch has; keys that aren't there change nothing."""
+        own = self.manifest()
+        if own is None or tuple(keys) != own.keys:
+            raise ValueError(f"{self.path} has the keys {own.keys if own else ()}")
+        types = {f.name: f.dataType for f in own.struct}
+        named = batch.select(*(F.col(f"`{k}`").cast(types[k]).alias(k) for k in keys)).distinct()
+        staged = f"staged/{uuid.uuid4().hex}"
+        named.withColumn(_PART, part_of(keys, own.parts)).write.partitionBy(_PART).parquet(f"{self.path}/{staged}")
+        touched = [p for p in self._parts_in(staged) if p in own.folders]
+        version = own.version
+        if touched:
+            gone = self.spark.read.schema(named.schema).parquet(f"{self.path}/{staged}")
+            left = without(self._rows(own, touched).withColumn(_PART, part_of(keys, own.parts)), gone, keys)
+            version = self._written(left, own, keys, own.parts, touched)
+        files, path = self._disk(staged)
+        files.delete(path, True)
+        return version
+
+    def replace(self, rows: DataFrame, keys: Names) -> int:
+        """Put rows in place of all there are: other columns, types and keys than before may be had this way. Of rows with equal keys all stay."""
+        own = self.manifest()
+        parts = own.parts if own and own.parts else self.parts
+        return self._written(rows.withColumn(_PART, part_of(keys, parts)), own, keys, parts, list(own.folders) if own else [])
 
     def snapshot(self, rows: DataFrame, day: str, column: str = "run_date") -> int:
         """The rows as one day's snapshot, in place of an earlier one of that day; the pointer to the latest never goes back.

@@ -1,7 +1,9 @@
 """Versioned tables: null keys, a death at every step, and two writers at once."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyvane.operators import quarantine as quarantines
 from tallyvane.sources import versioned
 from tallyvane.sources.versioned import Overtaken, Table
 
@@ -14,7 +16,7 @@ def rows_of(df):
 
 @pytest.fixture
 def own(spark, tmp_path):
-    return Table(spark, str(tmp_path / "own"))
+    return Table(spark, str(tmp_path / "own"), parts=4)
 
 
 def frame(spark, *rows):
@@ -22,7 +24,7 @@ def frame(spark, *rows):
 
 
 def test_upsert_and_append_take_nulls_as_equal(spark, own):
-    own.upsert(frame(spark, (None, 1, 10, 0), ("x", None, 20, 0), (None, None, 30, 0), ("y", 1, 40, 0)), ["a", "b"], parts=4)
+    own.upsert(frame(spark, (None, 1, 10, 0), ("x", None, 20, 0), (None, None, 30, 0), ("y", 1, 40, 0)), ["a", "b"])
     own.upsert(frame(spark, (None, 1, 11, 1), (None, 1, 12, 2), (None, 1, 13, None), (None, None, 31, 1), ("z", 1, 50, 1)), ["a", "b"], order="t")
     want = [(None, 1, 12, 2), ("x", None, 20, 0), (None, None, 31, 1), ("y", 1, 40, 0), ("z", 1, 50, 1)]
     assert rows_of(own.read()) == sorted(want, key=repr)
@@ -34,7 +36,8 @@ def test_upsert_and_append_take_nulls_as_equal(spark, own):
 
 
 def test_only_touched_parts_are_written_again(spark, own):
-    own.upsert(frame(spark, *((str(i), i, i, 0) for i in range(200))), ["a"], parts=16)
+    own.parts = 16
+    own.upsert(frame(spark, *((str(i), i, i, 0) for i in range(200))), ["a"])
     first = own.manifest().folders
     own.upsert(frame(spark, ("7", 0, -1, 0)), ["a"])
     second = own.manifest().folders
@@ -102,3 +105,55 @@ def test_snapshots_and_their_latest(spark, own):
     assert sorted(r["v"] for r in own.read().collect()) == [2, 3]
     own.snapshot(frame(spark), "2026-06-03")
     assert own.latest() == "2026-06-03" and own.read_latest().count() == 0
+
+
+def test_remove_and_replace(spark, own):
+    own.upsert(frame(spark, ("x", 1, 1, 1), (None, 1, 2, 2), ("y", None, 3, 3)), ["a", "b"])
+    own.remove(frame(spark, (None, 1, 0, 0), ("z", 1, 0, 0), ("x", None, 0, 0)), ["a", "b"])
+    assert rows_of(own.read()) == [("x", 1, 1, 1), ("y", None, 3, 3)]
+    version = own.manifest().version
+    assert own.remove(frame(spark, ("nobody", 1, 0, 0)).limit(0), ["a", "b"]) == version
+    own.replace(own.read().selectExpr("a", "v + 1 as v"), ["a"])
+    assert rows_of(own.read()) == [("x", 2), ("y", 4)] and own.manifest().keys == ("a",)
+    own.remove(own.read(), ["a"])
+    assert own.read().count() == 0
+
+
+RAW = "raw string, price long, v int, at int, place string, branch string, day string"
+
+
+def quarantine(spark, tmp_path, known):
+    bands = spark.createDataFrame([("A", 100, 200), ("B", 100, 200)], "id string, lo long, hi long")
+    names = spark.createDataFrame(known, "raw string, id string")
+    return quarantines.Rules([(F.col("price") < 10, "low price")], names, bands)
+
+
+def test_quarantine_is_recovered_once(spark, tmp_path, monkeypatch):
+    """Gates, names and bands; a source without accepted rows stays; a run that dies between the two tables is done again."""
+    accepted, held = Table(spark, str(tmp_path / "ok"), 2), Table(spark, str(tmp_path / "bad"), 2)
+    rows = spark.createDataFrame(
+        [("a", 150, 1, 1, "P", "B", "d1"), ("b", 150, 1, 2, "P", "B", "d1"), ("b", 150, 2, 3, "Q", "C", "d2"), ("b", 5, 1, 4, "P", "B", "d1"), ("a", 5000, 1, 5, "P", "B", "d1"), ("c", 150, 1, 6, "P", "B", "d1"), ("b", 151, None, 7, "P", "B", "d1")], RAW
+    )
+    keys, row_keys = ["id", "price", "place", "branch", "day"], ["raw", "price", "v", "at"]
+    how = ("raw", "price", "v", ["place", "branch", "day"], keys, row_keys)
+    for _ in range(2):
+        quarantines.ingest(rows, quarantine(spark, tmp_path, [("a", "A"), ("b", None)]), accepted, held, "raw", "price", keys, row_keys)
+    assert accepted.read().count() == 1 and {r["at"]: r["reason"] for r in held.read().collect()} == {2: "unmatched", 3: "unmatched", 4: "low price", 5: "above reference", 6: "unmatched", 7: "unmatched"}
+    later = quarantine(spark, tmp_path, [("a", "A"), ("b", "B")])
+    with monkeypatch.context() as m:
+        m.setattr(Table, "remove", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            quarantines.reprocess(accepted, held, later, *how)
+    assert accepted.read().count() == 2 and held.read().count() == 6
+    assert quarantines.reprocess(accepted, held, later, *how) == {"recovered": 1, "remaining": 5, "without_source": 2}
+    assert quarantines.reprocess(accepted, held, later, *how) == {"recovered": 0, "remaining": 5, "without_source": 2}
+    assert sorted((r["id"], r["price"], r["place"], r["day"]) for r in accepted.read().collect()) == [("A", 150, "P", "d1"), ("B", 150, "P", "d1")]
+
+
+def test_backfill_makes_equal_rows_one(spark, tmp_path):
+    accepted = Table(spark, str(tmp_path / "ok"), 2)
+    keys = ["id", "branch"]
+    accepted.append(spark.createDataFrame([("A", None, 1), ("A", "B1", 1), ("C", None, 2)], "id string, branch string, v int"), keys)
+    titles = spark.createDataFrame([(1, "B1"), (3, "B3")], "v int, branch string")
+    assert quarantines.backfill(accepted, titles, "v", "branch", keys) == 1
+    assert rows_of(accepted.read()) == [("A", "B1", 1), ("C", None, 2)]
