@@ -20,6 +20,7 @@ from tallyvane.functions.automaton import needles_in
 from tallyvane.functions.similarity import seq_ratio
 from tallyvane.functions.text import AGE_PATTERN, VOLUME_PATTERN, age, descriptor_set, model_numbers, normalize_name, rewrite, tokens
 from tallyvane.functions.values import EARTH_M, haversine_m
+from tallyvane.operators import scans
 from tallyvane.operators.lineage import settled
 
 Names = Sequence[str]
@@ -186,12 +187,14 @@ def convert_asof(df: DataFrame, rates: DataFrame, amount: str, currency: str, da
     return out.select(*df.columns, F.when(own, F.col(amount).cast("double")).otherwise(F.col(amount) * used["r"]).alias("converted"), F.when(~own, used["d"]).alias("rate_date"), warning.alias("warning"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, value: str, out: str = "asof") -> DataFrame:
-    """left with right's last value at or before its own time: one shuffle on the key for both sides, no pairs are made."""
+def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, value: str, out: str = "asof", most: int | None = scans.MOST) -> DataFrame:
+    """left with right's last value at or before its own time: one shuffle on the key for both sides, no pairs are made.
+
+    A key of more than `most` rows is scanned in parts of its time (None: keys aren't counted).
+    """
     a = left.withColumn("_side", F.lit(1)).withColumn("_v", F.lit(None).cast(right.schema[value].dataType))
     b = right.groupBy(key, ts).agg(F.max(value).alias("_v")).withColumn("_side", F.lit(0))
-    w = Window.partitionBy(key).orderBy(ts, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b, allowMissingColumns=True).withColumn(out, F.last("_v", ignorenulls=True).over(w))
+    both = scans.last_so_far(a.unionByName(b, allowMissingColumns=True), [key], ts, ["_side"], "_v", out, most)
     return both.where("_side = 1").drop("_side", "_v")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyvane.operators import ranking
+from tallyvane.operators import ranking, scans
 
 Names = Sequence[str]
 
@@ -22,19 +22,23 @@ def last_per_day(obs: DataFrame, keys: Names, date: str, value: str) -> DataFram
 
 
 def prev_value(obs: DataFrame, keys: Names, date: str, value: str) -> DataFrame:
-    """The last day of each key with the value of the day before it and a badge: up, down, same or new."""
+    """The last day of each key with the value of the day before it and a badge: up, down, same or new.
+
+    Two aggregates and no window, so a key may have any number of days: the greatest day, then the greatest before that.
+    """
     day = last_per_day(obs, keys, date, value)
-    w = Window.partitionBy(*keys).orderBy(date)
-    last = Window.partitionBy(*keys).orderBy(F.col(date).desc())
-    out = day.withColumn("prev", F.lag(value).over(w)).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+    newest = day.groupBy(*keys).agg(F.max(date).alias("_d"))
+    near = day.join(scans.renamed(newest, keys, "_d"), scans.same(keys)).drop(*(f"_k_{k}" for k in keys))
+    last = F.max(F.when(F.col(date) == F.col("_d"), F.col(value)))
+    before = F.max(F.when(F.col(date) < F.col("_d"), F.struct(date, value)))
+    out = near.groupBy(*keys).agg(F.first("_d").alias(date), last.alias(value), before[value].alias("prev"))
     badge = F.when(F.col("prev").isNull(), "new").when(F.col(value) < F.col("prev"), "down").when(F.col(value) > F.col("prev"), "up").otherwise("same")
     return out.withColumn("badge", badge)
 
 
-def drop_events(obs: DataFrame, keys: Names, date: str, value: str) -> DataFrame:
-    """Days on which a series' value is under that of its day before."""
-    w = Window.partitionBy(*keys).orderBy(date)
-    return last_per_day(obs, keys, date, value).withColumn("prev", F.lag(value).over(w)).where(F.col(value) < F.col("prev"))
+def drop_events(obs: DataFrame, keys: Names, date: str, value: str, most: int | None = scans.MOST) -> DataFrame:
+    """Days on which a series' value is under that of its day before; a key of more than `most` days is scanned in parts."""
+    return scans.row_before(last_per_day(obs, keys, date, value), keys, date, value, "prev", most).where(F.col(value) < F.col("prev"))
 
 
 def event_study(events: DataFrame, series: DataFrame, key: str, date: str, value: str, days: Sequence[int]) -> DataFrame:
@@ -243,14 +247,15 @@ def recommend(candidates: DataFrame, key: str, prev_gap: str, gap: str, state: D
     return top.select(F.lit(date).cast(state.schema["date"].dataType).alias("date"), key, place, gap, "fresh", F.coalesce("_last", F.lit(False)).alias("repeated"))
 
 
-def stable_runs(df: DataFrame, key: str, ts: str, diff: str, threshold: float, least: int = 1, tie: str | None = None) -> DataFrame:
-    """Runs of rows whose diff stays under the threshold: start, end, rows and the middle row's time. A null diff counts as under."""
-    order = Window.partitionBy(key).orderBy(ts, *([tie] if tie else []))
+def stable_runs(df: DataFrame, key: str, ts: str, diff: str, threshold: float, least: int = 1, tie: str | None = None, most: int | None = scans.MOST) -> DataFrame:
+    """Runs of rows whose diff stays under the threshold: start, end, rows and the middle row's time. A null diff counts as under.
+
+    Keys, and runs, of more than `most` rows are scanned in parts of their time, which hand on the run's number and their rows.
+    """
+    order = [tie] if tie else []
     ends = F.when(F.col(diff) >= threshold, 1).otherwise(0)
-    runs = df.withColumn("_run", F.sum(ends).over(order))
-    place = Window.partitionBy(key, "_run").orderBy(ts, *([tie] if tie else []))
-    size = Window.partitionBy(key, "_run")
-    runs = runs.withColumn("_i", F.row_number().over(place)).withColumn("_n", F.count("*").over(size))
+    runs = scans.sum_so_far(df, [key], ts, order, ends, "_run", most)
+    runs = scans.numbered(runs, [key, "_run"], ts, order, "_i", "_n", most)
     agg = runs.groupBy(key, "_run").agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("n"), F.min(F.when(F.col("_i") == F.floor(F.col("_n") / 2) + 1, F.col(ts))).alias("middle"))
     return agg.where(F.col("n") >= least).select(key, F.col("_run").alias("run"), "start", "end", "n", "middle")
 
@@ -308,10 +313,9 @@ def carry_forward(cur: DataFrame, prior: DataFrame, key: str, value: str, note:
     return out.withColumn(note, F.when(took, F.trim(F.concat(clean, F.lit(f" [{tag}]")))).otherwise(clean)).withColumn("carried", took).withColumn(value, F.coalesce(value, "_old")).drop("_old")
 
 
-def carry_over_dates(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
-    """df with the last value that isn't null up to each date."""
-    w = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("filled", F.last(value, ignorenulls=True).over(w))
+def carry_over_dates(df: DataFrame, key: str, date: str, value: str, most: int | None = scans.MOST) -> DataFrame:
+    """df with the last value that isn't null up to each date; a key of more than `most` rows is scanned in parts."""
+    return scans.last_so_far(df, [key], date, [], value, "filled", most)
 
 
 def window_change(series: DataFrame, key: str, date: str, value: str, start: str, end: str) -> DataFrame:
