@@ -44,7 +44,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark, those without an id too."""
+    """Drops documents that hold a passage of the benchmark, those without an id too.
+
+    Null and empty texts hold none and stay, and so do all documents where the benchmark is empty; texts are read whole, whatever their length.
+    """
     key = _own("key")
     own = keyed(docs, key)
     found = cut(decontam.contaminated(own.select(key, "text"), table(spark, sf_dir, "benchmark"), id_col=key).select(F.col("doc_id").alias(key)).distinct())
@@ -52,7 +55,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks personal data in the texts; n_chars, where there is one, follows."""
+    """Masks personal data in the texts; n_chars, where there is one, follows.
+
+    Null and empty texts stay as they are, repeated rows are each masked, and texts are read whole, whatever their length.
+    """
     masked = pii.redact(docs)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -60,7 +66,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, placed in sequences."""
+    """The pieces of the documents, placed in sequences.
+
+    A null or empty text is a piece of its end id; a text longer than a sequence has several pieces; repeated rows each have their own.
+    """
     return packing.pack(docs)
 
 

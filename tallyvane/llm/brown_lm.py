@@ -38,6 +38,8 @@ ALPHA = 5.0
 END = b"\x00end"
 #: Bytes of text that a worker takes at once: words are numbered, and counts combined, within these.
 CHUNK = 12_000_000
+#: Rows of word contexts that a task merges at once.
+HELD = 16_384
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -262,37 +264,42 @@ def classified(contexts: DataFrame, units: Units, class_of: np.ndarray, table: n
     """Rows (word, n, class), one for each word of word_contexts()."""
     shared = contexts.sparkSession.sparkContext.broadcast((units, class_of, table))
 
-    def placed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        known, of_unit, cells = shared.value
-        classes = len(cells)
+    def merged(held: list[pa.RecordBatch]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows in order of their words: the words, and by number of the word and code the counts."""
+        classes = len(shared.value[2])
         batch = pa.concat_batches(held)
-        lists = batch.column("seen")
-        flat = lists.flatten()
-        start, end = flat.offset, flat.offset + len(flat)
-        edges = np.frombuffer(flat.buffers()[1], dtype="<i4")[start : end + 1].astype(np.int64)
-        seen = np.frombuffer(flat.buffers()[2], dtype="<i8", count=(edges[-1] - edges[0]) // 8, offset=edges[0])
-        parts = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        keys, n = _merged(np.repeat(parts, np.diff(edges) // 8) * (2 * classes) + (seen & 0xFFFF), seen >> 16)
-        owner, code = keys // (2 * classes), keys % (2 * classes)
-        first = np.array([of_unit[known.of(w)] for w in batch.column("word").to_pylist()], dtype=np.int64)
-        before = code < classes
-        total = np.bincount(owner[before], weights=n[before], minlength=len(lists)).astype(np.int64)
+        words, lists = batch.column("word").dictionary_encode(), batch.column("seen")
+        edges = np.frombuffer(lists.buffers()[1], dtype="<i4", count=len(lists) + 1, offset=4 * lists.offset).astype(np.int64)
+        seen = np.frombuffer(lists.buffers()[2], dtype="<i8", count=(edges[-1] - edges[0]) // 8, offset=edges[0])
+        parts = np.repeat(words.indices.to_numpy(), np.diff(edges) // 8).astype(np.int64)
+        keys, n = _merged(parts * (2 * classes) + (seen & 0xFFFF), seen >> 16)
+        return words.dictionary, keys // (2 * classes), keys % (2 * classes), n
+
+    def placed(words: pa.Array, owner: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        known, of_unit, cells = shared.value
+        first = np.array([of_unit[known.of(w)] for w in words.to_pylist()], dtype=np.int64)
+        before = code < len(cells)
+        total = np.bincount(owner[before], weights=n[before], minlength=len(words)).astype(np.int64)
         own = best_classes(owner, code, n, first, cells).astype(np.int32)
-        return pa.RecordBatch.from_arrays([batch.column("word"), pa.array(total), pa.array(own)], names=["word", "n", "class"])
+        return pa.RecordBatch.from_arrays([words, pa.array(total), pa.array(own)], names=["word", "n", "class"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last word of what is held may go on: it stays behind, its rows made one.
         held, rows = [], 0
         for batch in batches:
             held.append(batch)
             rows += len(batch)
-            if rows >= 16_384:
-                yield placed(held)
-                held, rows = [], 0
+            if rows >= HELD:
+                words, owner, code, n = merged(held)
+                at = np.searchsorted(owner, len(words) - 1)
+                if len(words) > 1:
+                    yield placed(words[:-1], owner[:at], code[:at], n[:at])
+                held, rows = [pa.RecordBatch.from_arrays([words[-1:], _pieces((n[at:] << 16 | code[at:]).astype("<i8"), np.zeros(1, dtype=np.int64))], schema=batch.schema)], 1
         if rows:
-            yield placed(held)
+            yield placed(*merged(held))
 
-    grouped = contexts.groupBy("word").agg(F.collect_list("seen").alias("seen"))
-    return grouped.mapInArrow(run, "word binary, n long, class int")
+    # Sorted, so that a word's rows are read one after the other and none of them grows with the corpus.
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n long, class int")
 
 
 @dataclass

@@ -453,6 +453,19 @@ def test_language_model_gives_rare_words_classes(spark):
     assert side["n"] != side["v"] and all(of[w] == side[k] for w, k in rare.items())
 
 
+def test_contexts_merged_a_few_rows_at_a_time_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 60").select("doc_id", "text", F.lit(False).alias("held_out")).repartition(7)
+    scores = lambda: {r["doc_id"]: r["score"] for r in brown_lm.fit_and_score(docs, "held_out").collect()}
+    want = scores()
+    monkeypatch.setattr(brown_lm, "HELD", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = scores()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    assert len(want) == 60 and all(math.isclose(got[i], want[i], rel_tol=1e-12) for i in want)
+
+
 def test_rare_words_count_in_paths(spark):
     """Looked up in the workers or joined, words have one class and texts one score."""
     docs = docs_of(spark, ["a b a c a b d", "b a c", "e f e g e f", "f e g zz", "new words", None] * 2)

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 
 def test_stages_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "benchmark_decontamination", "pii", "packing"]
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
 
 
 def test_every_stage_decides(spark):
@@ -67,3 +67,20 @@ def test_stages_of_an_empty_table(spark):
         assert stage(spark, docs, f"{DATA}/sf0.001").count() == 0
     unknown = spark.createDataFrame([(1, "some words", None, None, 1), (2, "12 34", None, None, 1), (3, None, None, None, None)], SCHEMA)
     assert [r["doc_id"] for r in STAGE["language_id"](spark, unknown, "").collect()] == [1]
+
+
+def test_stages_take_very_long_texts(spark):
+    """A text of two million characters in every stage, beside null and empty ones."""
+    sf = f"{DATA}/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    long = "the long story of a house by the sea goes on and on " * 40_000
+    rows = [(1, long, None, "s", 1), (2, f"{long} {item} {long}", "en", "s", 1), (3, f"mail bob@corp.com {long} card", "en", "s", 1), (4, "", None, None, None), (5, None, None, None, None), (6, "der kurze Text von heute", "de", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+    assert ids(STAGE["language_id"](spark, docs, sf)) == [1, 2, 3, 6]
+    assert {4, 6} <= set(ids(STAGE["simhash_near_dedup"](spark, docs, sf)))
+    assert ids(STAGE["benchmark_decontamination"](spark, docs, sf)) == [1, 3, 4, 5, 6]
+    masked = {r["doc_id"]: r["text"] for r in STAGE["pii"](spark, docs, sf).collect()}
+    assert masked[3] == f"mail <EMAIL> {long} card" and masked[1] == long and masked[4] == "" and masked[5] is None
+    packed = STAGE["packing"](spark, docs, sf).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert len(packed) == 6 and all(r["n"] == r["t"] for r in packed)
