@@ -203,8 +203,8 @@ def topn_entry_exit(daily: DataFrame, day: str, key: str, value: str, n: int, gr
     top = daily.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).select(*group, day, key)
     days = daily.select(*group, day).distinct().withColumn("_next", F.lead(day).over(Window.partitionBy(*group).orderBy(day)))
     follow = top.join(days, [*group, day]).where("_next is not null").select(*group, F.col("_next").alias(day), key)
-    first = days.groupBy(*group).agg(F.min(day).alias("_first")) if group else days.agg(F.min(day).alias("_first"))
-    later = top.join(F.broadcast(first), list(group)) if group else top.crossJoin(F.broadcast(first))
+    first = days.withColumn("_first", F.min(day).over(Window.partitionBy(*group))).select(*group, day, "_first")
+    later = top.join(first, [*group, day])
     entered = later.where(F.col(day) > F.col("_first")).drop("_first").join(follow, [*group, day, key], "left_anti").withColumn("event", F.lit("entry"))
     left = follow.join(top, [*group, day, key], "left_anti").withColumn("event", F.lit("exit"))
     return entered.select(*group, day, key, "event").unionByName(left.select(*group, day, key, "event"))

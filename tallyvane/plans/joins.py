@@ -430,12 +430,12 @@ def s4_map_columns(spark, sf):
     return R.map_columns(parts(spark, sf), {"name": ["NAME"], "price": ["retailprice"], "colour": ["colour", "color"]})
 
 
-@query("""with x as (select conv_id, turn, left(text, 12) || case conv_id % 8 when 0 then ' 있으니' when 1 then ' 토닉 소다' when 2 then '.' when 3 then '. and so' when 4 then ' 20% 할인 중' when 5 then ' 좋네요' when 6 then repeat(' long', 6) else '' end || case when turn % 3 = 0 then '  ' else '' end t from conversations),
+@query("""with x as (select conv_id, turn, case when turn % 2 = 0 then role else text end || case conv_id % 8 when 0 then ' 있으니' when 1 then ' 토닉 소다' when 2 then '.' when 3 then '. and so' when 4 then ' 20% 할인 중' when 5 then ' 좋네요' when 6 then repeat(' long', 6) else '' end || case when turn % 3 = 0 then '  ' else '' end t from conversations),
 s as (select *, trim(t) s from x)
 select conv_id, turn, s = '' or length(s) > 35 or contains(s, '. ') or s like '%.' or s like '%니다' or s like '%네요' or s like '%으니' or s like '%니까' or s like '%세요' or contains(s, '할인') or contains(s, '있으니') garbage from s""")
 def f3_garbage(spark, sf):
-    """Beginnings of turns, some with what speech ends in or names never hold; `소다` (soda) is a name."""
+    """Turns and their speakers, some with what speech ends in or names never hold; `소다` (soda) is a name."""
     kind = F.col("conv_id") % 8
     tail = F.when(kind == 0, " 있으니").when(kind == 1, " 토닉 소다").when(kind == 2, ".").when(kind == 3, ". and so").when(kind == 4, " 20% 할인 중").when(kind == 5, " 좋네요").when(kind == 6, " long long long long long long").otherwise("")
-    name = F.concat(F.left("text", F.lit(12)), tail, F.when(F.col("turn") % 3 == 0, "  ").otherwise(""))
+    name = F.concat(F.when(F.col("turn") % 2 == 0, F.col("role")).otherwise(F.col("text")), tail, F.when(F.col("turn") % 3 == 0, "  ").otherwise(""))
     return table(spark, sf, "conversations").select("conv_id", "turn", T.garbage(name).alias("garbage"))

@@ -322,12 +322,12 @@ def q19_targets(spark, sf):
     return p.groupBy("p_name").agg(F.min("item").alias("item")).join(rows, "p_name", "left").select("p_name", "item", "search", "page", F.coalesce("page", "search").alias("price"), view.alias("view"))
 
 
-@query("""with c as (select conv_id, turn, trim(left(trim(regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')), 10)) nm, 5000 + 1000 * (turn * 7 + conv_id % 40) p from conversations)
-select conv_id, turn ms, nm as "name", case when turn % 2 = 0 then 700 else 1000 end ml, p price, case when trim(nm) = '' or contains(nm, '. ') or trim(nm) like '%.' then 'garbage' when p < 15000 then 'low price' else 'ok' end outcome from c where nm <> ''""")
+@query("""with c as (select conv_id, turn, case when turn % 2 = 0 then role else trim(regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) end nm, 5000 + 1000 * (turn * 7 + conv_id % 40) p from conversations)
+select conv_id, turn ms, nm as "name", case when turn % 2 = 0 then 700 else 1000 end ml, p price, case when trim(nm) = '' or length(nm) > 35 or contains(nm, '. ') or trim(nm) like '%.' then 'garbage' when p < 15000 then 'low price' else 'ok' end outcome from c where nm <> ''""")
 def q20_caption_rows(spark, sf):
-    """Captions to priced rows: name, volume and price out of one line, gated by name and price."""
+    """Captions, whole turns and speakers, to priced rows: name, volume and price out of one line, gated by name and price."""
     c = table(spark, sf, "conversations")
-    name = F.left(F.trim(F.regexp_replace("text", r"[ \t\n\x0b\f\r]+", " ")), F.lit(10))
+    name = F.when(F.col("turn") % 2 == 0, F.col("role")).otherwise(F.trim(F.regexp_replace("text", r"[ \t\n\x0b\f\r]+", " ")))
     line = F.concat(name, F.when(F.col("turn") % 2 == 0, " | 700ml ").otherwise(" | 1L "), F.format_number(5000 + 1000 * (F.col("turn") * 7 + F.col("conv_id") % 40), 0), F.lit("원"))
     cut = F.array(F.struct(F.substring(line, 1, 5).alias("utf8")), F.struct(F.substr(line, F.lit(6)).alias("utf8")))
     docs = c.where(name != "").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("turn").alias("tStartMs"), cut.alias("segs"))).alias("events"))).alias("doc"))
@@ -372,7 +372,7 @@ def q23_cost_table(spark, sf):
     menu = obs(spark, sf).where("source = 'S1'").select((F.col("item") % 200).alias("place"), (F.col("price") / 10.0).alias("p"))
     e = A.estimate_per_person(menu, "place", "p").select("place", "std", F.concat(F.lit("K"), F.col("place") % 5).alias("category"))
     c = e.groupBy("category").agg(F.count("*").alias("places"), F.round(F.avg("std"), 4).alias("mean"))
-    return e.join(F.broadcast(c), "category").select("place", "category", "std", "mean", F.round((F.col("std") - F.col("mean")) * 100.0 / F.when(F.col("mean") != 0, F.col("mean")), 2).alias("over_mean_pct"), "places")
+    return e.join(J.bounded(c), "category").select("place", "category", "std", "mean", F.round((F.col("std") - F.col("mean")) * 100.0 / F.when(F.col("mean") != 0, F.col("mean")), 2).alias("over_mean_pct"), "places")
 
 
 @query(f"""with {PAIR}, s as (select p_brand, p_partkey, p_partkey in (select item from cur) live from part) select p_brand, count(*) filter (live) live, count(*) filter (not live) candidates, round(count(*) filter (live) / count(*), 4) coverage from s group by 1""")
