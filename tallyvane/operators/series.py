@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallyvane.operators import ranking, scans
+from tallyvane.operators.segments import merge_segments  # noqa: F401
 
 Names = Sequence[str]
 
@@ -280,30 +279,6 @@ def coverage(df: DataFrame, key: str, date: str) -> DataFrame:
     return agg.withColumn("coverage", F.round(F.col("days") / F.col("span"), 4))
 
 
-def merge_segments(df: DataFrame, key: str, ts: str, name: str, value: str) -> DataFrame:
-    """Consecutive rows whose name equals, holds or is held by the first one's of the segment, merged: start, end, rows, modal name and value.
-
-    Sequential within a key, so grouped map: a key's rows must fit a worker; give a key that bounds them (a video, a session).
-    """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    schema = StructType().add(key, kinds[key]).add("segment", "long").add("start", kinds[ts]).add("end", kinds[ts]).add("rows", "long").add(name, kinds[name]).add(value, kinds[value])
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([ts, name], kind="stable")
-        ids, first, n = [], None, -1
-        for x in rows[name].fillna(""):
-            if first is None or not (x == first or (x and first and (x in first or first in x))):
-                first, n = x, n + 1
-            ids.append(n)
-        out = []
-        for i, part in rows.assign(_s=ids).groupby("_s"):
-            mode = lambda c, p=part: (lambda m: m.iloc[0] if len(m) else None)(p[c].mode(dropna=True).sort_values())
-            out.append((part[key].iloc[0], i, part[ts].min(), part[ts].max(), len(part), mode(name), mode(value)))
-        return pd.DataFrame(out, columns=[f.name for f in schema.fields])
-
-    return df.select(key, ts, name, value).groupBy(key).applyInPandas(run, schema)
-
-
 def carry_forward(cur: DataFrame, prior: DataFrame, key: str, value: str, note: str = "note", tag: str = "carried") -> DataFrame:
     """cur with missing values taken from the prior snapshot and tagged; tags of earlier runs are stripped first."""
     old = prior.groupBy(key).agg(F.max(value).alias("_old"))

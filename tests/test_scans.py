@@ -52,3 +52,39 @@ def test_previous_values_with_null_keys(events):
     for r in S.last_per_day(events, ["k"], "t", "v").orderBy("t").collect():
         want[r["k"]] = (r["t"], r["v"], want.get(r["k"], (None, None))[1])
     assert {r["k"]: (r["t"], r["v"], r["prev"]) for r in S.prev_value(events, ["k"], "t", "v").collect()} == want
+
+
+def slow_segments(rows):
+    """Segments of (key, time, name, value) rows by one loop over each key."""
+    out, last = [], None
+    late = lambda x: (x is None, x if x is not None else 0)
+    for k, t, n, v in sorted(rows, key=lambda r: (str(r[0]), late(r[1]), (r[2] is None, r[2] or ""))):
+        x = n or ""
+        if not out or out[-1]["k"] != k:
+            out.append({"k": k, "s": 0, "first": x, "rows": []})
+        elif not (x == out[-1]["first"] or (x and out[-1]["first"] and (x in out[-1]["first"] or out[-1]["first"] in x))):
+            out.append({"k": k, "s": out[-1]["s"] + 1, "first": x, "rows": []})
+        out[-1]["rows"].append((t, n, v))
+    mode = lambda xs: min(((-xs.count(x), x) for x in xs if x is not None), default=(0, None))[1]
+    times = lambda g: [t for t, _, _ in g["rows"] if t is not None]
+    return sorted(repr((g["k"], g["s"], min(times(g), default=None), max(times(g), default=None), len(g["rows"]), mode([n for _, n, _ in g["rows"]]), mode([v for _, _, v in g["rows"]]))) for g in out)
+
+
+@pytest.mark.parametrize("names", [["a", "ab", "abc", "b", "", None], ["glen", "glen 12", "glen 12 oak"], ["x"], ["x", "xy", "xz", "xyq", "yq"]])
+def test_segments_over_many_partitions_equal_one_loop(spark, names):
+    rng = random.Random(len(names))
+    rows = [(rng.choice(["hot", "hot", "hot", *"abc", None]), rng.choice([None, *range(300)]), rng.choice(names), rng.choice([None, 1, 2, 3])) for _ in range(600)]
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, "k string, t int, n string, v int")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(repr(tuple(r)) for r in S.merge_segments(df, "k", "t", "n", "v").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == slow_segments(rows)
+
+
+def test_segments_of_nothing(spark):
+    assert S.merge_segments(spark.createDataFrame([], "k string, t int, n string, v double"), "k", "t", "n", "v").count() == 0
