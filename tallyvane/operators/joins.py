@@ -20,7 +20,7 @@ from tallyvane.functions.automaton import needles_in
 from tallyvane.functions.similarity import seq_ratio
 from tallyvane.functions.text import AGE_PATTERN, VOLUME_PATTERN, age, descriptor_set, model_numbers, normalize_name, rewrite, tokens
 from tallyvane.functions.values import EARTH_M, haversine_m
-from tallyvane.operators import scans
+from tallyvane.operators import ranking, scans
 from tallyvane.operators.lineage import settled
 
 Names = Sequence[str]
@@ -199,11 +199,17 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, value: str,
 
 
 def window_min_join(left: DataFrame, right: DataFrame, key: str, date: str, value: str, k: int, out: str = "window_min") -> DataFrame:
-    """left with the least of right's values within (date, date + k] days: one shuffle on the key, no pairs are made."""
-    r = right.groupBy(key, date).agg(F.min(value).alias("_v"))
-    both = left.withColumn("_left", F.lit(True)).unionByName(r, allowMissingColumns=True)
-    ahead = Window.partitionBy(key).orderBy(F.unix_date(F.col(date).cast("date"))).rangeBetween(1, k)
-    return both.withColumn(out, F.min("_v").over(ahead)).where("_left").drop("_left", "_v")
+    """left with the least of right's values within (date, date + k] days: one shuffle, no pairs are made; null where the date is.
+
+    A key's time is cut in slots of k days. A window reaches into the next slot at most, so right's days, one row each, lie in
+    their own slot and in the one before, and no task needs more of a key than a slot.
+    """
+    day = F.unix_date(F.col(date).cast("date"))
+    own = F.floor(day / k)
+    r = right.where(F.col(date).isNotNull()).groupBy(key, date).agg(F.min(value).alias("_v")).withColumn("_slot", F.explode(F.array(own, own - 1)))
+    both = left.withColumns({"_left": F.lit(True), "_slot": own}).unionByName(r, allowMissingColumns=True)
+    ahead = Window.partitionBy(key, "_slot").orderBy(day).rangeBetween(1, k)
+    return both.withColumn(out, F.when(F.col(date).isNotNull(), F.min("_v").over(ahead))).where("_left").drop("_left", "_slot", "_v")
 
 
 class _Free:
@@ -300,16 +306,18 @@ def match_catalogues(rows: DataFrame, source: str, anchor: str, k1: str, k2: str
 def match_tokens(queries: DataFrame, listings: DataFrame, query: str, listing: str, price: str, stop: Names = (), product: str | None = None) -> DataFrame:
     """Each distinct query with the cheapest listing of those that hold all its tokens with the fewest extra ones.
 
-    Candidates share the query's longest token, so nothing is compared with everything. label is exact without extra
+    Candidates share the query's rarest token, counted over all listings, so nothing is compared with everything; a query with a token
+    that no listing has meets none. label is exact without extra
     tokens, else near; tier and pool count the listings as good as the best, and all that match. With product, siblings
     counts the listings of the chosen one's product, and sibling_high is the dearest of them.
     """
     none = F.array(*(F.lit(s) for s in stop)).cast("array<string>")
     q = queries.select(F.col(query).alias("query")).where("query is not null").distinct().withColumn("_q", F.array_except(tokens("query"), none)).where(F.size("_q") > 0)
-    longest = F.array_min(F.transform("_q", lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))["t"]
-    q = q.withColumn("_t", longest)
     own = [F.col(product).alias("product")] if product else []
     one = listings.select(F.col(listing).alias("listing"), F.col(price).alias("price"), *own).where("listing is not null").withColumn("_l", F.array_distinct(F.array_except(tokens("listing"), none)))
+    held = one.select(F.explode("_l").alias("_t")).groupBy("_t").agg(F.count("*").alias("_n"))
+    each = q.select("query", F.explode("_q").alias("_t")).join(held, "_t", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_t")).alias("_r"))
+    q = q.join(each.where("_r.n > 0").select("query", F.col("_r._t").alias("_t")), "query")
     pairs = q.join(one.withColumn("_t", F.explode("_l")), "_t").where(F.size(F.array_except("_q", "_l")) == 0)
     pairs = pairs.withColumn("extra", F.size("_l") - F.size(F.array_distinct("_q")))
     best = pairs.groupBy("query").agg(F.min(F.struct("extra", "price", "listing", *(["product"] if product else []))).alias("b"), F.count("*").alias("pool"))
@@ -394,17 +402,25 @@ def match_fuzzy(
 def match_brand_age(items: DataFrame, offers: DataFrame, item: str, offer: str, price: str, volume: str, brands: DataFrame, exclude: str | None = None, least_volume: int = 500) -> DataFrame:
     """Per item: offers of the same brand token and age of at least that volume, and their unit prices' low, median and high.
 
-    brands: one column token. Both sides are tagged with the tokens they hold and joined on (token, age).
+    brands: one column token. Offers are counted once by (token, age, unit price); an item asks for a union of such groups, and
+    items that ask for the same one share its statistics, taken over the counts: no item meets a single offer, and no group is one
+    task's. An offer counts once for each token that it shares with the item. The counts of the unions are written to
+    spark.checkpoint.dir when the plan is made.
     """
     def tagged(df: DataFrame, c: str) -> DataFrame:
         return df.withColumn("token", F.explode(F.array_distinct(tokens(c)))).join(bounded(brands.select("token").distinct()), "token").withColumn("_age", F.coalesce(age(c, "max"), F.lit(-1)))
 
-    left = tagged(items.select(F.col(item).alias("item")).distinct(), "item").distinct()
+    asked = tagged(items.select(F.col(item).alias("item")).distinct(), "item").groupBy("item", "_age").agg(F.array_sort(F.collect_set("token")).alias("_set"))
     right = offers.select(F.col(offer).alias("offer"), F.col(price).alias("_p"), F.col(volume).alias("_v")).where(F.col("_v") >= least_volume)
     if exclude:
         right = right.where(~F.lower("offer").rlike(exclude))
-    right = tagged(right, "offer").withColumn("unit", F.col("_p") * 100.0 / F.col("_v"))
-    return left.join(right, ["token", "_age"]).groupBy("item").agg(F.count("*").alias("offers"), F.round(F.min("unit"), 4).alias("low"), F.round(F.percentile("unit", 0.5), 4).alias("median"), F.round(F.max("unit"), 4).alias("high"))
+    groups = tagged(right, "offer").withColumn("unit", F.col("_p") * 100.0 / F.col("_v")).groupBy("token", "_age", "unit").agg(F.count("*").alias("_c"))
+    unions = asked.select("_age", "_set").distinct().withColumn("token", F.explode("_set")).join(groups, ["token", "_age"])
+    counts = settled(unions.groupBy("_age", "_set", "unit").agg(F.sum("_c").alias("n")))
+    ends = {"low": F.lit(0), "median": (F.col("total") - 1) * 0.5, "high": F.col("total") - 1}
+    stats = ranking.at_places(ranking.running_over(counts, ["_age", "_set"], "unit"), ["_age", "_set"], "unit", ends)
+    known = counts.groupBy("_age", "_set").agg(F.sum("n").alias("offers")).join(stats, ["_age", "_set"], "left")
+    return asked.join(known, ["_age", "_set"]).select("item", "offers", *(F.round(c, 4).alias(c) for c in ends))
 
 
 def match_registry(places: DataFrame, registry: DataFrame, name: str, locality: str, lat: str, lng: str, radius: float = 150.0, prefix: int = 2) -> DataFrame:

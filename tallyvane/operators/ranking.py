@@ -24,7 +24,12 @@ def _part(df: DataFrame, value: str, parts: int) -> Column:
 
 def running_counts(df: DataFrame, keys: Sequence[str], value: str, parts: int = PARTS) -> DataFrame:
     """Of each key and distinct value that isn't null: rows (n), rows of the key with a lesser value (before), and all of the key's (total)."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return running_over(df.groupBy(*keys, value).agg(F.count("*").alias("n")), keys, value, parts)
+
+
+def running_over(counts: DataFrame, keys: Sequence[str], value: str, parts: int = PARTS) -> DataFrame:
+    """running_counts() of rows that are counted already: n of each key and value, which are there once each. Keys aren't null."""
+    counts = counts.where(F.col(value).isNotNull())
     counts = counts.withColumn("_part", _part(counts, value, parts))
     sums = counts.groupBy(*keys, "_part").agg(F.sum("n").alias("_n"))
     whole, upto = Window.partitionBy(*keys, F.lit(0)), Window.partitionBy(*keys, F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
