@@ -341,15 +341,49 @@ def row_hash(columns: Names) -> Column:
     return F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256)
 
 
+def _summed(rows, keys: Names) -> DataFrame:
+    """Rows and the SHA-256 of the added words of their hashes (_h), by keys."""
+    words = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
+    sums = rows.groupBy(*keys).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(w), F.lit(0)).alias(f"_{i}") for i, w in enumerate(words)))
+    return sums.select(*keys, "rows", F.sha2(F.concat_ws(",", "rows", *(F.col(f"_{i}").cast("string") for i in range(8))), 256).alias("sha256"))
+
+
 def fingerprint(df: DataFrame, columns: Names) -> DataFrame:
     """One row that tells a table's content, whatever its order: rows, and a SHA-256.
 
     Rows' hashes are added up by their eight 32-bit words, map-side and exactly, and the sums are hashed: no row meets
     another, where a sorted list of all hashes would be one task's.
     """
-    words = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
-    sums = df.select(row_hash(columns).alias("_h")).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(w), F.lit(0)).alias(f"_{i}") for i, w in enumerate(words)))
-    return sums.select("rows", F.sha2(F.concat_ws(",", "rows", *(F.col(f"_{i}").cast("string") for i in range(8))), 256).alias("sha256"))
+    return _summed(df.select(row_hash(columns).alias("_h")), [])
+
+
+def key_range(keys: Names, ranges: int) -> Column:
+    """The range of a row's keys: of equal size each, by a hash over the keys and which of them are null."""
+    return F.pmod(F.xxhash64(*keys, *(F.col(k).isNull() for k in keys)), F.lit(ranges)).cast("int")
+
+
+def fingerprints(df: DataFrame, keys: Names, columns: Names, ranges: int = 4096) -> DataFrame:
+    """fingerprint() of each range of keys that has rows: range, rows and a SHA-256. Kept, it stands for the table in a later comparison."""
+    return _summed(df.select(key_range(keys, ranges).alias("range"), row_hash(columns).alias("_h")), ["range"])
+
+
+def changed_ranges(prev_prints: DataFrame, cur_prints: DataFrame) -> DataFrame:
+    """Ranges in which two tables' fingerprints differ, or that only one of them has."""
+    a, b = (p.select("range", F.struct("rows", "sha256").alias(n)) for p, n in ((prev_prints, "_a"), (cur_prints, "_b")))
+    return a.join(b, "range", "full").where(~F.col("_a").eqNullSafe(F.col("_b"))).select("range")
+
+
+def local_diff(prev: DataFrame, cur: DataFrame, key: str, columns: Names, ranges: int = 4096, prev_prints: DataFrame | None = None) -> DataFrame:
+    """field_diff() of the ranges of keys whose fingerprints differ: rows of all others are hashed and added up, never shuffled or joined.
+
+    prev_prints: fingerprints() of prev by the same key, columns and number of ranges, kept from its own run, so that prev is read
+    once. A null key meets none, as in field_diff(). The ranges that differ, at most so many numbers, are broadcast.
+    """
+    own = [key, *(c for c in columns if c != key)]
+    before = prev_prints if prev_prints is not None else fingerprints(prev, [key], own, ranges)
+    differ = F.broadcast(changed_ranges(before, fingerprints(cur, [key], own, ranges)).withColumnRenamed("range", "_range"))
+    at = [side.withColumn("_range", key_range([key], ranges)).join(differ, "_range", "left_semi") for side in (prev.select(*own), cur.select(*own))]
+    return field_diff(*at, key, columns)
 
 
 def changed(prev: DataFrame, cur: DataFrame, columns: Names) -> bool:

@@ -295,6 +295,16 @@ def a21_field_diff(spark, sf):
     return A.field_diff(*pair(spark, sf), "item", ["price", "qty"])
 
 
+@query(f"""with {PAIR}, x as (select item, price, case when item % 50 = 0 then qty + 1 else qty end qty from cur where item % 70 > 0 union all select -1, 5, 6), j as (select coalesce(p.item, c.item) item, p.price::varchar op, c.price::varchar np, p.qty::varchar oq, c.qty::varchar nq from cur p full join x c on p.item = c.item)
+select item, 'price' field, op old, np "new" from j where op is distinct from np union all select item, 'qty', oq, nq from j where oq is distinct from nq""")
+def a21_local_diff(spark, sf):
+    """A month's rows against themselves with some changed, some lost and one more: only ranges of keys whose fingerprints differ are joined."""
+    _, cur = pair(spark, sf)
+    later = cur.where(F.col("item") % 70 > 0).select("item", "price", F.when(F.col("item") % 50 == 0, F.col("qty") + 1).otherwise(F.col("qty")).alias("qty"))
+    later = later.unionByName(cur.agg(F.lit(-1).alias("item"), F.lit(5).alias("price"), F.lit(6).alias("qty")))
+    return A.local_diff(cur, later, "item", ["price", "qty"])
+
+
 @query("""with p as (select count(*) filter (not coalesce(regexp_matches(p_brand, '^Brand#[0-9]$'), false)) n from part)
 select 'pattern' "rule", 'p_brand' "column", n from p where n > 0 union all select 'missing', 'stock', 1""")
 def a22_check_contract(spark, sf):

@@ -102,6 +102,16 @@ def s19_table_upsert(spark, sf):
     return own.read()
 
 
+@query(f"""with {SHELVED} select new.shelf, new.grp, case when old.n is null then 'added' else 'updated' end change, old.price old_price, new.price new_price
+from new left join old on new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp where old.n is null or old.price is distinct from new.price or old.n <> new.n""")
+def s19_table_changes(spark, sf):
+    """What the later month changed in a versioned table, read from the parts that its version wrote."""
+    own, (prev, cur) = Table(spark, shared_folder(spark, "table"), parts=8), pair(spark, sf)
+    first = own.upsert(_shelved(prev), ["shelf", "grp"])
+    own.upsert(_shelved(cur), ["shelf", "grp"])
+    return own.changes(first).select("shelf", "grp", "change", F.col("old.price").alias("old_price"), F.col("new.price").alias("new_price"))
+
+
 @query(f"with {SHELVED} select * from old union all select * from new where not exists (select 1 from old where new.shelf is not distinct from old.shelf and new.grp is not distinct from old.grp)")
 def s18_table_append(spark, sf):
     """The same months, of which the later one only adds what isn't there, twice."""

@@ -48,7 +48,7 @@ def t3_stream_floor(spark, sf):
     root = shared_folder(spark, "stream")
     src = _events(spark, sf).select(F.col("user_id").alias("item"), F.col("event_type").alias("source"), F.col("ts").cast("date").alias("d"), F.round(F.col("value") * 100).cast("bigint").alias("price"))
     S.stream_floor(src, "item", "source", "d", "price", root + "/table", root + "/checkpoint").awaitTermination()
-    return S.floor_of(S.latest_prices(spark.read.parquet(root + "/table"), "item", "source", "d", "price"), "item", "source", "price")
+    return S.floor_of(S.floor_table(spark, root + "/table", "item", "source", "d", "price"), "item", "source", "price")
 
 
 @query("""with e as (select user_id, ts, event_type v, lag(event_type) over (partition by user_id order by ts) o from events)

@@ -116,6 +116,37 @@ class Table:
         own = self.manifest()
         return own.latest if own else None
 
+    # --- changes
+
+    def changed_parts(self, since: int, until: int | None = None) -> list[str]:
+        """Parts whose rows one version has in another folder than the other; of all others the rows are the same files."""
+        old, new = self._both(since, until)
+        return sorted(p for p in old.folders.keys() | new.folders.keys() if old.folders.get(p) != new.folders.get(p))
+
+    def changes(self, since: int, until: int | None = None) -> DataFrame:
+        """Rows (the keys, change, old, new) of the keys that differ between two versions: added, removed or updated; old and new are whole rows.
+
+        Only parts that were written in between are read: a version with one changed row costs one part. For tables in which a key
+        is there once, as upsert and append leave it; null keys are equal.
+        """
+        old, new = self._both(since, until)
+        if old.schema != new.schema or old.keys != new.keys:
+            raise ValueError(f"versions {since} and {new.version} of {self.path} have other columns or keys")
+        parts = self.changed_parts(since, until)
+        names = [f.name for f in new.struct]
+        sides = [self._rows(m, parts).select(*(F.col(f"`{k}`").alias(f"_{side}_{k}") for k in new.keys), F.struct(*(F.col(f"`{c}`") for c in names)).alias(side)) for m, side in ((old, "old"), (new, "new"))]
+        both = sides[0].join(sides[1], [F.col(f"`_old_{k}`").eqNullSafe(F.col(f"`_new_{k}`")) for k in new.keys], "full")
+        change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("updated")
+        return both.where(~F.col("old").eqNullSafe(F.col("new"))).select(*(F.coalesce(f"new.{k}", f"old.{k}").alias(k) for k in new.keys), change.alias("change"), "old", "new")
+
+    def _both(self, since: int, until: int | None) -> tuple[Manifest, Manifest]:
+        found = self.manifest(since), self.manifest(until)
+        if None in found:
+            raise ValueError(f"{self.path} has no version {since if found[0] is None else until}")
+        if found[0].parts != found[1].parts:
+            raise ValueError(f"versions of {self.path} have other numbers of parts")
+        return found
+
     # --- writing
 
     def _written(self, rows: DataFrame, own: Manifest | None, keys: Names, parts: int, replaced: Names, latest: str | None = None) -> int:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tallyvane.operators.gates import apply_gates
+from tallyvane.sources.versioned import Table
 from tallyvane.sources.writers import upsert
 
 
@@ -53,19 +54,43 @@ def latest_prices(src: DataFrame, item: str, source: str, date: str, price: str)
     return src.where(F.col(price).isNotNull()).groupBy(item, source).agg(best).select(item, source, F.col(f"b.{date}").alias(date), (-F.col("b._p")).alias(price))
 
 
-def stream_floor(src: DataFrame, item: str, source: str, date: str, price: str, root: str, checkpoint: str):
-    """Start keeping the latest price of each (item, source): the state is Spark's, and a batch writes the rows it changed.
+def stream_floor(src: DataFrame, item: str, source: str, date: str, price: str, root: str, checkpoint: str, fold: int = 16):
+    """Start keeping the latest price of each (item, source): the state is Spark's, and a batch writes the rows it changed. floor_table() reads them.
 
-    They go to a partition of the batch's own under root, so a batch that is run again replaces itself, and latest_prices()
-    of all partitions is the table: an older state of a key never wins.
+    They go to a folder of the batch's own under root, so a batch that is run again replaces itself. Every `fold` batches all that
+    lies there is folded into a versioned table, and folders that were folded in an earlier round are removed: at most twice so
+    many stay, and what a reader has listed is there for as many batches more. A death between the two leaves rows in both, of
+    which latest_prices() makes one: an older state of a key never wins.
     """
+    spark = src.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/new/batch={batch_id}")
+        if (batch_id + 1) % fold == 0:
+            folded = Table(spark, f"{root}/folded")
+            there = spark.read.schema(batch.schema).parquet(f"{root}/new").select(*batch.columns)
+            changed = there.select(F.col(item).alias("_item"), F.col(source).alias("_source")).distinct()
+            known = there.unionByName(folded.read().select(*batch.columns)) if folded.versions() else there
+            # Only keys that a batch changed are written; what the table knows of them takes part in the choice.
+            folded.upsert(latest_prices(known.join(changed, F.col(item).eqNullSafe(F.col("_item")) & F.col(source).eqNullSafe(F.col("_source")), "left_semi"), item, source, date, price), [item, source])
+            folded.vacuum()
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/new")
+            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            for made in files.listStatus(path):
+                name = made.getPath().getName()
+                if name.startswith("batch=") and int(name.removeprefix("batch=")) <= batch_id - fold:
+                    files.delete(made.getPath(), True)
 
     return latest_prices(src, item, source, date, price).writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def floor_table(spark: SparkSession, root: str, item: str, source: str, date: str, price: str) -> DataFrame:
+    """The latest prices that stream_floor() has written under root: the folded table and the batches after it."""
+    new = spark.read.parquet(f"{root}/new").drop("batch")
+    folded = Table(spark, f"{root}/folded")
+    return latest_prices(new.unionByName(folded.read()) if folded.versions() else new, item, source, date, price)
+
+
 def floor_of(latest: DataFrame, item: str, source: str, price: str) -> DataFrame:
     return latest.groupBy(item).agg(F.min(F.struct(price, source)).alias("b")).select(item, F.col(f"b.{price}").alias("floor"), F.col(f"b.{source}").alias("floor_source"))
 
@@ -117,4 +142,4 @@ def sessions(src: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFram
     return src.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-__all__ = ["floor_of", "latest_prices", "read_stream", "sessions", "sliding", "stream_changes", "stream_floor", "stream_gate", "stream_ingest", "tumbling", "upsert"]
+__all__ = ["floor_of", "floor_table", "latest_prices", "read_stream", "sessions", "sliding", "stream_changes", "stream_floor", "stream_gate", "stream_ingest", "tumbling", "upsert"]

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyvane.operators import aggregates
 from tallyvane.operators import quarantine as quarantines
 from tallyvane.sources import versioned
 from tallyvane.sources.versioned import Overtaken, Table
@@ -157,3 +158,38 @@ def test_backfill_makes_equal_rows_one(spark, tmp_path):
     titles = spark.createDataFrame([(1, "B1"), (3, "B3")], "v int, branch string")
     assert quarantines.backfill(accepted, titles, "v", "branch", keys) == 1
     assert rows_of(accepted.read()) == [("A", "B1", 1), ("C", None, 2)]
+
+
+def test_changes_read_only_the_parts_that_were_written(spark, own):
+    own.parts = 16
+    first = own.upsert(frame(spark, *((str(i), i, i, 0) for i in range(300)), (None, 1, 1, 0)), ["a"])
+    second = own.upsert(frame(spark, ("7", 7, 700, 1), ("8", 8, 8, 0)), ["a"])
+    assert 1 <= len(own.changed_parts(first)) <= 2
+    got = own.changes(first, second)
+    assert [(r["a"], r["change"], r["old"]["v"], r["new"]["v"]) for r in got.collect()] == [("7", "updated", 7, 700)]
+    read = {f.split("_part=")[1].split("/")[0] for f in got.inputFiles()}
+    assert read == set(own.changed_parts(first, second))
+    third = own.upsert(frame(spark, (None, 1, 2, 0), ("new", 1, 1, 0)), ["a"])
+    own.remove(frame(spark, ("9", 0, 0, 0)), ["a"])
+    got = {(r["a"], r["change"], r["old"] and r["old"]["v"], r["new"] and r["new"]["v"]) for r in own.changes(second).collect()}
+    assert got == {(None, "updated", 1, 2), ("new", "added", None, 1), ("9", "removed", 9, None)}
+    assert own.changes(third, third).count() == 0
+    own.replace(spark.createDataFrame([("x", 1)], "a string, z int"), ["a"])
+    with pytest.raises(ValueError):
+        own.changes(first)
+    with pytest.raises(ValueError):
+        own.changes(99)
+
+
+def test_a_changed_row_is_found_in_one_range(spark):
+    columns = ["v", "t"]
+    prev = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("t"))
+    cur = prev.withColumn("v", F.when(F.col("k") == 1234, 0).otherwise(F.col("v")))
+    prints = aggregates.fingerprints(prev, ["k"], ["k", *columns], 256)
+    assert aggregates.changed_ranges(prints, aggregates.fingerprints(cur, ["k"], ["k", *columns], 256)).count() == 1
+    for known in (None, prints):
+        assert [tuple(r) for r in aggregates.local_diff(prev, cur, "k", columns, 256, known).collect()] == [(1234, "v", "3702", "0")]
+    more = cur.where("k <> 77").unionByName(spark.createDataFrame([(-5, 1, None)], "k long, v long, t long"))
+    got = aggregates.local_diff(prev, more, "k", columns, 256)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, aggregates.field_diff(prev, more, "k", columns).collect()))
+    assert aggregates.local_diff(prev, prev, "k", columns).count() == aggregates.local_diff(prev.limit(0), prev.limit(0), "k", columns).count() == 0
