@@ -9,6 +9,7 @@ from tallyvane.operators import ordering as O
 from tallyvane.operators import quarantine as Q
 from tallyvane.operators import ranking
 from tallyvane.operators import series as W
+from tallyvane.operators import similar
 from tallyvane.plans.base import OBS, PAIR, obs, pair, query, shared_folder, table
 from tallyvane.plans.joins import parts
 from tallyvane.sources.versioned import Table
@@ -189,3 +190,26 @@ def q10_changes(spark, sf):
     rows = O.union_fill(b.select("item", "price", F.lit("priced").alias("origin")), wide, "item")
     diff = A.snapshot_diff(a, b, "item", "price").select("item", F.col("kind").alias("change"), "delta")
     return rows.join(diff, "item", "left").select("item", "price", "origin", F.coalesce("change", F.lit("unchanged")).alias("change"), "delta")
+
+
+# --- Q7 and Q17 over names that share no id
+
+
+@query()
+def q7_catalogues(spark, sf):
+    """Three catalogues that share no id, matched by name and volume and then compared by unit price; greedy, so it is tested against plain Python."""
+    sold = table(spark, sf, "lineitem").groupBy("l_partkey", (F.col("l_suppkey") % 3).cast("string").alias("shop")).agg(F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity")) * 100).cast("bigint").alias("price"))
+    p = parts(spark, sf).select("p_partkey", "p_name", "p_size", "p_brand")
+    rows = sold.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select("shop", "price", (F.col("p_partkey") * 4 + F.col("shop").cast("int")).cast("long").alias("place"), F.concat_ws(" ", "p_name", "p_size").alias("k1"), F.concat_ws("|", "p_name", "p_brand").alias("k2"), F.col("p_size").cast("long").alias("volume"))
+    met = J.match_catalogues(rows, "shop", "0", "k1", "k2", "volume", "place", 5)
+    return similar.compare_matched(met, "match_id", "shop", "price", "volume", ["0", "1", "2"])
+
+
+@query()
+def q17_mined(spark, sf):
+    """Names of small parts as shops spell them, mined against the names of all others; the ratio has no SQL form."""
+    p = parts(spark, sf).select("p_partkey", "p_size", F.concat_ws(" ", "p_name", F.concat((F.col("p_size") % 3 * 6 + 6).cast("string"), F.lit("yo")), F.lower("p_type")).alias("key"))
+    seen = obs(spark, sf).join(p.where("p_size < 10"), F.col("item") == F.col("p_partkey"), "right")
+    seen = seen.select("key", "price", "source", F.when(F.col("source") == "S0", F.upper("key")).otherwise(F.initcap("key")).alias("raw"))
+    return similar.mine_candidates(seen, p.where("p_size >= 10"), "key", "raw", "price", "source", "key", "p_partkey", noise=F.contains("key", F.lit("gift box")))
