@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyvane.functions.similarity import seq_ratio
 from tallyvane.functions.text import age
-from tallyvane.operators.joins import could_reach
+from tallyvane.operators.lineage import settled
 
 #: Below this similarity long names needn't share a pair of letters (from two thirds down none is guaranteed at any length).
 LEAST = 0.7
@@ -31,14 +31,14 @@ def _rarest(pairs: DataFrame, c: str, seen: DataFrame, least: float) -> DataFram
     return ranked.where(F.col("_before") < F.length(c) - 1 - sure + 1).select(c, "gram")
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: float) -> DataFrame:
-    """Rows (a, b, ratio) of all distinct names of both sides whose ratio is `least`, from 0.7, or more. An empty or null name is similar to none.
+def _marks(c: str, width: int) -> Column:
+    """Runs of so many neighbouring letters of a name, each with how often it came before: equal marks of two names are what their bags share."""
+    runs = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - width + 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(width))))
+    return F.transform(runs, lambda x, i: F.concat(x, (i - F.array_position(runs, x)).cast("string")))
 
-    A ratio r of two names with T letters means M >= r T / 2 letters in matching blocks. Two blocks that follow each other have an
-    unmatched letter between them in one name at least, so there are at most T - 2 M + 1 blocks, and at least 3 M - T - 1 pairs of
-    neighbouring letters lie inside blocks: both names have these. That is at least one where T is over 1 / (1.5 r - 1). Names meet in
-    the rarest pairs that this leaves possible; shorter ones, which bound their number, meet in single letters.
-    """
+
+def _candidates(left: DataFrame, right: DataFrame, a: str, b: str, least: float) -> DataFrame:
+    """Rows (a, b, bound): all pairs that may be so similar, and what their letters allow at most."""
     if least < LEAST:
         raise ValueError(f"an index on pairs of letters needs a similarity of {LEAST} or more")
     if a == b:
@@ -50,9 +50,39 @@ def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: floa
     short = floor(1 / (1.5 * least - 1) + 1e-6)
     letters = lambda df, c: df.where(F.length(c) < short).select(c, F.explode(F.array_distinct(F.split(c, ""))).alias("letter")).where("letter <> ''")
     few = letters(x, a).join(letters(y, b), "letter").where(F.length(a) + F.length(b) <= short).select(a, b)
-    fit = 2 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b)) - 1e-6
+    both = F.length(a) + F.length(b)
+    fit = 2 * F.least(F.length(a), F.length(b)) >= least * both - 1e-6
     met = near.where(fit).unionByName(few.where(fit)).distinct()
-    return met.where(could_reach(a, b, least)).withColumn("ratio", seq_ratio(a, b)).where(F.col("ratio") >= least)
+    for df, c, side in ((x, a, "x"), (y, b, "y")):
+        met = met.join(df.select(c, _marks(c, 1).alias(f"_{side}1"), _marks(c, 2).alias(f"_{side}2")), c)
+    shared = lambda width: F.size(F.array_intersect(f"_x{width}", f"_y{width}"))
+    met = met.where(shared(2) >= 3 * F.ceil(least * both / 2 - 1e-6) - both - 1)
+    return met.select(a, b, (2.0 * shared(1) / both).alias("bound")).where(F.col("bound") >= least)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: float) -> DataFrame:
+    """Rows (a, b, ratio) of all distinct names of both sides whose ratio is `least`, from 0.7, or more. An empty or null name is similar to none.
+
+    A ratio r of two names with T letters means M >= r T / 2 letters in matching blocks. Two blocks that follow each other have an
+    unmatched letter between them in one name at least, so there are at most T - 2 M + 1 blocks, and at least 3 M - T - 1 pairs of
+    neighbouring letters lie inside blocks: both names have these. That is at least one where T is over 1 / (1.5 r - 1). Names meet in
+    the rarest pairs that this leaves possible; shorter ones, which bound their number, meet in single letters. Of those that meet, the shared
+    pairs are counted, then the shared letters, and only what passes both gets its ratio.
+    """
+    return _candidates(left, right, a, b, least).select(a, b, seq_ratio(a, b).alias("ratio")).where(F.col("ratio") >= least)
+
+
+def most_similar(left: DataFrame, right: DataFrame, a: str, b: str, least: float) -> DataFrame:
+    """Of similar_pairs() the first of each name a: the greatest ratio, of equals the least b.
+
+    The ratio of the candidate that letters speak most for comes first; only those whose letters allow as much get theirs after it. The
+    candidates are written to spark.checkpoint.dir when the plan is made.
+    """
+    met = settled(_candidates(left, right, a, b, least))
+    tried = met.groupBy(a).agg(F.max_by(b, F.struct("bound", b)).alias(b)).select(a, seq_ratio(a, b).alias("_most"))
+    ratios = met.join(tried, a).where(F.col("bound") >= F.col("_most")).select(a, b, seq_ratio(a, b).alias("ratio")).where(F.col("ratio") >= least)
+    first = ratios.groupBy(a).agg(F.min(F.struct((-F.col("ratio")).alias("r"), b)).alias("_b"))
+    return first.select(a, F.col(f"_b.{b}").alias(b), (-F.col("_b.r")).alias("ratio"))
 
 
 def mine_candidates(
@@ -83,9 +113,8 @@ def mine_candidates(
     groups = spelled.groupBy("key").agg(best.alias("spelling"), F.sum("n").alias("seen"), F.count("raw").alias("variants"), F.min("lo").alias("low"), F.max("hi").alias("high"))
     whence = rows.select("key", "s").distinct().groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("s")), ";").alias("sources"))
     goods = dim.where(F.col(canonical).isNotNull()).groupBy(F.col(canonical).alias("nearest")).agg(F.min(ident).alias("nearest_id"))
-    close = similar_pairs(groups, goods, "key", "nearest", near).join(goods, "nearest")
-    first = close.groupBy("key").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "nearest", "nearest_id")).alias("_b"))
-    out = groups.join(whence, "key").join(first, "key", "left").withColumns({"nearest": F.col("_b.nearest"), "nearest_id": F.col("_b.nearest_id"), "ratio": -F.col("_b.r")})
+    first = most_similar(groups, goods, "key", "nearest", near).join(goods, "nearest")
+    out = groups.join(whence, "key").join(first, "key", "left")
     same = age("key", "max").eqNullSafe(age("nearest", "max"))
     like = F.coalesce("ratio", F.lit(0.0))
     kind = F.when(F.coalesce(noise, F.lit(False)) if noise is not None else F.lit(False), "noise").when((like >= sure) & same, "synonym").when(like >= sure, "new").when(like >= near, "review").otherwise("new")
