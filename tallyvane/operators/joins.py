@@ -307,26 +307,29 @@ def match_tokens(queries: DataFrame, listings: DataFrame, query: str, listing: s
     """Each distinct query with the cheapest listing of those that hold all its tokens with the fewest extra ones.
 
     Candidates share the query's rarest token, counted over all listings, so nothing is compared with everything; a query with a token
-    that no listing has meets none. label is exact without extra
+    that no listing has meets none. Listings are counted by text first, so copies meet a query once. label is exact without extra
     tokens, else near; tier and pool count the listings as good as the best, and all that match. With product, siblings
-    counts the listings of the chosen one's product, and sibling_high is the dearest of them.
+    counts the listings of the chosen one's product, and sibling_high is the dearest of them. Only queries are ever broadcast, after they
+    were counted: a table of many alike listings is small as a file, which is all that Spark's own choice goes by.
     """
     none = F.array(*(F.lit(s) for s in stop)).cast("array<string>")
     q = queries.select(F.col(query).alias("query")).where("query is not null").distinct().withColumn("_q", F.array_except(tokens("query"), none)).where(F.size("_q") > 0)
     own = [F.col(product).alias("product")] if product else []
-    one = listings.select(F.col(listing).alias("listing"), F.col(price).alias("price"), *own).where("listing is not null").withColumn("_l", F.array_distinct(F.array_except(tokens("listing"), none)))
+    one = listings.select(F.col(listing).alias("listing"), F.col(price).alias("price"), *own).where("listing is not null")
+    one = one.groupBy("listing").agg(F.min(F.struct("price", *(["product"] if product else []))).alias("_b"), F.count("*").alias("_n")).withColumn("_l", F.array_distinct(F.array_except(tokens("listing"), none)))
     held = one.select(F.explode("_l").alias("_t")).groupBy("_t").agg(F.count("*").alias("_n"))
-    each = q.select("query", F.explode("_q").alias("_t")).join(held, "_t", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_t")).alias("_r"))
-    q = q.join(each.where("_r.n > 0").select("query", F.col("_r._t").alias("_t")), "query")
-    pairs = q.join(one.withColumn("_t", F.explode("_l")), "_t").where(F.size(F.array_except("_q", "_l")) == 0)
+    each = q.withColumn("_t", F.explode("_q")).join(held.hint("merge"), "_t", "left").groupBy("query").agg(F.first("_q").alias("_q"), F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_t")).alias("_r"))
+    asked = each.where("_r.n > 0").select("query", "_q", F.col("_r._t").alias("_t"))
+    asked = F.broadcast(asked) if q.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else asked
+    pairs = asked.join(one.withColumn("_t", F.explode("_l")).hint("merge"), "_t").where(F.size(F.array_except("_q", "_l")) == 0)
     pairs = pairs.withColumn("extra", F.size("_l") - F.size(F.array_distinct("_q")))
-    best = pairs.groupBy("query").agg(F.min(F.struct("extra", "price", "listing", *(["product"] if product else []))).alias("b"), F.count("*").alias("pool"))
-    tier = pairs.join(best.select("query", F.col("b.extra").alias("_e")), "query").where("extra = _e").groupBy("query").agg(F.count("*").alias("tier"))
-    out = best.join(tier, "query").select("query", F.col("b.listing").alias("listing"), F.col("b.price").alias("price"), F.col("b.extra").alias("extra"), F.when(F.col("b.extra") == 0, "exact").otherwise("near").alias("label"), "tier", "pool", *([F.col("b.product").alias("product")] if product else []))
+    tiers = pairs.groupBy("query", "extra").agg(F.min(F.struct("_b.price", "listing", *(["_b.product"] if product else []))).alias("b"), F.sum("_n").alias("tier"))
+    best = tiers.groupBy("query").agg(F.min(F.struct("extra", "b", "tier")).alias("x"), F.sum("tier").alias("pool"))
+    out = best.select("query", F.col("x.b.listing").alias("listing"), F.col("x.b.price").alias("price"), F.col("x.extra").alias("extra"), F.when(F.col("x.extra") == 0, "exact").otherwise("near").alias("label"), F.col("x.tier").alias("tier"), "pool", *([F.col("x.b.product").alias("product")] if product else []))
     if not product:
         return out
     same = listings.groupBy(F.col(product).alias("product")).agg(F.count("*").alias("siblings"), F.max(price).alias("sibling_high"))
-    return out.join(same, "product", "left")
+    return out.join(same.hint("merge"), "product", "left")
 
 
 def could_reach(a: str, b: str, least: float) -> Column:

@@ -58,3 +58,16 @@ def test_token_matches_equal_all_pairs(spark):
         if met:
             want[q] = (*min(met), len(met))
     assert got == want
+
+
+def test_token_matches_broadcast_queries_only(spark, monkeypatch):
+    copies = spark.range(3000).select(F.concat(F.lit("red bolt "), F.col("id") % 3).alias("l"), (F.col("id") % 7).alias("p"), (F.col("id") % 5).alias("g"))
+    queries = spark.createDataFrame([("red",), ("bolt 2",), ("red bolt 1",), ("blue",)], "q string")
+    want = {"red": ("red bolt 0", 0, 2, 3000, 3000, 0), "bolt 2": ("red bolt 2", 0, 1, 1000, 1000, 0), "red bolt 1": ("red bolt 1", 0, 0, 1000, 1000, 0)}
+    for rows in (J.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(J, "BROADCAST_ROWS", rows)
+        out = J.match_tokens(queries, copies, "q", "l", "p", product="g")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" not in plan and ("BuildLeft" in plan) == bool(rows)
+        assert {r["query"]: (r["listing"], r["price"], r["extra"], r["tier"], r["pool"], r["product"]) for r in out.collect()} == want
+        assert {(r["siblings"], r["sibling_high"]) for r in out.collect()} == {(600, 6)}
