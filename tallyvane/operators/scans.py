@@ -39,9 +39,10 @@ def in_parts(df: DataFrame, keys: Names, ts: str, most: int = MOST) -> DataFrame
     if worst is None:
         return None
     cuts = min(PARTS, -(-worst // most))
-    large = renamed(counts, keys)
+    # There is at most a key for every `most` rows, each with at most PARTS limits, so both are broadcast: no key of df is gathered in a task.
+    large = F.broadcast(renamed(counts, keys))
     limits = df.join(large, same(keys), "left_semi").groupBy(*keys).agg(F.array_distinct(F.percentile_approx(ts, [i / cuts for i in range(1, cuts)], 10_000)).alias("_limits"))
-    met = df.join(renamed(limits, keys, "_limits"), same(keys), "left").drop(*(f"_k_{k}" for k in keys))
+    met = df.join(F.broadcast(renamed(limits, keys, "_limits")), same(keys), "left").drop(*(f"_k_{k}" for k in keys))
     part = F.coalesce(F.size(F.filter("_limits", lambda x: x <= F.col(ts))), F.lit(0))
     return met.withColumn(PART, F.when(F.col("_limits").isNull() | F.col(ts).isNull(), 0).otherwise(part)).drop("_limits")
 

@@ -29,6 +29,17 @@ def test_keys_are_cut_by_time(spark, events):
     assert scans.in_parts(events, ["k"], "t", 1000) is None and cut.count() == 900
 
 
+def test_no_key_is_gathered_to_be_cut(spark, events):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = scans.in_parts(events, ["k"], "t", 40)
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and cut.where("k = 'hot'").agg(F.count_distinct("_part")).first()[0] > 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_last_values_sums_and_numbers_carry_over_parts(events):
     for f in (
         lambda most: scans.last_so_far(events, ["k"], "t", ["i"], "v", "x", most),
