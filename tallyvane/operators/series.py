@@ -13,6 +13,8 @@ from tallyvane.operators import ranking, scans
 from tallyvane.operators.segments import merge_segments  # noqa: F401
 
 Names = Sequence[str]
+#: Rows of a table that a task should hold.
+TASK_ROWS = 1_000_000
 
 
 def last_per_day(obs: DataFrame, keys: Names, date: str, value: str) -> DataFrame:
@@ -75,15 +77,20 @@ def baseline_rate(series: DataFrame, exclude: DataFrame, key: str, date: str, va
     return n.crossJoin(F.broadcast(middle.agg(F.max("change").alias("upper_median")))).withColumn("rate", F.round(F.col("drops") / F.when(F.col("n") != 0, F.col("n")), 4))
 
 
-def trajectory(series: DataFrame, key: str, period: str, value: str, step: float = 0.015, least: int = 3) -> DataFrame:
+def trajectory(series: DataFrame, key: str, period: str, value: str, step: float = 0.015, least: int = 3, task: int | None = TASK_ROWS) -> DataFrame:
     """Per key with at least so many periods that have a value: where the last value lies in the range, and a tag from its last two changes.
 
-    Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady. One shuffle
-    and one sort: the aggregate by key goes on with the window's partitions.
+    Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady. One sort: the
+    aggregate by key goes on with the window's partitions. Where the session's partitions would hold more than `task` rows each there
+    are more of them, so a task's memory doesn't grow with the table; the rows are counted when the plan is made (None: they aren't).
     """
     w = Window.partitionBy(key).orderBy(period)
     change = lambda a, b: (a - b) / F.when(b != 0, b)
-    s = series.where(F.col(value).isNotNull()).groupBy(key, period).agg(F.min(value).alias("_v")).withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
+    rows = series.where(F.col(value).isNotNull()).select(key, period, value)
+    tasks = -(-rows.count() // task) if task else 0
+    spread = lambda d, *c: d.repartition(tasks, *c) if tasks > int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")) else d
+    s = spread(spread(rows, key, period).groupBy(key, period).agg(F.min(value).alias("_v")), key)
+    s = s.withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
     last = F.max(F.struct(F.col(period).alias("p"), F.col("_v").alias("v"), F.col("_1").alias("a"), F.col("_2").alias("b"))).alias("_l")
     s = s.groupBy(key).agg(last, F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where(F.col("_n") >= least)
     v = F.col("_l.v")

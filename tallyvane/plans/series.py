@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyvane.operators import aggregates as A
 from tallyvane.operators import series as W
-from tallyvane.plans.base import MONTHLY, OBS, PAIR, monthly, obs, pair, query, table
+from tallyvane.plans.base import MONTHLY, OBS, PAIR, obs, pair, query, table
 
 DAY = "day as (select item, source, d, min(price) price from obs group by all)"
 
@@ -60,14 +60,19 @@ t as (select item, "month" "last", price "value", n periods, case when at_ is nu
  case when now_ > 0.015 and past < -0.015 then 'rebound' when now_ < -0.015 and past > 0.015 then 'pullback' when now_ > 0.015 then 'rising' when now_ < -0.015 then 'falling' else 'steady' end tag from x)"""
 
 
+def _by_month(spark, sf):
+    """Observations with their month: trajectory() finds each month's lowest price itself."""
+    return obs(spark, sf).select("item", F.date_format("d", "yyyy-MM").alias("month"), "price")
+
+
 @query(f"with {TRAJ} select * from t")
 def w5_trajectory(spark, sf):
-    return W.trajectory(monthly(spark, sf), "item", "month", "price")
+    return W.trajectory(_by_month(spark, sf), "item", "month", "price")
 
 
 @query(f"with {TRAJ} select tier, tag, count(*) n from t group by 1, 2")
 def q16_trend_classes(spark, sf):
-    return W.trajectory(monthly(spark, sf), "item", "month", "price").groupBy("tier", "tag").agg(F.count("*").alias("n"))
+    return W.trajectory(_by_month(spark, sf), "item", "month", "price").groupBy("tier", "tag").agg(F.count("*").alias("n"))
 
 
 @query(f"""with {OBS}, day as (select item, d, min(struct_pack(p := price, o := l_off)) s from (select l_partkey item, l_shipdate::date d, round(l_extendedprice)::bigint price, round(l_discount * 100)::double l_off from lineitem) group by 1, 2), dd as (select item, d, s.p price, s.o off from day where s.p > 0),

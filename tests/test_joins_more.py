@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyvane.operators import gates as G
 from tallyvane.operators import joins as J
 from tallyvane.operators import series as S
+from tallyvane.plans import catalog
 from tallyvane.sources import readers as R
 
 
@@ -110,3 +111,13 @@ def test_bundles(spark):
     yes = ["글렌 전용잔 세트", "글렌 메가 잔", "글렌 두 개입", "글렌 증정", "글렌 미니어쳐 세트", "글렌 기프트  세트"]
     no = ["Glen 12+", "a + b", "box 2", "gifted oak", "글렌 세트", "글렌 잔", None]
     assert all(one(spark, G.is_bundle(F.lit(x))) for x in yes) and not any(one(spark, G.is_bundle(F.lit(x).cast("string"))) for x in no)
+
+
+def test_trajectory_holds_few_rows_a_task(spark):
+    rows = spark.range(3000).select((F.col("id") % 40).alias("k"), F.expr("pmod(hash(id, 1), 12)").alias("p"), F.expr("if(id % 9 = 0, null, pmod(hash(id, 2), 50))").alias("v"))
+    cut, whole = S.trajectory(rows, "k", "p", "v", task=100), S.trajectory(rows, "k", "p", "v", task=None)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 27)") == plan.count("Exchange hashpartitioning") == 2
+    assert sorted(cut.collect()) == sorted(whole.collect()) and whole.count() == 40
+    plan = catalog.QUERIES["w5_trajectory"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(") == 2
