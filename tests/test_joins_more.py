@@ -121,3 +121,8 @@ def test_trajectory_holds_few_rows_a_task(spark):
     assert sorted(cut.collect()) == sorted(whole.collect()) and whole.count() == 40
     plan = catalog.QUERIES["w5_trajectory"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate(") == 2
+
+
+def test_trend_classes_aggregate_months_once(spark):
+    plan = catalog.QUERIES["q16_trend_classes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min(price") == 1 and plan.count("Exchange hashpartitioning(item") == 2
