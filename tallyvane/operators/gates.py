@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyvane.functions.text import _quoted, col, garbage, matches_any, volumes_ml
 from tallyvane.functions.values import month_number
+from tallyvane.operators.joins import bounded
+from tallyvane.operators.lineage import settled
 
 is_garbage_text = garbage
 
@@ -100,8 +102,11 @@ def plausible(df: DataFrame, dim: DataFrame, key: str, value: str, lo: str, hi:
 
 
 def flag_outliers(df: DataFrame, key: str, value: str, history: Column, lo: float = 1 / 3, hi: float = 3.0) -> DataFrame:
-    """df with outlier: the value lies outside [lo, hi] times the mean of the key's historical rows; bounds are inside. No history: not one."""
-    mean = df.where(history).groupBy(key).agg(F.avg(value).alias("_mean"))
+    """df with outlier: the value lies outside [lo, hi] times the mean of the key's historical rows; bounds are inside. No history: not one.
+
+    The means are computed when the plan is made and broadcast where they are few, so keys with many rows are gathered in no task.
+    """
+    mean = bounded(settled(df.where(history).groupBy(key).agg(F.avg(value).alias("_mean"))))
     out = df.join(mean, key, "left")
     odd = (F.col(value) < F.col("_mean") * lo) | (F.col(value) > F.col("_mean") * hi)
     return out.withColumn("outlier", F.coalesce(odd, F.lit(False))).drop("_mean")

@@ -126,3 +126,16 @@ def test_trajectory_holds_few_rows_a_task(spark):
 def test_trend_classes_aggregate_months_once(spark):
     plan = catalog.QUERIES["q16_trend_classes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min(price") == 1 and plan.count("Exchange hashpartitioning(item") == 2
+
+
+def test_outliers_gather_no_key_in_a_task(spark):
+    rows = spark.createDataFrame([("a", 10, True)] * 8 + [("a", 29, False), ("a", 30, False), ("a", 31, False), ("a", 3, False), ("a", None, False), ("b", 5, False), (None, 7, True)], "k string, v int, h boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = G.flag_outliers(rows, "k", "v", F.col("h"))
+        plan = out.groupBy("k").agg(F.count_if("outlier"))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert sorted(r["v"] for r in out.where("outlier").collect()) == [3, 31] and out.count() == 15
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
