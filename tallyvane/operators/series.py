@@ -81,14 +81,16 @@ def trajectory(series: DataFrame, key: str, period: str, value: str, step: float
     """Per key with at least so many periods that have a value: where the last value lies in the range, and a tag from its last two changes.
 
     Tags, first that holds: rebound (down, then up), pullback (up, then down), rising, falling, then steady. One sort: the
-    aggregate by key goes on with the window's partitions. Where the session's partitions would hold more than `task` rows each there
-    are more of them, so a task's memory doesn't grow with the table; the rows are counted when the plan is made (None: they aren't).
+    aggregate by key goes on with the window's partitions. Where the session's partitions, or its cores, to whose number they are merged, would
+    hold more than `task` rows each there are more of them, so a task's memory doesn't grow with the table; a reading task then only
+    deals its rows out and aggregates nothing. The rows are counted when the plan is made (None: they aren't).
     """
     w = Window.partitionBy(key).orderBy(period)
     change = lambda a, b: (a - b) / F.when(b != 0, b)
     rows = series.where(F.col(value).isNotNull()).select(key, period, value)
     tasks = -(-rows.count() // task) if task else 0
-    spread = lambda d, *c: d.repartition(tasks, *c) if tasks > int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")) else d
+    held = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    spread = lambda d, *c: d.repartition(tasks, *c) if tasks > held else d
     s = spread(spread(rows, key, period).groupBy(key, period).agg(F.min(value).alias("_v")), key)
     s = s.withColumn("_1", F.lag("_v", 1).over(w)).withColumn("_2", F.lag("_v", 2).over(w))
     last = F.max(F.struct(F.col(period).alias("p"), F.col("_v").alias("v"), F.col("_1").alias("a"), F.col("_2").alias("b"))).alias("_l")

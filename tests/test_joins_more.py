@@ -123,6 +123,20 @@ def test_trajectory_holds_few_rows_a_task(spark):
     assert plan.count("HashAggregate(") == 2
 
 
+def test_trajectory_counts_on_cores_not_on_partitions_that_are_merged(spark):
+    rows = spark.range(3000).select((F.col("id") % 40).alias("k"), F.expr("pmod(hash(id, 1), 12)").alias("p"), F.expr("if(id % 9 = 0, null, pmod(hash(id, 2), 50))").alias("v"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        cut, whole, few = (S.trajectory(rows, "k", "p", "v", task=n) for n in (100, None, 1000))
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(", 27)") == plan.count("Exchange hashpartitioning") == 2
+        assert few._jdf.queryExecution().executedPlan().toString().count(", 200)") == 2
+        assert sorted(cut.collect()) == sorted(whole.collect()) == sorted(few.collect()) and whole.count() == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_trend_classes_aggregate_months_once(spark):
     plan = catalog.QUERIES["q16_trend_classes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min(price") == 1 and plan.count("Exchange hashpartitioning(item") == 2
